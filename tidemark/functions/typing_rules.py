@@ -1,60 +1,52 @@
-"""Text to typed values. A value that does not parse becomes NULL, never an error."""
+"""Text to typed values, as Spark SQL expressions. What does not parse becomes NULL, never an error."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column as SparkColumn
-from pyspark.sql import functions as F
-
 from tidemark.entities import Column
 
 
-def as_key(text: SparkColumn) -> SparkColumn:
+def as_key(text: str) -> str:
     """Whole number; a fraction rounds half up, which a direct cast to bigint would refuse."""
-    return text.try_cast("decimal(38,0)").try_cast("bigint")
+    return f"try_cast(try_cast({text} AS decimal(38,0)) AS bigint)"
 
 
-def as_decimal(text: SparkColumn, precision: int, scale: int) -> SparkColumn:
-    return text.try_cast(f"decimal({precision},{scale})")
+def as_decimal(text: str, precision: int, scale: int) -> str:
+    return f"try_cast({text} AS decimal({precision},{scale}))"
 
 
-def as_timestamp(text: SparkColumn, pattern: str | None = None) -> SparkColumn:
+def as_timestamp(text: str, pattern: str | None = None) -> str:
     if pattern is None:
-        return text.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        return f"try_cast({text} AS timestamp_ntz)"
+    return f"CAST(try_to_timestamp({text}, '{pattern}') AS timestamp_ntz)"
 
 
-def as_date(text: SparkColumn) -> SparkColumn:
-    return text.try_cast("date")
+def as_date(text: str) -> str:
+    return f"try_cast({text} AS date)"
 
 
-def as_flag(text: SparkColumn, yes: str, fold_case: bool = False) -> SparkColumn:
+def as_flag(text: str, yes: str, fold_case: bool = False) -> str:
     """True for the one accepted spelling, false for anything else including NULL."""
-    value = F.lower(text) if fold_case else text
-    return F.coalesce(value == yes, F.lit(False))
+    value = f"lower({text})" if fold_case else text
+    return f"coalesce({value} = '{yes}', false)"
 
 
-def typed(column: Column) -> SparkColumn:
-    """The typed expression of one configured column, under its clean name."""
-    text = F.col(column.stage)
+def typed(column: Column) -> str:
+    """The typed expression of one configured column."""
     if column.kind == "key":
-        value = as_key(text)
-    elif column.kind == "decimal":
-        value = as_decimal(text, column.precision, column.scale)
-    elif column.kind == "timestamp":
-        value = as_timestamp(text, column.pattern)
-    elif column.kind == "date":
-        value = as_date(text)
-    elif column.kind == "flag":
-        value = as_flag(text, column.yes, column.fold_case)
-    else:
-        value = text
-    if column.pii:
-        return value.alias(column.name, metadata={"pii": column.pii})
-    return value.alias(column.name)
-
-
-def moment(ts: datetime) -> SparkColumn:
+        return as_key(column.stage)
+    if column.kind == "decimal":
+        return as_decimal(column.stage, column.precision, column.scale)
+    if column.kind == "timestamp":
+        return as_timestamp(column.stage, column.pattern)
+    if column.kind == "date":
+        return as_date(column.stage)
+    if column.kind == "flag":
+        return as_flag(column.stage, column.yes, column.fold_case)
+    return column.stage
+
+
+def moment(ts: datetime) -> str:
     """A batch time as a zone-free timestamp literal."""
-    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    return f"timestamp_ntz '{ts.isoformat(sep=' ')}'"

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tidemark.entities import Entity
 from tidemark.functions.typing_rules import typed
 
 
 def type_rows(stage: DataFrame, entity: Entity) -> DataFrame:
-    """The typed projection of a stage frame, one row out per row in."""
-    return stage.select(*[typed(c) for c in entity.columns], "_stg_file_name", "_copy_ts")
+    """The typed projection of a stage frame, one row out per row in, with the column tags."""
+    values = [f"{typed(c)} AS {c.name}" for c in entity.columns]
+    rows = stage.selectExpr(*values, "_stg_file_name", "_copy_ts")
+    if any(c.pii for c in entity.columns):
+        fields = entity.clean_schema().fields
+        rows = rows.to(T.StructType([f for f in fields if f.name != entity.surrogate]))
+    return rows
 
 
-def split_required(rows: DataFrame, required: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def split_required(rows: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows that fill every required column, and the others with the reason."""
-    any_missing = F.lit(False)
-    for name in required:
-        any_missing = any_missing | F.col(name).isNull()
-    reason = F.concat_ws(",", *[F.when(F.col(n).isNull(), F.lit(n)) for n in required])
-    accepted = rows.filter(~any_missing)
-    rejected = rows.filter(any_missing).withColumn(
-        "reject_reason", F.concat(F.lit("missing: "), reason)
+    missing = " OR ".join(f"{name} IS NULL" for name in required)
+    names = ", ".join(f"CASE WHEN {name} IS NULL THEN '{name}' END" for name in required)
+    accepted = rows.filter(f"NOT ({missing})")
+    rejected = rows.filter(missing).selectExpr(
+        "*", f"concat('missing: ', concat_ws(',', {names})) AS reject_reason"
     )
     return accepted, rejected
 
@@ -35,9 +40,11 @@ def last_per_key(rows: DataFrame, key: str) -> DataFrame:
     sent many times reaches the shuffle once per task.
     """
     others = [c for c in rows.columns if c not in (key, "_copy_ts", "_stg_file_name")]
-    order = [F.col(c).desc_nulls_last() for c in ("_copy_ts", "_stg_file_name", *others)]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ("_copy_ts", "_stg_file_name", *others))
+    ranked = rows.selectExpr(
+        "*", f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rank"
+    )
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def clean_rows(stage: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:

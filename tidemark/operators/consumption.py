@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.entities import ADDRESS_DIM_COLUMNS, ENTITIES
@@ -39,34 +38,27 @@ ADDRESS_DIM_SCHEMA = T.StructType(
 )
 
 
-def date_key(day):
-    """Calendar key as yyyymmdd: readable, without collisions, the same in any engine."""
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("int")
-
-
 def date_dim(orders: DataFrame) -> DataFrame:
     """One row per day from the first to the last order date, gaps filled."""
-    bounds = orders.agg(
-        F.to_date(F.min("order_date")).alias("first"), F.to_date(F.max("order_date")).alias("last")
-    )
-    days = bounds.select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("calendar_date")
+    bounds = orders.selectExpr(
+        "to_date(min(order_date)) AS first", "to_date(max(order_date)) AS last"
     )
-    day = F.col("calendar_date")
-    return days.select(
-        date_key(day).alias("date_dim_sk"),
-        day,
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.day(day).alias("day"),
-        F.dayname(day).alias("day_name"),
+    days = bounds.selectExpr("explode(sequence(first, last, interval 1 day)) AS calendar_date")
+    return days.selectExpr(
+        # yyyymmdd: readable, without collisions, the same in any engine
+        "year(calendar_date) * 10000 + month(calendar_date) * 100 + day(calendar_date) AS date_dim_sk",
+        "calendar_date",
+        "year(calendar_date) AS year",
+        "month(calendar_date) AS month",
+        "day(calendar_date) AS day",
+        "dayname(calendar_date) AS day_name",
     )
 
 
 def address_dim(target: DataFrame, addresses: DataFrame) -> DataFrame:
     """Type-1 dimension: overwrite in place, no history. The clean surrogate numbers the rows."""
-    source = addresses.select(
-        F.col("customer_address_sk").alias("customer_address_dim_sk"),
+    source = addresses.selectExpr(
+        "customer_address_sk AS customer_address_dim_sk",
         "address_id",
         *ADDRESS_DIM_COLUMNS,
     )
@@ -89,12 +81,12 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
     )
     headers = (
         clean["orders"]
-        .select(
+        .selectExpr(
             "order_id",
             "customer_id",
             "restaurant_id",
-            F.to_date("order_date").alias("calendar_date"),
-            F.col("status").alias("order_status"),
+            "to_date(order_date) AS calendar_date",
+            "status AS order_status",
             "payment_method",
         )
         .join(
@@ -111,12 +103,12 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
         )
         .join(current("customer_dim", "customer_id", "customer_dim_sk"), "customer_id")
     )
-    items = clean["order_item"].select(
-        F.col("order_item_sk").alias("order_item_fact_sk"),
+    items = clean["order_item"].selectExpr(
+        "order_item_sk AS order_item_fact_sk",
         "order_item_id",
         "order_id",
         "menu_id",
-        F.col("quantity").cast("decimal(38,0)").alias("quantity"),
+        "CAST(quantity AS decimal(38,0)) AS quantity",
         "price",
         "subtotal",
     )

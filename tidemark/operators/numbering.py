@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,13 +17,15 @@ def number_rows(
     """
     if lanes is None:
         lanes = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    start = F.lit(base) if isinstance(base, int) else base
-    lane = F.pmod(F.xxhash64(F.lit("lane"), F.col(key)), F.lit(lanes))
-    position = F.row_number().over(Window.partitionBy("_lane").orderBy(key))
-    number = start + (position - 1).cast("bigint") * lanes + F.col("_lane") + 1
-    return rows.withColumn("_lane", lane).withColumn(name, number).drop("_lane")
+    lane = f"pmod(xxhash64('lane', {key}), {lanes}L)"
+    number = (
+        f"(row_number() OVER (PARTITION BY {lane} ORDER BY {key}) - 1L) * {lanes}L + {lane} + 1L"
+    )
+    if isinstance(base, int):
+        return rows.selectExpr("*", f"{base}L + {number} AS {name}")
+    return rows.selectExpr("*", f"{number} AS {name}").withColumn(name, F.col(name) + base)
 
 
 def highest(table: DataFrame, name: str) -> Column:
     """The largest number handed out so far, as a scalar subquery; 0 for an empty table."""
-    return table.agg(F.coalesce(F.max(name), F.lit(0).cast("bigint")).alias("top")).scalar()
+    return table.selectExpr(f"coalesce(max({name}), 0L)").scalar()

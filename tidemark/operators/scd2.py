@@ -12,21 +12,19 @@ from tidemark.functions.typing_rules import moment
 from tidemark.operators.numbering import highest
 
 
-def differs(dim: Dimension, null_safe: bool = False) -> Column:
+def differs(dim: Dimension, null_safe: bool = False) -> str:
     """Whether the joined source row (``_new_*``) changes a tracked column of the version."""
     entity = ENTITIES[dim.entity]
-    changed = F.lit(False)
+    tests = []
     for name, mode in dim.tracked:
-        old, new = F.col(name), F.col(f"_new_{name}")
         if null_safe:
-            test = ~old.eqNullSafe(new)
+            tests.append(f"NOT ({name} <=> _new_{name})")
         elif mode is PLAIN:
-            test = old != new
+            tests.append(f"{name} <> _new_{name}")
         else:
-            stand_in = F.lit(mode).cast(entity.column(name).data_type)
-            test = F.coalesce(old, stand_in) != F.coalesce(new, stand_in)
-        changed = changed | test
-    return F.coalesce(changed, F.lit(False))
+            stand_in = f"CAST('{mode}' AS {entity.column(name).data_type.simpleString()})"
+            tests.append(f"coalesce({name}, {stand_in}) <> coalesce(_new_{name}, {stand_in})")
+    return f"coalesce({' OR '.join(tests)}, false)"
 
 
 def scd2_step(
@@ -46,34 +44,36 @@ def scd2_step(
     """
     entity = ENTITIES[dim.entity]
     key, names = entity.key, dimension_schema(dim).fieldNames()
-    start = F.lit(base).cast("bigint") if isinstance(base, int) else base
-    right = source.select(
-        key,
-        F.col(entity.surrogate).alias("_number"),
-        *[F.col(c).alias(f"_new_{c}") for c in dim.carried],
-    )
-    joined = current.select(*names).join(right, key, "full_outer")
-    now, never = moment(batch_ts), F.lit(None).cast("timestamp_ntz")
+    start = F.lit(base) if isinstance(base, int) else base
+    right = source.selectExpr(
+        key, f"{entity.surrogate} AS _number", *[f"{c} AS _new_{c}" for c in dim.carried]
+    ).withColumn("_number", F.col("_number") + start)
+
+    def row(values: dict[str, str], otherwise: str) -> str:
+        fields = [f"{values.get(c, otherwise + c)} AS {c}" for c in names]
+        return f"struct({', '.join(fields)})"
 
-    kept = F.struct(*[F.col(c).alias(c) for c in names])
-    closed_values = {"eff_end_date": now, "is_current": F.lit(False)}
-    closed = F.struct(*[closed_values.get(c, F.col(c)).alias(c) for c in names])
-    opened_values = {
-        dim.surrogate: start + F.col("_number"),
-        key: F.col(key),
-        "eff_start_date": now,
-        "eff_end_date": never,
-        "is_current": F.lit(True),
-    }
-    opened = F.struct(
-        *[(opened_values[c] if c in opened_values else F.col(f"_new_{c}")).alias(c) for c in names]
+    kept = row({}, "")
+    closed = row({"eff_end_date": moment(batch_ts), "is_current": "false"}, "")
+    opened = row(
+        {
+            dim.surrogate: "_number",
+            key: key,
+            "eff_start_date": moment(batch_ts),
+            "eff_end_date": "CAST(NULL AS timestamp_ntz)",
+            "is_current": "true",
+        },
+        "_new_",
     )
-    versions = (
-        F.when(F.col(dim.surrogate).isNull(), F.array(opened))
-        .when(F.col("_number").isNotNull() & differs(dim, null_safe), F.array(closed, opened))
-        .otherwise(F.array(kept))
+    return (
+        current.select(*names)
+        .join(right, key, "full_outer")
+        .selectExpr(
+            f"inline(CASE WHEN {dim.surrogate} IS NULL THEN array({opened})"
+            f" WHEN _number IS NOT NULL AND {differs(dim, null_safe)} THEN array({closed}, {opened})"
+            f" ELSE array({kept}) END)"
+        )
     )
-    return joined.select(F.explode(versions).alias("v")).select("v.*")
 
 
 def scd2(

@@ -24,23 +24,18 @@ def merge(target: DataFrame, source: DataFrame, key: str, overwrite: Sequence[st
     Key on both sides: the ``overwrite`` columns come from the source, also when they are NULL there,
     the others stay. Key in the source only: the source row. Key in the target only: untouched.
     """
-    left = target.withColumn("_in_target", F.lit(True))
-    right = source.select(
-        F.col(key),
-        F.lit(True).alias("_in_source"),
-        *[F.col(c).alias(f"_new_{c}") for c in target.columns if c != key],
+    left = target.selectExpr("*", "true AS _in_target")
+    right = source.selectExpr(
+        key, "true AS _in_source", *[f"{c} AS _new_{c}" for c in target.columns if c != key]
     )
-    joined = left.join(right, key, "full_outer")
-    from_source = F.col("_in_source").isNotNull()
-    only_source = F.col("_in_target").isNull()
 
-    def pick(name: str) -> Column:
+    def pick(name: str) -> str:
         if name == key:
-            return F.col(key)
-        use_new = from_source if name in overwrite else only_source
-        return F.when(use_new, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
+            return key
+        test = "_in_source IS NOT NULL" if name in overwrite else "_in_target IS NULL"
+        return f"CASE WHEN {test} THEN _new_{name} ELSE {name} END AS {name}"
 
-    return joined.select(*[pick(c) for c in target.columns])
+    return left.join(right, key, "full_outer").selectExpr(*[pick(c) for c in target.columns])
 
 
 def prepare_batch(
@@ -49,8 +44,8 @@ def prepare_batch(
     """A stage batch as insertable rows (numbered above ``base``) and its rejects."""
     rows, rejects = clean_rows(stage, entity)
     rows = number_rows(rows, entity.key, entity.surrogate, base)
-    rows = rows.withColumn("_copy_ts", moment(batch_ts))
-    return rows.select(*entity.clean_schema().fieldNames()), rejects
+    names = [c for c in entity.clean_schema().fieldNames() if c != "_copy_ts"]
+    return rows.selectExpr(*names, f"{moment(batch_ts)} AS _copy_ts"), rejects
 
 
 def upsert(
@@ -80,26 +75,18 @@ def backfill_dates(
     A key sent several times takes the dates of its latest copy.
     """
     dates = {"created_dt": "created_date", "modified_dt": "modified_date"}
+    key, text_key = entity.key, as_key(entity.column(entity.key).stage)
+    parsed = ", ".join(f"{as_timestamp(s, pattern)} AS _new_{c}" for c, s in dates.items())
     fresh = (
-        stage.select(
-            as_key(F.col(entity.column(entity.key).stage)).alias(entity.key),
-            F.struct(
-                "_copy_ts",
-                "_stg_file_name",
-                *[as_timestamp(F.col(s), pattern).alias(f"_new_{c}") for c, s in dates.items()],
-            ).alias("_row"),
-        )
-        .filter(F.col(entity.key).isNotNull())
-        .groupBy(entity.key)
+        stage.filter(f"{text_key} IS NOT NULL")
+        .selectExpr(f"{text_key} AS {key}", f"struct(_copy_ts, _stg_file_name, {parsed}) AS _row")
+        .groupBy(key)
         .agg(F.max("_row").alias("_row"))
-        .select(entity.key, F.lit(True).alias("_hit"), *[f"_row._new_{c}" for c in dates])
+        .selectExpr(key, "true AS _hit", *[f"_row._new_{c}" for c in dates])
     )
-    joined = table.join(fresh, entity.key, "left")
-    return joined.select(
+    return table.join(fresh, key, "left").selectExpr(
         *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in dates
-            else F.col(c)
+            f"CASE WHEN _hit THEN _new_{c} ELSE {c} END AS {c}" if c in dates else c
             for c in table.columns
         ]
     )

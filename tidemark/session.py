@@ -14,6 +14,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+LAUNCH_SETTINGS = {
+    "spark.ui.enabled": "false",
+    # Call sites on every column expression cost several round trips to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a running session."""
@@ -24,10 +30,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the engine's settings; ``settings`` uses ``__`` for dots in names."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in RUNTIME_SETTINGS.items():
+    for name, value in (LAUNCH_SETTINGS | RUNTIME_SETTINGS).items():
         builder = builder.config(name, value)
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)

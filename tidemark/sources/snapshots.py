@@ -1,0 +1,158 @@
+"""Keyed tables on plain Parquet: sliced folders and a manifest per version.
+
+A table is cut into slices by business key. A commit writes the slices a batch touched into a new
+folder, then one small manifest file that lists the folder of every live slice. Readers resolve the
+newest manifest, so they see a batch entirely or not at all, and nothing a reader holds is changed.
+Slices a batch does not touch are carried over by path, not rewritten.
+
+One writer per table is assumed. Where the catalog has a format with MERGE, use that instead.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+Slicing = Callable[[Column], Column]
+
+_MANIFEST = T.StructType(
+    [
+        T.StructField("slice", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("written_by", T.LongType()),
+        T.StructField("top_number", T.LongType()),
+        T.StructField("note", T.StringType()),
+    ]
+)
+
+
+def by_key_range(width: int = 5_000_000) -> Slicing:
+    """Slices of ``width`` consecutive keys: never more rows than that, and new keys stay together."""
+    return lambda key: F.floor(key / F.lit(width)).cast("bigint").cast("string")
+
+
+def by_key_hash(slices: int) -> Slicing:
+    """A fixed number of slices, for keys that are sparse or random."""
+    return lambda key: F.pmod(F.xxhash64(key), F.lit(slices)).cast("string")
+
+
+@dataclass(frozen=True)
+class Version:
+    """What the newest manifest says."""
+
+    number: int = 0
+    paths: dict[str, str] = field(default_factory=dict)
+    written_by: dict[str, int] = field(default_factory=dict)
+    top_number: int = 0
+    note: str | None = None
+
+    def slices_since(self, number: int) -> list[str]:
+        return sorted(s for s, n in self.written_by.items() if n > number)
+
+
+class SnapshotStore:
+    """Versioned tables below ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def version(self, table: str) -> Version:
+        manifests = read_appended(
+            self.spark,
+            f"{self.root}/_manifests/{table}",
+            T.StructType([*_MANIFEST.fields, T.StructField("version", T.LongType())]),
+        )
+        newest = manifests.agg(F.max("version")).scalar()
+        # One row per slice of one version: table size over slice width, not table size.
+        rows = manifests.filter(F.col("version") == newest).collect()
+        if not rows:
+            return Version()
+        live = [r for r in rows if r.slice is not None]
+        return Version(
+            rows[0].version,
+            {r.slice: r.path for r in live},
+            {r.slice: r.written_by for r in live},
+            rows[0].top_number,
+            rows[0].note,
+        )
+
+    def read(
+        self,
+        table: str,
+        schema: T.StructType,
+        slices: Iterable[str] | None = None,
+        version: Version | None = None,
+    ) -> DataFrame:
+        """The newest version, or only some slices of it; empty where nothing is stored."""
+        version = version or self.version(table)
+        wanted = version.paths if slices is None else [s for s in slices if s in version.paths]
+        paths = [version.paths[s] for s in wanted]
+        if not paths:
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def commit(
+        self,
+        table: str,
+        rows: DataFrame,
+        slice_of: Column,
+        replaced: Iterable[str] | None,
+        surrogate: str | None = None,
+        note: str | None = None,
+        before: Version | None = None,
+    ) -> Version:
+        """Store ``rows`` as the new content of the ``replaced`` slices (``None``: of the table).
+
+        Rows are regrouped by slice before the write, so a slice is a few files of sensible size
+        whatever the parallelism of the plan above it.
+        """
+        before = before or self.version(table)
+        number = before.number + 1
+        folder = f"{self.root}/{table}/v={number}"
+        seen = Observation()
+        top = F.max(surrogate) if surrogate else F.lit(None).cast("bigint")
+        sliced = rows.withColumn("_slice", slice_of)
+        (
+            sliced.observe(
+                seen, top.alias("top"), F.count(F.lit(1)).alias("rows"), F.collect_set("_slice").alias("slices")
+            )
+            .hint("rebalance", "_slice")
+            .write.mode("overwrite")
+            .partitionBy("_slice")
+            .parquet(folder)
+        )
+        metrics = seen.get
+        filled = list(metrics["slices"] or [])
+        keep = {} if replaced is None else before.paths.copy()
+        born = {} if replaced is None else before.written_by.copy()
+        for name in replaced or ():
+            keep.pop(name, None)
+            born.pop(name, None)
+        for name in filled:
+            keep[name] = f"{folder}/_slice={name}"
+            born[name] = number
+        after = Version(number, keep, born, max(before.top_number, metrics["top"] or 0), note)
+        entries = [(s, keep[s], born[s], after.top_number, note) for s in sorted(keep)]
+        entries = entries or [(None, None, None, after.top_number, note)]
+        (
+            self.spark.createDataFrame(entries, _MANIFEST)
+            .coalesce(1)  # a manifest is a single file, so that it appears at once
+            .write.parquet(f"{self.root}/_manifests/{table}/version={number}")
+        )
+        return after
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder that batches are added to; it is created empty where it is not there yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame the optimizer knows to be empty."""
+    return spark.createDataFrame([], schema).limit(0)
