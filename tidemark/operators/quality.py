@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ def rows_in(stage: DataFrame, entity: Entity, distinct_key: bool = False) -> Dat
     if distinct_key:
         key = as_key(entity.column(entity.key).stage)
         return stage.selectExpr(f"count(DISTINCT {key}) AS n")
-    return stage.agg(F.count("*").alias("n"))
+    return stage.selectExpr("count(*) AS n")
 
 
 def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str) -> DataFrame:
@@ -46,11 +46,11 @@ def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str)
     Only the clean rows that are NULL there take part, which the parquet statistics narrow down
     before the join; a re-sent key is counted per stage row.
     """
-    suspects = clean.filter(F.col(column).isNull()).select(entity.key)
+    suspects = clean.filter(f"{column} IS NULL").select(entity.key)
     texts = stage.filter(f"{entity.column(column).stage} IS NOT NULL").selectExpr(
         f"{as_key(entity.column(entity.key).stage)} AS {entity.key}"
     )
-    return texts.join(suspects, entity.key).agg(F.count("*").alias("n"))
+    return texts.join(suspects, entity.key).selectExpr("count(*) AS n")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str) -> DataFrame:
@@ -59,11 +59,11 @@ def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str
     Children are counted per referenced key first, so a key that many rows share crosses the
     shuffle as one row per task.
     """
-    references = child.groupBy(F.col(fk.column).alias("_ref")).agg(F.count("*").alias("_rows"))
+    references = child.groupBy(fk.column).count().toDF("_ref", "_rows")
     if not fk.null_is_orphan:
-        references = references.filter(F.col("_ref").isNotNull())
-    missing = references.join(parent.select(F.col(parent_key).alias("_ref")), "_ref", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint")).alias("n"))
+        references = references.filter("_ref IS NOT NULL")
+    known = parent.selectExpr(f"{parent_key} AS _ref")
+    return references.join(known, "_ref", "left_anti").selectExpr("coalesce(sum(_rows), 0L) AS n")
 
 
 def run_checks(
@@ -77,87 +77,71 @@ def run_checks(
 ) -> DataFrame:
     """One log row per entity, in one job.
 
-    Every check is one small aggregate labelled with its table and check name; the labelled counts
-    are unioned and folded into a row per table.
+    Every check is one small aggregate labelled with its table and kind; the labelled counts are
+    unioned and folded into a row per table.
     """
     counts = []
 
-    def measure(entity: Entity, check: str, frame: DataFrame) -> None:
+    def measure(table: int, kind: str, column: str, frame: DataFrame) -> None:
         counts.append(
-            frame.select(F.lit(entity.name).alias("table_name"), F.lit(check).alias("check"), "n")
+            frame.selectExpr(
+                f"'{entities[table].name}' AS table_name",
+                f"{table + 1} AS position",
+                f"{len(counts)} AS ordinal",
+                f"'{kind}' AS kind",
+                f"'{column}' AS column",
+                "n",
+            )
         )
 
-    for entity in entities:
+    for i, entity in enumerate(entities):
         source, table = stage[entity.name], clean[entity.name]
-        measure(entity, "rows_in", rows_in(source, entity, distinct_key))
-        measure(entity, "rows_out", table.agg(F.count("*").alias("n")))
+        measure(i, "in", "", rows_in(source, entity, distinct_key))
+        measure(i, "out", "", table.selectExpr("count(*) AS n"))
         for column in entity.lost_value_columns:
-            measure(entity, f"lost:{column}", lost_values(source, table, entity, column))
+            measure(i, "lost", column, lost_values(source, table, entity, column))
         for fk in entity.foreign_keys:
-            parent = ENTITIES[fk.parent]
-            measure(
-                entity, f"fk:{fk.column}", orphans(table, clean[fk.parent], fk, parent.key)
-            )
-    folded = (
-        reduce(DataFrame.unionByName, counts)
-        .groupBy("table_name")
-        .agg(F.map_from_entries(F.collect_list(F.struct("check", "n"))).alias("n"))
+            missing = orphans(table, clean[fk.parent], fk, ENTITIES[fk.parent].key)
+            measure(i, "fk", fk.column, missing)
+    return _log_rows(reduce(DataFrame.unionByName, counts), batch_id, batch_ts, last_run_id)
+
+
+def _log_rows(
+    counts: DataFrame, batch_id: str, batch_ts: datetime, last_run_id: Column | int
+) -> DataFrame:
+    references = (
+        "array_sort(collect_list(CASE WHEN kind = 'fk' THEN struct(ordinal, column, n) END))"
+    )
+    one_reference = (
+        "concat(f.column, ':', CASE WHEN f.n = 0 THEN 'PASS' ELSE concat('FAIL(', f.n, ')') END)"
+    )
+    folded = counts.groupBy("table_name", "position").agg(
+        F.expr("max(CASE WHEN kind = 'in' THEN n END) AS rows_in"),
+        F.expr("max(CASE WHEN kind = 'out' THEN n END) AS rows_out"),
+        F.expr("sum(CASE WHEN kind = 'lost' THEN n ELSE 0 END) AS lost"),
+        F.expr("sum(CASE WHEN kind = 'fk' THEN n ELSE 0 END) AS orphans"),
+        F.expr(f"{references} AS refs"),
+    )
+    base = F.lit(last_run_id) if isinstance(last_run_id, int) else last_run_id
+    return (
+        folded.withColumn("run_id", (base + F.col("position")).cast("bigint"))
+        .selectExpr(
+            "run_id",
+            f"'{TRANSITION}' AS layer_transition",
+            "table_name",
+            "rows_in",
+            "rows_out",
+            "CASE WHEN lost = 0 THEN 'PASS' ELSE 'FAIL' END AS null_check_status",
+            "CASE WHEN size(refs) = 0 THEN 'N/A' WHEN orphans = 0 THEN 'PASS' ELSE 'FAIL' END"
+            " AS fk_check_status",
+            f"CASE WHEN size(refs) > 0 THEN concat_ws(';', transform(refs, f -> {one_reference})) END"
+            " AS fk_check_detail",
+            "CASE WHEN rows_in = rows_out AND lost = 0 AND orphans = 0 THEN 'PASS' ELSE 'FAIL' END"
+            " AS overall_status",
+            f"CAST('{batch_ts.isoformat(sep=' ')}' AS timestamp) AS run_ts",
+            f"'{batch_id}' AS batch_id",
+        )
     )
-    return folded.select(*_log_columns(entities, batch_id, batch_ts, last_run_id))
-
-
-def _log_columns(
-    entities: Sequence[Entity], batch_id: str, batch_ts: datetime, last_run_id: Column | int
-) -> list[Column]:
-    def per_table(value, otherwise=None) -> Column:
-        chosen = F.lit(otherwise)
-        for i, entity in enumerate(entities):
-            result = value(i, entity)
-            if result is not None:
-                chosen = F.when(F.col("table_name") == entity.name, result).otherwise(chosen)
-        return chosen
-
-    def verdict(passed: Column) -> Column:
-        return F.when(passed, F.lit("PASS")).otherwise(F.lit("FAIL"))
-
-    def all_zero(checks: list[str]) -> Column:
-        return reduce(Column.__and__, [F.col("n")[c] == 0 for c in checks], F.lit(True))
-
-    def lost_checks(entity: Entity) -> list[str]:
-        return [f"lost:{c}" for c in entity.lost_value_columns]
-
-    def fk_checks(entity: Entity) -> list[str]:
-        return [f"fk:{k.column}" for k in entity.foreign_keys]
-
-    def detail(entity: Entity) -> Column:
-        def one(fk: ForeignKey) -> Column:
-            n = F.col("n")[f"fk:{fk.column}"]
-            failed = F.concat(F.lit("FAIL("), n.cast("string"), F.lit(")"))
-            return F.concat(F.lit(f"{fk.column}:"), F.when(n == 0, F.lit("PASS")).otherwise(failed))
-
-        return F.concat_ws(";", *[one(k) for k in entity.foreign_keys])
-
-    base = F.lit(last_run_id).cast("bigint") if isinstance(last_run_id, int) else last_run_id
-    same_count = F.col("n")["rows_in"] == F.col("n")["rows_out"]
-    return [
-        (base + per_table(lambda i, e: F.lit(i + 1))).cast("bigint").alias("run_id"),
-        F.lit(TRANSITION).alias("layer_transition"),
-        F.col("table_name"),
-        F.col("n")["rows_in"].alias("rows_in"),
-        F.col("n")["rows_out"].alias("rows_out"),
-        per_table(lambda i, e: verdict(all_zero(lost_checks(e)))).alias("null_check_status"),
-        per_table(
-            lambda i, e: verdict(all_zero(fk_checks(e))) if e.foreign_keys else None, "N/A"
-        ).alias("fk_check_status"),
-        per_table(lambda i, e: detail(e) if e.foreign_keys else None)
-        .cast("string")
-        .alias("fk_check_detail"),
-        per_table(
-            lambda i, e: verdict(same_count & all_zero(lost_checks(e) + fk_checks(e)))
-        ).alias("overall_status"),
-        F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp").alias("run_ts"),
-        F.lit(batch_id).alias("batch_id"),
-    ]
 
 
 def gate(
@@ -171,38 +155,28 @@ def gate(
     With ``batch_id`` the failures of that batch block; otherwise any failure of the last
     ``window``, its first instant included.
     """
-    failed = log.filter(F.col("overall_status") == "FAIL")
+    failed = log.filter("overall_status = 'FAIL'")
     if batch_id is not None:
         failed = failed.filter(F.col("batch_id") == batch_id)
     else:
-        since = now - window
-        failed = failed.filter(
-            F.col("run_ts") >= F.lit(since.isoformat(sep=" ")).cast("timestamp")
-        )
-    counted = failed.agg(F.count("*").alias("fail_count"))
-    blocked = F.col("fail_count") > 0
-    return counted.select(
-        F.when(blocked, F.lit("SKIPPED")).otherwise(F.lit("OK")).alias("status"),
+        since = (now - window).isoformat(sep=" ")
+        failed = failed.filter(f"run_ts >= CAST('{since}' AS timestamp)")
+    return failed.selectExpr("count(*) AS fail_count").selectExpr(
+        "CASE WHEN fail_count > 0 THEN 'SKIPPED' ELSE 'OK' END AS status",
         "fail_count",
-        F.when(
-            blocked,
-            F.concat(
-                F.lit("refresh held back: "),
-                F.col("fail_count").cast("string"),
-                F.lit(" failed check(s)"),
-            ),
-        )
-        .otherwise(F.lit("refresh may run"))
-        .alias("message"),
+        "CASE WHEN fail_count > 0"
+        " THEN concat('refresh held back: ', fail_count, ' failed check(s)')"
+        " ELSE 'refresh may run' END AS message",
     )
 
 
 def latest_status(log: DataFrame) -> DataFrame:
     """The newest log row of each table."""
-    rank = F.row_number().over(Window.partitionBy("table_name").orderBy(F.col("run_id").desc()))
+    ranked = log.selectExpr(
+        "*", "row_number() OVER (PARTITION BY table_name ORDER BY run_id DESC) AS _rank"
+    )
     return (
-        log.withColumn("_rank", rank)
-        .filter(F.col("_rank") == 1)
+        ranked.filter("_rank = 1")
         .select(
             "table_name",
             "rows_in",

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidemark.entities import DIMENSIONS, ENTITIES, Entity, dimension_schema
 from tidemark.operators import consumption, quality
 from tidemark.operators.scd2 import scd2_step
 from tidemark.operators.upsert import merge, prepare_batch, require_none
+from tidemark.sources.shared import side_by_side
 from tidemark.sources.snapshots import SnapshotStore, Slicing, Version, by_key_range, empty, read_appended
 from tidemark.streaming import feed
 
@@ -105,28 +107,28 @@ class LayeredJob:
     # Stage to clean
 
     def refresh_clean(self, batch_ts: datetime | None = None) -> str:
-        """Land new extracts and upsert what each change feed holds, parents before children."""
-        for entity in ENTITIES.values():
-            stage = f"{self.root}/stage/{entity.name}"
-            marks = f"{self.root}/_checkpoints/{entity.name}"
-            feed.land(
-                self.spark,
-                entity,
-                f"{self.landing}/{entity.name}",
-                stage,
-                f"{marks}/land",
-                self.files_per_batch,
-            )
-            appended = feed.changes(
-                self.spark, feed.stage_table_schema(entity), stage, self.files_per_batch
-            )
-            feed.drain(
-                appended,
-                f"{marks}/clean",
-                lambda rows, tag, e=entity: self.apply_batch(e, rows, tag, batch_ts or utc_now()),
-            )
+        """Land new extracts and upsert what each change feed holds.
+
+        The entities do not depend on each other here (references are checked afterwards), so their
+        feeds run side by side.
+        """
+        side_by_side(
+            self.spark, [partial(self._refresh_entity, e, batch_ts) for e in ENTITIES.values()]
+        )
         return "clean layer refreshed"
 
+    def _refresh_entity(self, entity: Entity, batch_ts: datetime | None) -> None:
+        stage = f"{self.root}/stage/{entity.name}"
+        marks = f"{self.root}/_checkpoints/{entity.name}"
+        landing = f"{self.landing}/{entity.name}"
+        feed.land(self.spark, entity, landing, stage, f"{marks}/land", self.files_per_batch)
+        schema = feed.stage_table_schema(entity)
+        feed.drain(
+            feed.changes(self.spark, schema, stage, self.files_per_batch),
+            f"{marks}/clean",
+            lambda rows, tag: self.apply_batch(entity, rows, tag, batch_ts or utc_now()),
+        )
+
     def apply_batch(self, entity: Entity, stage: DataFrame, tag: str, batch_ts: datetime) -> None:
         """Upsert one feed batch into the slices its keys fall in. A batch already applied is skipped."""
         before = self.clean_store.version(entity.name)
@@ -195,10 +197,10 @@ class LayeredJob:
         verdict = self.gate(batch_id, batch_ts)
         if verdict.status != "OK":
             return verdict
-        for name in DIMENSIONS:
-            self._refresh_dimension(name, batch_ts)
-        self._refresh_address_dim()
-        self._refresh_calendar()
+        dimensions = [partial(self._refresh_dimension, n, batch_ts) for n in DIMENSIONS]
+        side_by_side(
+            self.spark, [*dimensions, self._refresh_address_dim, self._refresh_calendar]
+        )
         self._refresh_fact()
         return RefreshResult("OK", 0, "consumption layer refreshed", batch_id)
 

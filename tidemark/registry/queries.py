@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidemark.plans import reports
 from tidemark.plans.refresh import LayeredJob
 from tidemark.registry import roles
 from tidemark.session import configure
-from tidemark.sources.shared import scratch, written
+from tidemark.sources.shared import scratch, side_by_side, written
 from tidemark.sources.snapshots import SnapshotStore, by_key_range, empty
 from tidemark.streaming import feed
 
@@ -99,12 +100,18 @@ def stored_layers(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Stage and clean tables written to the shared folder, as the checks find them."""
     folder = scratch(spark, "layers")
-    stage, clean = {}, {}
-    for name, spec in ENTITIES.items():
-        stage[name] = written(first_stage(spark, sf_dir, name, dirty), f"{folder}/stage/{name}")
-        rows, _ = upsert(empty(spark, spec.clean_schema()), stage[name], spec, FIRST_TS)
-        clean[name] = written(rows, f"{folder}/clean/{name}")
-    return stage, clean
+
+    def store(name: str) -> tuple[DataFrame, DataFrame]:
+        spec = ENTITIES[name]
+        stage = written(first_stage(spark, sf_dir, name, dirty), f"{folder}/stage/{name}")
+        rows, _ = upsert(empty(spark, spec.clean_schema()), stage, spec, FIRST_TS)
+        return stage, written(rows, f"{folder}/clean/{name}")
+
+    pairs = side_by_side(spark, [partial(store, name) for name in ENTITIES])
+    return (
+        {name: stage for name, (stage, _) in zip(ENTITIES, pairs)},
+        {name: clean for name, (_, clean) in zip(ENTITIES, pairs)},
+    )
 
 
 # Queries
@@ -364,9 +371,14 @@ def masked_query(entity: str, role: str) -> Query:
 def _job(spark: SparkSession, sf_dir: str, dirty: bool) -> LayeredJob:
     """Extracts of all roles in a landing folder, and a job over them."""
     folder = scratch(spark, "job")
-    for name, spec in ENTITIES.items():
-        rows = first_stage(spark, sf_dir, name, dirty).select(*spec.stage_schema().fieldNames())
+
+
+    def export(name: str) -> None:
+        columns = ENTITIES[name].stage_schema().fieldNames()
+        rows = first_stage(spark, sf_dir, name, dirty).select(*columns)
         rows.write.option("header", "true").option("escape", '"').csv(f"{folder}/landing/{name}")
+
+    side_by_side(spark, [partial(export, name) for name in ENTITIES])
     return LayeredJob(spark, f"{folder}/tables", f"{folder}/landing")
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +35,13 @@ def written(df, path: str):
     """Write a frame once and read it back: a cut in the lineage that outlives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, tasks: Iterable[Callable[[], object]], at_once: int = 9) -> list:
+    """Run independent jobs from several threads, so that small tables do not queue behind large ones.
+
+    All are given the chance to finish; the first failure is raised afterwards.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+    return [r.result() for r in running]
