@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from tidemark.entities import ADDRESS_DIM_COLUMNS, ENTITIES
@@ -70,7 +70,8 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
 
     The order header is completed first, at one row per order, so that the order-level dimensions
     are joined on the smaller side; the items then meet it once, by order. Items whose order has no
-    delivery, no calendar day, or no current dimension row drop out (inner joins).
+    delivery, no calendar day, or no current dimension row drop out (inner joins). Of several
+    deliveries of one order the latest counts, so an item has one fact row.
     """
 
     def current(name: str, *columns: str) -> DataFrame:
@@ -90,8 +91,12 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
             "payment_method",
         )
         .join(
-            clean["delivery"].select(
-                "order_id", "delivery_agent_id", "delivery_status", "estimated_time"
+            clean["delivery"].selectExpr(
+                "order_id",
+                "delivery_agent_id",
+                "delivery_status",
+                "estimated_time",
+                "struct(_copy_ts, _stg_file_name, delivery_id) AS _age",
             ),
             "order_id",
         )
@@ -102,6 +107,8 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
             "delivery_agent_id",
         )
         .join(current("customer_dim", "customer_id", "customer_dim_sk"), "customer_id")
+        .selectExpr("*", "row_number() OVER (PARTITION BY order_id ORDER BY _age DESC) AS _rank")
+        .filter("_rank = 1")
     )
     items = clean["order_item"].selectExpr(
         "order_item_sk AS order_item_fact_sk",
@@ -119,6 +126,56 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
     )
 
 
+def items_to_refresh(
+    clean: dict[str, DataFrame],
+    written: dict[str, DataFrame],
+    renewed: dict[str, DataFrame],
+    restaurants: DataFrame,
+    item_written: Column,
+) -> DataFrame:
+    """The order items whose fact row may have changed since the last refresh.
+
+    ``written`` holds the order and delivery rows stored since then, ``item_written`` tells it for an
+    item, and ``renewed`` holds the dimension versions opened since then. Everything else about an
+    item is as it was, so its fact row is too.
+    """
+    spark = clean["orders"].sparkSession
+    moved = restaurants.filter("is_current").join(
+        renewed["location_dim"].select("location_id"), "location_id", "left_semi"
+    )
+    changed_restaurants = renewed["restaurant_dim"].select("restaurant_id").unionByName(
+        moved.select("restaurant_id")
+    )
+    orders = spark.sql(
+        """
+        SELECT order_id FROM {written_orders}
+        UNION ALL SELECT order_id FROM {written_deliveries}
+        UNION ALL SELECT order_id FROM {orders}
+          WHERE customer_id IN (SELECT customer_id FROM {customers})
+             OR restaurant_id IN (SELECT restaurant_id FROM {restaurants})
+        UNION ALL SELECT order_id FROM {deliveries}
+          WHERE delivery_agent_id IN (SELECT delivery_agent_id FROM {agents})
+        """,
+        written_orders=written["orders"],
+        written_deliveries=written["delivery"],
+        orders=clean["orders"],
+        deliveries=clean["delivery"],
+        customers=renewed["customer_dim"],
+        restaurants=changed_restaurants,
+        agents=renewed["delivery_agent_dim"],
+    )
+    return spark.sql(
+        """
+        SELECT * FROM {items}
+        WHERE _written OR order_id IN (SELECT order_id FROM {orders})
+              OR menu_id IN (SELECT menu_id FROM {menus})
+        """,
+        items=clean["order_item"].withColumn("_written", item_written),
+        orders=orders.distinct(),
+        menus=renewed["menu_dim"],
+    ).drop("_written")
+
+
 def upsert_fact(target: DataFrame, fact: DataFrame) -> DataFrame:
     """Merge freshly joined rows by order item; a stored row keeps its order and its number."""
     kept = ("order_item_fact_sk", "order_item_id", "order_id")

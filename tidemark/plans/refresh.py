@@ -5,6 +5,7 @@ All state is in tables below one root folder, so any step can be run again after
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
@@ -266,18 +267,67 @@ class LayeredJob:
             )
 
     def _refresh_fact(self) -> None:
+        """Re-join the items that anything relevant happened to since the last refresh.
+
+        The result equals re-joining every item: an item is left out only if its own row, its order,
+        its delivery and the dimension versions it points to are all as they were.
+        """
+        name = "order_item_fact"
+        before = self.consumption_store.version(name)
+        inputs = {n: self.clean_store.version(n) for n in ("orders", "delivery", "order_item")}
+        dim_versions = {n: self.consumption_store.version(n) for n in DIMENSIONS}
+        marks = {n: v.number for n, v in inputs.items()}
+        marks |= {n: v.top_number for n, v in dim_versions.items()}
+        note = json.dumps(marks, sort_keys=True)
+        if before.note == note:
+            return
+        clean = {n: self.clean(n) for n in inputs}
         dims = {n: self.dimension(n, current_only=True) for n in DIMENSIONS}
         dims["date_dim"] = self.date_dim()
-        clean = {n: self.clean(n) for n in ("orders", "delivery", "order_item")}
-        rows = consumption.build_fact(clean, dims)
-        merged = consumption.upsert_fact(self.fact(), rows)
-        self.consumption_store.commit(
-            "order_item_fact",
-            merged,
-            self.slicing(F.col("order_item_id")),
-            None,
-            "order_item_fact_sk",
-        )
+        items = clean["order_item"]
+        if before.note is not None:
+            since = json.loads(before.note)
+            written = {
+                n: self.clean_store.read(
+                    n, ENTITIES[n].clean_schema(), inputs[n].slices_since(since[n]), inputs[n]
+                )
+                for n in ("orders", "delivery")
+            }
+            renewed = {
+                n: dims[n].filter(F.col(DIMENSIONS[n].surrogate) > since[n]) for n in DIMENSIONS
+            }
+            new_slices = inputs["order_item"].slices_since(since["order_item"])
+            items = consumption.items_to_refresh(
+                clean,
+                written,
+                renewed,
+                dims["restaurant_dim"],
+                self.slicing(F.col("order_item_id")).isin(new_slices),
+            )
+        items = items.persist()
+        try:
+            if before.note is not None:
+                wanted = items.select("order_id").distinct()
+                for n in ("orders", "delivery"):
+                    clean[n] = clean[n].join(wanted, "order_id", "left_semi")
+            rows = consumption.build_fact(clean | {"order_item": items}, dims)
+            item = F.col("order_item_id")
+            # As many names as the refresh touches slices.
+            touched = [
+                r[0] for r in items.select(self.slicing(item).alias("s")).distinct().collect()
+            ]
+            target = self.consumption_store.read(name, consumption.FACT_SCHEMA, touched, before)
+            self.consumption_store.commit(
+                name,
+                consumption.upsert_fact(target, rows),
+                self.slicing(item),
+                touched,
+                "order_item_fact_sk",
+                note,
+                before,
+            )
+        finally:
+            items.unpersist()
 
     # The chain
 

@@ -179,7 +179,8 @@ def change_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.write.mode("append").parquet(f"{folder}/landed")
         arrived = feed.changes(spark, events.schema, f"{folder}/landed")
         feed.drain(arrived, f"{folder}/checkpoint", apply)
-    return portable(store.read("users", events.schema))
+    users = store.read("users", events.schema)
+    return portable(users.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 def scd2_query(dim_name: str) -> Query:

@@ -55,13 +55,23 @@ class Version:
 
 
 class SnapshotStore:
-    """Versioned tables below ``root``."""
+    """Versioned tables below ``root``.
+
+    A store remembers the versions it has seen: as the only writer it knows of every commit. A
+    reader in another application opens a store of its own when it wants the newest state.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: dict[str, Version] = {}
 
     def version(self, table: str) -> Version:
+        if table not in self._known:
+            self._known[table] = self._newest(table)
+        return self._known[table]
+
+    def _newest(self, table: str) -> Version:
         manifests = read_appended(
             self.spark,
             f"{self.root}/_manifests/{table}",
@@ -144,6 +154,7 @@ class SnapshotStore:
             .coalesce(1)  # a manifest is a single file, so that it appears at once
             .write.parquet(f"{self.root}/_manifests/{table}/version={number}")
         )
+        self._known[table] = after
         return after
 
 
