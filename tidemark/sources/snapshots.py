@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,29 +124,27 @@ class SnapshotStore:
         before = before or self.version(table)
         number = before.number + 1
         folder = f"{self.root}/{table}/v={number}"
-        seen = Observation()
-        top = F.max(surrogate) if surrogate else F.lit(None).cast("bigint")
         sliced = rows.withColumn("_slice", slice_of)
         (
-            sliced.observe(
-                seen, top.alias("top"), F.count(F.lit(1)).alias("rows"), F.collect_set("_slice").alias("slices")
-            )
-            .hint("rebalance", "_slice")
+            sliced.hint("rebalance", "_slice")
             .write.mode("overwrite")
             .partitionBy("_slice")
             .parquet(folder)
         )
-        metrics = seen.get
-        filled = list(metrics["slices"] or [])
+        # What was stored, from one narrow column of the new files; one row per slice.
+        top = f"max({surrogate})" if surrogate else "CAST(NULL AS bigint)"
+        stored = self.spark.read.schema(sliced.schema).parquet(folder)
+        filled = stored.groupBy("_slice").agg(F.expr(f"{top} AS top")).collect()
         keep = {} if replaced is None else before.paths.copy()
         born = {} if replaced is None else before.written_by.copy()
         for name in replaced or ():
             keep.pop(name, None)
             born.pop(name, None)
-        for name in filled:
+        for name, _ in filled:
             keep[name] = f"{folder}/_slice={name}"
             born[name] = number
-        after = Version(number, keep, born, max(before.top_number, metrics["top"] or 0), note)
+        top_number = max([before.top_number, *[t for _, t in filled if t is not None]])
+        after = Version(number, keep, born, top_number, note)
         entries = [(s, keep[s], born[s], after.top_number, note) for s in sorted(keep)]
         entries = entries or [(None, None, None, after.top_number, note)]
         (
