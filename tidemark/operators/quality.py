@@ -43,14 +43,18 @@ def rows_in(stage: DataFrame, entity: Entity, distinct_key: bool = False) -> Dat
 def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str) -> DataFrame:
     """How many stage rows hold text where the clean row of the same key holds NULL.
 
-    Only the clean rows that are NULL there take part, which the parquet statistics narrow down
-    before the join; a re-sent key is counted per stage row.
+    Only the clean rows that are NULL there take part, which the Parquet statistics narrow down. Stage
+    rows outside their key range are dropped while scanning, so a load that lost nothing moves no
+    stage row at all. A re-sent key is counted per stage row.
     """
-    suspects = clean.filter(f"{column} IS NULL").select(entity.key)
+    key = entity.key
+    suspects = clean.filter(f"{column} IS NULL").select(key)
+    bounds = suspects.selectExpr(f"struct(min({key}) AS low, max({key}) AS high)").scalar()
     texts = stage.filter(f"{entity.column(column).stage} IS NOT NULL").selectExpr(
-        f"{as_key(entity.column(entity.key).stage)} AS {entity.key}"
+        f"{as_key(entity.column(key).stage)} AS {key}"
     )
-    return texts.join(suspects, entity.key).selectExpr("count(*) AS n")
+    near = texts.filter(F.col(key).between(bounds["low"], bounds["high"]))
+    return near.join(suspects, key).selectExpr("count(*) AS n")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str) -> DataFrame:

@@ -164,4 +164,5 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame the optimizer knows to be empty."""
-    return spark.createDataFrame([], schema).limit(0)
+    columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+    return spark.sql(f"SELECT {', '.join(columns)} WHERE false")
