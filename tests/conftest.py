@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        # tiny inputs: compiling a stage takes longer than interpreting it
+        spark__sql__codegen__wholeStage="false",
         spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),

@@ -37,11 +37,11 @@ def rows_in(stage: DataFrame, entity: Entity, distinct_key: bool = False) -> Dat
     if distinct_key:
         key = as_key(entity.column(entity.key).stage)
         return stage.selectExpr(f"count(DISTINCT {key}) AS n")
-    return stage.selectExpr("count(*) AS n")
+    return stage.selectExpr("1L AS n")
 
 
 def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str) -> DataFrame:
-    """How many stage rows hold text where the clean row of the same key holds NULL.
+    """The stage rows that hold text where the clean row of the same key holds NULL.
 
     Only the clean rows that are NULL there take part, which the Parquet statistics narrow down. Stage
     rows outside their key range are dropped while scanning, so a load that lost nothing moves no
@@ -54,11 +54,11 @@ def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str)
         f"{as_key(entity.column(key).stage)} AS {key}"
     )
     near = texts.filter(F.col(key).between(bounds["low"], bounds["high"]))
-    return near.join(suspects, key).selectExpr("count(*) AS n")
+    return near.join(suspects, key).selectExpr("1L AS n")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str) -> DataFrame:
-    """How many child rows reference no parent row.
+    """Counts of child rows that reference no parent row.
 
     Children are counted per referenced key first, so a key that many rows share crosses the
     shuffle as one row per task.
@@ -67,7 +67,7 @@ def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str
     if not fk.null_is_orphan:
         references = references.filter("_ref IS NOT NULL")
     known = parent.selectExpr(f"{parent_key} AS _ref")
-    return references.join(known, "_ref", "left_anti").selectExpr("coalesce(sum(_rows), 0L) AS n")
+    return references.join(known, "_ref", "left_anti").selectExpr("_rows AS n")
 
 
 def run_checks(
@@ -81,40 +81,38 @@ def run_checks(
 ) -> DataFrame:
     """One log row per entity, in one job.
 
-    Every check is one small aggregate labelled with its table and kind; the labelled counts are
-    unioned and folded into a row per table.
+    Every check yields partial counts ``n`` under a check number. All of them are summed in a single
+    aggregation, which combines inside each task, and then folded into a row per table.
     """
-    counts = []
+    labels, counts = [], []
 
     def measure(table: int, kind: str, column: str, frame: DataFrame) -> None:
-        counts.append(
-            frame.selectExpr(
-                f"'{entities[table].name}' AS table_name",
-                f"{table + 1} AS position",
-                f"{len(counts)} AS ordinal",
-                f"'{kind}' AS kind",
-                f"'{column}' AS column",
-                "n",
-            )
-        )
+        number = len(labels)
+        name = entities[table].name
+        labels.append(f"({number}, '{name}', {table + 1}, '{kind}', '{column}', 0L)")
+        counts.append(frame.selectExpr(f"{number} AS check", "n"))
 
     for i, entity in enumerate(entities):
         source, table = stage[entity.name], clean[entity.name]
         measure(i, "in", "", rows_in(source, entity, distinct_key))
-        measure(i, "out", "", table.selectExpr("count(*) AS n"))
+        measure(i, "out", "", table.selectExpr("1L AS n"))
         for column in entity.lost_value_columns:
             measure(i, "lost", column, lost_values(source, table, entity, column))
         for fk in entity.foreign_keys:
             missing = orphans(table, clean[fk.parent], fk, ENTITIES[fk.parent].key)
             measure(i, "fk", fk.column, missing)
-    return _log_rows(reduce(DataFrame.unionByName, counts), batch_id, batch_ts, last_run_id)
+    names = "check, table_name, position, kind, column, zero"
+    known = source.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(labels)} AS t({names})")
+    nothing = known.selectExpr("check", "zero AS n")
+    totals = reduce(DataFrame.unionAll, [nothing, *counts]).groupBy("check").agg(F.sum("n").alias("n"))
+    return _log_rows(totals.join(known, "check"), batch_id, batch_ts, last_run_id)
 
 
 def _log_rows(
     counts: DataFrame, batch_id: str, batch_ts: datetime, last_run_id: Column | int
 ) -> DataFrame:
     references = (
-        "array_sort(collect_list(CASE WHEN kind = 'fk' THEN struct(ordinal, column, n) END))"
+        "array_sort(collect_list(CASE WHEN kind = 'fk' THEN struct(check, column, n) END))"
     )
     one_reference = (
         "concat(f.column, ':', CASE WHEN f.n = 0 THEN 'PASS' ELSE concat('FAIL(', f.n, ')') END)"
