@@ -272,6 +272,11 @@ SELECT oi.order_item_id, oi.order_id, cu.customer_id AS customer_dim_sk, r.resta
     second = columns + FACT_JOIN.format(restaurant="restaurant_2").replace("orders_c", "orders_2").replace(
         "delivery_c dl", "delivery_2 dl"
     )
+    # A new delivery of an order already delivered: the item keeps one row, of the latest delivery.
+    second += (
+        " QUALIFY row_number() OVER (PARTITION BY oi.order_item_id"
+        " ORDER BY dl._copy_ts DESC, dl._stg_file_name DESC, dl.delivery_id DESC) = 1"
+    )
     ctes = _with_roles(
         f"orders_2 AS ({upserted('orders')})",
         f"delivery_2 AS ({upserted('delivery')})",
