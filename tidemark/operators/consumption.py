@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from tidemark.entities import ADDRESS_DIM_COLUMNS, ENTITIES
+from tidemark.operators.joins import splittable_join
 from tidemark.operators.upsert import merge
 
 FACT_SCHEMA = T.StructType(
@@ -80,6 +81,24 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
     restaurants = current("restaurant_dim", "restaurant_id", "restaurant_dim_sk", "location_id").join(
         current("location_dim", "location_id", "location_dim_sk"), "location_id"
     )
+    latest = "row_number() OVER (PARTITION BY order_id ORDER BY _age DESC) AS _rank"
+    deliveries = (
+        clean["delivery"]
+        .selectExpr(
+            "order_id",
+            "delivery_agent_id",
+            "delivery_status",
+            "estimated_time",
+            "struct(_copy_ts, _stg_file_name, delivery_id) AS _age",
+        )
+        .join(
+            current("delivery_agent_dim", "delivery_agent_id", "delivery_agent_dim_sk"),
+            "delivery_agent_id",
+        )
+        .selectExpr("*", latest)
+        .filter("_rank = 1")
+        .drop("_age", "_rank")
+    )
     headers = (
         clean["orders"]
         .selectExpr(
@@ -90,25 +109,10 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
             "status AS order_status",
             "payment_method",
         )
-        .join(
-            clean["delivery"].selectExpr(
-                "order_id",
-                "delivery_agent_id",
-                "delivery_status",
-                "estimated_time",
-                "struct(_copy_ts, _stg_file_name, delivery_id) AS _age",
-            ),
-            "order_id",
-        )
+        .join(deliveries, "order_id")
         .join(dims["date_dim"].select("calendar_date", "date_dim_sk"), "calendar_date")
         .join(restaurants, "restaurant_id")
-        .join(
-            current("delivery_agent_dim", "delivery_agent_id", "delivery_agent_dim_sk"),
-            "delivery_agent_id",
-        )
         .join(current("customer_dim", "customer_id", "customer_dim_sk"), "customer_id")
-        .selectExpr("*", "row_number() OVER (PARTITION BY order_id ORDER BY _age DESC) AS _rank")
-        .filter("_rank = 1")
     )
     items = clean["order_item"].selectExpr(
         "order_item_sk AS order_item_fact_sk",
@@ -120,7 +124,7 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
         "subtotal",
     )
     return (
-        items.join(headers, "order_id")
+        splittable_join(items, headers, "order_id")
         .join(current("menu_dim", "menu_id", "menu_dim_sk"), "menu_id")
         .select(*FACT_SCHEMA.fieldNames())
     )
@@ -164,16 +168,14 @@ def items_to_refresh(
         restaurants=changed_restaurants,
         agents=renewed["delivery_agent_dim"],
     )
-    return spark.sql(
-        """
-        SELECT * FROM {items}
-        WHERE _written OR order_id IN (SELECT order_id FROM {orders})
-              OR menu_id IN (SELECT menu_id FROM {menus})
-        """,
-        items=clean["order_item"].withColumn("_written", item_written),
-        orders=orders.distinct(),
-        menus=renewed["menu_dim"],
-    ).drop("_written")
+    items = clean["order_item"].withColumn("_written", item_written)
+    of_order = orders.distinct().selectExpr("order_id", "true AS _by_order")
+    of_menu = renewed["menu_dim"].selectExpr("menu_id", "true AS _by_menu")
+    marked = splittable_join(items, of_order, "order_id", "left")
+    marked = splittable_join(marked, of_menu, "menu_id", "left")
+    return marked.filter("_written OR _by_order OR _by_menu").drop(
+        "_written", "_by_order", "_by_menu"
+    )
 
 
 def upsert_fact(target: DataFrame, fact: DataFrame) -> DataFrame:
