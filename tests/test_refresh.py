@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.entities import DIMENSIONS, ENTITIES
 from tidemark.operators import consumption
 from tidemark.operators.upsert import RequiredValueMissing
+from tidemark.plans import reports
 from tidemark.plans.refresh import LayeredJob
 from tidemark.sources.snapshots import SnapshotStore, by_key_hash, by_key_range
 from tidemark.streaming import feed
@@ -188,3 +189,17 @@ def test_replayed_batch_is_a_no_op(spark, tmp_path):
     content = rows(job.clean("customer"))
     job.apply_batch(entity, job.stage("customer"), "another#5", T2)
     assert rows(job.clean("customer")) == content
+
+
+def test_repaired_dates_let_the_next_run_pass(spark, tmp_path):
+    iso = ["1,R,Thai,20.00,1,10:00-22:00,1,Y,Open,2024-01-05 08:00:00,2024-01-06 08:00:00"]
+    job, _ = start(spark, tmp_path, {"restaurant": iso})
+    assert job.run(T1).status == "SKIPPED"
+    assert reports.remaining_null_dates(job.clean("restaurant")).first()[0] == 1
+    number = job.clean("restaurant").first().restaurant_sk
+    job.repair_dates("restaurant", "yyyy-MM-dd HH:mm:ss")
+    assert reports.remaining_null_dates(job.clean("restaurant")).first()[0] == 0
+    assert job.clean("restaurant").first().restaurant_sk == number
+    assert job.run(T2).status == "OK"
+    assert reports.newest_log_row(job.log(), "restaurant").first().overall_status == "PASS"
+    assert job.fact().count() == 12

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.entities import DIMENSIONS, ENTITIES, Entity, dimension_schema
 from tidemark.operators import consumption, quality
 from tidemark.operators.scd2 import scd2_step
-from tidemark.operators.upsert import merge, prepare_batch, require_none
+from tidemark.operators.upsert import backfill_dates, merge, prepare_batch, require_none
 from tidemark.sources.shared import side_by_side
 from tidemark.sources.snapshots import SnapshotStore, Slicing, Version, by_key_range, empty, read_appended
 from tidemark.streaming import feed
@@ -138,6 +138,9 @@ class LayeredJob:
         rows, rejects = prepare_batch(stage, entity, before.top_number, batch_ts)
         if self.strict:
             require_none(rejects, entity)
+        # Ahead of the commit: once that is made, a batch handed over again is skipped.
+        number = tag.rsplit("#", 1)[-1]
+        rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/{entity.name}/batch={number}")
         rows = rows.persist()
         try:
             key = F.col(entity.key)
@@ -161,8 +164,24 @@ class LayeredJob:
                 )
         finally:
             rows.unpersist()
-        number = tag.rsplit("#", 1)[-1]
-        rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/{entity.name}/batch={number}")
+
+    def repair_dates(self, name: str, pattern: str | None) -> None:
+        """Re-derive a clean table's audit dates from all its stage rows, read with ``pattern``.
+
+        The upsert never changes a creation date, so one that was read wrongly stays until this.
+        """
+        entity = ENTITIES[name]
+        before = self.clean_store.version(name)
+        repaired = backfill_dates(self.clean(name), self.stage(name), entity, pattern)
+        self.clean_store.commit(
+            name,
+            repaired,
+            self.slicing(F.col(entity.key)),
+            None,
+            entity.surrogate,
+            before.note,
+            before,
+        )
 
     # Checks
 
