@@ -6,31 +6,25 @@ from tidemark.sources import shared
 class Stub:
     """As much of a session as the lookup needs."""
 
-    def __init__(self, master, setting=None):
+    def __init__(self, **settings):
         self.conf = self
-        self.sparkContext = self
-        self.master = master
-        self.applicationId = "app"
-        self.setting = setting
+        self.settings = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"} | settings
 
-    def get(self, name, default):
-        assert name == "spark.checkpoint.dir"
-        return self.setting or default
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
 
 
 def test_the_named_folder_is_used():
-    assert shared.shared_folder(Stub("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
+    named = Stub(**{"spark.checkpoint.dir": "hdfs://shared/x/"})
+    assert shared.shared_folder(named) == "hdfs://shared/x"
 
 
-def test_a_cluster_must_name_its_folder():
-    with pytest.raises(RuntimeError):
-        shared.shared_folder(Stub("spark://host:7077"))
+def test_without_a_name_the_warehouse_is_used():
+    assert shared.shared_folder(Stub()) == "hdfs://shared/warehouse/_scratch"
 
 
-def test_a_local_master_gets_one_folder_per_application():
-    first = shared.shared_folder(Stub("local[2]"))
-    assert first == shared.shared_folder(Stub("local[2]"))
-    assert shared.scratch(Stub("local[2]"), "a") != shared.scratch(Stub("local[2]"), "a")
+def test_each_scratch_path_is_new(spark):
+    assert shared.scratch(spark, "a") != shared.scratch(spark, "a")
 
 
 def test_first_failure_is_raised_after_all_ran(spark):

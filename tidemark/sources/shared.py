@@ -2,41 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
-
-
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tidemark-{application}-")
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach: the one the cluster names, else one below the warehouse.
 
-    Only a local master, where driver and executors share one disk, may do without the setting.
+    ``spark.checkpoint.dir`` is read from the session. The warehouse is shared by definition, so the
+    fallback holds on a cluster as well as in a test; nothing depends on the kind of master.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return _local_folder(context.applicationId)
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df, path: str):
+    """A fresh path below the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Registered only for a folder that is there.
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
     """Write a frame once and read it back: a cut in the lineage that outlives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
