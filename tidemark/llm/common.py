@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.shared import scratch, written
 
+#: A word: a run without space, tab, line feed, vertical tab, form feed and carriage return.
+WORD = r"[^\x20\x09-\x0D]+"
 #: What a task gets from Spark at a time: so many rows or bytes at most.
 BATCH_ROWS, BATCH_BYTES = 2_000, 16 * 2**20
 
@@ -37,3 +39,9 @@ def only(df: DataFrame, **columns: str | Column) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def hex60(*parts: Column) -> Column:
+    """A hash of 60 bits that other engines have too: the first 15 hex digits of an MD5 sum."""
+    digits = F.substring(F.md5(F.concat(*parts).cast("binary")), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")

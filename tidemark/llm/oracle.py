@@ -2,4 +2,61 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: Sources sorted by the ratio of their limit to their weight; the first level that does not
+#: exceed its source's ratio is the one at which the targets sum to all sizes.
+MIXING = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15))::BIGINT AS k
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS s,
+           [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM sized GROUP BY source
+), levels AS (
+    SELECT *, 3 * s / w AS ratio,
+           (sum(s) OVER () - coalesce(sum(3 * s) OVER (ORDER BY 3 * s / w, source NULLS LAST
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT
+           / (sum(w) OVER (ORDER BY 3 * s / w, source NULLS LAST
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level_here
+    FROM totals
+), chosen AS (
+    SELECT arg_min(level_here, (ratio, source IS NULL, coalesce(source, ''))) AS level
+    FROM levels WHERE level_here <= ratio
+), goals AS (
+    SELECT source, s, least(3.0::DOUBLE * s, level * w) AS target,
+           least(3 * s, floor(least(3.0::DOUBLE * s, level * w) + 0.5))::BIGINT AS budget
+    FROM levels, chosen
+), placed AS (
+    SELECT d.*, g.s, g.target, g.budget,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id NULLS LAST, d.size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+    FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size::BIGINT AS size, s AS source_size, target,
+       (budget // greatest(s, 1) * size
+        + greatest(0, least(size, budget % greatest(s, 1) - ahead)))::BIGINT AS taken
+FROM placed
+"""
+
+CHAT = r"""
+WITH rows AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+), marked AS (
+    SELECT *, regexp_replace(regexp_replace(replace(text, '\', '\\'),
+           '<(\||/?s>|<SYS>>|</SYS>>)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g') AS e
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|turn|><|text|><|end|>') + length(coalesce(role, '')) + length(e))::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_mixing": MIXING,
+    "op8_chat_formatting": CHAT,
+}

@@ -5,22 +5,78 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import quality, simhash
-from tidemark.llm.common import documents, only
+from tidemark.llm import chat, mixing, quality, sharding, simhash
+from tidemark.llm.common import documents, hex60, only, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    sized = only(docs, doc_id="doc_id", source="source", size=mixing.word_count(F.col("text")))
+    mix = mixing.mixture(stored(sized, "mix-sizes"), F.col("size"))
+    return mix.select("doc_id", "mix.*")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.repetition(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
     return judged.select("doc_id", "quality.*")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = only(
+        documents(spark, sf_dir),
+        doc_id="doc_id",
+        size=(F.octet_length(text) + 16).cast("long"),
+        text_crc32=F.crc32(text.cast("binary")),
+        key=hex60(text),
+        key2=hex60(F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))),
+    )
+    return sharding.sharded(stored(rows, "shard-sizes")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    given = only(tables, conv_id="conv_id", turn="turn", role="role", text="text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.sql(
+        f"SELECT -1L AS conv_id, t AS turn, r AS role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)"
+    )
+    formatted = chat.rendered(chat.folded(chat.events_of(given.unionByName(probe))))
+    back = chat.read_back(formatted)
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op6_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op6_quality_rules,
+        op7_sharding,
+        op8_chat_formatting,
+        op10_simhash_near_dedup,
+    )
 }
