@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,14 @@ def hex60(*parts: Column) -> Column:
     """A hash of 60 bits that other engines have too: the first 15 hex digits of an MD5 sum."""
     digits = F.substring(F.md5(F.concat(*parts).cast("binary")), 1, 15)
     return F.conv(digits, 16, 10).cast("long")
+
+
+def count_below(key: Column, cuts: list[int]) -> Column:
+    """How many of the ascending ``cuts`` are smaller than the key: coarse steps, then those of one part."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts) - 1) + 1
+    every = F.array(*[F.lit(c).cast("long") for c in cuts])
+    coarse = F.array(*[F.lit(c).cast("long") for c in cuts[step - 1 :: step]])
+    skipped = F.size(F.filter(coarse, lambda c: c < key)) * step
+    return skipped + F.size(F.filter(F.slice(every, skipped + 1, step), lambda c: c < key))

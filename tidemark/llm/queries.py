@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality, sharding, simhash
+from tidemark.llm import bpe, chat, mixing, quality, sharding, simhash, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
+#: The vocabulary file that the token queries use.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,6 +24,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "mix.*")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared_with_edits(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.repetition(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
     return judged.select("doc_id", "quality.*")
@@ -66,6 +74,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), VOCABULARY)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -74,9 +86,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_fingerprints,
         op6_quality_rules,
         op7_sharding,
         op8_chat_formatting,
+        op9_bpe,
         op10_simhash_near_dedup,
     )
 }

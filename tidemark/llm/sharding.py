@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hex60, stored
+from tidemark.llm.common import count_below, hex60, stored
 
 #: Ranges that the sample cuts, rows drawn for each, and rows that one task may sort.
 RANGES, DRAWN, CELL_ROWS = 256, 16, 20_000
@@ -34,17 +34,10 @@ def splitters(rows: DataFrame, total: int) -> list[int]:
 
 
 def _range_of(key: Column, cuts: list[int]) -> Column:
-    """Twice the number of splitters below the key, plus one if it equals the next one.
-
-    Sixteen coarse steps, then the steps of one coarse part.
-    """
+    """Twice the number of splitters below the key, plus one if it equals the next one."""
     if not cuts:
         return F.lit(0)
-    step = max(1, -(-len(cuts) // 16))
-    every = F.array(*[F.lit(c).cast("long") for c in cuts])
-    coarse = F.array(*[F.lit(c).cast("long") for c in cuts[step - 1 :: step]])
-    skipped = F.size(F.filter(coarse, lambda c: c < key)) * step
-    below = skipped + F.size(F.filter(F.slice(every, skipped + 1, step), lambda c: c < key))
+    every, below = F.array(*[F.lit(c).cast("long") for c in cuts]), count_below(key, cuts)
     return 2 * below + F.coalesce((F.get(every, below) == key).cast("int"), F.lit(0))
 
 
