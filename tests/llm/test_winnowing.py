@@ -70,7 +70,7 @@ def test_query_rows_equal_brute_force(docs_of, mixed_texts, monkeypatch):
 
 
 def test_edits_are_nearer_than_the_next(docs_of, mixed_texts):
-    texts = [t for t in dict.fromkeys(mixed_texts) if t and len(t) > 300]
+    texts = [t for t in mixed_texts[:25] if len(t) > 200]
     rows = winnowing.compared_with_edits(docs_of(texts)).collect()
     assert np.mean([r.near_edited for r in rows]) > 0.3 > 0.1 > np.mean([r.near_next for r in rows])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, hex60, stored
 
 #: Rows of a cell, the unit that one task sorts; a source has as many cells as its share needs.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:

@@ -56,7 +56,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+#: Windows as lists of words, numbered from 1; a word goes if any window over it is repeated.
+SUBSTRINGS = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, w[i:i + 12] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)
+), least AS (
+    SELECT g, min(doc_id) AS first FROM windows GROUP BY g
+), removed AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+    FROM windows JOIN least USING (g) WHERE first < doc_id
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM words ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
+    "op4_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
 }

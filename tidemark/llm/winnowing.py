@@ -150,10 +150,8 @@ def successive(docs: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("o", place["o"]).join(table, "home")
     is_head = (F.col("o") == F.col("head_o")) & F.col("tie").eqNullSafe(F.col("head_tie"))
-    sent = F.when(
-        is_head,
-        F.array(F.struct(F.col("home").alias("at"), F.lit(False).alias("extra")), F.struct("ahead", F.lit(True))),
-    ).otherwise(F.array(F.struct("home", F.lit(False))))
+    at = lambda range_, extra: F.struct(F.col(range_).alias("at"), F.lit(extra).alias("extra"))
+    sent = F.when(is_head, F.array(at("home", False), at("ahead", True))).otherwise(F.array(at("home", False)))
     rows = rows.select("doc_id", "text", "o", "tie", F.explode(sent).alias("sent"))
     rows = rows.select("sent.at", "sent.extra", "o", "tie", "doc_id", "text")
     return rows.repartition(2 * ranges, "at").sortWithinPartitions("at", "extra", "o", "tie")
