@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, mixing, quality, sharding, simhash, substrings, winnowing
+from tidemark.llm import bpe, chat, mixing, quality, sharding, simhash, substrings, suffixes, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
 #: The vocabulary file that the token queries use.
@@ -33,6 +33,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.repetition(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
     return judged.select("doc_id", "quality.*")
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op1_mixing,
         op2_fingerprints,
         op4_substring_dedup,
+        op5_suffix_array_dedup,
         op6_quality_rules,
         op7_sharding,
         op8_chat_formatting,
