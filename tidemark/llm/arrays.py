@@ -149,4 +149,4 @@ def unpack(block: bytes, *types: type | None) -> list[np.ndarray | bytes]:
     sizes = np.frombuffer(raw, np.int64, n, 8)
     stops = 8 + 8 * n + np.cumsum(sizes)
     parts = zip(stops - sizes, stops, types, strict=True)
-    return [raw[a:b] if kind is None else np.frombuffer(raw[a:b], kind) for a, b, kind in parts]
+    return [raw[a:b] if kind is None else np.frombuffer(raw[a:b], kind).copy() for a, b, kind in parts]

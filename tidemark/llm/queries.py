@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, mixing, quality, sharding, simhash, substrings, suffixes, winnowing
+from tidemark.llm import bpe, chat, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
 #: The vocabulary file that the token queries use.
@@ -28,6 +28,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared_with_edits(documents(spark, sf_dir))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pitman_yor.scored(documents(spark, sf_dir))
+    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
     return found.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_mixing,
         op2_fingerprints,
+        op3_lm_scoring,
         op4_substring_dedup,
         op5_suffix_array_dedup,
         op6_quality_rules,
