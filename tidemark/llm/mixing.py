@@ -104,11 +104,11 @@ def mixture(
     return result.select(*[F.col(f"row.`{c}`") for c in rest], F.col("mix").alias(into))
 
 
-def mixed_texts(docs: DataFrame, text: str = "text", **options: object) -> DataFrame:
+def mixed_texts(docs: DataFrame, text: str = "text", length: str = "n_chars", **options: object) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each time a text is taken.
 
-    The text that meets its source's budget is cut after so many words (joined by one space). A text
-    without words has nothing to take and is left out.
+    The text that meets its source's budget is cut after so many words (joined by one space), and
+    ``length`` is its new length. A text without words has nothing to take and is left out.
     """
     into = "_mix"
     while into in docs.columns:
@@ -119,8 +119,11 @@ def mixed_texts(docs: DataFrame, text: str = "text", **options: object) -> DataF
     rounds = F.sequence(F.lit(0), F.expr(f"({into}.taken - 1) DIV {into}.size"))
     parts = F.transform(rounds, lambda i: F.least(size, taken - i * size).cast("int"))
     mix = mix.filter(taken > 0).withColumn(into, F.explode(parts))
-    part = F.col(into)
-    cut = F.when(part < word_count(F.col(f"`{text}`")), F.array_join(F.slice(words, 1, part), " "))
-    return mix.select(
-        *[F.coalesce(cut, F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    )
+    shorter = F.col(into) < word_count(F.col(f"`{text}`"))
+    cut = F.array_join(F.slice(words, 1, F.col(into)), " ")
+    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    if length in columns:
+        kind = docs.schema[length].dataType
+        columns[length] = F.when(shorter, F.length(cut).cast(kind)).otherwise(columns[length])
+    columns[text] = F.when(shorter, cut).otherwise(columns[text])
+    return mix.select(*[column.alias(c) for c, column in columns.items()])
