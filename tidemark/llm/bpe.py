@@ -7,7 +7,7 @@ import json
 import os
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.arrays import pieces, spread, words_of
+from tidemark.llm.arrays import pieces, slices, spread, sums_between, words_of
 from tidemark.llm.common import bounded_batches, replaced
 from tidemark.llm.lexicon import Lexicon
 
 #: Frequent words that the lexicon holds; it is all that is collected or sent to executors.
-LEXICON_WORDS = 40_000
+LEXICON_WORDS = 200_000
+#: Ids of several words in one array, and where each word's begin and how many they are.
+Pool = tuple[np.ndarray, np.ndarray, np.ndarray]
 #: Longer runs of letters are merged one by one with a heap, as tables would grow with the square.
 _TABLE_LENGTH = 200
 _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
@@ -181,26 +183,74 @@ class Codec:
             for parts in split
         ]
 
-    def encode(self, column: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one after another, and where each text's begin."""
-        words = words_of(column)
-        buffers = words.distinct.cast(pa.binary()).buffers()
-        n = len(words.distinct)
-        ends = np.frombuffer(buffers[1], np.int32)[words.distinct.offset : words.distinct.offset + n + 1].astype(np.int64)
-        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.zeros(0, np.uint8)
-        number = lexicon.numbers(ends[:-1], np.diff(ends), data)
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Words of ASCII and Latin-1 letters, split without the library: which, their runs, where each word's begin.
+
+        Those letters are in normal form, change case one by one and count as letters; so a run is a
+        maximal one of letters or of other signs, or one digit. Apostrophes and special tokens are
+        left to the slow way.
+        """
+        data, at = _bytes_of(words)
+        ahead = np.concatenate([[np.uint8(0)], data[:-1]]) if len(data) else data
+        odd = (data >= 0xC0) & (data != 0xC3) | (data == ord("'")) | (ahead == ord("<")) & (data == ord("|"))
+        odd |= (ahead == 0xC3) & ((data == 0x97) | (data == 0xB7))
+        simple = np.flatnonzero(sums_between(odd, at) == 0)
+        sizes = np.diff(at)[simple]
+        place = spread(at[simple], sizes)
+        data, ahead, begins = data[place], ahead[place], np.cumsum(sizes) - sizes
+        data = data + 32 * ((data >= 65) & (data <= 90) | (ahead == 0xC3) & (data <= 0x9E)).astype(np.uint8)
+        kind = ((data >= 97) & (data <= 122) | (data >= 0x80)).astype(np.int8) + 2 * ((data >= 48) & (data <= 57))
+        opens = kind == 2
+        opens[1:] |= kind[1:] != kind[:-1]
+        opens[begins] = True
+        edges = np.append(np.flatnonzero(opens), len(data))
+        buffers = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)]
+        runs = pa.Array.from_buffers(pa.binary(), len(edges) - 1, buffers)
+        return simple, runs, np.searchsorted(edges, np.append(begins, len(data)))
+
+    def _found(self, words: pa.Array, lexicon: Lexicon, rest: Callable[[pa.Array], Pool]) -> Pool:
+        """Ids of distinct words: those of the lexicon, and of the others what ``rest`` makes of them."""
+        data, at = _bytes_of(words)
+        number = lexicon.numbers(at[:-1], np.diff(at), data)
         unseen = np.flatnonzero(number < 0)
-        merged = self.word_ids(words.distinct.take(pa.array(unseen)).to_pylist())
-        pool = np.concatenate([np.asarray(lexicon.ids), *merged]).astype(np.uint32)
-        starts, sizes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        ids, starts, sizes = rest(words.take(pa.array(unseen)))
+        all_starts, all_sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         seen = number >= 0
-        starts[seen] = lexicon.at[number[seen]]
-        sizes[seen] = lexicon.at[number[seen] + 1] - starts[seen]
-        sizes[unseen] = [len(m) for m in merged]
-        starts[unseen] = len(lexicon.ids) + np.cumsum(sizes[unseen]) - sizes[unseen]
-        each = sizes[words.codes]
-        ids = pool[spread(starts[words.codes], each)]
-        return ids, np.concatenate([[0], np.cumsum(each)])[words.at]
+        all_starts[seen] = lexicon.at[number[seen]]
+        all_sizes[seen] = lexicon.at[number[seen] + 1] - all_starts[seen]
+        all_starts[unseen], all_sizes[unseen] = starts + len(lexicon.ids), sizes
+        return np.concatenate([lexicon.ids, ids]), all_starts, all_sizes
+
+    def _merged(self, runs: pa.Array) -> Pool:
+        return _pool(list(self.merge(runs.to_pylist()).values()))
+
+    def _split(self, words: pa.Array, lexicon: Lexicon) -> Pool:
+        """Ids of words that are not in the lexicon; their runs may be."""
+        simple, runs, at = self._plain(words)
+        coded = runs.dictionary_encode()
+        pool, starts, sizes = self._found(coded.dictionary, lexicon, self._merged)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        many = sizes[codes]
+        ids = pool[spread(starts[codes], many)]
+        other = np.setdiff1d(np.arange(len(words)), simple)
+        slow, slow_starts, slow_sizes = _pool(self.word_ids(words.take(pa.array(other)).cast(pa.string()).to_pylist()))
+        all_starts, all_sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        all_sizes[simple] = sums_between(many, at)
+        all_starts[simple] = np.cumsum(all_sizes[simple]) - all_sizes[simple]
+        all_starts[other], all_sizes[other] = slow_starts + len(ids), slow_sizes
+        return np.concatenate([ids, slow]), all_starts, all_sizes
+
+    def encode(self, column: pa.Array, lexicon: Lexicon) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All ids of the texts, one after another, and where each text's begin; some texts at a time."""
+        words = words_of(column)
+        distinct = words.distinct.cast(pa.binary())
+        pool, starts, sizes = self._found(distinct, lexicon, lambda rest: self._split(rest, lexicon))
+        pool = pool.astype("<u4")
+        for first, last in slices(np.diff(words.at), 300_000):
+            codes = words.codes[words.at[first] : words.at[last]]
+            many = sizes[codes]
+            at = np.concatenate([[0], np.cumsum(many)])[words.at[first : last + 1] - words.at[first]]
+            yield pool[spread(starts[codes], many)], at
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The names of the tokens, joined by a space: the vocabulary has no decoder of its own."""
@@ -208,6 +258,18 @@ class Codec:
         return self.name_bytes[spread(self.name_at[ids], sizes)][:-1].tobytes()
 
 
+def _pool(parts: list[np.ndarray]) -> Pool:
+    sizes = np.array([len(p) for p in parts], np.int64)
+    return np.concatenate([np.zeros(0, np.int64), *parts]), np.cumsum(sizes) - sizes, sizes
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    buffers, n = words.buffers(), len(words)
+    at = np.frombuffer(buffers[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.zeros(0, np.uint8)
+    return data[at[0] : at[-1]], at - at[0]
+
+
 _LETTER_BYTES = {c: b for b, c in enumerate(_byte_letters())}
 
 
@@ -229,7 +291,7 @@ def _shipped(spark: SparkSession, path: str) -> str:
 
 def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
     """The ``most`` words that occur most often in all texts; ties go by the words."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 10_000)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,9 +334,9 @@ def encoded(
         codec, known = _codec(SparkFiles.get(spec)), _lexicon(SparkFiles.get(lexicon))
         out: list[bytes] = []
         for _, part in pieces(column, 16 * 2**20):
-            ids, at = codec.encode(part, known)
-            raw = ids.astype("<u4").tobytes()
-            out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]
+            for ids, at in codec.encode(part, known):
+                raw = ids.tobytes()
+                out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]
         return pa.array(out, pa.binary())
 
     return replaced(docs, into, encode(F.col(f"`{text}`")))

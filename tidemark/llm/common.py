@@ -15,9 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 2_000, 16 * 2**20
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of bounded size from here on, whatever the texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
