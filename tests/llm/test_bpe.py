@@ -24,9 +24,10 @@ def tricky(mixed_texts):
     return texts + mixed_texts
 
 
-def test_equal_to_the_library(docs_of, tricky):
+@pytest.mark.parametrize("known", [0, 30, 200_000])
+def test_equal_to_the_library(docs_of, tricky, known):
     library = Tokenizer.from_file(PATH)
-    got = {r.doc_id: r for r in bpe.digests(docs_of(tricky), PATH).collect()}
+    got = {r.doc_id: r for r in bpe.digests(docs_of(tricky), PATH, known).collect()}
     assert len(got) == len(tricky)
     for i, text in enumerate(tricky):
         ids = library.encode(text or "", add_special_tokens=False).ids

@@ -135,6 +135,41 @@ def sums_between(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+class Places:
+    """Where each of many distinct numbers (not negative) stands: an open hash table, filled to a quarter at most."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.shift = table, np.uint64(64 - (len(table).bit_length() - 1))
+
+    @classmethod
+    def build(cls, numbers: np.ndarray) -> Places:
+        size = 1 << max(4, (4 * len(numbers)).bit_length())
+        out = cls(np.full(size, -1, np.int64))
+        left = np.arange(len(numbers))
+        slot = out._slot(numbers)
+        while len(left):
+            free = out.table[slot[left]] < 0
+            # Of several for one slot the last one written stays.
+            out.table[slot[left[free]]] = left[free]
+            left = left[out.table[slot[left]] != left]
+            slot[left] = (slot[left] + 1) & (size - 1)
+        return out
+
+    def _slot(self, numbers: np.ndarray) -> np.ndarray:
+        return ((numbers.astype(np.uint64) * np.uint64(_STEP)) >> self.shift).astype(np.int64)
+
+    def of(self, wanted: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """The place of each among ``numbers``, which the table was built of, or -1."""
+        slot = self._slot(wanted)
+        out = self.table[slot]
+        missed = np.flatnonzero((out >= 0) & (numbers[out] != wanted)) if len(numbers) else np.zeros(0, np.int64)
+        while len(missed):
+            slot[missed] = (slot[missed] + 1) & (len(self.table) - 1)
+            out[missed] = self.table[slot[missed]]
+            missed = missed[(out[missed] >= 0) & (numbers[out[missed]] != wanted[missed])]
+        return out
+
+
 def pack(*parts: np.ndarray | bytes) -> bytes:
     """Arrays and strings as one compressed string."""
     raw = [p if isinstance(p, bytes) else np.ascontiguousarray(p).tobytes() for p in parts]

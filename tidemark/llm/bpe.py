@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.arrays import pieces, slices, spread, sums_between, words_of
+from tidemark.llm.arrays import Places, pieces, slices, spread, sums_between, words_of
 from tidemark.llm.common import bounded_batches, replaced
 from tidemark.llm.lexicon import Lexicon
 
 #: Frequent words that the lexicon holds; it is all that is collected or sent to executors.
 LEXICON_WORDS = 200_000
+#: How often such a word has to occur in one batch of texts at least; this says which words are fast, not
+#: what any word becomes.
+_OFTEN = 3
 #: Ids of several words in one array, and where each word's begin and how many they are.
 Pool = tuple[np.ndarray, np.ndarray, np.ndarray]
 #: Longer runs of letters are merged one by one with a heap, as tables would grow with the square.
@@ -52,9 +55,9 @@ class Codec:
         self.last = np.array([vocab[c + end] for c in letters], np.int64)
         pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order.astype(np.int64)
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)[order]
+        # The place of a pair among the merges is its rank.
+        self.keys, self.places = keys, Places.build(keys)
+        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.none = len(pairs)
         names = dict.fromkeys(range(max([*vocab.values(), *self.special.values()]) + 1), "")
         names |= {i: t for t, i in (vocab | self.special).items()}
@@ -77,10 +80,9 @@ class Codec:
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of each pair; a pair that never merges has the rank ``none``."""
-        wanted = left << 32 | right
-        found = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        hit = self.keys[found] == wanted
-        return np.where(hit, self.ranks[found], self.none), self.merged[found]
+        pairs = np.maximum(left, 0) << 32 | np.maximum(right, 0)
+        found = self.places.of(pairs.ravel(), self.keys).reshape(pairs.shape)
+        return np.where(found < 0, self.none, found), self.merged[found]
 
     def merge_table(self, runs: list[bytes]) -> list[np.ndarray]:
         """Ids of runs of similar length, each step merging in every run its lowest, then leftmost pair."""
@@ -147,8 +149,8 @@ class Codec:
     @property
     def _pairs(self) -> dict[tuple[int, int], tuple[int, int]]:
         if not hasattr(self, "_pair_dict"):
-            rows = zip(self.keys.tolist(), self.ranks.tolist(), self.merged.tolist(), strict=True)
-            self._pair_dict = {(k >> 32, k & 0xFFFFFFFF): (r, m) for k, r, m in rows}
+            rows = enumerate(zip(self.keys.tolist(), self.merged.tolist(), strict=True))
+            self._pair_dict = {(k >> 32, k & 0xFFFFFFFF): (rank, m) for rank, (k, m) in rows}
         return self._pair_dict
 
     def merge(self, runs: list[bytes]) -> dict[bytes, np.ndarray]:
@@ -222,7 +224,9 @@ class Codec:
         return np.concatenate([lexicon.ids, ids]), all_starts, all_sizes
 
     def _merged(self, runs: pa.Array) -> Pool:
-        return _pool(list(self.merge(runs.to_pylist()).values()))
+        listed = runs.to_pylist()
+        merged = self.merge(listed)
+        return _pool([merged[r] for r in listed])
 
     def _split(self, words: pa.Array, lexicon: Lexicon) -> Pool:
         """Ids of words that are not in the lexicon; their runs may be."""
@@ -290,7 +294,11 @@ def _shipped(spark: SparkSession, path: str) -> str:
 
 
 def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
-    """The ``most`` words that occur most often in all texts; ties go by the words."""
+    """The ``most`` words that occur most often, counted in every batch of texts that has them repeatedly.
+
+    Ties go by the words. What a batch holds once or twice is not worth a place, and would be most of
+    what is shuffled.
+    """
     bounded_batches(docs.sparkSession, 10_000)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +306,9 @@ def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
             for _, part in pieces(batch.column(0), 16 * 2**20):
                 words = words_of(part)
                 counts = np.bincount(words.codes, minlength=len(words.distinct))
-                yield pa.RecordBatch.from_arrays([words.distinct, pa.array(counts, pa.int64())], ["word", "n"])
+                often = np.flatnonzero(counts >= _OFTEN)
+                columns = [words.distinct.take(pa.array(often)), pa.array(counts[often], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
     found = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(counted, "word string, n long")
     totals = found.groupBy("word").agg(F.sum("n").alias("n"))
@@ -355,10 +365,10 @@ def decoded(docs: DataFrame, vocabulary: str, ids: str = "ids", into: str = "dec
     return replaced(docs, into, decode(F.col(f"`{ids}`")))
 
 
-def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
+def digests(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text, one row per row of ``docs``."""
     narrow = docs.select("doc_id", "text")
-    both = decoded(encoded(narrow, vocabulary).drop("text"), vocabulary)
+    both = decoded(encoded(narrow, vocabulary, words=words).drop("text"), vocabulary)
     return both.select(
         "doc_id",
         F.expr("CAST(octet_length(ids) DIV 4 AS bigint)").alias("n_tokens"),

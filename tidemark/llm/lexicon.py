@@ -6,15 +6,17 @@ from collections.abc import Sequence
 
 import numpy as np
 
-_PARTS = (("keys", np.int64), ("targets", np.int64), ("skips", np.int64), ("final", np.int64), ("at", np.int64), ("ids", np.int64))
+from tidemark.llm.arrays import Places
+
+_PARTS = ("keys", "targets", "skips", "final", "at", "ids", "table")
 
 
 class Lexicon:
-    """Arcs sorted by (state, byte). The numbers on a word's arcs add up to its rank among all words."""
+    """Arcs by (state, byte). The numbers on a word's arcs add up to its rank among all words."""
 
     def __init__(self, parts: dict[str, np.ndarray]):
-        self.keys, self.targets, self.skips, self.final, self.at, self.ids = (parts[n] for n, _ in _PARTS)
-        self.root = len(self.final) - 1
+        self.keys, self.targets, self.skips, self.final, self.at, self.ids, table = (parts[n] for n in _PARTS)
+        self.root, self.places = len(self.final) - 1, Places(table)
 
     @classmethod
     def build(cls, entries: dict[bytes, Sequence[int]]) -> Lexicon:
@@ -67,10 +69,11 @@ class Lexicon:
             "at": np.concatenate([[0], np.cumsum(sizes)]),
             "ids": [i for w in words for i in entries[w]],
         }
-        return cls({n: np.array(parts[n]).astype(kind) for n, kind in _PARTS})
+        arrays = {n: np.array(part).astype(np.int64) for n, part in parts.items()}
+        return cls(arrays | {"table": Places.build(arrays["keys"]).table})
 
     def save(self, path: str) -> None:
-        parts = [getattr(self, n) for n, _ in _PARTS]
+        parts = [self.keys, self.targets, self.skips, self.final, self.at, self.ids, self.places.table]
         head = np.array([len(p) for p in parts], np.int64)
         np.concatenate([head, *parts]).astype(np.int64).tofile(path)
 
@@ -79,7 +82,7 @@ class Lexicon:
         """The arrays as they lie in the file; pages are read when an arc on them is followed."""
         raw = np.memmap(path, np.int64, "r")
         stops = len(_PARTS) + np.cumsum(raw[: len(_PARTS)])
-        return cls({n: raw[b - size : b] for (n, _), b, size in zip(_PARTS, stops, raw, strict=False)})
+        return cls({n: raw[b - size : b] for n, b, size in zip(_PARTS, stops, raw, strict=False)})
 
     def numbers(self, starts: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> np.ndarray:
         """The rank of each word data[start:start + length], or -1; all words advance byte by byte together."""
@@ -91,10 +94,8 @@ class Lexicon:
             ended = done & (self.final[state] == 1)
             out[live[ended]] = total[ended]
             live, state, total = live[~done], state[~done], total[~done]
-            wanted = state * 256 + data[starts[live] + step]
-            found = np.searchsorted(self.keys, wanted)
-            found[found == len(self.keys)] = 0
-            hit = self.keys[found] == wanted if len(self.keys) else np.zeros(len(live), bool)
+            found = self.places.of(state * 256 + data[starts[live] + step], self.keys)
+            hit = found >= 0
             live, found = live[hit], found[hit]
             state, total = self.targets[found], total[hit] + self.skips[found]
             step += 1
