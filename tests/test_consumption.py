@@ -8,7 +8,7 @@ from tidemark.operators import consumption
 from tidemark.operators.scd2 import scd2
 from tidemark.operators.upsert import upsert
 from tidemark.plans import reports
-from tidemark.sources.snapshots import empty
+from tidemark.sources.tables import empty
 
 T1 = datetime(2024, 3, 1)
 
@@ -90,7 +90,7 @@ def test_second_delivery_does_not_double_items(layers, spark):
     extra = clean["delivery"].filter("delivery_id = 1").selectExpr(
         "delivery_sk + 100 AS delivery_sk", "99L AS delivery_id", "order_id", "2L AS delivery_agent_id",
         "'In Transit' AS delivery_status", "estimated_time", "created_dt", "modified_dt",
-        "_stg_file_name", "_copy_ts",
+        "_stg_file_name", "_stg_load_ts", "_copy_ts",
     )
     fact = consumption.build_fact(clean | {"delivery": clean["delivery"].unionByName(extra)}, dims)
     rows = fact.filter("order_id = 1").collect()

@@ -1,12 +1,14 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
 
-from tidemark.entities import ENTITIES, ForeignKey
+from tidemark.entities import ENTITIES, Column, Entity, ForeignKey
 from tidemark.operators import quality
 from tidemark.operators.upsert import upsert
 from tidemark.plans import reports
-from tidemark.sources.snapshots import empty
+from tidemark.sources.tables import empty
+from tidemark.streaming.feed import stage_table_schema
 
 NOW = datetime(2024, 3, 1, 12)
 
@@ -87,13 +89,47 @@ def test_rejected_and_resent_rows_fail_the_row_count(checks):
     assert counted_by_key["orders"].overall_status == "PASS"
 
 
-def test_null_reference(spark):
-    child = spark.createDataFrame([(1,), (None,), (5,), (5,)], "ref long")
-    parent = spark.createDataFrame([(1,)], "id long")
-    ignored = quality.orphans(child, parent, ForeignKey("ref", "p"), "id")
-    counted = quality.orphans(child, parent, ForeignKey("ref", "p", null_is_orphan=True), "id")
-    assert [r.n for r in ignored.collect()] == [2]
-    assert sorted(r.n for r in counted.collect()) == [1, 2]
+def test_faulty_keys_fail_also_where_keys_count_once(checks):
+    customers = GOOD["customer"] * 2 + [{"customer_id": "x9", "name": "B"}]
+    bad = checks({"customer": customers}, distinct_key=True)["customer"]
+    assert (bad.rows_in, bad.rows_out, bad.overall_status) == (2, 1, "FAIL")
+    large = checks({"customer": GOOD["customer"] + [{"customer_id": "9" * 30, "name": "B"}]}, distinct_key=True)
+    assert large["customer"].overall_status == "FAIL"
+
+
+def test_required_null_reference_is_rejected_and_counted(checks):
+    log = checks({"delivery": GOOD["delivery"] + [{"delivery_id": "2", "order_id": "9", "delivery_agent_id": "7"}]})
+    assert log["delivery"].fk_check_detail == "order_id:FAIL(1);delivery_agent_id:FAIL(1)"
+
+
+def test_null_reference_counts_only_where_it_must(spark):
+    entities = [
+        Entity("p", (Column("p_id", "key", "p_id"),), lost_value_columns=()),
+        Entity(
+            "c",
+            (Column("c_id", "key", "c_id"), Column("a", "key", "a"), Column("b", "key", "b")),
+            foreign_keys=(ForeignKey("a", "p"), ForeignKey("b", "p", null_is_orphan=True)),
+            lost_value_columns=(),
+        ),
+    ]
+    parent = spark.createDataFrame([(1,)], "p_id long")
+    child = spark.createDataFrame([(1, 1, 1), (2, None, None), (3, 5, 5), (4, 5, 1)], "c_id long, a long, b long")
+    stage = {"p": parent.selectExpr("CAST(p_id AS string) AS p_id"), "c": child.selectExpr("CAST(c_id AS string) AS c_id")}
+    log = quality.run_checks(stage, {"p": parent, "c": child}, "b", NOW, entities=entities).collect()
+    assert {r.table_name: r.fk_check_detail for r in log} == {"p": None, "c": "a:FAIL(2);b:FAIL(2)"}
+
+
+def test_checks_pass_each_table_once(spark, tmp_path):
+    stage, clean = {}, {}
+    for name, entity in ENTITIES.items():
+        for kind, schema, into in (("s", stage_table_schema(entity), stage), ("c", entity.clean_schema(), clean)):
+            spark.createDataFrame([], schema).write.parquet(str(tmp_path / kind / name))
+            into[name] = spark.read.schema(schema).parquet(str(tmp_path / kind / name))
+    plan = quality.run_checks(stage, clean, "b", NOW)._jdf.queryExecution().executedPlan().toString()
+    for name in ENTITIES:
+        assert len(re.findall(rf"FileScan parquet[^\n]*/s/{name}\]", plan)) <= 1
+        assert len(re.findall(rf"FileScan parquet[^\n]*/c/{name}\]", plan)) <= 2
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 def test_optional_null_reference_passes(checks):
@@ -117,8 +153,11 @@ def test_gate_window_includes_its_first_instant(spark):
 
 def test_gate_by_batch_and_empty_log(spark):
     log = log_frame(spark, [(1, "menu", "FAIL", NOW, "a"), (2, "menu", "PASS", NOW, "b")])
-    assert quality.gate(log, batch_id="a").first().status == "SKIPPED"
-    assert quality.gate(log, batch_id="b").first().status == "OK"
+    assert quality.gate(log, batch_id="a", expected=1).first().status == "SKIPPED"
+    assert quality.gate(log, batch_id="b", expected=1).first().status == "OK"
+    for batch, checked in (("b", 1), ("mistyped", 0)):
+        held = quality.gate(log, batch_id=batch).first()
+        assert (held.status, held.fail_count) == ("SKIPPED", 0) and f"{checked} of 9 tables" in held.message
     assert quality.gate(log.filter("false"), now=NOW).first().status == "OK"
 
 

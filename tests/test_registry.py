@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as registered
 from tidemark.entities import ENTITIES
 from tidemark.operators.clean import last_per_key, type_rows
-from tidemark.operators.quality import orphans
+from tidemark.registry.oracle import all_oracles
+from tidemark.registry.queries import all_queries
 
 SMALL = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="given tables not mounted")
@@ -18,7 +19,8 @@ def plan(df):
 
 
 def test_every_query_has_sql():
-    assert sorted(registered.queries()) == sorted(registered.oracle_sql())
+    assert sorted(all_queries()) == sorted(all_oracles())
+    assert set(all_queries()) <= set(registered.queries())
 
 
 @needs_tables
@@ -29,7 +31,8 @@ def test_entry(spark):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["clean_restaurant", "upsert_delivery", "scd2_menu", "daily_usage", "masked_customer"])
+@pytest.mark.parametrize("name", ["clean_restaurant", "upsert_delivery", "scd2_menu", "daily_usage", "masked_customer",
+     "stage_extracts", "stage_malformed", "upsert_two_files", "backfill_resent", "masked_customer_dim"])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     duck = duckdb.connect()
@@ -63,10 +66,3 @@ def test_last_per_key_limits_ahead_of_the_shuffle(stage_frame):
     entity = ENTITIES["customer"]
     text = plan(last_per_key(type_rows(stage_frame("customer", []), entity), entity.key))
     assert text.count("WindowGroupLimit") == 2
-
-
-def test_orphans_are_aggregated_ahead_of_the_join(spark):
-    fk = ENTITIES["orders"].foreign_keys[0]
-    child = spark.range(10).selectExpr("id % 3 AS customer_id")
-    text = plan(orphans(child, spark.range(2).toDF("customer_id"), fk, "customer_id"))
-    assert "LeftAnti" in text and "partial_count" in text

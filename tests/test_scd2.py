@@ -5,7 +5,7 @@ import pytest
 
 from tidemark.entities import DIMENSIONS, ENTITIES, dimension_schema
 from tidemark.operators.scd2 import scd2
-from tidemark.sources.snapshots import empty
+from tidemark.sources.tables import empty
 
 TIMES = [datetime(2024, 3, d) for d in (1, 2, 3, 4)]
 

@@ -1,5 +1,8 @@
+import pytest
+
 from tidemark.entities import ENTITIES
-from tidemark.sources.text_csv import read_extract
+from tidemark.operators.clean import clean_rows
+from tidemark.sources.text_csv import MALFORMED, read_extract
 
 
 def write(path, text):
@@ -12,21 +15,43 @@ def test_extract_text_rules(spark, tmp_path):
     folder = write(
         tmp_path / "location",
         "location_id,city,state,zipcode,active_flag,created_date,modified_date\n"
-        '1,"Halle, Saale",Saxony-Anhalt,04332,Y,2025-09-20 08:48:57,2026-06-17 08:48:57\n'
-        '2,"the ""old"" town",NULL,,"",2025-09-20 08:48:57,NULL\n'
-        "3,Düsseldorf,North,00001,N,x,y\n",
+        '1,"Elm, upper part",Hillside,00420,Y,2021-02-03 04:05:06,2021-07-08 09:10:11\n'
+        '2,"the ""old"" mill",NULL,,"",2022-03-04 05:06:07,NULL\n'
+        "3,Mühlbach,Lowland,00001,N,x,y\n",
     )
     rows = {r.location_id: r for r in read_extract(spark, folder, ENTITIES["location"]).collect()}
-    assert rows["1"].city == "Halle, Saale"
-    assert rows["1"].zipcode == "04332"
-    assert rows["2"].city == 'the "old" town'
+    assert rows["1"].city == "Elm, upper part"
+    assert rows["1"].zipcode == "00420"
+    assert rows["2"].city == 'the "old" mill'
     assert rows["2"].state is None and rows["2"].zipcode is None and rows["2"].active_flag is None
     assert rows["2"].modified_date is None
-    assert rows["3"].city == "Düsseldorf"
+    assert rows["3"].city == "Mühlbach"
     assert rows["1"]._stg_file_name == "part.csv"
     assert rows["1"]._stg_load_ts is not None and rows["1"]._copy_ts is not None
 
 
+def test_wrong_number_of_fields_is_landed_as_malformed(spark, tmp_path):
+    folder = write(
+        tmp_path / "location",
+        "location_id,city,state,zipcode,active_flag,created_date,modified_date\n"
+        "1,Elm,Hillside,00420,Y,a,b\n2,Ash,Lowland,1,Y,a,b,surplus,more\n3,Oak\n",
+    )
+    stage = read_extract(spark, folder, ENTITIES["location"])
+    marks = {r.location_id: r[MALFORMED] for r in stage.collect()}
+    assert marks == {"1": None, "2": "2,Ash,Lowland,1,Y,a,b,surplus,more", "3": "3,Oak"}
+    accepted, rejected = clean_rows(stage, ENTITIES["location"])
+    assert [r.location_id for r in accepted.collect()] == [1]
+    assert {r.reject_reason for r in rejected.collect()} == {"malformed line"}
+
+
+def test_a_reordered_header_fails_the_file(spark, tmp_path):
+    folder = write(
+        tmp_path / "location", "city,location_id,state,zipcode,active_flag,created_date,modified_date\nElm,1,H,0,Y,a,b\n"
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        read_extract(spark, folder, ENTITIES["location"]).collect()
+
+
 def test_header_only_extract_is_empty(spark, tmp_path):
     folder = write(tmp_path / "orders", ",".join(ENTITIES["orders"].stage_schema().fieldNames()) + "\n")
     assert read_extract(spark, folder, ENTITIES["orders"]).count() == 0

@@ -1,12 +1,14 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import by_key
 from tidemark.entities import ENTITIES
 from tidemark.operators.numbering import highest, number_rows
-from tidemark.operators.upsert import RequiredValueMissing, backfill_dates, merge, upsert
-from tidemark.sources.snapshots import empty
+from tidemark.operators.clean import clean_rows
+from tidemark.operators.upsert import RequiredValueMissing, backfill_dates, merge, numbered_new, upsert
+from tidemark.sources.tables import empty
 
 T1, T2 = datetime(2024, 3, 1), datetime(2024, 3, 2)
 CUSTOMER = ENTITIES["customer"]
@@ -73,6 +75,21 @@ def test_missing_required_values_are_set_aside(stage_frame, first):
         upsert(first, stage, CUSTOMER, T2, strict=True)
 
 
+def test_numbers_beyond_a_key_are_named(stage_frame, first):
+    rows = [{"customer_id": str(2**63), "name": "Big"}, {"customer_id": "9" * 45 + ".5", "name": "Huge"}, {"customer_id": "1e", "name": "No"}]
+    _, rejects = upsert(first, stage_frame("customer", rows), CUSTOMER, T2)
+    reasons = sorted(r.reject_reason for r in rejects.collect())
+    assert reasons == ["missing: customer_id", "out of range: customer_id", "out of range: customer_id"]
+
+
+def test_of_two_files_copied_at_once_the_later_counts(stage_frame, spark):
+    early = stage_frame("customer", [{"customer_id": "1", "name": "early"}], file="part_9.csv")
+    late = stage_frame("customer", [{"customer_id": "1", "name": "late"}], file="part_10.csv")
+    late = late.withColumn("_stg_load_ts", F.expr("_stg_load_ts + INTERVAL 3 DAYS"))
+    table, _ = upsert(empty(spark, CUSTOMER.clean_schema()), early.unionByName(late), CUSTOMER, T1)
+    assert [r.name for r in table.collect()] == ["late"]
+
+
 def test_empty_batch_and_replay_change_nothing(stage_frame, first):
     before = by_key(first, "customer_id")
     nothing, _ = upsert(first, stage_frame("customer", []), CUSTOMER, T2)
@@ -107,6 +124,24 @@ def test_numbers_are_unique_and_repeatable(spark):
     assert len(set(one.values())) == 5000 and min(one.values()) > 100
 
 
+def test_numbers_do_not_depend_on_the_session(spark):
+    rows = spark.range(500).selectExpr("id AS k")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    for partitions in ("2", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        seen.append({r.k: r.n for r in number_rows(rows, "k", "n").collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
+
+
+def test_only_new_keys_are_numbered(stage_frame, first):
+    stage = stage_frame("customer", [{"customer_id": "1", "name": "A"}, {"customer_id": "8", "name": "H"}])
+    rows, _ = clean_rows(stage, CUSTOMER)
+    numbered = numbered_new(rows, first, "customer_id", "customer_sk", 1000)
+    assert {r.customer_id: r.customer_sk is not None for r in numbered.collect()} == {1: False, 8: True}
+
+
 def test_highest_number(spark):
     frame = spark.range(3).selectExpr("id AS n")
     assert spark.range(1).select(highest(frame, "n").alias("v")).first().v == 2
@@ -147,3 +182,16 @@ def test_backfill_takes_the_latest_copy(spark, stage_frame):
     table, _ = upsert(empty(spark, restaurant.clean_schema()), old, restaurant, T1)
     fixed = backfill_dates(table, old.unionByName(new), restaurant, None)
     assert [r.created_dt for r in fixed.collect()] == [datetime(2024, 1, 2)]
+
+
+def test_backfill_takes_both_dates_from_one_row(spark, stage_frame):
+    restaurant = ENTITIES["restaurant"]
+    rows = [
+        {"restaurant_id": "1", "name": "A", "created_date": "2024-06-06 00:00:00", "modified_date": "2024-01-01 00:00:00"},
+        {"restaurant_id": "1", "name": "B", "created_date": "2024-01-01 00:00:00", "modified_date": "2024-02-02 00:00:00"},
+    ]
+    stage = stage_frame("restaurant", rows)
+    table, _ = upsert(empty(spark, restaurant.clean_schema()), stage, restaurant, T1)
+    fixed = backfill_dates(table, stage, restaurant, None).first()
+    dates = {"A": (datetime(2024, 6, 6), datetime(2024, 1, 1)), "B": (datetime(2024, 1, 1), datetime(2024, 2, 2))}
+    assert (fixed.created_dt, fixed.modified_dt) == dates[fixed.name]

@@ -42,6 +42,11 @@ class Column:
         }[self.kind]
 
 
+    @property
+    def field(self) -> T.StructField:
+        return T.StructField(self.name, self.data_type, metadata={"pii": self.pii} if self.pii else None)
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     """A reference to another entity's business key."""
@@ -83,14 +88,13 @@ class Entity:
         return T.StructType([T.StructField(c.stage, T.StringType()) for c in self.columns])
 
     def clean_schema(self) -> T.StructType:
-        fields = [T.StructField(self.surrogate, T.LongType())]
-        for c in self.columns:
-            fields.append(
-                T.StructField(c.name, c.data_type, metadata={"pii": c.pii} if c.pii else None)
-            )
-        fields.append(T.StructField("_stg_file_name", T.StringType()))
-        fields.append(T.StructField("_copy_ts", T.TimestampNTZType()))
-        return T.StructType(fields)
+        fields = [T.StructField(self.surrogate, T.LongType()), *[c.field for c in self.columns]]
+        return T.StructType([*fields, *AUDIT_SCHEMA.fields])
+
+    @property
+    def tags(self) -> dict[str, str]:
+        """Columns that must carry a tag, with it."""
+        return {c.name: c.pii for c in self.columns if c.pii}
 
 
 AUDIT_SCHEMA = T.StructType(
@@ -118,6 +122,10 @@ class Dimension:
     def surrogate(self) -> str:
         return f"{self.name}_sk"
 
+    @property
+    def tags(self) -> dict[str, str]:
+        return {c: t for c, t in ENTITIES[self.entity].tags.items() if c in self.carried}
+
 
 def _key(name, required=False):
     return Column(name, "key", name, required=required)
@@ -144,6 +152,7 @@ def _audit_dates(pattern=None):
 
 DAY_FIRST = "dd-MM-yyyy HH:mm"
 
+# Names, types, key order and tags have to equal the extracts this job reads.
 ENTITIES: dict[str, Entity] = {
     e.name: e
     for e in (
@@ -350,7 +359,7 @@ def dimension_schema(dim: Dimension) -> T.StructType:
     entity = ENTITIES[dim.entity]
     fields = [T.StructField(dim.surrogate, T.LongType()), T.StructField(entity.key, T.LongType())]
     for name in dim.carried:
-        fields.append(T.StructField(name, entity.column(name).data_type))
+        fields.append(entity.column(name).field)
     fields += [
         T.StructField("eff_start_date", T.TimestampNTZType()),
         T.StructField("eff_end_date", T.TimestampNTZType()),

@@ -12,6 +12,11 @@ def as_key(text: str) -> str:
     return f"try_cast(try_cast({text} AS decimal(38,0)) AS bigint)"
 
 
+def beyond_key(text: str) -> str:
+    """Whether the text is a number, but not one that a key can hold."""
+    return f"({text} RLIKE '^\\\\s*[+-]?[0-9]+([.][0-9]*)?\\\\s*$' AND {as_key(text)} IS NULL)"
+
+
 def as_decimal(text: str, precision: int, scale: int) -> str:
     return f"try_cast({text} AS decimal({precision},{scale}))"
 

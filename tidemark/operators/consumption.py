@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.entities import ADDRESS_DIM_COLUMNS, ENTITIES
-from tidemark.operators.joins import splittable_join
+from tidemark.operators.joins import rows_with, splittable_join
 from tidemark.operators.upsert import merge
 
 FACT_SCHEMA = T.StructType(
@@ -32,9 +34,16 @@ FACT_SCHEMA = T.StructType(
 
 ADDRESS_DIM_SCHEMA = T.StructType(
     [T.StructField("customer_address_dim_sk", T.LongType()), T.StructField("address_id", T.LongType())]
-    + [
-        T.StructField(c, ENTITIES["customer_address"].column(c).data_type)
-        for c in ADDRESS_DIM_COLUMNS
+    + [ENTITIES["customer_address"].column(c).field for c in ADDRESS_DIM_COLUMNS]
+)
+DATE_DIM_SCHEMA = T.StructType(
+    [
+        T.StructField("date_dim_sk", T.IntegerType()),
+        T.StructField("calendar_date", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("day", T.IntegerType()),
+        T.StructField("day_name", T.StringType()),
     ]
 )
 
@@ -89,7 +98,7 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
             "delivery_agent_id",
             "delivery_status",
             "estimated_time",
-            "struct(_copy_ts, _stg_file_name, delivery_id) AS _age",
+            "struct(_copy_ts, _stg_load_ts, _stg_file_name, delivery_id) AS _age",
         )
         .join(
             current("delivery_agent_dim", "delivery_agent_id", "delivery_agent_dim_sk"),
@@ -130,52 +139,41 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
     )
 
 
-def items_to_refresh(
+def orders_to_refresh(
     clean: dict[str, DataFrame],
     written: dict[str, DataFrame],
     renewed: dict[str, DataFrame],
     restaurants: DataFrame,
-    item_written: Column,
 ) -> DataFrame:
-    """The order items whose fact row may have changed since the last refresh.
+    """Ids of the orders whose header may have changed since the last refresh, each once.
 
-    ``written`` holds the order and delivery rows stored since then, ``item_written`` tells it for an
-    item, and ``renewed`` holds the dimension versions opened since then. Everything else about an
-    item is as it was, so its fact row is too.
+    ``written`` holds the order and delivery rows stored since then, ``renewed`` the dimension versions
+    opened since then. Each cause is a branch of its own; one without any row is left out.
     """
-    spark = clean["orders"].sparkSession
-    moved = restaurants.filter("is_current").join(
-        renewed["location_dim"].select("location_id"), "location_id", "left_semi"
-    )
-    changed_restaurants = renewed["restaurant_dim"].select("restaurant_id").unionByName(
-        moved.select("restaurant_id")
-    )
-    orders = spark.sql(
-        """
-        SELECT order_id FROM {written_orders}
-        UNION ALL SELECT order_id FROM {written_deliveries}
-        UNION ALL SELECT order_id FROM {orders}
-          WHERE customer_id IN (SELECT customer_id FROM {customers})
-             OR restaurant_id IN (SELECT restaurant_id FROM {restaurants})
-        UNION ALL SELECT order_id FROM {deliveries}
-          WHERE delivery_agent_id IN (SELECT delivery_agent_id FROM {agents})
-        """,
-        written_orders=written["orders"],
-        written_deliveries=written["delivery"],
-        orders=clean["orders"],
-        deliveries=clean["delivery"],
-        customers=renewed["customer_dim"],
-        restaurants=changed_restaurants,
-        agents=renewed["delivery_agent_dim"],
-    )
-    items = clean["order_item"].withColumn("_written", item_written)
-    of_order = orders.distinct().selectExpr("order_id", "true AS _by_order")
-    of_menu = renewed["menu_dim"].selectExpr("menu_id", "true AS _by_menu")
-    marked = splittable_join(items, of_order, "order_id", "left")
-    marked = splittable_join(marked, of_menu, "menu_id", "left")
-    return marked.filter("_written OR _by_order OR _by_menu").drop(
-        "_written", "_by_order", "_by_menu"
-    )
+    moved = rows_with(restaurants.filter("is_current"), renewed["location_dim"], "location_id")
+    changed = renewed["restaurant_dim"].select("restaurant_id")
+    if moved is not None:
+        changed = changed.unionByName(moved.select("restaurant_id"))
+    causes = [
+        written["orders"],
+        written["delivery"],
+        rows_with(clean["orders"], renewed["customer_dim"], "customer_id"),
+        rows_with(clean["orders"], changed, "restaurant_id"),
+        rows_with(clean["delivery"], renewed["delivery_agent_dim"], "delivery_agent_id"),
+    ]
+    ids = [c.select("order_id") for c in causes if c is not None]
+    return reduce(DataFrame.unionByName, ids).distinct()
+
+
+def items_to_refresh(items: DataFrame, written: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
+    """The order items whose fact row may have changed: written themselves, of such an order, of such a menu row.
+
+    An item is left out only if its own row, its order, its delivery and the dimension versions it
+    points to are all as they were.
+    """
+    causes = [written, rows_with(items, orders, "order_id"), rows_with(items, menu, "menu_id")]
+    found = [c for c in causes if c is not None]
+    return reduce(DataFrame.unionByName, found).dropDuplicates(["order_item_id"])
 
 
 def upsert_fact(target: DataFrame, fact: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
-"""A join whose hot keys can be split."""
+"""Joins whose hot keys can be split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Keys that a filter may list; beyond that number rows are joined.
+LISTED = 10_000
 
 
 def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -15,3 +19,16 @@ def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inn
     lane = f"pmod(xxhash64({key}), 1024L) AS _lane"
     joined = left.selectExpr("*", lane).join(right.selectExpr("*", lane), [key, "_lane"], how)
     return joined.drop("_lane")
+
+
+def rows_with(left: DataFrame, keys: DataFrame, key: str, listed: int = LISTED) -> DataFrame | None:
+    """The rows of ``left`` whose ``key`` is in ``keys``; None if there is no key at all.
+
+    Few keys become a filter, which reaches the scan and shuffles nothing; ``listed`` bounds how many
+    are looked at for that. More are joined as a semi join that can be split.
+    """
+    keys = keys.select(key).distinct()
+    found = [r[0] for r in keys.limit(listed + 1).collect()]
+    if len(found) > listed:
+        return splittable_join(left, keys, key, "left_semi")
+    return left.filter(F.col(key).isin(found)) if found else None

@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Numbers of lanes handed out to hashed keys. Fixed, so that no setting of a session changes a number;
+#: many, so that each is a short sort and any number of tasks can share them.
+LANES = 4096
+
+
 def number_rows(
-    rows: DataFrame, key: str, name: str, base: Column | int = 0, lanes: int | None = None
+    rows: DataFrame, key: str, name: str, base: Column | int = 0, lanes: int = LANES
 ) -> DataFrame:
     """Add ``name``: a unique number above ``base`` for each row of a frame with unique ``key``.
 
     Keys are hashed into lanes, rows are counted inside their lane in key order, and lane ``i`` of
     ``n`` hands out ``i+1, i+1+n, i+1+2n, ...`` above the base. The numbers depend on the keys only,
-    so a task that is run again hands out the same ones, and no lane needs another lane's size.
+    so a task that is run again hands out the same ones, and no lane needs another lane's size. A
+    table of more than some million rows per lane deserves more lanes.
     """
-    if lanes is None:
-        lanes = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lane = f"pmod(xxhash64('lane', {key}), {lanes}L)"
     number = (
         f"(row_number() OVER (PARTITION BY {lane} ORDER BY {key}) - 1L) * {lanes}L + {lane} + 1L"

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.entities import ENTITIES, Entity, ForeignKey
+from tidemark.entities import ENTITIES, Entity
 from tidemark.functions.typing_rules import as_key
+from tidemark.operators.clean import faults
 
 TRANSITION = "stage_to_clean"
 
@@ -32,42 +33,65 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-def rows_in(stage: DataFrame, entity: Entity, distinct_key: bool = False) -> DataFrame:
-    """Stage rows, or with ``distinct_key`` the different parsed keys, so a re-sent key counts once."""
-    if distinct_key:
-        key = as_key(entity.column(entity.key).stage)
-        return stage.selectExpr(f"count(DISTINCT {key}) AS n")
-    return stage.selectExpr("1L AS n")
-
+def _marks(checks: list[str]) -> str:
+    """SQL for the marks of a row: (check, ref, slot, n), of which those without a check are left out."""
+    return f"filter(array({', '.join(checks)}), m -> m.check IS NOT NULL)"
 
-def lost_values(stage: DataFrame, clean: DataFrame, entity: Entity, column: str) -> DataFrame:
-    """The stage rows that hold text where the clean row of the same key holds NULL.
 
-    Only the clean rows that are NULL there take part, which the Parquet statistics narrow down. Stage
-    rows outside their key range are dropped while scanning, so a load that lost nothing moves no
-    stage row at all. A re-sent key is counted per stage row.
-    """
-    key = entity.key
-    suspects = clean.filter(f"{column} IS NULL").select(key)
-    bounds = suspects.selectExpr(f"struct(min({key}) AS low, max({key}) AS high)").scalar()
-    texts = stage.filter(f"{entity.column(column).stage} IS NOT NULL").selectExpr(
-        f"{as_key(entity.column(key).stage)} AS {key}"
+def _mark(check: str, ref: str, slot: int, when: str = "true") -> str:
+    return (
+        f"struct(CASE WHEN {when} THEN '{check}' END AS check, CAST({ref} AS bigint) AS ref,"
+        f" {slot} AS slot, 1L AS n)"
     )
-    near = texts.filter(F.col(key).between(bounds["low"], bounds["high"]))
-    return near.join(suspects, key).selectExpr("1L AS n")
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey, parent_key: str) -> DataFrame:
-    """Counts of child rows that reference no parent row.
+_PARENT = 2  # the slot of a row that others may refer to; 0 and 1 are those of the references
+
+
+def _references(entities: Sequence[Entity]) -> dict[tuple[str, str], int]:
+    """The slot of each reference (child, column) among those to its parent."""
+    slots: dict[tuple[str, str], int] = {}
+    taken: dict[str, int] = {}
+    for entity in entities:
+        for fk in entity.foreign_keys:
+            slots[entity.name, fk.column] = taken.get(fk.parent, 0)
+            taken[fk.parent] = slots[entity.name, fk.column] + 1
+    if max(taken.values(), default=0) > _PARENT:
+        raise ValueError("a table is referred to from more than two columns")
+    return slots
+
+
+def _stage_marks(stage: DataFrame, clean: DataFrame, entity: Entity, distinct_key: bool) -> DataFrame:
+    """What a stage table adds: its rows, or its keys and faulty rows, and the texts of suspect keys."""
+    key = as_key(entity.column(entity.key).stage)
+    name = entity.name
+    if distinct_key:
+        bad = f"({faults(stage, entity)}) IS NOT NULL"
+        marks = [_mark(f"in {name}", "NULL", 0, bad), _mark(f"key {name}", key, 0, f"NOT ({bad})")]
+    else:
+        marks = [_mark(f"in {name}", "NULL", 0)]
+    rows = stage
+    for column in entity.lost_value_columns:
+        # Only keys between those of clean rows without the value can have lost one.
+        bounds = clean.filter(f"{column} IS NULL").selectExpr(
+            f"struct(min({entity.key}) AS low, max({entity.key}) AS high)"
+        )
+        rows = rows.withColumn(f"_near_{column}", bounds.scalar())
+        near = f"{key} BETWEEN _near_{column}.low AND _near_{column}.high"
+        full = f"{entity.column(column).stage} IS NOT NULL"
+        marks.append(_mark(f"lost {name} {column}", key, 0, f"{full} AND {near}"))
+    return rows.selectExpr(f"inline({_marks(marks)})")
 
-    Children are counted per referenced key first, so a key that many rows share crosses the
-    shuffle as one row per task.
-    """
-    references = child.groupBy(fk.column).count().toDF("_ref", "_rows")
-    if not fk.null_is_orphan:
-        references = references.filter("_ref IS NOT NULL")
-    known = parent.selectExpr(f"{parent_key} AS _ref")
-    return references.join(known, "_ref", "left_anti").selectExpr("_rows AS n")
+
+def _clean_marks(clean: DataFrame, entity: Entity, slots: dict[tuple[str, str], int]) -> DataFrame:
+    """What a clean table adds: its rows, its keys, its references, and the keys that miss a value."""
+    marks = [_mark(f"out {entity.name}", "NULL", 0), _mark(f"ref {entity.name}", entity.key, _PARENT)]
+    for fk in entity.foreign_keys:
+        counts = "true" if fk.null_is_orphan else f"{fk.column} IS NOT NULL"
+        marks.append(_mark(f"ref {fk.parent}", fk.column, slots[entity.name, fk.column], counts))
+    for column in entity.lost_value_columns:
+        marks.append(_mark(f"lost {entity.name} {column}", entity.key, _PARENT, f"{column} IS NULL"))
+    return clean.selectExpr(f"inline({_marks(marks)})")
 
 
 def run_checks(
@@ -79,33 +103,53 @@ def run_checks(
     entities: Sequence[Entity] = tuple(ENTITIES.values()),
     distinct_key: bool = False,
 ) -> DataFrame:
-    """One log row per entity, in one job.
+    """One log row per entity, in one job that passes each table once.
+
+    A row leaves a few marks: that it is there, its key, what it refers to, whether it misses a value.
+    Marks are counted by check and referenced key, which combines inside each task, so a key that many
+    rows share crosses the shuffle as one row per task. An orphan is a reference whose key left no
+    mark of its own; a lost value is a text in stage whose key is marked as missing the value in clean.
 
-    Every check yields partial counts ``n`` under a check number. All of them are summed in a single
-    aggregation, which combines inside each task, and then folded into a row per table.
+    ``distinct_key``: rows in are the different keys that can be loaded, so a re-sent key counts once,
+    plus every row that cannot be loaded.
     """
-    labels, counts = [], []
-
-    def measure(table: int, kind: str, column: str, frame: DataFrame) -> None:
-        number = len(labels)
-        name = entities[table].name
-        labels.append(f"({number}, '{name}', {table + 1}, '{kind}', '{column}', 0L)")
-        counts.append(frame.selectExpr(f"{number} AS check", "n"))
-
-    for i, entity in enumerate(entities):
-        source, table = stage[entity.name], clean[entity.name]
-        measure(i, "in", "", rows_in(source, entity, distinct_key))
-        measure(i, "out", "", table.selectExpr("1L AS n"))
+    slots = _references(entities)
+    frames = []
+    for entity in entities:
+        frames.append(_stage_marks(stage[entity.name], clean[entity.name], entity, distinct_key))
+        frames.append(_clean_marks(clean[entity.name], entity, slots))
+    by_ref = reduce(DataFrame.unionAll, frames).groupBy("check", "ref").agg(
+        *[F.sum(F.when(F.col("slot") == i, F.col("n"))).alias(f"n{i}") for i in range(_PARENT + 1)]
+    )
+    totals = by_ref.groupBy("check").agg(
+        F.sum("n0").alias("rows"),
+        F.count("*").alias("refs"),
+        F.sum(F.when(F.col("n2").isNotNull(), F.col("n0"))).alias("hits"),
+        *[F.sum(F.when(F.col("n2").isNull(), F.col(f"n{i}"))).alias(f"orphans{i}") for i in range(_PARENT)],
+    )
+    labels = []
+
+    def label(entity: Entity, kind: str, column: str, check: str, value: str) -> None:
+        position = entities.index(entity) + 1
+        labels.append(f"({len(labels)}, '{entity.name}', {position}, '{kind}', '{column}', '{check}', '{value}')")
+
+    for entity in entities:
+        label(entity, "in", "", f"in {entity.name}", "rows")
+        if distinct_key:
+            label(entity, "in", "", f"key {entity.name}", "refs")
+        label(entity, "out", "", f"out {entity.name}", "rows")
         for column in entity.lost_value_columns:
-            measure(i, "lost", column, lost_values(source, table, entity, column))
+            label(entity, "lost", column, f"lost {entity.name} {column}", "hits")
         for fk in entity.foreign_keys:
-            missing = orphans(table, clean[fk.parent], fk, ENTITIES[fk.parent].key)
-            measure(i, "fk", fk.column, missing)
-    names = "check, table_name, position, kind, column, zero"
-    known = source.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(labels)} AS t({names})")
-    nothing = known.selectExpr("check", "zero AS n")
-    totals = reduce(DataFrame.unionAll, [nothing, *counts]).groupBy("check").agg(F.sum("n").alias("n"))
-    return _log_rows(totals.join(known, "check"), batch_id, batch_ts, last_run_id)
+            label(entity, "fk", fk.column, f"ref {fk.parent}", f"orphans{slots[entity.name, fk.column]}")
+    names = "number, table_name, position, kind, column, check, value"
+    spark = stage[entities[0].name].sparkSession
+    known = spark.sql(f"SELECT * FROM VALUES {', '.join(labels)} AS t({names})")
+    values = ", ".join(f"'{v}', {v}" for v in ("rows", "refs", "hits", "orphans0", "orphans1"))
+    counts = known.join(totals, "check", "left").selectExpr(
+        "number AS check", "table_name", "position", "kind", "column", f"coalesce(map({values})[value], 0L) AS n"
+    )
+    return _log_rows(counts, batch_id, batch_ts, last_run_id)
 
 
 def _log_rows(
@@ -118,8 +162,8 @@ def _log_rows(
         "concat(f.column, ':', CASE WHEN f.n = 0 THEN 'PASS' ELSE concat('FAIL(', f.n, ')') END)"
     )
     folded = counts.groupBy("table_name", "position").agg(
-        F.expr("max(CASE WHEN kind = 'in' THEN n END) AS rows_in"),
-        F.expr("max(CASE WHEN kind = 'out' THEN n END) AS rows_out"),
+        F.expr("sum(CASE WHEN kind = 'in' THEN n ELSE 0 END) AS rows_in"),
+        F.expr("sum(CASE WHEN kind = 'out' THEN n ELSE 0 END) AS rows_out"),
         F.expr("sum(CASE WHEN kind = 'lost' THEN n ELSE 0 END) AS lost"),
         F.expr("sum(CASE WHEN kind = 'fk' THEN n ELSE 0 END) AS orphans"),
         F.expr(f"{references} AS refs"),
@@ -151,23 +195,27 @@ def gate(
     now: datetime | None = None,
     batch_id: str | None = None,
     window: timedelta = timedelta(minutes=5),
+    expected: int = len(ENTITIES),
 ) -> DataFrame:
     """One row (status, fail_count, message): may the next layer run?
 
-    With ``batch_id`` the failures of that batch block; otherwise any failure of the last
-    ``window``, its first instant included.
+    With ``batch_id`` the failures of that batch block, and so does a batch of which not all
+    ``expected`` tables were checked; otherwise any failure of the last ``window``, its first instant
+    included.
     """
-    failed = log.filter("overall_status = 'FAIL'")
     if batch_id is not None:
-        failed = failed.filter(F.col("batch_id") == batch_id)
+        rows, least = log.filter(F.col("batch_id") == batch_id), expected
     else:
         since = (now - window).isoformat(sep=" ")
-        failed = failed.filter(f"run_ts >= CAST('{since}' AS timestamp)")
-    return failed.selectExpr("count(*) AS fail_count").selectExpr(
-        "CASE WHEN fail_count > 0 THEN 'SKIPPED' ELSE 'OK' END AS status",
+        rows, least = log.filter(f"run_ts >= CAST('{since}' AS timestamp)"), 0
+    return rows.selectExpr(
+        "count_if(overall_status = 'FAIL') AS fail_count", "count(DISTINCT table_name) AS checked"
+    ).selectExpr(
+        f"CASE WHEN fail_count > 0 OR checked < {least} THEN 'SKIPPED' ELSE 'OK' END AS status",
         "fail_count",
         "CASE WHEN fail_count > 0"
         " THEN concat('refresh held back: ', fail_count, ' failed check(s)')"
+        f" WHEN checked < {least} THEN concat('refresh held back: ', checked, ' of {least} tables checked')"
         " ELSE 'refresh may run' END AS message",
     )
 

@@ -73,6 +73,8 @@ def scd2_step(
             f" WHEN _number IS NOT NULL AND {differs(dim, null_safe)} THEN array({closed}, {opened})"
             f" ELSE array({kept}) END)"
         )
+        # Expressions drop the column tags.
+        .to(dimension_schema(dim))
     )
 
 
@@ -87,4 +89,4 @@ def scd2(
     table = table.select(*dimension_schema(dim).fieldNames())
     current = table.filter("is_current")
     step = scd2_step(current, source, dim, batch_ts, highest(table, dim.surrogate), null_safe)
-    return table.filter("NOT is_current").unionByName(step)
+    return table.filter("NOT is_current").unionByName(step).to(dimension_schema(dim))

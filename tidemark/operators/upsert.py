@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.entities import Entity
-from tidemark.functions.typing_rules import as_key, as_timestamp, moment
+from tidemark.functions.typing_rules import moment
 from tidemark.operators.clean import clean_rows
 from tidemark.operators.numbering import highest, number_rows
 
@@ -35,19 +36,40 @@ def merge(target: DataFrame, source: DataFrame, key: str, overwrite: Sequence[st
         test = "_in_source IS NOT NULL" if name in overwrite else "_in_target IS NULL"
         return f"CASE WHEN {test} THEN _new_{name} ELSE {name} END AS {name}"
 
-    return left.join(right, key, "full_outer").selectExpr(*[pick(c) for c in target.columns])
+    merged = left.join(right, key, "full_outer").selectExpr(*[pick(c) for c in target.columns])
+    # Expressions drop the column tags.
+    return merged.to(optional(target.schema))
 
 
-def prepare_batch(
-    stage: DataFrame, entity: Entity, base: Column | int, batch_ts: datetime
-) -> tuple[DataFrame, DataFrame]:
-    """A stage batch as insertable rows (numbered above ``base``) and its rejects."""
+def optional(schema: T.StructType) -> T.StructType:
+    """The schema with its tags, every column nullable."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
+def numbered_new(rows: DataFrame, target: DataFrame, key: str, name: str, base: Column | int) -> DataFrame:
+    """``rows`` with a number above ``base`` for each key that the target lacks; NULL for the others.
+
+    Only new keys are numbered, and as a narrow frame: a batch of updates moves none of its rows for it.
+    """
+    new = rows.select(key).join(target.select(key), key, "left_anti")
+    return rows.join(number_rows(new, key, name, base), key, "left")
+
+
+def prepare_batch(stage: DataFrame, entity: Entity, batch_ts: datetime) -> tuple[DataFrame, DataFrame]:
+    """A stage batch as typed rows, one per key, copied at the batch time; and its rejects."""
     rows, rejects = clean_rows(stage, entity)
-    rows = number_rows(rows, entity.key, entity.surrogate, base)
-    names = [c for c in entity.clean_schema().fieldNames() if c != "_copy_ts"]
+    names = [c for c in rows.columns if c != "_copy_ts"]
     return rows.selectExpr(*names, f"{moment(batch_ts)} AS _copy_ts"), rejects
 
 
+def apply_rows(
+    target: DataFrame, rows: DataFrame, entity: Entity, base: Column | int, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The target after a prepared batch; ``extra`` columns, if any, are overwritten as well."""
+    rows = numbered_new(rows, target, entity.key, entity.surrogate, base)
+    return merge(target, rows, entity.key, (*entity.overwritten, *extra))
+
+
 def upsert(
     target: DataFrame,
     stage: DataFrame,
@@ -56,10 +78,10 @@ def upsert(
     strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply one stage batch to the clean table; returns the new table and the rejected rows."""
-    rows, rejects = prepare_batch(stage, entity, highest(target, entity.surrogate), batch_ts)
+    rows, rejects = prepare_batch(stage, entity, batch_ts)
     if strict:
         require_none(rejects, entity)
-    return merge(target, rows, entity.key, entity.overwritten), rejects
+    return apply_rows(target, rows, entity, highest(target, entity.surrogate)), rejects
 
 
 def require_none(rejects: DataFrame, entity: Entity) -> None:
@@ -72,21 +94,13 @@ def backfill_dates(
 ) -> DataFrame:
     """Re-derive the audit dates of matched keys from stage text, overwriting even with NULL.
 
-    A key sent several times takes the dates of its latest copy.
+    A key sent several times takes both dates of the one row that an upsert would choose.
     """
-    dates = {"created_dt": "created_date", "modified_dt": "modified_date"}
-    key, text_key = entity.key, as_key(entity.column(entity.key).stage)
-    parsed = ", ".join(f"{as_timestamp(s, pattern)} AS _new_{c}" for c, s in dates.items())
-    fresh = (
-        stage.filter(f"{text_key} IS NOT NULL")
-        .selectExpr(f"{text_key} AS {key}", f"struct(_copy_ts, _stg_file_name, {parsed}) AS _row")
-        .groupBy(key)
-        .agg(F.max("_row").alias("_row"))
-        .selectExpr(key, "true AS _hit", *[f"_row._new_{c}" for c in dates])
-    )
-    return table.join(fresh, key, "left").selectExpr(
-        *[
-            f"CASE WHEN _hit THEN _new_{c} ELSE {c} END AS {c}" if c in dates else c
-            for c in table.columns
-        ]
-    )
+    dates = ("created_dt", "modified_dt")
+    columns = tuple(replace(c, pattern=pattern) if c.name in dates else c for c in entity.columns)
+    winner, _ = clean_rows(stage, replace(entity, columns=columns))
+    fresh = winner.selectExpr(entity.key, "true AS _hit", *[f"{c} AS _new_{c}" for c in dates])
+    picked = [
+        f"CASE WHEN _hit THEN _new_{c} ELSE {c} END AS {c}" if c in dates else c for c in table.columns
+    ]
+    return table.join(fresh, entity.key, "left").selectExpr(*picked).to(optional(table.schema))

@@ -1,12 +1,14 @@
 """The layered job: land, clean, check, and, if the checks allow it, refresh the consumption layer.
 
-All state is in tables below one root folder, so any step can be run again after a failure.
+All state is in tables below one root folder. Every step can be run again after a failure: how far a
+step has come is noted only after its table is written, and applying a batch twice changes nothing.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import partial
@@ -15,14 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.entities import DIMENSIONS, ENTITIES, Entity, dimension_schema
-from tidemark.operators import consumption, quality
+from tidemark.entities import DIMENSIONS, ENTITIES, Dimension, Entity, dimension_schema
+from tidemark.operators import consumption, governance, quality
+from tidemark.operators.clean import reject_schema
+from tidemark.operators.joins import rows_with
 from tidemark.operators.scd2 import scd2_step
-from tidemark.operators.upsert import backfill_dates, merge, prepare_batch, require_none
-from tidemark.sources.shared import side_by_side
-from tidemark.sources.snapshots import SnapshotStore, Slicing, Version, by_key_range, empty, read_appended
+from tidemark.operators.upsert import apply_rows, backfill_dates, prepare_batch, require_none
+from tidemark.plans import reports
+from tidemark.sources.shared import scratch, side_by_side, written
+from tidemark.sources.tables import BUCKETS, bucket_of, parts_of, read_table, replace_parts
 from tidemark.streaming import feed
 
+BUCKET, MONTH = "_bucket", "_month"
+#: Which refresh of the clean layer wrote a row last.
+BATCH = T.StructField("_batch", T.LongType())
+_MARK = T.StructType([T.StructField("seq", T.LongType()), T.StructField("note", T.StringType())])
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -40,7 +50,8 @@ class LayeredJob:
     """Nine entities through three layers.
 
     ``landing`` holds one folder of text extracts per entity. ``gate_mode`` is ``batch`` (failures
-    of this run block) or ``window`` (any failure of the last five minutes blocks).
+    of this run block) or ``window`` (any failure of the last five minutes blocks). A table is kept in
+    ``buckets`` partitions by a hash of its key, the fact in one per month of order date.
     """
 
     def __init__(
@@ -48,7 +59,7 @@ class LayeredJob:
         spark: SparkSession,
         root: str,
         landing: str,
-        slicing: Slicing | None = None,
+        buckets: int = BUCKETS,
         gate_mode: str = "batch",
         distinct_key: bool = False,
         strict: bool = False,
@@ -59,51 +70,98 @@ class LayeredJob:
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing.rstrip("/")
-        self.slicing = slicing or by_key_range()
+        self.buckets = buckets
         self.gate_mode = gate_mode
         self.distinct_key = distinct_key
         self.strict = strict
         self.files_per_batch = files_per_batch
-        self.clean_store = SnapshotStore(spark, f"{self.root}/clean")
-        self.consumption_store = SnapshotStore(spark, f"{self.root}/consumption")
 
     # Tables
 
     def stage(self, name: str) -> DataFrame:
-        schema = feed.stage_table_schema(ENTITIES[name])
-        return self._appended(f"{self.root}/stage/{name}", schema)
+        return read_table(self.spark, f"{self.root}/stage/{name}", feed.stage_table_schema(ENTITIES[name]))
 
     def clean(self, name: str) -> DataFrame:
-        return self.clean_store.read(name, ENTITIES[name].clean_schema())
+        return self._clean(name).select(*ENTITIES[name].clean_schema().fieldNames())
+
+    def _clean(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
+        schema = T.StructType([*ENTITIES[name].clean_schema().fields, BATCH])
+        return read_table(self.spark, f"{self.root}/clean/{name}", schema, BUCKET, parts)
 
     def rejects(self, name: str) -> DataFrame:
-        schema = ENTITIES[name].clean_schema().add("reject_reason", "string").add("batch", "string")
-        return self._appended(f"{self.root}/rejects/{name}", schema)
+        schema = T.StructType([*reject_schema(ENTITIES[name]).fields, T.StructField("batch", T.StringType())])
+        return read_table(self.spark, f"{self.root}/rejects/{name}", schema)
+
+    def _dimension(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
+        schema = dimension_schema(DIMENSIONS[name])
+        return read_table(self.spark, f"{self.root}/consumption/{name}", schema, BUCKET, parts)
 
     def dimension(self, name: str, current_only: bool = False) -> DataFrame:
-        """All versions, or only the folders of the open ones, whatever the length of the history."""
-        version = self.consumption_store.version(name)
-        slices = [s for s in version.paths if s.startswith("open_")] if current_only else None
-        return self.consumption_store.read(
-            name, dimension_schema(DIMENSIONS[name]), slices, version
-        )
+        """All versions, or only the open ones."""
+        versions = self._dimension(name).drop(BUCKET)
+        return versions.filter("is_current") if current_only else versions
 
     def address_dim(self) -> DataFrame:
-        return self.consumption_store.read("customer_address_dim", consumption.ADDRESS_DIM_SCHEMA)
+        return self._addresses().drop(BUCKET)
+
+    def _addresses(self, parts: Iterable[int] | None = None) -> DataFrame:
+        path = f"{self.root}/consumption/customer_address_dim"
+        return read_table(self.spark, path, consumption.ADDRESS_DIM_SCHEMA, BUCKET, parts)
 
     def date_dim(self) -> DataFrame:
-        return self.consumption_store.read(
-            "date_dim", consumption.date_dim(empty(self.spark, _orders_schema())).schema
-        )
+        path = f"{self.root}/consumption/date_dim"
+        return read_table(self.spark, path, consumption.DATE_DIM_SCHEMA, BUCKET).drop(BUCKET)
+
+    def _fact(self, months: Iterable[int] | None = None) -> DataFrame:
+        path = f"{self.root}/consumption/order_item_fact"
+        rows = read_table(self.spark, path, consumption.FACT_SCHEMA, MONTH, months)
+        # A month that has lost all its rows is kept as one row without an item.
+        return rows.filter("order_item_id IS NOT NULL")
 
     def fact(self) -> DataFrame:
-        return self.consumption_store.read("order_item_fact", consumption.FACT_SCHEMA)
+        return self._fact().drop(MONTH)
 
     def log(self) -> DataFrame:
-        return self._appended(f"{self.root}/common/dq_log", quality.LOG_SCHEMA)
-
-    def _appended(self, path: str, schema: T.StructType) -> DataFrame:
-        return read_appended(self.spark, path, schema)
+        return read_table(self.spark, f"{self.root}/common/dq_log", quality.LOG_SCHEMA)
+
+    def view(self, name: str, role: str) -> DataFrame:
+        """A clean table, its rejects (``<entity>_rejects``) or a dimension, as ``role`` may see it."""
+        if name in DIMENSIONS:
+            return governance.masked(self.dimension(name), role, DIMENSIONS[name])
+        entity = name.removesuffix("_rejects")
+        rows = self.clean(entity) if entity == name else self.rejects(entity)
+        return governance.masked(rows, role, ENTITIES[entity])
+
+    def create_views(self) -> None:
+        """The reports as named views of this session, for SQL."""
+        agents, restaurants = (self.dimension(f"{n}_dim") for n in ("delivery_agent", "restaurant"))
+        fact = self.fact()
+        views = {
+            "monthly_revenue": reports.monthly_revenue(fact, self.date_dim()),
+            "revenue_by_cuisine": reports.revenue_by_cuisine(fact, restaurants),
+            "delivery_performance": reports.delivery_performance(fact, agents),
+            "latest_dq_status": quality.latest_status(self.log()),
+        }
+        for name, frame in views.items():
+            frame.createOrReplaceTempView(name)
+
+    # How far each table has come
+
+    def _marks(self, name: str) -> DataFrame:
+        return read_table(self.spark, f"{self.root}/common/marks/{name}", _MARK)
+
+    def _mark(self, name: str) -> dict[str, int]:
+        """What the last finished refresh of a table had seen; empty before the first."""
+        last = self._marks(name).orderBy(F.desc("seq")).first()
+        return json.loads(last.note) if last else {}
+
+    def _set_mark(self, name: str, seen: dict[str, int]) -> None:
+        seq = self._marks(name).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+        row = self.spark.createDataFrame([(seq, json.dumps(seen, sort_keys=True))], _MARK)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/common/marks/{name}")
+
+    def _last_batch(self, entity: str) -> int:
+        return self._clean(entity).agg(F.coalesce(F.max("_batch"), F.lit(0))).first()[0]
 
     # Stage to clean
 
@@ -123,72 +181,54 @@ class LayeredJob:
         marks = f"{self.root}/_checkpoints/{entity.name}"
         landing = f"{self.landing}/{entity.name}"
         feed.land(self.spark, entity, landing, stage, f"{marks}/land", self.files_per_batch)
-        schema = feed.stage_table_schema(entity)
         feed.drain(
-            feed.changes(self.spark, schema, stage, self.files_per_batch),
+            feed.changes(self.spark, feed.stage_table_schema(entity), stage, self.files_per_batch),
             f"{marks}/clean",
             lambda rows, tag: self.apply_batch(entity, rows, tag, batch_ts or utc_now()),
         )
 
     def apply_batch(self, entity: Entity, stage: DataFrame, tag: str, batch_ts: datetime) -> None:
-        """Upsert one feed batch into the slices its keys fall in. A batch already applied is skipped."""
-        before = self.clean_store.version(entity.name)
-        if before.note == tag:
-            return
-        rows, rejects = prepare_batch(stage, entity, before.top_number, batch_ts)
+        """Upsert one feed batch into the partitions its keys fall in.
+
+        Applied again, say after a failure half-way, it finds its own rows and leaves the same table.
+        """
+        rows, rejects = prepare_batch(stage, entity, batch_ts)
         if self.strict:
             require_none(rejects, entity)
-        # Ahead of the commit: once that is made, a batch handed over again is skipped.
         number = tag.rsplit("#", 1)[-1]
         rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/{entity.name}/batch={number}")
-        rows = rows.persist()
-        try:
-            key = F.col(entity.key)
-            # As many names as the batch touches slices.
-            touched = [
-                r[0] for r in rows.select(self.slicing(key).alias("s")).distinct().collect()
-            ]
-            if touched:
-                target = self.clean_store.read(
-                    entity.name, entity.clean_schema(), touched, before
-                )
-                merged = merge(target, rows, entity.key, entity.overwritten)
-                self.clean_store.commit(
-                    entity.name,
-                    merged,
-                    self.slicing(key),
-                    touched,
-                    surrogate=entity.surrogate,
-                    note=tag,
-                    before=before,
-                )
-        finally:
-            rows.unpersist()
+        rows = written(rows, scratch(self.spark, f"batch-{entity.name}"))
+        touched = parts_of(rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets)), BUCKET)
+        if not touched:
+            return
+        zero = F.lit(0).cast("long")
+        batch, top = self._clean(entity.name).agg(
+            F.coalesce(F.max("_batch"), zero), F.coalesce(F.max(entity.surrogate), zero)
+        ).first()
+        target = self._clean(entity.name, touched).drop(BUCKET)
+        rows = rows.withColumn("_batch", F.lit(batch + 1))
+        merged = apply_rows(target, rows, entity, top, extra=("_batch",))
+        self._store_clean(entity, merged)
+
+    def _store_clean(self, entity: Entity, rows: DataFrame) -> None:
+        rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
+        replace_parts(rows, f"{self.root}/clean/{entity.name}", BUCKET)
 
     def repair_dates(self, name: str, pattern: str | None) -> None:
         """Re-derive a clean table's audit dates from all its stage rows, read with ``pattern``.
 
-        The upsert never changes a creation date, so one that was read wrongly stays until this.
+        The upsert never changes a creation date, so one that was read wrongly stays until this. The
+        rows count as written anew.
         """
         entity = ENTITIES[name]
-        before = self.clean_store.version(name)
-        repaired = backfill_dates(self.clean(name), self.stage(name), entity, pattern)
-        self.clean_store.commit(
-            name,
-            repaired,
-            self.slicing(F.col(entity.key)),
-            None,
-            entity.surrogate,
-            before.note,
-            before,
-        )
+        table = self._clean(name).drop(BUCKET).withColumn("_batch", F.lit(self._last_batch(name) + 1))
+        self._store_clean(entity, backfill_dates(table, self.stage(name), entity, pattern))
 
     # Checks
 
     def refresh_checks(self, batch_id: str, batch_ts: datetime | None = None) -> str:
         """Append one log row per entity; the checks read the whole stage and clean tables."""
-        log = self.log()
-        last = log.agg(F.coalesce(F.max("run_id"), F.lit(0).cast("bigint"))).scalar()
+        last = self.log().agg(F.coalesce(F.max("run_id"), F.lit(0).cast("bigint"))).first()[0]
         rows = quality.run_checks(
             {n: self.stage(n) for n in ENTITIES},
             {n: self.clean(n) for n in ENTITIES},
@@ -211,142 +251,117 @@ class LayeredJob:
 
     # Clean to consumption
 
-    def refresh_consumption(self, batch_id: str, batch_ts: datetime | None = None) -> RefreshResult:
-        """Dimensions, calendar and fact, unless the gate says no: then nothing is touched."""
+    def refresh_consumption(
+        self, batch_id: str, batch_ts: datetime | None = None, release: bool = False
+    ) -> RefreshResult:
+        """Dimensions, calendar and fact, unless the gate says no: then nothing is touched.
+
+        ``release`` lets a held-back refresh pass, by someone's decision.
+        """
         batch_ts = batch_ts or utc_now()
         verdict = self.gate(batch_id, batch_ts)
-        if verdict.status != "OK":
+        if verdict.status != "OK" and not release:
             return verdict
-        dimensions = [partial(self._refresh_dimension, n, batch_ts) for n in DIMENSIONS]
+        dimensions = [partial(self._refresh_dimension, d, batch_ts) for d in DIMENSIONS.values()]
         side_by_side(
             self.spark, [*dimensions, self._refresh_address_dim, self._refresh_calendar]
         )
         self._refresh_fact()
-        return RefreshResult("OK", 0, "consumption layer refreshed", batch_id)
+        message = "consumption layer refreshed" if verdict.status == "OK" else "refresh released"
+        return RefreshResult("OK", verdict.fail_count, message, batch_id)
 
-    def _clean_slices(self, entity: str, before: Version) -> tuple[Version, list[str]]:
-        """The clean slices written since the version that ``before`` was built from."""
-        source = self.clean_store.version(entity)
-        return source, source.slices_since(int(before.note or 0))
+    def _changed(self, entity: str, since: int) -> DataFrame:
+        """The clean rows written since a batch."""
+        return self._clean(entity).filter(F.col("_batch") > since)
 
-    def _refresh_dimension(self, name: str, batch_ts: datetime) -> None:
-        dim = DIMENSIONS[name]
+    def _refresh_dimension(self, dim: Dimension, batch_ts: datetime) -> None:
         entity = ENTITIES[dim.entity]
-        before = self.consumption_store.version(name)
-        source, changed = self._clean_slices(entity.name, before)
-        if not changed:
+        since, now = self._mark(dim.name).get("batch", 0), self._last_batch(entity.name)
+        if now <= since:
             return
-        schema = dimension_schema(dim)
-        open_slices = [f"open_{s}" for s in changed]
-        step = scd2_step(
-            self.consumption_store.read(name, schema, open_slices, before),
-            self.clean_store.read(entity.name, entity.clean_schema(), changed, source),
-            dim,
-            batch_ts,
-            before.top_number,
-        )
-        slice_of = F.when(
-            F.col("is_current"), F.concat(F.lit("open_"), self.slicing(F.col(entity.key)))
-        ).otherwise(F.lit(f"closed_{before.number + 1}"))
-        self.consumption_store.commit(
-            name, step, slice_of, open_slices, dim.surrogate, str(source.number), before
-        )
+        changed = self._changed(entity.name, since)
+        touched = parts_of(changed, BUCKET)
+        top = self._dimension(dim.name).agg(F.coalesce(F.max(dim.surrogate), F.lit(0).cast("long"))).first()[0]
+        versions = self._dimension(dim.name, touched).drop(BUCKET)
+        step = scd2_step(versions.filter("is_current"), changed, dim, batch_ts, top)
+        # A bucket holds the open and the closed versions of its keys, so both change together.
+        rows = versions.filter("NOT is_current").unionByName(step)
+        rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
+        replace_parts(rows, f"{self.root}/consumption/{dim.name}", BUCKET)
+        self._set_mark(dim.name, {"batch": now})
 
     def _refresh_address_dim(self) -> None:
         name, entity = "customer_address_dim", ENTITIES["customer_address"]
-        before = self.consumption_store.version(name)
-        source, changed = self._clean_slices(entity.name, before)
-        if not changed:
+        since, now = self._mark(name).get("batch", 0), self._last_batch(entity.name)
+        if now <= since:
             return
-        merged = consumption.address_dim(
-            self.consumption_store.read(name, consumption.ADDRESS_DIM_SCHEMA, changed, before),
-            self.clean_store.read(entity.name, entity.clean_schema(), changed, source),
-        )
-        self.consumption_store.commit(
-            name,
-            merged,
-            self.slicing(F.col(entity.key)),
-            changed,
-            "customer_address_dim_sk",
-            str(source.number),
-            before,
-        )
+        changed = self._changed(entity.name, since)
+        merged = consumption.address_dim(self._addresses(parts_of(changed, BUCKET)).drop(BUCKET), changed)
+        rows = merged.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
+        replace_parts(rows, f"{self.root}/consumption/{name}", BUCKET)
+        self._set_mark(name, {"batch": now})
 
     def _refresh_calendar(self) -> None:
-        before = self.consumption_store.version("date_dim")
-        source, changed = self._clean_slices("orders", before)
-        if changed:
-            self.consumption_store.commit(
-                "date_dim",
-                consumption.date_dim(self.clean("orders")),
-                F.lit("all"),
-                None,
-                note=str(source.number),
-                before=before,
-            )
+        name = "date_dim"
+        since, now = self._mark(name).get("batch", 0), self._last_batch("orders")
+        if now > since:
+            days = consumption.date_dim(self.clean("orders")).withColumn(BUCKET, F.lit(0))
+            replace_parts(days.coalesce(1), f"{self.root}/consumption/{name}", BUCKET)
+            self._set_mark(name, {"batch": now})
 
-    def _refresh_fact(self) -> None:
-        """Re-join the items that anything relevant happened to since the last refresh.
+    def _top(self, dim: Dimension) -> int:
+        return self._dimension(dim.name).agg(F.coalesce(F.max(dim.surrogate), F.lit(0).cast("long"))).first()[0]
 
-        The result equals re-joining every item: an item is left out only if its own row, its order,
-        its delivery and the dimension versions it points to are all as they were.
-        """
+    def _refresh_fact(self) -> None:
+        """Re-join the items that anything relevant happened to since the last refresh."""
         name = "order_item_fact"
-        before = self.consumption_store.version(name)
-        inputs = {n: self.clean_store.version(n) for n in ("orders", "delivery", "order_item")}
-        dim_versions = {n: self.consumption_store.version(n) for n in DIMENSIONS}
-        marks = {n: v.number for n, v in inputs.items()}
-        marks |= {n: v.top_number for n, v in dim_versions.items()}
-        note = json.dumps(marks, sort_keys=True)
-        if before.note == note:
+        since = self._mark(name)
+        now = {n: self._last_batch(n) for n in ("orders", "delivery", "order_item")}
+        now |= {d.name: self._top(d) for d in DIMENSIONS.values()}
+        if since == now:
             return
-        clean = {n: self.clean(n) for n in inputs}
+        clean = {n: self.clean(n) for n in ("orders", "delivery", "order_item")}
         dims = {n: self.dimension(n, current_only=True) for n in DIMENSIONS}
         dims["date_dim"] = self.date_dim()
-        items = clean["order_item"]
-        if before.note is not None:
-            since = json.loads(before.note)
-            written = {
-                n: self.clean_store.read(
-                    n, ENTITIES[n].clean_schema(), inputs[n].slices_since(since[n]), inputs[n]
-                )
-                for n in ("orders", "delivery")
-            }
-            renewed = {
-                n: dims[n].filter(F.col(DIMENSIONS[n].surrogate) > since[n]) for n in DIMENSIONS
-            }
-            new_slices = inputs["order_item"].slices_since(since["order_item"])
-            items = consumption.items_to_refresh(
-                clean,
-                written,
-                renewed,
-                dims["restaurant_dim"],
-                self.slicing(F.col("order_item_id")).isin(new_slices),
-            )
-        items = items.persist()
-        try:
-            if before.note is not None:
-                wanted = items.select("order_id").distinct()
-                for n in ("orders", "delivery"):
-                    clean[n] = clean[n].join(wanted, "order_id", "left_semi")
-            rows = consumption.build_fact(clean | {"order_item": items}, dims)
-            item = F.col("order_item_id")
-            # As many names as the refresh touches slices.
-            touched = [
-                r[0] for r in items.select(self.slicing(item).alias("s")).distinct().collect()
-            ]
-            target = self.consumption_store.read(name, consumption.FACT_SCHEMA, touched, before)
-            self.consumption_store.commit(
-                name,
-                consumption.upsert_fact(target, rows),
-                self.slicing(item),
-                touched,
-                "order_item_fact_sk",
-                note,
-                before,
-            )
-        finally:
-            items.unpersist()
+        path = f"{self.root}/consumption/{name}"
+        if since:
+            items = written(self._items_since(since, clean, dims), scratch(self.spark, "changed-items"))
+            clean["order_item"] = items
+            for n in ("orders", "delivery"):
+                wanted = rows_with(clean[n], items, "order_id")
+                clean[n] = clean[n].limit(0) if wanted is None else wanted
+            self._replace_facts(path, items, consumption.build_fact(clean, dims))
+        else:
+            replace_parts(with_month(consumption.build_fact(clean, dims)), path, MONTH)
+        self._set_mark(name, now)
+
+    def _items_since(
+        self, since: dict[str, int], clean: dict[str, DataFrame], dims: dict[str, DataFrame]
+    ) -> DataFrame:
+        changed = {n: self._changed(n, since[n]).select(*frame.columns) for n, frame in clean.items()}
+        renewed = {n: dims[n].filter(F.col(d.surrogate) > since[n]) for n, d in DIMENSIONS.items()}
+        orders = consumption.orders_to_refresh(clean, changed, renewed, dims["restaurant_dim"])
+        return consumption.items_to_refresh(
+            clean["order_item"], changed["order_item"], orders, renewed["menu_dim"]
+        )
+
+    def _replace_facts(self, path: str, items: DataFrame, rows: DataFrame) -> None:
+        """Merge new fact rows into the months they fall in and the months they were in.
+
+        A refresh that failed half-way can have left an item in both; it is reduced to one row first.
+        """
+        rows = written(with_month(rows), scratch(self.spark, "changed-facts"))
+        stored = rows_with(self._fact(), items, "order_item_id")
+        months = set(parts_of(rows, MONTH)) | (set(parts_of(stored, MONTH)) if stored is not None else set())
+        if not months:
+            return
+        target = self._fact(months).drop(MONTH).dropDuplicates(["order_item_id"])
+        merged = with_month(consumption.upsert_fact(target, rows.drop(MONTH)))
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in consumption.FACT_SCHEMA)
+        kept = self.spark.sql(
+            f"SELECT {nothing}, m AS {MONTH} FROM (SELECT explode(array({', '.join(map(str, sorted(months)))})) AS m)"
+        )
+        replace_parts(merged.unionByName(kept), path, MONTH)
 
     # The chain
 
@@ -357,5 +372,6 @@ class LayeredJob:
         return self.refresh_consumption(batch_id, batch_ts)
 
 
-def _orders_schema():
-    return ENTITIES["orders"].clean_schema()
+def with_month(fact: DataFrame) -> DataFrame:
+    """Fact rows with the month of their order date, as yyyymm."""
+    return fact.withColumn(MONTH, F.expr("date_dim_sk DIV 100").cast("int"))

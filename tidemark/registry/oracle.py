@@ -6,6 +6,7 @@ shows up as a difference. Only the role text of ``roles.py`` is shared.
 
 from __future__ import annotations
 
+from tidemark.entities import ENTITIES
 from tidemark.registry import roles
 
 FIRST, SECOND = "2024-03-01 00:00:00", "2024-03-02 00:00:00"
@@ -69,6 +70,7 @@ REQUIRED = {
     "delivery": ("delivery_id", "order_id", "delivery_agent_id"),
 }
 
+# Names and order equal the tables this SQL describes.
 # Columns beside the key, in table order; the second list is overwritten by an upsert.
 OTHERS = {
     "location": "city state zipcode active_flag created_dt modified_dt",
@@ -170,6 +172,7 @@ def _upsert_oracle(entity: str) -> str:
     )
 
 
+# Fixed by what each dimension tracks.
 SCD2 = {
     # entity: (carried columns, change test between old o and new n)
     "location": (
@@ -202,6 +205,11 @@ SCD2 = {
 
 
 def _scd2_oracle(entity: str) -> str:
+    columns = [KEY[entity], *SCD2[entity][0].split()]
+    return f"SELECT {_portable(columns)}, eff_start_date, eff_end_date, is_current FROM ({_versions(entity)}) v"
+
+
+def _versions(entity: str) -> str:
     carried, test = SCD2[entity]
     key = KEY[entity]
     columns = [key, *carried.split()]
@@ -217,7 +225,7 @@ versions AS (
   UNION ALL
   SELECT {new}, '{SECOND}', NULL, TRUE
   FROM n LEFT JOIN o ON o.{key} = n.{key} WHERE o.{key} IS NULL OR coalesce({test}, FALSE))
-SELECT {_portable(columns)}, eff_start_date, eff_end_date, is_current FROM versions"""
+SELECT * FROM versions"""
 
 
 def _rejects_oracle() -> str:
@@ -234,17 +242,6 @@ def _rejects_oracle() -> str:
     return " UNION ALL ".join(parts)
 
 
-FACT_JOIN = """
-FROM order_item oi
-JOIN orders_c o ON oi.order_id = o.order_id
-JOIN delivery_c dl ON o.order_id = dl.order_id
-JOIN customer_c cu ON o.customer_id = cu.customer_id
-JOIN {restaurant} r ON o.restaurant_id = r.restaurant_id
-JOIN location_c lo ON r.location_id = lo.location_id
-JOIN menu_c m ON oi.menu_id = m.menu_id
-JOIN delivery_agent_c da ON dl.delivery_agent_id = da.delivery_agent_id"""
-
-
 def _with_roles(*extra: str) -> str:
     """The clean tables of a first load as CTEs (``order_item`` keeps its name)."""
     ctes = [
@@ -253,53 +250,101 @@ def _with_roles(*extra: str) -> str:
     return "WITH " + ", ".join([*ctes, *extra])
 
 
+def _headers(orders: str = "orders_c", delivery: str = "delivery_c", restaurant: str = "restaurant_c") -> str:
+    """What an order gives each of its items: itself, its latest delivery, its restaurant's place, its customer."""
+    return f"""SELECT * FROM (
+  SELECT order_id, order_date, status AS order_status, payment_method, customer_id, restaurant_id, location_id,
+         cuisine_type, delivery_agent_id, agent_name, vehicle_type, rating, delivery_status, estimated_time
+  FROM {orders}
+  JOIN (SELECT restaurant_id, cuisine_type, location_id FROM {restaurant} SEMI JOIN location_c USING (location_id)) place
+    USING (restaurant_id)
+  JOIN (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sent DESC, delivery_id DESC) AS newest
+        FROM (SELECT order_id, delivery_id, delivery_agent_id, delivery_status, estimated_time, {_sent(delivery)} AS sent
+              FROM {delivery}) d
+        JOIN (SELECT delivery_agent_id, name AS agent_name, vehicle_type, rating FROM delivery_agent_c) a
+          USING (delivery_agent_id)) handed USING (order_id)
+  WHERE newest = 1) complete SEMI JOIN customer_c USING (customer_id)"""
+
+
+def _sent(delivery: str) -> str:
+    """When a delivery was copied, and from which file; a first load has one of each."""
+    return "''" if delivery.endswith("_c") else "_copy_ts || _stg_file_name"
+
+
 def _fact_cte() -> str:
-    columns = (
-        "SELECT oi.order_item_id, oi.order_id, CAST(o.order_date AS DATE) AS day, r.cuisine_type, da.name AS agent_name,"
-        " da.vehicle_type, da.rating, dl.delivery_status, oi.subtotal, da.delivery_agent_id"
+    return (
+        f"headers AS ({_headers()}), fact AS (SELECT order_item_id, order_id, subtotal, CAST(order_date AS DATE) AS day,"
+        " cuisine_type, agent_name, vehicle_type, rating, delivery_status, delivery_agent_id"
+        " FROM order_item JOIN headers USING (order_id) SEMI JOIN menu_c USING (menu_id))"
     )
-    return f"fact AS ({columns} {FACT_JOIN.format(restaurant='restaurant_c')})"
 
 
-def _order_item_fact_oracle() -> str:
-    columns = """
-SELECT oi.order_item_id, oi.order_id, cu.customer_id AS customer_dim_sk, r.restaurant_id AS restaurant_dim_sk,
-       lo.location_id AS location_dim_sk, m.menu_id AS menu_dim_sk,
-       CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS date_dim_sk,
-       da.delivery_agent_id AS delivery_agent_dim_sk, dl.delivery_status, dl.estimated_time, oi.quantity, oi.price,
-       oi.subtotal, o.status AS order_status, o.payment_method"""
-    first = columns + FACT_JOIN.format(restaurant="restaurant_c")
-    second = columns + FACT_JOIN.format(restaurant="restaurant_2").replace("orders_c", "orders_2").replace(
-        "delivery_c dl", "delivery_2 dl"
-    )
-    # A new delivery of an order already delivered: the item keeps one row, of the latest delivery.
-    second += (
-        " QUALIFY row_number() OVER (PARTITION BY oi.order_item_id"
-        " ORDER BY dl._copy_ts DESC, dl._stg_file_name DESC, dl.delivery_id DESC) = 1"
+_FACT_COLUMNS = {
+    "customer_dim_sk": "customer_id",
+    "restaurant_dim_sk": "restaurant_id",
+    "location_dim_sk": "location_id",
+    "menu_dim_sk": "menu_id",
+    "date_dim_sk": "CAST(strftime(order_date, '%Y%m%d') AS INTEGER)",
+    "delivery_agent_dim_sk": "delivery_agent_id",
+}
+_FACT_PLAIN = "delivery_status estimated_time quantity price subtotal order_status payment_method".split()
+
+
+def _fact_rows(headers: str) -> str:
+    shown = ", ".join([f"{v} AS {k}" for k, v in _FACT_COLUMNS.items()] + _FACT_PLAIN)
+    return (
+        f"SELECT order_item_id, order_id, {shown} FROM order_item JOIN {headers} USING (order_id)"
+        " SEMI JOIN menu_c USING (menu_id)"
     )
+
+
+def _order_item_fact_oracle() -> str:
     ctes = _with_roles(
         f"orders_2 AS ({upserted('orders')})",
         f"delivery_2 AS ({upserted('delivery')})",
         f"restaurant_2 AS ({clean('restaurant', first_sql('restaurant', True))})",
-        f"f AS ({first})",
-        f"s AS ({second})",
+        f"h1 AS ({_headers()})",
+        f"h2 AS ({_headers('orders_2', 'delivery_2', 'restaurant_2')})",
+        f"f AS ({_fact_rows('h1')})",
+        f"s AS ({_fact_rows('h2')})",
     )
-    names = (
-        "customer_dim_sk restaurant_dim_sk location_dim_sk menu_dim_sk date_dim_sk delivery_agent_dim_sk delivery_status"
-        " estimated_time quantity price subtotal order_status payment_method"
-    ).split()
-    picked = [
-        f"CASE WHEN s.order_item_id IS NOT NULL THEN s.{c} ELSE f.{c} END AS {c}" for c in names
-    ]
+    names = [*_FACT_COLUMNS, *_FACT_PLAIN]
+    picked = [f"CASE WHEN s.order_item_id IS NOT NULL THEN s.{c} ELSE f.{c} END AS {c}" for c in names]
     merged = (
-        "SELECT coalesce(f.order_item_id, s.order_item_id) AS order_item_id,"
-        " CASE WHEN f.order_item_id IS NOT NULL THEN f.order_id ELSE s.order_id END AS order_id, "
+        "SELECT coalesce(f.order_item_id, s.order_item_id) AS order_item_id, coalesce(f.order_id, s.order_id) AS order_id, "
         + ", ".join(picked)
         + " FROM f FULL OUTER JOIN s ON f.order_item_id = s.order_item_id"
     )
     return f"{ctes} SELECT {_portable(['order_item_id', 'order_id', *names])} FROM ({merged}) u"
 
 
+def _refresh_twice_oracle() -> str:
+    """Every item against the tables after both loads, with the time since when each dimension row holds."""
+    dims = ("location", "customer", "restaurant", "menu", "delivery_agent")
+    ctes = [f"{e}_o AS ({clean(e, first_sql(e))}), {e}_c AS ({upserted(e)})" for e in KEY if e != "order_item"]
+    ctes.append(f"order_item AS ({upserted('order_item')})")
+    # The job's text files carry no name or time that SQL knows; of an order's two deliveries the second is later.
+    ctes.append(
+        "delivery_2 AS (SELECT * REPLACE ("
+        f"CASE WHEN delivery_id >= 10000000 THEN '{SECOND}' ELSE _copy_ts END AS _copy_ts) FROM delivery_c)"
+    )
+    for e in dims:
+        key, test = KEY[e], SCD2[e][1]
+        changed = f"o.{key} IS NULL OR coalesce({test}, FALSE)"
+        ctes.append(
+            f"{e}_since AS (SELECT n.{key} AS {key}, CASE WHEN {changed} THEN '{SECOND}' ELSE '{FIRST}' END AS {e}_since"
+            f" FROM {e}_c n LEFT JOIN {e}_o o ON o.{key} = n.{key})"
+        )
+    ctes.append(f"headers AS ({_headers('orders_c', 'delivery_2')})")
+    shown = ["order_item_id", "order_id", *_FACT_PLAIN]
+    joins = " ".join(f"JOIN {e}_since USING ({KEY[e]})" for e in dims)
+    keys = ", ".join(f"{KEY[e]} AS {e}_id, {e}_since" for e in dims)
+    return (
+        f"WITH {', '.join(ctes)} SELECT {_portable(shown)}, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_dim_sk,"
+        f" {keys} FROM order_item JOIN headers USING (order_id) {joins}"
+    )
+
+
 # Halves round up on exact integers: (2 * part + whole) // (2 * whole).
 _CENTS = "CAST(sum(subtotal) * 100 AS HUGEINT)"
 
@@ -351,12 +396,32 @@ FOREIGN = {
 }
 
 
+def _resent_checks_sql() -> str:
+    """Every stage row twice, two tables with faults; keys count once, faulty rows each."""
+    sources = {}
+    for entity in KEY:
+        once = first_sql(entity, entity in ("location", "delivery"))
+        sources[entity] = f"SELECT * FROM ({once}) a UNION ALL SELECT * FROM ({once}) b"
+    rows_in = {
+        entity: f"(SELECT count(DISTINCT {KEY[entity]}) FILTER ({' AND '.join(f'{c} IS NOT NULL' for c in REQUIRED[entity])})"
+        f" + count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in REQUIRED[entity])})"
+        f" FROM ({typed(entity, sources[entity])}) t)"
+        for entity in KEY
+    }
+    return _checks_over(sources, "resent", FIRST, rows_in=rows_in)
+
+
 def _checks_sql(dirty: bool, ts: str, last: int = 0) -> str:
-    batch = "dirty" if dirty else "clean"
+    return _checks_over({e: first_sql(e, dirty) for e in KEY}, "dirty" if dirty else "clean", ts, last)
+
+
+def _checks_over(
+    sources: dict[str, str], batch: str, ts: str, last: int = 0, rows_in: dict[str, str] | None = None
+) -> str:
     ctes, rows = [], []
     for entity, key in KEY.items():
-        ctes.append(f"{batch}_s_{entity} AS ({first_sql(entity, dirty)})")
-        ctes.append(f"{batch}_c_{entity} AS ({clean(entity, first_sql(entity, dirty))})")
+        ctes.append(f"{batch}_s_{entity} AS ({sources[entity]})")
+        ctes.append(f"{batch}_c_{entity} AS ({clean(entity, sources[entity])})")
     for number, (entity, key) in enumerate(KEY.items(), start=1):
         stage, table = f"{batch}_s_{entity}", f"{batch}_c_{entity}"
         text, value = LOST[entity]
@@ -380,7 +445,7 @@ def _checks_sql(dirty: bool, ts: str, last: int = 0) -> str:
         detail = " || ';' || ".join(details) if details else "CAST(NULL AS VARCHAR)"
         inner = ", ".join(
             [
-                f"(SELECT count(*) FROM {stage}) AS rows_in",
+                f"{(rows_in or {}).get(entity, f'(SELECT count(*) FROM {stage})')} AS rows_in",
                 f"(SELECT count(*) FROM {table}) AS rows_out",
                 f"{lost} AS lost",
                 *counts,
@@ -464,16 +529,79 @@ TAGGED = {
 }
 
 
-def _masked_oracle(entity: str, hide: bool) -> str:
+def _masked(entity: str, columns: list[str], hide: bool = True) -> str:
     shown = []
-    for c in columns_of(entity):
+    for c in columns:
         if hide and c == "dob":
             shown.append("CAST(NULL AS VARCHAR) AS dob")
         elif hide and c in TAGGED[entity]:
             shown.append(f"CASE WHEN {c} IS NOT NULL THEN '***MASKED***' END AS {c}")
         else:
             shown.append(_portable([c]))
-    return f"SELECT {', '.join(shown)} FROM ({typed(entity, first_sql(entity))}) t"
+    return ", ".join(shown)
+
+
+def _masked_oracle(entity: str, hide: bool) -> str:
+    return f"SELECT {_masked(entity, columns_of(entity), hide)} FROM ({typed(entity, first_sql(entity))}) t"
+
+
+def _masked_dimension_oracle(entity: str) -> str:
+    columns = [KEY[entity], *SCD2[entity][0].split()]
+    return f"SELECT {_masked(entity, columns)}, eff_start_date, eff_end_date, is_current FROM ({_versions(entity)}) v"
+
+
+def _surrogates_oracle() -> str:
+    parts = []
+    for entity, key in KEY.items():
+        both = f"SELECT count(*) FROM ({upserted(entity, True)}) u"
+        first = f"SELECT count(*) FROM ({clean(entity, first_sql(entity, True))}) c"
+        parts.append(f"SELECT '{entity}' AS table_name, ({both}) AS row_count, ({both}) AS numbers, ({first}) AS kept")
+    return " UNION ALL ".join(parts)
+
+
+def _two_files_oracle() -> str:
+    """Keys that both files hold come from the later file."""
+    early, late = (clean("customer", q) for q in (roles.duck(roles.ROLE_SQL["customer"]), second_sql("customer")))
+    columns = _portable(columns_of("customer"))
+    return (
+        f"WITH late AS ({late}) SELECT {columns}, 'part_10.csv' AS _stg_file_name, '{SECOND}' AS _copy_ts FROM late"
+        f" UNION ALL SELECT {columns}, 'part_9.csv', '{SECOND}' FROM ({early}) e ANTI JOIN late USING (customer_id)"
+    )
+
+
+def _backfill_resent_oracle() -> str:
+    """Even keys came twice; the row whose remaining columns sort last wins, and the names decide."""
+    once = typed("restaurant", first_sql("restaurant"))
+    again = "restaurant_id % 2 = 0"
+    time = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+    return (
+        f"SELECT restaurant_id, CASE WHEN {again} THEN name || ' b' ELSE name END AS name,"
+        f" CASE WHEN {again} THEN '2020-01-01 08:00:00' ELSE {time.format('created_dt')} END AS created_dt,"
+        f" CASE WHEN {again} THEN '2030-12-31 08:00:00' ELSE {time.format('modified_dt')} END AS modified_dt FROM ({once}) t"
+    )
+
+
+def _stage_extracts_oracle() -> str:
+    columns = [f"nullif({c}, '') AS {c}" for c in ENTITIES["customer_address"].stage_schema().fieldNames()]
+    tricky = roles.duck(roles.tricky_sql("customer_address"))
+    return f"SELECT {', '.join(columns)}, TRUE AS from_csv, TRUE AS timed, TRUE AS well_formed FROM ({tricky}) s"
+
+
+def _malformed_oracle() -> str:
+    return (
+        "SELECT location_id, city, CASE WHEN location_id % 5 IN (1, 2) THEN 'malformed line' ELSE 'loaded' END AS outcome"
+        f" FROM ({typed('location', first_sql('location'))}) t"
+    )
+
+
+def _gate_batch_oracle() -> str:
+    logs = {"clean": _checks_sql(False, SECOND, 9), "dirty": _checks_sql(True, FIRST)}
+    parts = [
+        f"SELECT '{b}' AS batch, {_gate_row('n')} FROM (SELECT count(*) AS n FROM ({q}) l WHERE overall_status = 'FAIL') c"
+        for b, q in logs.items()
+    ]
+    parts.append("SELECT 'none', 'SKIPPED', CAST(0 AS BIGINT), 'refresh held back: 0 of 9 tables checked'")
+    return " UNION ALL ".join(parts)
 
 
 def all_oracles() -> dict[str, str]:
@@ -522,5 +650,16 @@ FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""",
         "masked_restaurant": _masked_oracle("restaurant", True),
         "masked_delivery_agent": _masked_oracle("delivery_agent", True),
         "unmasked_customer": _masked_oracle("customer", False),
+        "masked_customer_dim": _masked_dimension_oracle("customer"),
+        "masked_delivery_agent_dim": _masked_dimension_oracle("delivery_agent"),
+        "masked_stored_customer": f"SELECT {_masked('customer', columns_of('customer'))} FROM ({upserted('customer', True)}) u",
+        "surrogates_stable": _surrogates_oracle(),
+        "upsert_two_files": _two_files_oracle(),
+        "backfill_resent": _backfill_resent_oracle(),
+        "stage_extracts": _stage_extracts_oracle(),
+        "stage_malformed": _malformed_oracle(),
+        "dq_checks_resent": _resent_checks_sql(),
+        "dq_gate_batch": _gate_batch_oracle(),
+        "layer_refresh_twice": _refresh_twice_oracle(),
         "layer_refresh_blocked": f"SELECT {_gate_row('n')}, CAST(0 AS BIGINT) AS fact_rows FROM (SELECT {blocked} AS n) b",
     }

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.entities import DIMENSIONS, ENTITIES, dimension_schema
+from tidemark.entities import AUDIT_SCHEMA, DIMENSIONS, ENTITIES, dimension_schema
 from tidemark.operators import consumption, governance, quality
 from tidemark.operators.clean import clean_rows, type_rows
 from tidemark.operators.numbering import number_rows
@@ -21,7 +21,8 @@ from tidemark.plans.refresh import LayeredJob
 from tidemark.registry import roles
 from tidemark.session import configure
 from tidemark.sources.shared import scratch, side_by_side, written
-from tidemark.sources.snapshots import SnapshotStore, by_key_range, empty
+from tidemark.sources.tables import bucket_of, empty, parts_of, read_table, replace_parts
+from tidemark.sources.text_csv import read_extract
 from tidemark.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,7 +122,7 @@ def clean_query(entity: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         rows, _ = clean_rows(first_stage(spark, sf_dir, entity, dirty=True), ENTITIES[entity])
-        return portable(rows.drop("_stg_file_name", "_copy_ts"))
+        return portable(rows.drop(*AUDIT_SCHEMA.fieldNames()))
 
     return run
 
@@ -130,7 +131,7 @@ def upsert_query(entity: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         table = loaded_twice(spark, sf_dir, entity, dirty=True)
-        return portable(table.drop(ENTITIES[entity].surrogate))
+        return portable(table.drop(ENTITIES[entity].surrogate, "_stg_load_ts"))
 
     return run
 
@@ -157,29 +158,22 @@ def change_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "ts", "event_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value")
     )
     columns = ("ts", "event_id", "event_type", "value")
-    store = SnapshotStore(spark, f"{folder}/tables")
-    slice_of = by_key_range()(F.col("user_id"))
+    path, bucket = f"{folder}/users", "_bucket"
 
     def apply(rows: DataFrame, tag: str) -> None:
-        before = store.version("users")
-        if before.note == tag:
-            return
         # One row per user ahead of the merge; the maximum combines inside each task first.
-        newest = rows.groupBy("user_id").agg(F.max(F.struct(*columns)).alias("e"))
-        merged = merge(
-            store.read("users", events.schema, version=before),
-            newest.select("user_id", "e.*"),
-            "user_id",
-            columns,
-        )
-        store.commit("users", merged, slice_of, None, note=tag, before=before)
+        newest = rows.groupBy("user_id").agg(F.max(F.struct(*columns)).alias("e")).select("user_id", "e.*")
+        newest = newest.withColumn(bucket, bucket_of("user_id"))
+        target = read_table(spark, path, events.schema, bucket, parts_of(newest, bucket))
+        merged = merge(target.drop(bucket), newest.drop(bucket), "user_id", columns)
+        replace_parts(merged.withColumn(bucket, bucket_of("user_id")), path, bucket)
 
     for parity in (0, 1):
         part = events.filter(F.pmod("event_id", F.lit(2)) == parity)
         part.write.mode("append").parquet(f"{folder}/landed")
         arrived = feed.changes(spark, events.schema, f"{folder}/landed")
         feed.drain(arrived, f"{folder}/checkpoint", apply)
-    users = store.read("users", events.schema)
+    users = read_table(spark, path, events.schema, bucket).drop(bucket)
     return portable(users.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
@@ -264,6 +258,27 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_bound.unionByName(later.select(F.lit("after_bound").alias("moment"), "*"))
 
 
+def dq_checks_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage tables that hold every row twice: fine where keys count once, but faulty rows still fail."""
+    configure(spark)
+    folder = scratch(spark, "layers")
+    stage, clean = {}, {}
+    for name, spec in ENTITIES.items():
+        once = first_stage(spark, sf_dir, name, dirty=name in ("location", "delivery"))
+        stage[name] = written(once.unionAll(once), f"{folder}/stage/{name}")
+        rows, _ = upsert(empty(spark, spec.clean_schema()), stage[name], spec, FIRST_TS)
+        clean[name] = written(rows, f"{folder}/clean/{name}")
+    return portable(quality.run_checks(stage, clean, "resent", FIRST_TS, distinct_key=True))
+
+
+def dq_gate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate for a batch that passed, one that failed, and one that was never checked."""
+    configure(spark)
+    log = _two_batches(spark, sf_dir)
+    asked = [quality.gate(log, batch_id=b).select(F.lit(b).alias("batch"), "*") for b in ("clean", "dirty", "none")]
+    return reduce(DataFrame.unionByName, asked)
+
+
 def _two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "log")
     for dirty, ts, last in ((True, FIRST_TS, 0), (False, SECOND_TS, len(ENTITIES))):
@@ -364,29 +379,159 @@ def masked_query(entity: str, role: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         rows = type_rows(first_stage(spark, sf_dir, entity), ENTITIES[entity])
-        return portable(governance.masked(rows, role).drop("_stg_file_name", "_copy_ts"))
+        return portable(governance.masked(rows, role, ENTITIES[entity]).drop(*AUDIT_SCHEMA.fieldNames()))
 
     return run
 
 
-def _job(spark: SparkSession, sf_dir: str, dirty: bool) -> LayeredJob:
-    """Extracts of all roles in a landing folder, and a job over them."""
-    folder = scratch(spark, "job")
+def masked_dimension(dim_name: str) -> Query:
+    """A type-2 dimension after two batches, as an analyst sees it."""
+    dim = DIMENSIONS[dim_name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        second = loaded_twice(spark, sf_dir, dim.entity)
+        table = scd2(opened(loaded(spark, sf_dir, dim.entity), dim_name), second, dim, SECOND_TS)
+        return portable(governance.masked(table, "ANALYST", dim).drop(dim.surrogate))
+
+    return run
+
+
+def masked_stored_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table after two batches, stored by the job, through the job's view."""
+    configure(spark)
+    job, entity = LayeredJob(spark, f"{scratch(spark, 'job')}/tables", "none"), ENTITIES["customer"]
+    for number, stage in enumerate((first_stage(spark, sf_dir, "customer", True), second_stage(spark, sf_dir, "customer"))):
+        job.apply_batch(entity, stage, f"given#{number}", (FIRST_TS, SECOND_TS)[number])
+    return portable(job.view("customer", "ANALYST").drop(entity.surrogate, *AUDIT_SCHEMA.fieldNames()))
+
+
+def surrogates_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per table after two batches: rows, different numbers, and keys of the first batch that kept theirs."""
+    configure(spark)
+    counted = []
+    for name, spec in ENTITIES.items():
+        first = loaded(spark, sf_dir, name, dirty=True)
+        second = upsert(first, second_stage(spark, sf_dir, name), spec, SECOND_TS)[0]
+        before = first.select(spec.key, F.col(spec.surrogate).alias("_before"))
+        counted.append(
+            second.select(spec.key, spec.surrogate)
+            .join(before, spec.key, "left")
+            .agg(
+                F.count("*").alias("row_count"),
+                F.count_distinct(spec.surrogate).alias("numbers"),
+                F.count_if(F.col("_before") == F.col(spec.surrogate)).alias("kept"),
+            )
+            .select(F.lit(name).alias("table_name"), "*")
+        )
+    return reduce(DataFrame.unionByName, counted)
+
+
+def upsert_two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of two files; the one that sorts first by name is the later one, and counts."""
+    configure(spark)
+    spec = ENTITIES["customer"]
+    copied = "2024-03-02 00:00:00"
+    early = roles.spark_stage(spark, sf_dir, roles.ROLE_SQL["customer"], "part_9.csv", copied)
+    early = early.withColumn("_stg_load_ts", F.expr("timestamp_ntz '2024-01-01 00:00:00'"))
+    late = roles.spark_stage(spark, sf_dir, roles.second_batch_sql("customer"), "part_10.csv", copied)
+    table = upsert(empty(spark, spec.clean_schema()), early.unionByName(late), spec, SECOND_TS)[0]
+    return portable(table.drop(spec.surrogate, "_stg_load_ts"))
 
 
+def backfill_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restaurants that were sent twice at one copy time: both dates come from the row that won."""
+    configure(spark)
+    spec = ENTITIES["restaurant"]
+    stage = first_stage(spark, sf_dir, "restaurant")
+    again = stage.withColumns(
+        {
+            "name": F.concat("name", F.lit(" b")),
+            "created_date": F.lit("01-01-2020 08:00"),
+            "modified_date": F.lit("31-12-2030 08:00"),
+        }
+    )
+    both = stage.unionByName(again.filter("CAST(restaurant_id AS bigint) % 2 = 0"))
+    table = upsert(empty(spark, spec.clean_schema()), both, spec, FIRST_TS)[0]
+    repaired = backfill_dates(table, both, spec, "dd-MM-yyyy HH:mm")
+    return portable(repaired.select("restaurant_id", "name", "created_dt", "modified_dt"))
+
+
+def stage_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses written as text with quotes, commas, empty and NULL fields, and read back as stage rows."""
+    configure(spark)
+    spec, path = ENTITIES["customer_address"], f"{scratch(spark, 'extract')}/customer_address"
+    rows = roles.spark_stage(spark, sf_dir, roles.tricky_sql("customer_address"))
+    columns = spec.stage_schema().fieldNames()
+    rows.select(*columns).write.option("header", "true").option("escape", '"').option("nullValue", "NULL").csv(path)
+    stage = read_extract(spark, path, spec)
+    audit = {
+        "from_csv": F.col("_stg_file_name").endswith(".csv"),
+        "timed": F.col("_stg_load_ts").isNotNull() & (F.col("_copy_ts") >= F.col("_stg_load_ts")),
+        "well_formed": F.col("_malformed").isNull(),
+    }
+    return stage.select(*columns, *[c.alias(n) for n, c in audit.items()])
+
+
+def stage_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field too many or too few: landed as malformed, rejected with that reason."""
+    configure(spark)
+    spec, path = ENTITIES["location"], f"{scratch(spark, 'extract')}/location"
+    rows = first_stage(spark, sf_dir, "location").select(*spec.stage_schema().fieldNames())
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("NULL")) for c in rows.columns])
+    key = F.col("location_id").cast("long")
+    line = F.when(key % 5 == 1, F.concat(line, F.lit(",surplus"))).when(key % 5 == 2, F.concat_ws(",", "location_id", "city")).otherwise(line)
+    header = spark.createDataFrame([(",".join(rows.columns),)], "value string")
+    # One file: its first line is the header.
+    header.unionAll(rows.select(line.alias("value"))).coalesce(1).write.text(path)
+    accepted, rejected = clean_rows(read_extract(spark, path, spec), spec)
+    return accepted.select("location_id", "city", F.lit("loaded").alias("outcome")).unionByName(
+        rejected.select("location_id", "city", F.col("reject_reason").alias("outcome"))
+    )
+
+
+def _export(spark: SparkSession, folder: str, stages: dict[str, DataFrame]) -> None:
+    """Write stage rows as text extracts below a landing folder."""
+
     def export(name: str) -> None:
         columns = ENTITIES[name].stage_schema().fieldNames()
-        rows = first_stage(spark, sf_dir, name, dirty).select(*columns)
-        rows.write.option("header", "true").option("escape", '"').csv(f"{folder}/landing/{name}")
+        rows = stages[name].select(*columns)
+        rows.write.mode("append").option("header", "true").option("escape", '"').csv(f"{folder}/landing/{name}")
+
+    side_by_side(spark, [partial(export, name) for name in stages])
+
+
+def _job(spark: SparkSession, sf_dir: str, dirty: bool, **options: object) -> tuple[LayeredJob, str]:
+    """Extracts of all roles in a landing folder, and a job over them."""
+    folder = scratch(spark, "job")
+    _export(spark, folder, {name: first_stage(spark, sf_dir, name, dirty) for name in ENTITIES})
+    return LayeredJob(spark, f"{folder}/tables", f"{folder}/landing", **options), folder
 
-    side_by_side(spark, [partial(export, name) for name in ENTITIES])
-    return LayeredJob(spark, f"{folder}/tables", f"{folder}/landing")
+
+def layer_refresh_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads through the whole job, the second with changed and new rows of every table.
+
+    Dimension numbers are resolved to business keys and starting times, so the result can be compared.
+    """
+    configure(spark)
+    job, folder = _job(spark, sf_dir, dirty=False, distinct_key=True)
+    job.run(FIRST_TS)
+    _export(spark, folder, {name: second_stage(spark, sf_dir, name) for name in ENTITIES})
+    job.run(SECOND_TS)
+    fact = job.fact()
+    for name, dim in DIMENSIONS.items():
+        key = ENTITIES[dim.entity].key
+        versions = job.dimension(name).select(
+            dim.surrogate, F.col(key).alias(f"{dim.entity}_id"), F.col("eff_start_date").alias(f"{dim.entity}_since")
+        )
+        fact = fact.join(versions, dim.surrogate).drop(dim.surrogate)
+    return portable(fact.drop("order_item_fact_sk"))
 
 
 def layer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracts to fact through the whole job; the report reads the stored tables."""
     configure(spark)
-    job = _job(spark, sf_dir, dirty=False)
+    job, _ = _job(spark, sf_dir, dirty=False)
     job.run(FIRST_TS)
     return portable(reports.monthly_revenue(job.fact(), job.date_dim()))
 
@@ -394,7 +539,7 @@ def layer_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_refresh_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faulty extracts: the checks fail, the gate holds, the fact stays empty."""
     configure(spark)
-    job = _job(spark, sf_dir, dirty=True)
+    job, _ = _job(spark, sf_dir, dirty=True)
     result = job.run(FIRST_TS, batch_id="faulty")
     status = quality.gate(job.log(), batch_id=result.batch_id)
     return status.withColumn("fact_rows", job.fact().selectExpr("count(*)").scalar())
@@ -430,7 +575,18 @@ def all_queries() -> dict[str, Query]:
         "masked_customer": masked_query("customer", "ANALYST"),
         "masked_restaurant": masked_query("restaurant", "ANALYST"),
         "masked_delivery_agent": masked_query("delivery_agent", "ANALYST"),
+        "masked_customer_dim": masked_dimension("customer_dim"),
+        "masked_delivery_agent_dim": masked_dimension("delivery_agent_dim"),
+        "masked_stored_customer": masked_stored_customer,
         "unmasked_customer": masked_query("customer", governance.PRIVILEGED_ROLE),
         "layer_refresh": layer_refresh,
         "layer_refresh_blocked": layer_refresh_blocked,
+        "layer_refresh_twice": layer_refresh_twice,
+        "stage_extracts": stage_extracts,
+        "stage_malformed": stage_malformed,
+        "surrogates_stable": surrogates_stable,
+        "upsert_two_files": upsert_two_files,
+        "backfill_resent": backfill_resent,
+        "dq_checks_resent": dq_checks_resent,
+        "dq_gate_batch": dq_gate_batch,
     }

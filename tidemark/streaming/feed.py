@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.entities import AUDIT_SCHEMA, Entity
-from tidemark.sources.text_csv import stream_extract
+from tidemark.sources.text_csv import extract_schema, stream_extract
 
 
 def stage_table_schema(entity: Entity) -> T.StructType:
-    return T.StructType([*entity.stage_schema().fields, *AUDIT_SCHEMA.fields])
+    return T.StructType([*extract_schema(entity).fields, *AUDIT_SCHEMA.fields])
 
 
 def land(
