@@ -144,11 +144,16 @@ def successive(docs: DataFrame) -> DataFrame:
     place = F.struct(F.coalesce(-F.col("doc_id").cast("decimal(20,0)"), F.lit(0)).alias("o"), "tie")
     heads = sorted(rows.groupBy("home").agg(F.min(place).alias("head")).collect())
     before = {r.home: heads[i - 1].home for i, r in enumerate(heads)}
-    table = docs.sparkSession.createDataFrame(
-        [(r.home, r.head.o, r.head.tie, before[r.home]) for r in heads],
-        "home int, head_o decimal(20,0), head_tie long, ahead int",
+    # What is known of each range, by its number; there are few, and none of it grows with the rows.
+    listed = {r.home: (r.head.o, r.head.tie, before[r.home]) for r in heads}
+    known = [listed.get(i, (None, None, None)) for i in range(len(cuts) + 2)]
+    kinds = {"head_o": "decimal(20,0)", "head_tie": "long", "ahead": "int"}
+    rows = rows.withColumn("o", place["o"]).withColumns(
+        {
+            name: F.get(F.array(*[F.lit(k[i]).cast(kind) for k in known]), F.col("home"))
+            for i, (name, kind) in enumerate(kinds.items())
+        }
     )
-    rows = rows.withColumn("o", place["o"]).join(table, "home")
     is_head = (F.col("o") == F.col("head_o")) & F.col("tie").eqNullSafe(F.col("head_tie"))
     at = lambda range_, extra: F.struct(F.col(range_).alias("at"), F.lit(extra).alias("extra"))
     sent = F.when(is_head, F.array(at("home", False), at("ahead", True))).otherwise(F.array(at("home", False)))
