@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import math
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +21,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 2_000, 16 * 2**20
 
 
+@cache
+def _archive() -> str:
+    """The package's code in one file."""
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+@cache
+def _ship(application: str, context: SparkContext) -> None:
+    context.addPyFile(_archive())
+
+
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches of bounded size from here on, whatever the texts are long."""
+    """What every operator with Python tasks needs: this package there, and Arrow batches of bounded size.
+
+    The batches stay bounded from here on, whatever the texts are long.
+    """
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -32,6 +58,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return written(df, scratch(df.sparkSession, label))
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage; Spark then removes shuffle files that nothing refers to.
+
+    For jobs of many written steps, which would else keep the shuffles of all steps to the end.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def only(df: DataFrame, **columns: str | Column) -> DataFrame:
     """Just these columns under names of our own, so that other columns cannot clash."""
     return df.select(

@@ -98,4 +98,5 @@ def sharded(rows: DataFrame, shards: int = 40) -> DataFrame:
     extra = ("range", "part", "cut", "bytes_ahead", "rows_ahead", "start", "group_size", "group_start")
     placed = stored(placed.withColumn("shard", shard).drop(*extra), "shards")
     first = placed.groupBy("shard").agg(F.min("number").alias("first"))
-    return placed.join(first, "shard").withColumn("slot", F.col("number") - F.col("first")).drop("number", "first")
+    # One row per shard, so its size is bounded by the argument.
+    return placed.join(F.broadcast(first), "shard").withColumn("slot", F.col("number") - F.col("first")).drop("number", "first")
