@@ -105,6 +105,30 @@ class Rolling:
         return mixed((self.sums[n : n + count] - self.sums[:count]) * self.back[:count])
 
 
+def distinct(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (of so many bits, not negative) and where each one is among them.
+
+    A key and its place fit into one number, if at all, and numbers sort much faster than places do.
+    """
+    room = max(1, len(keys).bit_length())
+    if bits + room > 63:
+        return np.unique(keys, return_inverse=True)
+    both = np.sort(keys << room | np.arange(len(keys)))
+    ranked = both >> room
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(keys), np.int64)
+    which[both & ((1 << room) - 1)] = np.cumsum(new) - 1
+    return ranked[new], which
+
+
+def by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by bucket that keeps the order inside each, and where each bucket begins and ends."""
+    small = bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket
+    order = np.argsort(small, kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each ``width`` consecutive values, by doubling."""
     have, out = 1, values
@@ -170,11 +194,21 @@ class Places:
         return out
 
 
-def pack(*parts: np.ndarray | bytes) -> bytes:
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as the columns of their bytes: the upper ones are mostly zero and compress away."""
+    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def numbers(raw: bytes) -> np.ndarray:
+    """What ``planes`` was given."""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8")[:, 0]
+
+
+def pack(*parts: np.ndarray | bytes, level: int = 1) -> bytes:
     """Arrays and strings as one compressed string."""
     raw = [p if isinstance(p, bytes) else np.ascontiguousarray(p).tobytes() for p in parts]
     head = np.array([len(raw), *map(len, raw)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(raw))
 
 
 def unpack(block: bytes, *types: type | None) -> list[np.ndarray | bytes]:

@@ -12,16 +12,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import blocks
-from tidemark.llm.arrays import Rolling, covered, mixed, pack, pieces, sliding_min, spread, sums_between, unpack, words_of
+from tidemark.llm.arrays import (
+    Rolling,
+    covered,
+    mixed,
+    numbers,
+    pack,
+    pieces,
+    planes,
+    sliding_min,
+    spread,
+    sums_between,
+    unpack,
+    words_of,
+)
 from tidemark.llm.common import bounded_batches
 
 #: Words of a window and of the runs among which its minimiser is the one of least hash.
-WINDOW, ANCHOR = 13, 4
+WINDOW, ANCHOR = 13, 3
 #: Bytes of strings in a bucket, on average, and by how much strings exceed the texts.
 _BUCKET_BYTES, _GROWTH = 20 * 2**20, 3
 #: Bytes of texts looked at for minimisers that alone would fill a quarter of a bucket.
 _SAMPLE_BYTES = 64 * 2**20
 _PLACE_BITS = 22
+#: Strings are most of what is shuffled; a little more time to pack them is well spent.
+_LEVEL = 3
 
 
 @dataclass
@@ -39,6 +54,9 @@ class Piece:
     windows: np.ndarray
     hashes: np.ndarray
     strings: list[bytes]
+    #: In a group that is kept: each run's string and document.
+    numbers: np.ndarray | None = None
+    owner: np.ndarray | None = None
 
 
 def _runs(values: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +84,7 @@ def _runs(values: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _pieces(text: pa.Array, hot: np.ndarray) -> Iterator[Piece]:
-    for row, part in pieces(text):
+    for row, part in pieces(text, 6 * 2**20):
         words = words_of(part)
         distinct = words.distinct.cast(pa.binary()).to_pylist()
         sizes = np.array([len(w) for w in distinct], np.int64)[words.codes]
@@ -98,15 +116,15 @@ class Asked:
         for piece in _pieces(text, hot):
             owner = np.searchsorted(piece.at, piece.first, side="right") - 1 + piece.row
             before = len(self.index)
-            numbers = [self.index.setdefault(s, len(self.index)) for s in piece.strings]
+            seen = [self.index.setdefault(s, len(self.index)) for s in piece.strings]
             # Documents come in the order of their ids, so a string's first one is its smallest.
-            new, where = np.unique(np.array(numbers, np.int64), return_index=True)
+            new, where = np.unique(np.array(seen, np.int64), return_index=True)
             where = where[new >= before]
             docs.append(ids[owner[where]])
             windows.append(piece.windows[where])
             hashes.append(piece.hashes[where])
             if keep:
-                piece.strings, piece.numbers = [], np.array(numbers, np.int64)
+                piece.strings, piece.numbers = [], np.array(seen, np.int64)
                 piece.owner = owner
                 self.pieces.append(piece)
         empty = np.zeros(0, np.int64)
@@ -125,13 +143,9 @@ class Asked:
         for bucket in np.flatnonzero(np.diff(self.bounds)).tolist():
             which = self.members(bucket)
             own = [strings[i] for i in which.tolist()]
-            yield bucket, pack(
-                (self.hashes[which] >> np.uint64(32)).astype(np.uint32),
-                np.diff(self.docs[which], prepend=0),
-                self.windows[which].astype(np.uint8),
-                np.array([len(s) for s in own], np.int32),
-                b"".join(own),
-            )
+            # Words hold no white space, so a line feed parts the strings.
+            tags = (self.hashes[which] >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+            yield bucket, pack(tags, planes(np.diff(self.docs[which], prepend=0)), b"\n".join(own), level=_LEVEL)
 
 
 def _window_masks(strings: list[bytes], docs: np.ndarray) -> np.ndarray:
@@ -171,11 +185,13 @@ def _answer(requests: list[bytes]) -> list[bytes | None]:
     index: dict[bytes, int] = {}
     parts = []
     for block in requests:
-        tags, docs, windows, sizes, raw = unpack(block, np.uint32, np.int64, np.uint8, np.int32, None)
-        ends = np.cumsum(sizes, dtype=np.int64)
-        strings = [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        numbers = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
-        parts.append((numbers, np.cumsum(docs), windows, tags))
+        tags, docs, raw = unpack(block, np.uint8, None, None)
+        strings = raw.split(b"\n")
+        number = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
+        windows = np.array([s.count(b" ") for s in strings], np.int64) + 2 - WINDOW
+        tag = np.zeros((len(strings), 4), np.uint8)
+        tag[:, :3] = tags.reshape(-1, 3)
+        parts.append((number, np.cumsum(numbers(docs)), windows, tag.view("<u4")[:, 0]))
     everything = np.concatenate([p[0] for p in parts])
     least = np.full(len(index), blocks.LAST_ID, np.int64)
     np.minimum.at(least, everything, np.concatenate([p[1] for p in parts]))
@@ -196,9 +212,9 @@ def _answer(requests: list[bytes]) -> list[bytes | None]:
         masks[some] = _window_masks([all_strings[i] for i in some.tolist()], least[some])
         start = stop
     out: list[bytes | None] = []
-    for numbers, docs, windows, _ in parts:
-        full = (np.left_shift(1, windows.astype(np.int64)) - 1).astype(np.uint16)
-        mask = np.where(least[numbers] < docs, full, masks[numbers])
+    for number, docs, windows, _ in parts:
+        full = (np.left_shift(1, windows) - 1).astype(np.uint16)
+        mask = np.where(least[number] < docs, full, masks[number])
         hit = np.flatnonzero(mask)
         out.append(pack(hit.astype(np.int32), mask[hit]) if len(hit) else None)
     return out

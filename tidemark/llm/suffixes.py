@@ -19,7 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import blocks
-from tidemark.llm.arrays import Rolling, covered, mixed, pack, pieces, sliding_min, spread, sums_between, unpack
+from tidemark.llm.arrays import (
+    Rolling,
+    covered,
+    mixed,
+    numbers,
+    pack,
+    pieces,
+    planes,
+    sliding_min,
+    spread,
+    sums_between,
+    unpack,
+)
 from tidemark.llm.common import bounded_batches
 
 #: Bytes of a string that counts as a repeat, and of the lead by which suffixes are dealt out.
@@ -122,17 +134,17 @@ class Asked:
             raw = data.tobytes()
             ends = first + count + LENGTH - 1
             strings = [raw[a:b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-            numbers = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
+            number = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
             owner = np.searchsorted(at, first, side="right") - 1
             bucket = plan.bucket_of(_leads(data, anchor))
-            parts.append((numbers, ids[owner + row], first - at[owner], count, anchor - first, bucket))
-            self.pieces.append(Piece(row, at, data, first, count, owner, numbers))
+            parts.append((number, ids[owner + row], first - at[owner], count, anchor - first, bucket))
+            self.pieces.append(Piece(row, at, data, first, count, owner, number))
         empty = np.zeros(0, np.int64)
-        numbers, docs, places, count, before, bucket = (
+        number, docs, places, count, before, bucket = (
             np.concatenate([empty, *column]) for column in (zip(*parts, strict=True) if parts else [[]] * 6)
         )
-        order = np.lexsort((places, docs, numbers))
-        leading = order[np.flatnonzero(np.diff(numbers[order], prepend=-1))]
+        order = np.lexsort((places, docs, number))
+        leading = order[np.flatnonzero(np.diff(number[order], prepend=-1))]
         self.strings = list(index)
         self.docs, self.places, self.count, self.before = docs[leading], places[leading], count[leading], before[leading]
         bucket = bucket[leading]
@@ -146,11 +158,12 @@ class Asked:
         for bucket in np.flatnonzero(np.diff(self.bounds)).tolist():
             which = self.members(bucket)
             yield bucket, pack(
-                np.diff(self.docs[which], prepend=0),
-                self.places[which],
+                planes(np.diff(self.docs[which], prepend=0)),
+                planes(self.places[which]),
                 self.count[which].astype(np.uint8),
                 self.before[which].astype(np.uint8),
                 b"".join([self.strings[i] for i in which.tolist()]),
+                level=3,
             )
 
 
@@ -196,15 +209,16 @@ def _answer(requests: list[bytes]) -> list[bytes | None]:
     index: dict[bytes, int] = {}
     parts = []
     for block in requests:
-        docs, places, count, before, raw = unpack(block, np.int64, np.int64, np.uint8, np.uint8, None)
+        docs, places, count, before, raw = unpack(block, None, None, np.uint8, np.uint8, None)
         ends = np.cumsum(count.astype(np.int64) + LENGTH - 1)
         starts = ends - count - LENGTH + 1
         strings = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        numbers = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
-        parts.append((numbers, np.cumsum(docs), places, count.astype(np.int64), before.astype(np.int64)))
-    numbers, docs, places, count, before = (np.concatenate(c) for c in zip(*parts, strict=True))
-    order = np.lexsort((places, docs, numbers))
-    leading = order[np.flatnonzero(np.diff(numbers[order], prepend=-1))]
+        number = np.array([index.setdefault(s, len(index)) for s in strings], np.int64)
+        ids = np.cumsum(numbers(docs))
+        parts.append((number, ids, numbers(places), count.astype(np.int64), before.astype(np.int64)))
+    number, docs, places, count, before = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((places, docs, number))
+    leading = order[np.flatnonzero(np.diff(number[order], prepend=-1))]
     docs, places, count, before = docs[leading], places[leading], count[leading], before[leading]
     data = np.frombuffer(b"".join(index), np.uint8)
     starts = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
@@ -227,12 +241,12 @@ def _answer(requests: list[bytes]) -> list[bytes | None]:
     run_string, run_shift = string[run_at], shift[run_at]
     run_bounds = np.searchsorted(run_string, np.arange(len(index) + 1))
     out: list[bytes | None] = []
-    for numbers, own_docs, own_places, own_count, _ in parts:
-        is_first = (own_docs == docs[numbers]) & (own_places == places[numbers])
+    for number, own_docs, own_places, own_count, _ in parts:
+        is_first = (own_docs == docs[number]) & (own_places == places[number])
         whole = np.flatnonzero(~is_first)
         some = np.flatnonzero(is_first)
-        many = run_bounds[numbers[some] + 1] - run_bounds[numbers[some]]
-        runs = spread(run_bounds[numbers[some]], many)
+        many = run_bounds[number[some] + 1] - run_bounds[number[some]]
+        runs = spread(run_bounds[number[some]], many)
         entry = np.concatenate([whole, np.repeat(some, many)])
         start = np.concatenate([np.zeros(len(whole), np.int64), run_shift[runs]])
         length = np.concatenate([own_count[whole], run_length[runs]])
