@@ -10,8 +10,8 @@ import pytest
 from llm_words import words
 
 from tidemark.llm import pitman_yor
-from tidemark.llm.pitman_yor import Contexts, _numbers
-from tidemark.llm.arrays import unpack
+from tidemark.llm.arrays import numbers, unpack
+from tidemark.llm.pitman_yor import Contexts
 from tidemark.llm.seating import Seating
 
 
@@ -78,16 +78,14 @@ def test_every_restaurant_gives_a_distribution(docs_of, chained, small, monkeypa
     seen, customers, tables, weights = Counter(), {}, Counter(), {}
     for row in model.tables.read(f"contexts-{pitman_yor.ROUNDS}", "state").collect():
         state = Contexts.of(row.block)
-        several = np.bincount(state.owners, minlength=len(state.several))
-        all_tables = np.ones(len(state.n))
-        all_tables[state.several] = several
+        moving = np.bincount(state.owners, minlength=len(state.n))
         for i, u in enumerate(state.u.tolist()):
             mine = state.owner == i
-            seen[u] += int(state.n[mine].sum())
-            tables[u] += float(all_tables[mine].sum())
+            seen[u] += int(state.n[mine].sum() + state.singles[i])
+            tables[u] += float(moving[mine].sum() + state.singles[i])
             customers[u], weights[u] = int(state.customers[i]), float(state.weights[-1][i])
-        assert (several >= 1).all() and (several <= state.n[state.several]).all()
-        assert np.bincount(state.owners, state.sizes).astype(int).tolist() == state.n[state.several].tolist()
+        assert (state.n > 1).all() and (moving >= 1).all() and (moving <= state.n).all()
+        assert np.bincount(state.owners, state.sizes).astype(int).tolist() == state.n.tolist()
     assert len(seen) > 50 and dict(seen) == customers
     for u, c in customers.items():
         share = (c - model.discount * tables[u]) / (1 + c)
@@ -98,7 +96,7 @@ def test_every_restaurant_gives_a_distribution(docs_of, chained, small, monkeypa
     assert len(known) == model.train_words
     assert level.probability(known).sum() + level.probability(np.zeros(1))[0] == pytest.approx(1)
     # The parent's customers are the contexts' tables and the words behind rarer contexts.
-    direct = sum(_numbers(unpack(r.block, None, None)[1]).sum() for r in model.tables.read("pairs", "direct").collect())
+    direct = sum(numbers(unpack(r.block, None, None)[1]).sum() for r in model.tables.read("pairs", "direct").collect())
     assert level.customers == sum(tables.values()) + direct
 
 

@@ -23,7 +23,9 @@ from tidemark.llm.lexicon import Lexicon
 
 #: Frequent words that the lexicon holds; it is all that is collected or sent to executors.
 LEXICON_WORDS = 200_000
-#: How often such a word has to occur in one batch of texts at least; this says which words are fast, not
+#: Bytes of texts that a task looks at together.
+_PIECE = 8 * 2**20
+#: How often such a word has to occur in some megabytes of texts at least; this says which words are fast, not
 #: what any word becomes.
 _OFTEN = 3
 #: Ids of several words in one array, and where each word's begin and how many they are.
@@ -294,16 +296,16 @@ def _shipped(spark: SparkSession, path: str) -> str:
 
 
 def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
-    """The ``most`` words that occur most often, counted in every batch of texts that has them repeatedly.
+    """The ``most`` words that occur most often, counted in every few megabytes that have them repeatedly.
 
-    Ties go by the words. What a batch holds once or twice is not worth a place, and would be most of
+    Ties go by the words. What they hold once or twice is not worth a place, and would be most of
     what is shuffled.
     """
     bounded_batches(docs.sparkSession, 10_000)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, part in pieces(batch.column(0), 16 * 2**20):
+            for _, part in pieces(batch.column(0), _PIECE):
                 words = words_of(part)
                 counts = np.bincount(words.codes, minlength=len(words.distinct))
                 often = np.flatnonzero(counts >= _OFTEN)
@@ -343,7 +345,7 @@ def encoded(
     def encode(column: pa.Array) -> pa.Array:
         codec, known = _codec(SparkFiles.get(spec)), _lexicon(SparkFiles.get(lexicon))
         out: list[bytes] = []
-        for _, part in pieces(column, 16 * 2**20):
+        for _, part in pieces(column, _PIECE):
             for ids, at in codec.encode(part, known):
                 raw = ids.tobytes()
                 out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]

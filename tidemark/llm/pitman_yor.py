@@ -26,20 +26,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import byte_sizes, mixed, pack, slices, spread, sums_between, texts, unpack, words_of
+from tidemark.llm.arrays import (
+    by_bucket,
+    byte_sizes,
+    distinct,
+    mixed,
+    numbers,
+    pack,
+    planes,
+    slices,
+    spread,
+    sums_between,
+    texts,
+    unpack,
+    words_of,
+)
 from tidemark.llm.blocks import text_bytes
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import bounded_batches, release
 from tidemark.llm.seating import Seating
 from tidemark.sources.shared import scratch
 
 #: Training occurrences from which a word has a restaurant of its own.
-LEAST_CONTEXT = 8
-#: Rounds of sampling, the first of which are not averaged, and moves per dish in a round.
-ROUNDS, BURN_IN, STEPS = 3, 1, 6
+LEAST_CONTEXT = 32
+#: Rounds of sampling, how many of the first are not averaged, and moves per dish in a round.
+ROUNDS, BURN_IN, STEPS = 2, 0, 8
 CONCENTRATION = 1.0
 #: Of the parent; that of the contexts follows from how many pairs occur once and twice.
 PARENT_DISCOUNT = 0.8
-_GROUP_BYTES, _WORD_BYTES, _CONTEXT_BYTES = 8 * 2**20, 16 * 2**20, 10 * 2**20
+_GROUP_BYTES, _WORD_BYTES, _CONTEXT_BYTES = 4 * 2**20, 16 * 2**20, 10 * 2**20
 #: Customers from which a context is split, and roughly of one part.
 _PART = 1_000_000
 _END, _START = 1, -2
@@ -60,15 +74,6 @@ def _table(rows: Rows) -> pa.Table:
     return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Numbers as the columns of their bytes: the upper ones are mostly zero and compress away."""
-    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _numbers(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8")[:, 0]
-
-
 class _Tables:
     """Each step's rows, written once below one folder; a kind of rows is read by itself."""
 
@@ -76,9 +81,17 @@ class _Tables:
         self.spark, self.root, self.where = spark, scratch(spark, "pitman-yor"), {}
 
     def write(self, step: str, rows: DataFrame) -> None:
+        release(self.spark)
         rows.write.partitionBy("kind").mode("overwrite").parquet(f"{self.root}/{step}")
         self.where[step] = f"{self.root}/{step}"
 
+    def drop(self, step: str, *kinds: str) -> None:
+        """Remove rows that no later step reads."""
+        context = self.spark.sparkContext
+        for kind in kinds:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.where[step]}/kind={kind}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
     def read(self, step: str, kind: str) -> DataFrame:
         table = self.spark.read.schema(_MESSAGE).parquet(self.where[step])
         return table.filter(F.col("kind") == kind)
@@ -129,14 +142,15 @@ class Group:
 
     def block(self) -> bytes:
         flags = self.trains.astype(np.uint8) + 2 * self.absent.astype(np.uint8)
-        codes = _planes(self.codes)
-        return pack(self.ids, flags, self.counts, codes, self.bounds, np.array([self.end], np.int64))
+        codes = planes(self.codes)
+        end = np.array([self.end], np.int64)
+        return pack(self.ids, flags, self.counts, codes, self.bounds, end, level=5)
 
     @classmethod
     def of(cls, block: bytes) -> Group:
         kinds = (np.int64, np.uint8, np.int64, None, np.int64, np.int64)
         ids, flags, counts, codes, bounds, end = unpack(block, *kinds)
-        return cls(ids, flags & 2 > 0, flags & 1 > 0, counts, _numbers(codes), bounds, int(end[0]))
+        return cls(ids, flags & 2 > 0, flags & 1 > 0, counts, numbers(codes), bounds, int(end[0]))
 
     def stream(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, the word ahead of each (``_START`` for none), where documents begin, which tokens train."""
@@ -162,7 +176,7 @@ def _group(ids: pa.Array, column: pa.Array, sizes: Sizes) -> tuple[Group, np.nda
     place = np.array([lowered.setdefault(w.lower(), len(lowered)) for w in raw], np.int64)
     hashes = np.array([_END, *map(xxhash.xxh64_intdigest, lowered)], np.uint64)
     bucket = (hashes % np.uint64(sizes.words)).astype(np.int64)
-    order = np.lexsort((hashes, bucket))
+    order, bounds = by_bucket(bucket, sizes.words)
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
     listed = ids.to_pylist()
@@ -172,7 +186,7 @@ def _group(ids: pa.Array, column: pa.Array, sizes: Sizes) -> tuple[Group, np.nda
         trains=np.array([_trains(i) for i in listed], bool),
         counts=np.diff(words.at),
         codes=number[place[words.codes] + 1] if len(raw) else np.zeros(0, np.int64),
-        bounds=np.searchsorted(bucket[order], np.arange(sizes.words + 1)),
+        bounds=bounds,
         end=int(number[0]),
     )
     tokens, _, _, trains = group.stream()
@@ -197,7 +211,7 @@ def _asks_words(sizes: Sizes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 rows: Rows = [("group", g, 0, group.block(), float(group.trains.sum()), 0.0)]
                 for b in np.flatnonzero(np.diff(group.bounds)).tolist():
                     part = slice(group.bounds[b], group.bounds[b + 1])
-                    rows.append(("words", b, g, pack(hashes[part], _planes(n[part])), 0.0, 0.0))
+                    rows.append(("words", b, g, pack(hashes[part], planes(n[part])), 0.0, 0.0))
                 rows.append(("sum", 0, 0, None, float(group.trains.sum()), 0.0))
                 yield from _table(rows).to_batches()
 
@@ -215,7 +229,7 @@ def _count_words(bucket: int, found: dict[str, list[tuple]]) -> Rows:
     """A word bucket: to each group the place (or -1) and training count of each of its words."""
     asks = [(g, *unpack(block, np.uint64, None)) for g, block, _, _ in found["words"]]
     hashes = np.concatenate([h for _, h, _ in asks])
-    counts = np.concatenate([_numbers(n) for _, _, n in asks])
+    counts = np.concatenate([numbers(n) for _, _, n in asks])
     words, which = np.unique(hashes, return_inverse=True)
     total = np.bincount(which, counts, minlength=len(words)).astype(np.int64)
     # Frequent words have small numbers, which pack better.
@@ -229,7 +243,7 @@ def _count_words(bucket: int, found: dict[str, list[tuple]]) -> Rows:
     for g, h, _ in asks:
         mine = which[start : start + len(h)]
         start += len(h)
-        rows.append(("word", g, bucket, pack(_planes(place[mine]), _planes(total[mine])), 0.0, 0.0))
+        rows.append(("word", g, bucket, pack(planes(place[mine]), planes(total[mine])), 0.0, 0.0))
     return rows
 
 
@@ -254,7 +268,7 @@ class Pairs:
 def _word_numbers(group: Group, answers: list[tuple], sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
     number, count = np.full(group.bounds[-1], -1, np.int64), np.zeros(group.bounds[-1], np.int64)
     for b, block, _, _ in answers:
-        place, total = map(_numbers, unpack(block, None, None))
+        place, total = map(numbers, unpack(block, None, None))
         part = slice(group.bounds[b], group.bounds[b + 1])
         number[part] = np.where(place >= 0, place * sizes.words + b, -1)
         count[part] = total
@@ -265,15 +279,16 @@ def _pairs(group: Group, number: np.ndarray, count: np.ndarray, documents: int,
     tokens, before, _, trains = group.stream()
     served = (before == _START) | (count[before] >= LEAST_CONTEXT)
     known = number[tokens] >= 0
+    has_pair = served & known
     words = len(number)
+    bits = 2 * (words + 1).bit_length()
     # The context alone has the follower ``words``; the start is the context ``words``.
     key = np.where(before == _START, words, before) * (words + 1)
-    has_pair = served & known
-    full, alone = key[has_pair] + tokens[has_pair], np.unique(key[served] + words)
-    distinct, which = np.unique(full, return_inverse=True)
-    n = np.bincount(which, trains[has_pair], minlength=len(distinct)).astype(np.int64)
-    every = np.concatenate([distinct, alone])
-    n = np.concatenate([n, np.zeros(len(alone), np.int64)])
+    pairs, which = distinct(key[has_pair] + tokens[has_pair], bits)
+    n = np.bincount(which, trains[has_pair], minlength=len(pairs)).astype(np.int64)
+    contexts, context = distinct(key[served] + words, bits)
+    every = np.concatenate([pairs, contexts])
+    n = np.concatenate([n, np.zeros(len(contexts), np.int64)])
     u_local, w_local = every // (words + 1), every % (words + 1)
     u = np.append(number, _START)[u_local]
     w = np.append(number, -1)[w_local]
@@ -281,15 +296,13 @@ def _pairs(group: Group, number: np.ndarray, count: np.ndarray, documents: int,
     parts = customers // _PART + 1
     part = np.where(w < 0, 0, mixed(w.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
     spot = mixed(mixed(u.view(np.uint64)) + part.astype(np.uint64))
-    bucket = (spot % np.uint64(sizes.contexts)).astype(np.int64)
-    order = np.lexsort((w, u, bucket))
+    order, bounds = by_bucket((spot % np.uint64(sizes.contexts)).astype(np.int64), sizes.contexts)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     entry_of, context_of = np.full(len(tokens), -1, np.int64), np.full(len(tokens), -1, np.int64)
     entry_of[has_pair] = place[which]
-    context_of[served] = place[len(distinct) + np.searchsorted(alone, key[served] + words)]
+    context_of[served] = place[len(pairs) + context]
     direct = np.bincount(tokens[trains & ~served], minlength=words)
-    bounds = np.searchsorted(bucket[order], np.arange(sizes.contexts + 1))
     return Pairs(u[order], w[order], n[order], customers[order], bounds, entry_of, context_of, direct)
 
 
@@ -301,13 +314,13 @@ def _asks_pairs(documents: int, sizes: Sizes) -> Callable[[int, dict[str, list[t
         rows: Rows = []
         for b in np.flatnonzero(np.diff(pairs.bounds)).tolist():
             part = slice(pairs.bounds[b], pairs.bounds[b + 1])
-            block = pack(*[_planes(x[part]) for x in (pairs.u, pairs.w, pairs.n, pairs.customers)])
+            block = pack(*[planes(x[part]) for x in (pairs.u, pairs.w, pairs.n, pairs.customers)], level=3)
             rows.append(("pairs", b, g, block, 0.0, 0.0))
         some = np.flatnonzero(pairs.direct)
         spot = number[some]
         for b in np.unique(spot % sizes.words).tolist():
             mine = spot % sizes.words == b
-            block = pack(_planes(spot[mine] // sizes.words), _planes(pairs.direct[some[mine]]))
+            block = pack(planes(spot[mine] // sizes.words), planes(pairs.direct[some[mine]]))
             rows.append(("direct", b, g, block, 0.0, 0.0))
         return rows
 
@@ -319,61 +332,68 @@ def _asks_pairs(documents: int, sizes: Sizes) -> Callable[[int, dict[str, list[t
 
 @dataclass
 class Contexts:
-    """The restaurants of a bucket: distinct contexts, pairs that occur in training, and their tables."""
+    """The restaurants of a bucket: distinct contexts, and the pairs that occur twice or more, with their tables.
+
+    ``singles`` counts a context's pairs that occur once. They have one table each, whatever happens, so
+    they are kept apart and not looked at in the rounds.
+    """
 
     u: np.ndarray
     customers: np.ndarray
+    singles: np.ndarray
+    shared: np.ndarray
     owner: np.ndarray
     w: np.ndarray
     n: np.ndarray
-    shared: np.ndarray
     table_sum: np.ndarray
     owners: np.ndarray
     sizes: np.ndarray
     weights: list[np.ndarray]
 
     def block(self) -> bytes:
-        shown = (self.u, self.customers, self.owner, self.w, self.n, self.shared, self.table_sum, self.owners, self.sizes)
-        weights = np.concatenate([np.zeros(0), *self.weights])
-        return pack(*[_planes(x) for x in shown], weights)
+        shown = (self.u, self.customers, self.singles, self.shared, self.owner, self.w, self.n)
+        shown += (self.table_sum, self.owners, self.sizes)
+        return pack(*map(planes, shown), np.concatenate([np.zeros(0), *self.weights]))
 
     @classmethod
     def of(cls, block: bytes) -> Contexts:
-        *raw, weights = unpack(block, *[None] * 9, np.float64)
-        parts = [_numbers(r) for r in raw]
+        *raw, weights = unpack(block, *[None] * 10, np.float64)
+        parts = [numbers(r) for r in raw]
         many = len(weights) // max(1, len(parts[0]))
         return cls(*parts, [weights[i * len(parts[0]) : (i + 1) * len(parts[0])] for i in range(many)])
 
-    @property
-    def several(self) -> np.ndarray:
-        return np.flatnonzero(self.n > 1)
-
 
 def _open(bucket: int, found: dict[str, list[tuple]], sizes: Sizes) -> Rows:
     """A context bucket: sum the pairs, one table each, and tell the word buckets."""
-    asks = [[_numbers(x) for x in unpack(block, *[None] * 4)] for _, block, _, _ in found["pairs"]]
+    asks = [[numbers(x) for x in unpack(block, *[None] * 4)] for _, block, _, _ in found["pairs"]]
     u, w, n, customers = (np.concatenate(c) for c in zip(*asks, strict=True))
-    order = np.lexsort((w, u))
-    u, w, n, customers = u[order], w[order], n[order], customers[order]
-    first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])]))
-    n, u, w, customers = np.add.reduceat(n, first), u[first], w[first], customers[first]
-    contexts, begin, owner = np.unique(u, return_index=True, return_inverse=True)
-    seen = n > 0
+    contexts, owner = distinct(u - _START, int(u.max() - _START).bit_length())
+    own = np.zeros(len(contexts), np.int64)
+    own[owner] = customers
+    width = int(w.max() + 1).bit_length()
+    pairs, which = distinct(owner << width | (w + 1), width + len(contexts).bit_length())
+    n = np.bincount(which, n, minlength=len(pairs)).astype(np.int64)
+    # Contexts alone, and pairs that only held-out documents have, have no customers.
+    once, several = pairs[n == 1], np.flatnonzero(n > 1)
+    owner, w = pairs >> width, (pairs & ((1 << width) - 1)) - 1
+    singles = np.bincount(once >> width, minlength=len(contexts))
     none = np.zeros(0, np.int64)
-    own = customers[begin]
-    state = Contexts(contexts, own, owner[seen], w[seen], n[seen], own // _PART, none, none, none, [])
-    state.table_sum = np.zeros(len(state.several), np.int64)
+    state = Contexts(
+        contexts + _START, own, singles, own // _PART, owner[several], w[several], n[several], none, none, none, []
+    )
+    state.table_sum = np.zeros(len(several), np.int64)
     rows: Rows = [("state", bucket, 0, state.block(), 0.0, 0.0)]
-    rows.append(("sum", 0, 0, None, float((state.n == 1).sum()), float((state.n == 2).sum())))
+    rows.append(("once", bucket, 0, pack(planes(owner[n == 1]), planes(w[n == 1])), 0.0, 0.0))
+    rows.append(("sum", 0, 0, None, float(len(once)), float((n == 2).sum())))
+    tables = singles + np.bincount(state.owner, minlength=len(contexts))
     for i in np.flatnonzero(state.shared).tolist():
-        rows.append(("split", int(contexts[i]), bucket, None, float((state.owner == i).sum()), 0.0))
-    several = state.n > 1
+        rows.append(("split", int(state.u[i]), bucket, None, float(tables[i]), 0.0))
     # Words by bucket: how many single pairs a word has, and which words have pairs that can move.
-    for b in np.unique(state.w % sizes.words).tolist():
-        mine = state.w % sizes.words == b
-        single, alone = np.unique(state.w[mine & ~several] // sizes.words, return_counts=True)
-        moving, pairs = np.unique(state.w[mine & several] // sizes.words, return_counts=True)
-        rows.append(("tables", b, bucket, pack(*map(_planes, (single, alone, moving, pairs))), 0.0, 0.0))
+    counted = [np.unique(x, return_counts=True) for x in (w[n == 1], state.w)]
+    for b in range(sizes.words):
+        mine = [(x[at] // sizes.words, many[at]) for x, many in counted for at in [x % sizes.words == b]]
+        if len(mine[0][0]) or len(mine[1][0]):
+            rows.append(("tables", b, bucket, pack(*[planes(x) for pair in mine for x in pair]), 0.0, 0.0))
     return rows
 
 
@@ -396,63 +416,72 @@ class Level:
 def _seat(bucket: int, found: dict[str, list[tuple]], level: Level, turn: int, sizes: Sizes) -> Rows:
     """A round in a context bucket, given what the parent says of each word that can move."""
     state = Contexts.of(found["state"][0][1])
-    several = state.several
-    words = state.w[several]
+    owner, words, contexts = state.owner, state.w, len(state.u)
     probability = np.zeros(len(words))
     lists = {}
+    of_bucket = words % sizes.words
     for b, block, _, _ in found.get("parent", []):
-        mine = np.flatnonzero(words % sizes.words == b)
+        mine = np.flatnonzero(of_bucket == b)
         moving, which = np.unique(words[mine] // sizes.words, return_inverse=True)
         probability[mine] = level.probability(unpack(block, np.float64)[0])[which]
         lists[b] = (mine, which, len(moving))
-    owner = state.owner[several]
     # Tables of single pairs, and those of a split context in other buckets.
-    fixed = np.bincount(state.owner[state.n == 1], minlength=len(state.u)).astype(float)
+    fixed = state.singles.astype(float)
     for u, _, everywhere, here in found.get("elsewhere", []):
         fixed[np.searchsorted(state.u, u)] += everywhere - here
 
     def strength(tables: np.ndarray) -> np.ndarray:
-        all_tables = fixed + np.bincount(owner, tables, minlength=len(state.u))
+        all_tables = fixed + np.bincount(owner, tables, minlength=contexts)
         return (CONCENTRATION + level.discount * all_tables[owner]) * probability
 
-    rng = np.random.default_rng([turn, bucket])
     seated = (state.owners, state.sizes) if turn > 1 else None
-    seating = Seating(state.n[several], level.discount, strength, rng, seated)
+    seating = Seating(state.n, level.discount, strength, np.random.default_rng([turn, bucket]), seated)
     seating.sweep(STEPS)
     state.owners, state.sizes = seating.owner, seating.sizes
-    everywhere = fixed + np.bincount(owner, seating.tables, minlength=len(state.u))
+    moving = np.bincount(owner, seating.tables, minlength=contexts)
     if turn > BURN_IN:
         state.table_sum = state.table_sum + seating.tables
-        weight = (CONCENTRATION + level.discount * everywhere) / (CONCENTRATION + state.customers)
+        weight = (CONCENTRATION + level.discount * (fixed + moving)) / (CONCENTRATION + state.customers)
         state.weights.append(weight)
     rows: Rows = [("state", bucket, 0, state.block(), 0.0, 0.0)]
     for b, (mine, which, many) in lists.items():
         moved = np.bincount(which, seating.tables[mine], minlength=many).astype(np.int64)
-        rows.append(("moved", b, bucket, pack(_planes(moved)), 0.0, 0.0))
-    own = np.bincount(state.owner[state.n == 1], minlength=len(state.u))
-    own = own + np.bincount(owner, seating.tables, minlength=len(state.u)).astype(np.int64)
+        rows.append(("moved", b, bucket, pack(planes(moved)), 0.0, 0.0))
     for i in np.flatnonzero(state.shared).tolist():
-        rows.append(("split", int(state.u[i]), bucket, None, float(own[i]), 0.0))
+        rows.append(("split", int(state.u[i]), bucket, None, float(state.singles[i] + moving[i]), 0.0))
     return rows
 
 
-def _answer_pairs(bucket: int, found: dict[str, list[tuple]], discount: float) -> Rows:
-    """To each group its pairs' own shares, averaged over the samples, and its contexts' weights of the parent."""
+def _answer_pairs(bucket: int, found: dict[str, list[tuple]]) -> Rows:
+    """To each group what its pairs have here, and its contexts' weights of the parent.
+
+    Of a pair the customers, and if they are several the sum of its tables over the samples: small
+    numbers that pack well, from which the group works out the pair's own share.
+    """
     state = Contexts.of(found["state"][0][1])
-    tables = np.ones(len(state.n))
-    tables[state.several] = state.table_sum / (ROUNDS - BURN_IN)
-    share = (state.n - discount * tables) / (CONCENTRATION + state.customers[state.owner])
-    keys = state.owner * (1 << 40) + state.w
+    single_owner, single_w = map(numbers, unpack(found["once"][0][1], None, None))
+    none = np.zeros(len(single_w), np.int64)
+    keys = np.concatenate([state.owner, single_owner]) << 40 | np.concatenate([state.w, single_w])
+    order = np.argsort(keys)
+    keys = keys[order]
+    customers = np.concatenate([state.n, none + 1])[order]
+    tables = np.concatenate([state.table_sum, none])[order]
     rows: Rows = []
     for g, block, _, _ in found["pairs"]:
-        u, w, _, _ = map(_numbers, unpack(block, *[None] * 4))
+        u, w, _, _ = map(numbers, unpack(block, *[None] * 4))
         owner = np.searchsorted(state.u, u)
-        wanted = owner * (1 << 40) + w
-        at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-        own = np.where(keys[at] == wanted, share[at], 0.0) if len(keys) else np.zeros(len(u))
-        alone = owner[w < 0]
-        weights = [x[alone].astype(np.float32) for x in state.weights]
-        rows.append(("pair", g, bucket, pack(own.astype(np.float32), *weights), 0.0, 0.0))
+        alone = w < 0
+        wanted = owner << 40 | np.maximum(w, 0)
+        n = np.zeros(len(u), np.int64)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            hit = (keys[at] == wanted) & ~alone
+            n[hit] = customers[at[hit]]
+            moving = tables[at[n > 1]]
+        else:
+            moving = n[:0]
+        weights = [x[owner[alone]].astype(np.float32) for x in state.weights]
+        rows.append(("pair", g, bucket, pack(planes(n), planes(moving), *weights), 0.0, 0.0))
     return rows
 
 
@@ -464,12 +493,12 @@ def _parent(bucket: int, found: dict[str, list[tuple]], level: Level, turn: int)
     known = int(found["size"][0][2])
     customers = np.zeros(known, np.int64)
     for _, block, _, _ in found.get("direct", []):
-        place, n = map(_numbers, unpack(block, None, None))
+        place, n = map(numbers, unpack(block, None, None))
         customers[place] += n
-    moved = {src: _numbers(unpack(block, None)[0]) for src, block, _, _ in found.get("moved", [])}
+    moved = {src: numbers(unpack(block, None)[0]) for src, block, _, _ in found.get("moved", [])}
     asked = []
     for src, block, _, _ in found.get("tables", []):
-        single, alone, moving, pairs = map(_numbers, unpack(block, *[None] * 4))
+        single, alone, moving, pairs = map(numbers, unpack(block, *[None] * 4))
         customers[single] += alone
         customers[moving] += moved.get(src, pairs)
         asked.append((src, moving))
@@ -493,13 +522,14 @@ def _answer_words(bucket: int, found: dict[str, list[tuple]], levels: dict[int,
         samples.append(levels[turn].probability(own).astype(np.float32))
     rows: Rows = []
     for g, block, _, _ in found["word"]:
-        place = _numbers(unpack(block, None, None)[0])
+        place = numbers(unpack(block, None, None)[0])
         rows.append(("probability", g, bucket, pack(*[s[place] for s in samples]), 0.0, 0.0))
     return rows
 
 
-def _score(train_tokens: int, train_words: int, documents: int, sizes: Sizes) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    samples = ROUNDS - BURN_IN
+def _score(model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    samples, discount, documents, sizes = ROUNDS - BURN_IN, model.discount, model.documents, model.sizes
+    train_tokens, train_words = model.train_tokens, model.train_words
 
     def run(records: pa.Table, answers: pa.Table) -> pa.Table:
         found: dict[str, list[tuple]] = {}
@@ -517,8 +547,11 @@ def _score(train_tokens: int, train_words: int, documents: int, sizes: Sizes) ->
             own, weights = np.zeros(len(pairs.u) + 1), np.zeros((samples, len(pairs.u) + 1))
             for b, block, _, _ in found.get("pair", []):
                 part = np.arange(pairs.bounds[b], pairs.bounds[b + 1])
-                shares, *lists = unpack(block, *[np.float32] * (1 + samples))
-                own[part] = shares
+                seen, moving, *lists = unpack(block, None, None, *[np.float32] * samples)
+                customers = numbers(seen)
+                tables = (customers > 0).astype(float)
+                tables[customers > 1] = numbers(moving) / samples
+                own[part] = (customers - discount * tables) / (CONCENTRATION + pairs.customers[part])
                 weights[:, part[pairs.w[part] < 0]] = lists
             # Without a restaurant, all weight is the parent's.
             weights[:, -1] = 1.0
@@ -579,6 +612,7 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mode
     tables.write("groups", narrow.mapInArrow(_asks_words(sizes), _MESSAGE))
     documents = int(tables.sums("groups")[0])
     tables.write("counts", _step(tables.read("groups", "words"), _count_words))
+    tables.drop("groups", "words")
     train_tokens, train_words = map(int, tables.sums("counts"))
     words = _union(tables.read("groups", "group"), tables.read("counts", "word"))
     tables.write("pairs", _step(words, _asks_pairs(documents, sizes)))
@@ -602,6 +636,7 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mode
                 _elsewhere(tables.read(f"contexts-{turn}", "split")),
             )
             tables.write(f"contexts-{turn + 1}", _step(rows, _seat_at(level, turn + 1, sizes)))
+            tables.drop(f"contexts-{turn}", "state")
     return Model(tables, sizes, documents, train_tokens, train_words, levels)
 
 
@@ -628,15 +663,18 @@ def _elsewhere(split: DataFrame) -> DataFrame:
 
 def scores(model: Model) -> DataFrame:
     """The documents that the model was given, each with its log10 probability."""
-    tables, discount, levels = model.tables, model.discount, model.levels
+    tables, levels = model.tables, model.levels
+    release(tables.spark)
     words = tables.read("counts", "word")
     by_bucket = words.select("kind", F.col("src").alias("key"), F.col("key").alias("src"), "block", "x", "y")
     own = [tables.read(f"parent-{turn}", "own") for turn in levels]
     probabilities = _step(_union(by_bucket, *own), lambda b, found: _answer_words(b, found, levels))
-    asked = _union(tables.read("pairs", "pairs"), tables.read(f"contexts-{ROUNDS}", "state"))
-    shares = _step(asked, lambda b, found: _answer_pairs(b, found, discount))
+    asked = _union(
+        tables.read("pairs", "pairs"), tables.read("contexts-0", "once"), tables.read(f"contexts-{ROUNDS}", "state")
+    )
+    shares = _step(asked, _answer_pairs)
     groups = tables.read("groups", "group")
-    run = _score(model.train_tokens, model.train_words, model.documents, model.sizes)
+    run = _score(model)
     answers = _union(words, probabilities, shares)
     return groups.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(run, _SCHEMA)
 
