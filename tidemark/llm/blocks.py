@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.arrays import give_back
+
 #: Bytes of text in a group, on average.
 GROUP_BYTES = 8 * 2**20
 #: A null doc_id comes after all others.
@@ -63,6 +65,7 @@ def asked(groups: DataFrame, ask: Callable[[pa.Table], Blocks]) -> DataFrame:
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         rows = list(ask(in_order(group)))
+        give_back()
         return pa.table(
             {
                 "bucket": pa.array([b for b, _ in rows], pa.int32()),
@@ -82,6 +85,7 @@ def answered(requests: DataFrame, answer: Callable[[list[bytes]], list[bytes | N
         table = pa.table(
             {"g": bucket["g"], "bucket": bucket["bucket"], "block": pa.array(answers, pa.binary())}
         )
+        give_back()
         return table.filter(pc.is_valid(table["block"]))
 
     return requests.groupBy("bucket").applyInArrow(run, "g int, bucket int, block binary")
@@ -102,7 +106,9 @@ def applied(
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
         by_bucket = dict(zip(found["bucket"].to_pylist(), found["block"].to_pylist(), strict=True))
-        return apply(in_order(group), by_bucket)
+        out = apply(in_order(group), by_bucket)
+        give_back()
+        return out
 
     return groups.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(run, schema)
 

@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.arrays import Places, pieces, slices, spread, sums_between, words_of
+from tidemark.llm.arrays import Places, give_back, pieces, slices, spread, sums_between, words_of
 from tidemark.llm.common import bounded_batches, replaced
 from tidemark.llm.lexicon import Lexicon
 
 #: Frequent words that the lexicon holds; it is all that is collected or sent to executors.
-LEXICON_WORDS = 200_000
+LEXICON_WORDS = 100_000
 #: Bytes of texts that a task looks at together.
-_PIECE = 8 * 2**20
+_PIECE = 6 * 2**20
 #: How often such a word has to occur in some megabytes of texts at least; this says which words are fast, not
 #: what any word becomes.
 _OFTEN = 3
@@ -252,7 +252,7 @@ class Codec:
         distinct = words.distinct.cast(pa.binary())
         pool, starts, sizes = self._found(distinct, lexicon, lambda rest: self._split(rest, lexicon))
         pool = pool.astype("<u4")
-        for first, last in slices(np.diff(words.at), 300_000):
+        for first, last in slices(np.diff(words.at), 200_000):
             codes = words.codes[words.at[first] : words.at[last]]
             many = sizes[codes]
             at = np.concatenate([[0], np.cumsum(many)])[words.at[first : last + 1] - words.at[first]]
@@ -301,7 +301,7 @@ def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
     Ties go by the words. What they hold once or twice is not worth a place, and would be most of
     what is shuffled.
     """
-    bounded_batches(docs.sparkSession, 10_000)
+    bounded_batches(docs.sparkSession, 4_000)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,11 +311,12 @@ def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
                 often = np.flatnonzero(counts >= _OFTEN)
                 columns = [words.distinct.take(pa.array(often)), pa.array(counts[often], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
+                give_back()
 
     found = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(counted, "word string, n long")
     totals = found.groupBy("word").agg(F.sum("n").alias("n"))
     top = totals.orderBy(F.desc("n"), "word").limit(most).select("word")
-    return [r.word for r in top.collect()]
+    return top.toArrow()["word"].to_pylist()
 
 
 def compiled(spark: SparkSession, words: list[str], vocabulary: str) -> str:
@@ -325,6 +326,8 @@ def compiled(spark: SparkSession, words: list[str], vocabulary: str) -> str:
     handle, path = tempfile.mkstemp(prefix="lexicon-", suffix=".bin")
     os.close(handle)
     Lexicon.build(entries).save(path)
+    del entries, ids
+    give_back()
     return _shipped(spark, path)
 
 
@@ -349,6 +352,7 @@ def encoded(
             for ids, at in codec.encode(part, known):
                 raw = ids.tobytes()
                 out += [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]
+            give_back()
         return pa.array(out, pa.binary())
 
     return replaced(docs, into, encode(F.col(f"`{text}`")))

@@ -18,7 +18,7 @@ from tidemark.sources.shared import scratch, written
 #: A word: a run without space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: What a task gets from Spark at a time: so many rows or bytes at most.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 * 2**20
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 * 2**20
 
 
 @cache

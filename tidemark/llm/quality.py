@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import Rolling, covered, pieces, sums_between, texts, words_of
+from tidemark.llm.arrays import Rolling, covered, give_back, pieces, sums_between, texts, words_of
 from tidemark.llm.common import bounded_batches, replaced
 
 _SYMBOLS = b"#*$%&|<>"
@@ -111,7 +111,8 @@ def repetition(
 
     @F.arrow_udf(result_type(rules))
     def measured(column: pa.Array) -> pa.Array:
-        parts = [_measure(part, rules) for _, part in pieces(column)]
+        parts = [_measure(part, rules) for _, part in pieces(column, 3_000_000)]
+        give_back()
         parts = parts or [_measure(texts(column), rules)]
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate([p[name] for p in parts])) for name in parts[0]], list(parts[0])

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import pieces, words_of
+from tidemark.llm.arrays import give_back, pieces, words_of
 from tidemark.llm.common import bounded_batches, only, replaced, stored
 from tidemark.llm.components import smallest_reachable
 
@@ -72,6 +72,7 @@ def fingerprinted(
     @F.arrow_udf("long")
     def hashed(column: pa.Array) -> pa.Array:
         parts = [_fingerprints(part, size, seed) for _, part in pieces(column, 2_000_000)]
+        give_back()
         return pa.array(np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64))
 
     return replaced(docs, into, hashed(F.col(f"`{text}`")))
