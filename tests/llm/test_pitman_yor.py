@@ -62,19 +62,19 @@ def small(monkeypatch):
 
 
 def test_counts_and_base_are_exact_and_held_out_texts_gain(docs_of, chained, small):
-    rows = pitman_yor.scored(docs_of(chained)).collect()
+    rows = pitman_yor.scored(docs_of(chained), least=8).collect()
     assert plain(rows) == base(list(enumerate(chained)))
     assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
     own, flat = (sum(getattr(r, c) for r in rows if r.held_out) for c in ("score", "base_score"))
     n = sum(r.n_tokens for r in rows if r.held_out)
     # In a chain of four likely followers, far fewer words are worth considering than single counts say.
     assert 10 ** (-own / n) < 0.4 * 10 ** (-flat / n)
-    again = pitman_yor.scored(docs_of(chained)).collect()
+    again = pitman_yor.scored(docs_of(chained), least=8).collect()
     assert {r.doc_id: r.base_score for r in again} == {r.doc_id: r.base_score for r in rows}
 
 
 def test_every_restaurant_gives_a_distribution(docs_of, chained, small, monkeypatch):
-    model = pitman_yor.trained(docs_of(chained))
+    model = pitman_yor.trained(docs_of(chained), least=8)
     seen, customers, tables, weights = Counter(), {}, Counter(), {}
     for row in model.tables.read(f"contexts-{pitman_yor.ROUNDS}", "state").collect():
         state = Contexts.of(row.block)
@@ -91,8 +91,8 @@ def test_every_restaurant_gives_a_distribution(docs_of, chained, small, monkeypa
         share = (c - model.discount * tables[u]) / (1 + c)
         assert share + weights[u] == pytest.approx(1)
     level = model.levels[pitman_yor.ROUNDS]
-    own = [unpack(r.block, np.float64)[0] for r in model.tables.read(f"parent-{pitman_yor.ROUNDS}", "own").collect()]
-    known = np.concatenate(own)
+    own = [[numbers(x) for x in unpack(r.block, None, None)] for r in model.tables.read(f"parent-{pitman_yor.ROUNDS}", "own").collect()]
+    known = np.concatenate([customers - level.parent_discount * tables for customers, tables in own])
     assert len(known) == model.train_words
     assert level.probability(known).sum() + level.probability(np.zeros(1))[0] == pytest.approx(1)
     # The parent's customers are the contexts' tables and the words behind rarer contexts.

@@ -30,6 +30,7 @@ from tidemark.llm.arrays import (
     by_bucket,
     byte_sizes,
     distinct,
+    give_back,
     mixed,
     numbers,
     pack,
@@ -46,8 +47,9 @@ from tidemark.llm.common import bounded_batches, release
 from tidemark.llm.seating import Seating
 from tidemark.sources.shared import scratch
 
-#: Training occurrences from which a word has a restaurant of its own.
-LEAST_CONTEXT = 32
+#: Training occurrences from which a word has a restaurant of its own. With 32, a tenth more of the words would
+#: have one ahead of them, and pairs a fifth more room.
+LEAST_CONTEXT = 128
 #: Rounds of sampling, how many of the first are not averaged, and moves per dish in a round.
 ROUNDS, BURN_IN, STEPS = 2, 0, 8
 CONCENTRATION = 1.0
@@ -63,8 +65,11 @@ Rows = list[tuple[str, int, int, bytes | None, float, float]]
 
 @dataclass(frozen=True)
 class Sizes:
+    """Word buckets, context buckets, and the least occurrences of a context."""
+
     words: int
     contexts: int
+    least: int
 
 
 def _table(rows: Rows) -> pa.Table:
@@ -109,7 +114,10 @@ def _step(rows: DataFrame, function: Callable[[int, dict[str, list[tuple]]], Row
         columns = [table[c].to_pylist() for c in ("kind", "src", "block", "x", "y")]
         for kind, src, block, x, y in sorted(zip(*columns, strict=True), key=lambda r: r[:2]):
             found.setdefault(kind, []).append((src, block, x, y))
-        return _table(function(key[0].as_py(), found))
+        rows = function(key[0].as_py(), found)
+        found.clear()
+        give_back()
+        return _table(rows)
 
     return rows.groupBy("key").applyInArrow(run, _MESSAGE)
 
@@ -214,6 +222,7 @@ def _asks_words(sizes: Sizes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                     rows.append(("words", b, g, pack(hashes[part], planes(n[part])), 0.0, 0.0))
                 rows.append(("sum", 0, 0, None, float(group.trains.sum()), 0.0))
                 yield from _table(rows).to_batches()
+                give_back()
 
         for batch in batches:
             held.append(batch)
@@ -277,7 +286,7 @@ def _word_numbers(group: Group, answers: list[tuple], sizes: Sizes) -> tuple[np.
 
 def _pairs(group: Group, number: np.ndarray, count: np.ndarray, documents: int, sizes: Sizes) -> Pairs:
     tokens, before, _, trains = group.stream()
-    served = (before == _START) | (count[before] >= LEAST_CONTEXT)
+    served = (before == _START) | (count[before] >= sizes.least)
     known = number[tokens] >= 0
     has_pair = served & known
     words = len(number)
@@ -510,26 +519,24 @@ def _parent(bucket: int, found: dict[str, list[tuple]], level: Level, turn: int)
     rows: Rows = [("sum", 0, 0, None, float(seating.tables.sum()), float(customers.sum()))]
     rows += [("parent", src, bucket, pack(own[moving]), 0.0, 0.0) for src, moving in asked if len(moving)]
     if turn > BURN_IN:
-        rows.append(("own", bucket, turn, pack(own), 0.0, 0.0))
+        rows.append(("own", bucket, turn, pack(planes(customers), planes(seating.tables)), 0.0, 0.0))
     return rows
 
 
-def _answer_words(bucket: int, found: dict[str, list[tuple]], levels: dict[int, Level]) -> Rows:
-    """To each group the parent's probability of each of its words, one for each sample."""
-    samples = []
-    for turn, block, _, _ in found["own"]:
-        own = np.append(unpack(block, np.float64)[0], 0.0)
-        samples.append(levels[turn].probability(own).astype(np.float32))
+def _answer_words(bucket: int, found: dict[str, list[tuple]]) -> Rows:
+    """To each group what the parent has of each of its words: customers and tables, for each sample."""
+    samples = [np.append(numbers(x), 0) for _, block, _, _ in found["own"] for x in unpack(block, None, None)]
     rows: Rows = []
     for g, block, _, _ in found["word"]:
+        # A word that no training document has is at place -1, where there is nothing.
         place = numbers(unpack(block, None, None)[0])
-        rows.append(("probability", g, bucket, pack(*[s[place] for s in samples]), 0.0, 0.0))
+        rows.append(("parent", g, bucket, pack(*[planes(s[place]) for s in samples]), 0.0, 0.0))
     return rows
 
 
 def _score(model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
     samples, discount, documents, sizes = ROUNDS - BURN_IN, model.discount, model.documents, model.sizes
-    train_tokens, train_words = model.train_tokens, model.train_words
+    train_tokens, train_words, levels = model.train_tokens, model.train_words, list(model.levels.values())
 
     def run(records: pa.Table, answers: pa.Table) -> pa.Table:
         found: dict[str, list[tuple]] = {}
@@ -542,8 +549,11 @@ def _score(model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
             pairs = _pairs(group, number, count, documents, sizes)
             tokens, _, at, _ = group.stream()
             parent = np.zeros((samples, len(number)))
-            for b, block, _, _ in found["probability"]:
-                parent[:, group.bounds[b] : group.bounds[b + 1]] = unpack(block, *[np.float32] * samples)
+            for b, block, _, _ in found["parent"]:
+                raw = [numbers(x) for x in unpack(block, *[None] * 2 * samples)]
+                for i, level in enumerate(levels):
+                    own = raw[2 * i] - level.parent_discount * raw[2 * i + 1]
+                    parent[i, group.bounds[b] : group.bounds[b + 1]] = level.probability(own)
             own, weights = np.zeros(len(pairs.u) + 1), np.zeros((samples, len(pairs.u) + 1))
             for b, block, _, _ in found.get("pair", []):
                 part = np.arange(pairs.bounds[b], pairs.bounds[b + 1])
@@ -557,6 +567,7 @@ def _score(model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
             weights[:, -1] = 1.0
             p = own[pairs.entry_of] + (weights[:, pairs.context_of] * parent[:, tokens]).mean(axis=0)
             base = np.log10((count[tokens] + 1) / (train_tokens + train_words + 1))
+            give_back()
             parts.append(
                 pa.table(
                     {
@@ -601,12 +612,12 @@ class Model:
         return next(iter(self.levels.values())).discount
 
 
-def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
+def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_CONTEXT) -> Model:
     """Seat the training documents of ``docs``; all documents are packed on the way, for the scores."""
     spark = docs.sparkSession
     bounded_batches(spark)
     total = text_bytes(docs, text)
-    sizes = Sizes(max(1, -(-total // _WORD_BYTES)), max(1, -(-total // _CONTEXT_BYTES)))
+    sizes = Sizes(max(1, -(-total // _WORD_BYTES)), max(1, -(-total // _CONTEXT_BYTES)), least)
     tables = _Tables(spark)
     narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     tables.write("groups", narrow.mapInArrow(_asks_words(sizes), _MESSAGE))
@@ -663,23 +674,23 @@ def _elsewhere(split: DataFrame) -> DataFrame:
 
 def scores(model: Model) -> DataFrame:
     """The documents that the model was given, each with its log10 probability."""
-    tables, levels = model.tables, model.levels
+    tables = model.tables
     release(tables.spark)
     words = tables.read("counts", "word")
     by_bucket = words.select("kind", F.col("src").alias("key"), F.col("key").alias("src"), "block", "x", "y")
-    own = [tables.read(f"parent-{turn}", "own") for turn in levels]
-    probabilities = _step(_union(by_bucket, *own), lambda b, found: _answer_words(b, found, levels))
+    own = [tables.read(f"parent-{turn}", "own") for turn in model.levels]
+    parents = _step(_union(by_bucket, *own), _answer_words)
     asked = _union(
         tables.read("pairs", "pairs"), tables.read("contexts-0", "once"), tables.read(f"contexts-{ROUNDS}", "state")
     )
     shares = _step(asked, _answer_pairs)
     groups = tables.read("groups", "group")
     run = _score(model)
-    answers = _union(words, probabilities, shares)
+    answers = _union(words, parents, shares)
     return groups.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(run, _SCHEMA)
 
 
-def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_CONTEXT) -> DataFrame:
     """One row per document: its log10 probability by the model, and by counts of single words.
 
     Documents train the model unless crc32 of their doc_id as text (a null one: empty) leaves 2 when
@@ -688,4 +699,4 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     base's share, like any one word of ``V + 1``. Rows that share a doc_id are documents of their
     own. Words are told apart by 64 bits of a hash. Without rows there are none.
     """
-    return scores(trained(docs, doc_id, text))
+    return scores(trained(docs, doc_id, text, least))
