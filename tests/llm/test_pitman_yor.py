@@ -136,3 +136,16 @@ def test_nulls_repeated_rows_extra_columns_and_no_training(docs_of):
     assert plain(alone) == base([(held, "x y")])
     assert alone[0].score == pytest.approx(0)
     assert pitman_yor.scored(docs_of([])).count() == 0
+
+
+def test_by_default_every_training_word_has_a_restaurant_and_helps(docs_of, chained, small):
+    model = pitman_yor.trained(docs_of(chained))
+    blocks = model.tables.read(f"contexts-{pitman_yor.ROUNDS}", "state").collect()
+    contexts = np.concatenate([c.u[c.customers > 0] for c in (Contexts.of(r.block) for r in blocks)])
+    # All training words but the end, and the start.
+    assert len(contexts) == len(set(contexts.tolist())) == model.train_words
+    assert model.tables.read("pairs", "direct").count() == 0
+    rows = pitman_yor.scores(model).collect()
+    own, flat = (sum(getattr(r, c) for r in rows if r.held_out) for c in ("score", "base_score"))
+    n = sum(r.n_tokens for r in rows if r.held_out)
+    assert 10 ** (-own / n) < 0.4 * 10 ** (-flat / n)

@@ -1,9 +1,9 @@
 """A hierarchical Pitman-Yor language model, trained and applied in exchanges of packed blocks.
 
-Each word that precedes another often enough has a restaurant, its customers being the words that
+Each training word that precedes another has a restaurant, its customers being the words that
 follow it; all of them share one parent, the restaurant of single words, over an even base. A word's
-tables in the restaurants of its contexts are customers of the parent, together with the words
-behind rarer contexts. Seatings are sampled by Gibbs: contexts against the parent's last state, the
+tables in the restaurants of its contexts are customers of the parent (with a higher ``least``, so are the
+words behind rarer contexts). Seatings are sampled by Gibbs: contexts against the parent's last state, the
 parent against the contexts' new tables, in turn, so that all restaurants of a level move at once.
 Probabilities are averaged over the samples.
 
@@ -47,9 +47,8 @@ from tidemark.llm.common import bounded_batches, release
 from tidemark.llm.seating import Seating
 from tidemark.sources.shared import scratch
 
-#: Training occurrences from which a word has a restaurant of its own. With 32, a tenth more of the words would
-#: have one ahead of them, and pairs a fifth more room.
-LEAST_CONTEXT = 128
+#: Training occurrences from which a word has a restaurant of its own: every training word has one.
+LEAST_CONTEXT = 1
 #: Rounds of sampling, how many of the first are not averaged, and moves per dish in a round.
 ROUNDS, BURN_IN, STEPS = 2, 0, 8
 CONCENTRATION = 1.0
