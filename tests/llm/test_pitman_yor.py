@@ -115,6 +115,55 @@ def test_gibbs_has_the_exact_distribution_of_tables():
     assert np.abs(got - want).max() < 0.02
 
 
+@pytest.mark.parametrize("customers", [40, 1000, 3000])
+def test_tables_of_many_customers_as_by_seating_one_by_one(customers):
+    # All ways to seat the customers one by one, by their numbers of tables.
+    d, a, b = 0.8, 60.0, 0.05
+    most = min(customers, 800)
+    t = np.arange(most + 1)
+    ways = np.where(t == 1, 0.0, -np.inf)
+    for n in range(1, customers):
+        stays = ways + np.log(np.maximum(n - d * t, 1e-300))
+        opens = ways + np.log(a + b * t)
+        ways = np.logaddexp(stays, np.append(-np.inf, opens[:-1]))
+    want = np.exp(ways - ways.max())
+    want /= want.sum()
+    mean = (want * t).sum()
+    deviation = math.sqrt((want * (t - mean) ** 2).sum())
+    seating = Seating(np.full(4000, customers), d, lambda t: a + b * t, np.random.default_rng(3))
+    seating.sweep(2)
+    assert abs(seating.tables.mean() - mean) < 0.08 * deviation
+    assert abs(seating.tables.std() / deviation - 1) < 0.06
+    got = np.bincount(seating.tables, minlength=most + 1)[: most + 1] / 4000
+    assert np.abs(np.cumsum(got) - np.cumsum(want)).max() < 0.035
+
+
+def test_dishes_of_one_restaurant_have_the_tables_that_moving_one_by_one_leads_to():
+    # Two dishes share a restaurant: numbers of tables weigh by those of both.
+    d, p, n = 0.7, np.array([0.3, 0.1]), (6, 3)
+
+    def ways(n):
+        out = {1: 1.0}
+        for m in range(1, n):
+            out = {t: out.get(t, 0) * (m - d * t) + out.get(t - 1, 0) for t in range(1, m + 2)}
+        return out
+
+    want = np.zeros((7, 4))
+    for s, x in ways(6).items():
+        for t, y in ways(3).items():
+            want[s, t] = x * y * p[0] ** s * p[1] ** t * math.prod(1 + d * i for i in range(s + t))
+    want /= want.sum()
+    many = 20_000
+    owner, probability = np.repeat(np.arange(many), 2), np.tile(p, many)
+    strength = lambda t: (1 + d * np.bincount(owner, t)[owner]) * probability
+    seating = Seating(np.tile(n, many), d, strength, np.random.default_rng(4), step=d * probability)
+    seating.sweep(12)
+    got = np.zeros((7, 4))
+    np.add.at(got, tuple(seating.tables.reshape(-1, 2).T), 1 / many)
+    # Dishes that move at once do not see each other's move: a quarter of the pairs, each time.
+    assert np.abs(got - want).max() < 0.02
+
+
 def test_seating_keeps_all_customers():
     rng = np.random.default_rng(2)
     customers = np.concatenate([rng.integers(0, 5, 200), rng.integers(5, 5000, 50)])

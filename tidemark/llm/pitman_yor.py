@@ -44,13 +44,14 @@ from tidemark.llm.arrays import (
 )
 from tidemark.llm.blocks import text_bytes
 from tidemark.llm.common import bounded_batches, release
-from tidemark.llm.seating import Seating
+from tidemark.llm.seating import Seating, some_sizes
 from tidemark.sources.shared import scratch
 
 #: Training occurrences from which a word has a restaurant of its own: every training word has one.
 LEAST_CONTEXT = 1
-#: Rounds of sampling, how many of the first are not averaged, and moves per dish in a round.
-ROUNDS, BURN_IN, STEPS = 2, 0, 8
+#: Rounds of sampling, how many of the first are not averaged, and how often in a round a context's dishes draw
+#: their tables. The parent's dishes do not wait for each other: one draw is all.
+ROUNDS, BURN_IN, STEPS = 3, 1, 3
 CONCENTRATION = 1.0
 #: Of the parent; that of the contexts follows from how many pairs occur once and twice.
 PARENT_DISCOUNT = 0.8
@@ -354,18 +355,25 @@ class Contexts:
     w: np.ndarray
     n: np.ndarray
     table_sum: np.ndarray
-    owners: np.ndarray
-    sizes: np.ndarray
+    tables: np.ndarray
     weights: list[np.ndarray]
 
+    @property
+    def owners(self) -> np.ndarray:
+        return some_sizes(self.n, self.tables)[0]
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return some_sizes(self.n, self.tables)[1]
+
     def block(self) -> bytes:
         shown = (self.u, self.customers, self.singles, self.shared, self.owner, self.w, self.n)
-        shown += (self.table_sum, self.owners, self.sizes)
+        shown += (self.table_sum, self.tables)
         return pack(*map(planes, shown), np.concatenate([np.zeros(0), *self.weights]))
 
     @classmethod
     def of(cls, block: bytes) -> Contexts:
-        *raw, weights = unpack(block, *[None] * 10, np.float64)
+        *raw, weights = unpack(block, *[None] * 9, np.float64)
         parts = [numbers(r) for r in raw]
         many = len(weights) // max(1, len(parts[0]))
         return cls(*parts, [weights[i * len(parts[0]) : (i + 1) * len(parts[0])] for i in range(many)])
@@ -387,9 +395,9 @@ def _open(bucket: int, found: dict[str, list[tuple]], sizes: Sizes) -> Rows:
     singles = np.bincount(once >> width, minlength=len(contexts))
     none = np.zeros(0, np.int64)
     state = Contexts(
-        contexts + _START, own, singles, own // _PART, owner[several], w[several], n[several], none, none, none, []
+        contexts + _START, own, singles, own // _PART, owner[several], w[several], n[several], none, none, []
     )
-    state.table_sum = np.zeros(len(several), np.int64)
+    state.table_sum, state.tables = np.zeros(len(several), np.int64), np.ones(len(several), np.int64)
     rows: Rows = [("state", bucket, 0, state.block(), 0.0, 0.0)]
     rows.append(("once", bucket, 0, pack(planes(owner[n == 1]), planes(w[n == 1])), 0.0, 0.0))
     rows.append(("sum", 0, 0, None, float(len(once)), float((n == 2).sum())))
@@ -442,10 +450,10 @@ def _seat(bucket: int, found: dict[str, list[tuple]], level: Level, turn: int, s
         all_tables = fixed + np.bincount(owner, tables, minlength=contexts)
         return (CONCENTRATION + level.discount * all_tables[owner]) * probability
 
-    seated = (state.owners, state.sizes) if turn > 1 else None
-    seating = Seating(state.n, level.discount, strength, np.random.default_rng([turn, bucket]), seated)
+    rng, step = np.random.default_rng([turn, bucket]), level.discount * probability
+    seating = Seating(state.n, level.discount, strength, rng, state.tables, step)
     seating.sweep(STEPS)
-    state.owners, state.sizes = seating.owner, seating.sizes
+    state.tables = seating.tables
     moving = np.bincount(owner, seating.tables, minlength=contexts)
     if turn > BURN_IN:
         state.table_sum = state.table_sum + seating.tables
@@ -513,7 +521,7 @@ def _parent(bucket: int, found: dict[str, list[tuple]], level: Level, turn: int)
     backed = (CONCENTRATION + level.parent_discount * level.tables) * level.base
     rng = np.random.default_rng([turn, bucket, 1])
     seating = Seating(customers, level.parent_discount, lambda t: np.full(len(t), backed), rng)
-    seating.sweep(STEPS)
+    seating.sweep(1)
     own = customers - level.parent_discount * seating.tables
     rows: Rows = [("sum", 0, 0, None, float(seating.tables.sum()), float(customers.sum()))]
     rows += [("parent", src, bucket, pack(own[moving]), 0.0, 0.0) for src, moving in asked if len(moving)]
