@@ -100,3 +100,11 @@ def test_nulls_repeated_rows_and_extra_columns(docs_of):
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.keep_first(docs_of([])).count() == 0
+
+
+def test_unrelated_texts_of_one_doc_id_all_stay(docs_of):
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcd")
+    # 5 has two texts of its own, one of them twice, and a third that 2 has first; of 6 the first's text stays.
+    rows = [(5, one), (5, two), (5, two), (2, three), (5, three), (6, two), (6, four), (6, one)]
+    kept = simhash.keep_first(docs_of([t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, one), (5, two), (2, three), (6, four)])

@@ -30,7 +30,7 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
 
 
 def smallest_reachable(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` (f, least) with ``least`` lowered to the smallest of its component.
+    """``nodes`` (f, least) with ``least`` lowered to the smallest of its component, and ``hub``, which tells components apart.
 
     ``edges`` are pairs (a, b) of ``f``. Each round is cut by a written table. The stars shrink the
     depth of a tree to a fraction, so the number of rounds grows with the logarithm of the longest
@@ -51,4 +51,4 @@ def smallest_reachable(spark: SparkSession, nodes: DataFrame, edges: DataFrame)
         "f", "least", F.coalesce("b", "f").alias("hub")
     )
     lowest = member.groupBy("hub").agg(F.min("least").alias("least"))
-    return member.select("f", "hub").join(lowest, "hub").select("f", "least")
+    return member.select("f", "hub").join(lowest, "hub").select("f", "least", "hub")

@@ -162,30 +162,43 @@ def near_duplicates(
     fewer. A null doc_id counts as larger than any; if all of a component are null, so is its id.
     Rows of one doc_id are kept as they are and linked through their own texts. No rows give no rows.
     """
-    spark = docs.sparkSession
-    prints = stored(fingerprinted(only(docs, doc_id=doc_id, text=text), "text", "f", size, seed).drop("text"), "simhash")
-    distinct = prints.groupBy("f").agg(F.min("doc_id").alias("least"))
-    edges = links(distinct.select("f"), radius)
-    reached = smallest_reachable(spark, distinct, edges)
-    return prints.join(reached, "f", "left").select(
+    return _linked(only(docs, doc_id=doc_id, text=text), size, seed, radius).select(
         "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id")
     )
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+def _linked(texts: DataFrame, size: int, seed: int, radius: int) -> DataFrame:
+    """``texts`` (doc_id, text and others) without the text, with its fingerprint ``f``, and ``least`` and ``hub`` of its component."""
+    prints = stored(fingerprinted(texts, "text", "f", size, seed).drop("text"), "simhash")
+    distinct = prints.groupBy("f").agg(F.min("doc_id").alias("least"))
+    edges = links(distinct.select("f"), radius)
+    return prints.join(smallest_reachable(texts.sparkSession, distinct, edges), "f", "left")
+
+
+def keep_first(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = 3,
+    seed: int = 42,
+    radius: int = 3,
+) -> DataFrame:
     """Of each component the row with the smallest doc_id, with its columns.
 
-    Of rows that share that doc_id one stays, chosen by a hash of the text. Rows without a doc_id
-    cannot be told from each other and all stay.
+    Of a component's rows that share that doc_id one stays, chosen by a hash of the text; rows of
+    one doc_id in several components do not count against each other. Rows without a doc_id cannot
+    be told from each other and all stay.
     """
     key, names = F.col(f"`{doc_id}`"), [F.col(f"`{c}`") for c in docs.columns]
-    rank = "_rank"
-    while rank in docs.columns:
-        rank += "_"
-    found = near_duplicates(docs, doc_id, text, **options)
-    # Not by component: one can hold a third of all rows, and its smallest id is known already.
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    order = Window.partitionBy(key).orderBy(F.xxhash64(f"`{text}`"))
-    one_each = docs.filter(key.isNotNull()).withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1)
-    kept = one_each.join(stay, doc_id, "left_semi").select(*names)
+    mark, rank = "_mark", "_rank"
+    while mark in docs.columns or rank in docs.columns:
+        mark, rank = mark + "_", rank + "_"
+    of_text = F.xxhash64(f"`{text}`")
+    found = _linked(only(docs, doc_id=doc_id, text=text, mark=of_text), size, seed, radius)
+    # By doc_id as well: a component can hold a third of all rows, and its smallest id is known already.
+    first = found.filter("doc_id = least").groupBy("doc_id", "hub").agg(F.min("mark").alias("mark"))
+    stay = first.select(F.col("doc_id").alias(doc_id), F.col("mark").alias(mark))
+    same = Window.partitionBy(key, mark).orderBy(mark)
+    kept = docs.filter(key.isNotNull()).withColumn(mark, of_text).join(stay, [doc_id, mark], "left_semi")
+    kept = kept.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*names)
     return kept.unionByName(docs.filter(key.isNull()))
