@@ -60,3 +60,15 @@ def test_header_only_extract_is_empty(spark, tmp_path):
 def test_every_stage_column_is_text(spark):
     for entity in ENTITIES.values():
         assert {f.dataType.simpleString() for f in entity.stage_schema().fields} == {"string"}
+
+
+def test_lines_are_written_as_they_are_in_many_files_with_a_header_each(spark, tmp_path):
+    from tidemark.registry.queries import write_lines
+
+    lines = [f'{i}, "a ""b"" \\,x ,NULL,' for i in range(40)]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").repartition(4)
+    write_lines(frame, "id,name,other", f"{tmp_path}/lines")
+    files = [f.read_text().splitlines() for f in (tmp_path / "lines").glob("part-*")]
+    files = [f for f in files if f]
+    assert len(files) == 4 and all(f[0] == "id,name,other" for f in files)
+    assert sorted(line for f in files for line in f[1:]) == sorted(lines)

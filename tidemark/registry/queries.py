@@ -473,6 +473,14 @@ def stage_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage.select(*columns, *[c.alias(n) for n, c in audit.items()])
 
 
+def write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Write the one column of ``lines`` as they are, in as many files as there are partitions, each below ``header``."""
+    # Control characters as separator and quote, as lines hold the usual ones; so nothing is quoted.
+    as_is = {"sep": "\u0001", "quote": "\u0000", "escapeQuotes": "false", "emptyValue": ""}
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.toDF(header).write.options(header="true", **as_is, **spaces).csv(path)
+
+
 def stage_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a field too many or too few: landed as malformed, rejected with that reason."""
     configure(spark)
@@ -481,9 +489,7 @@ def stage_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(",", *[F.coalesce(c, F.lit("NULL")) for c in rows.columns])
     key = F.col("location_id").cast("long")
     line = F.when(key % 5 == 1, F.concat(line, F.lit(",surplus"))).when(key % 5 == 2, F.concat_ws(",", "location_id", "city")).otherwise(line)
-    header = spark.createDataFrame([(",".join(rows.columns),)], "value string")
-    # One file: its first line is the header.
-    header.unionAll(rows.select(line.alias("value"))).coalesce(1).write.text(path)
+    write_lines(rows.select(line), ",".join(rows.columns), path)
     accepted, rejected = clean_rows(read_extract(spark, path, spec), spec)
     return accepted.select("location_id", "city", F.lit("loaded").alias("outcome")).unionByName(
         rejected.select("location_id", "city", F.col("reject_reason").alias("outcome"))
