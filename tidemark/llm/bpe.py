@@ -299,7 +299,8 @@ def frequent_words(docs: DataFrame, text: str, most: int) -> list[str]:
     """The ``most`` words that occur most often, counted in every few megabytes that have them repeatedly.
 
     Ties go by the words. What they hold once or twice is not worth a place, and would be most of
-    what is shuffled.
+    what is shuffled. So the ranking is approximate, and a word spread thinly over all pieces is not
+    counted: it is merged in the tasks, to the same ids.
     """
     bounded_batches(docs.sparkSession, 4_000)
 
