@@ -1,6 +1,8 @@
 """Registered queries: each has its SQL, and plans keep the shapes they are meant to have."""
 
 import os
+from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -18,6 +20,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_module_names_differ_between_test_folders():
+    names = Counter(p.name for p in Path(__file__).parent.rglob("*.py") if p.name != "conftest.py")
+    assert [n for n, count in names.items() if count > 1] == []
+
+
 def test_every_query_has_sql():
     assert sorted(all_queries()) == sorted(all_oracles())
     assert set(all_queries()) <= set(registered.queries())

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_key
+from keyed_rows import by_key
 from tidemark.entities import ENTITIES
 from tidemark.operators.numbering import highest, number_rows
 from tidemark.operators.clean import clean_rows
