@@ -9,7 +9,7 @@ import pytest
 from llm_words import words
 from test_bpe import PATH
 from test_mixing import brute as mix
-from test_quality import expected as judged
+from test_quality_rules import expected as judged
 from test_simhash import components, fingerprint
 from tokenizers import Tokenizer
 
