@@ -79,8 +79,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM split LEFT JOIN kept USING (doc_id)
 """
 
+#: Units as a list; the draws are groups of eight hex digits of one digest per document.
+INFILL = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           [('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8))::BIGINT
+               FOR i IN [1, 9, 17, 25]] AS h
+    FROM documents
+), drawn AS (
+    SELECT *, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+           greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+                THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+), parts AS (
+    SELECT doc_id, t, form, len(u)::BIGINT AS n, array_to_string(u[1:a], '') AS p,
+           array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+              ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
     "op4_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
+    "op11_fill_in_middle": INFILL,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
+from tidemark.llm import bpe, chat, infill, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
 #: The vocabulary file that the token queries use.
@@ -97,6 +97,20 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transformed(only(documents(spark, sf_dir), doc_id="doc_id", text="text"))
+    back = infill.restored(F.col("fim.output"), F.col("fim.form"))
+    return found.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -110,5 +124,6 @@ QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_bpe,
         op10_simhash_near_dedup,
+        op11_fill_in_middle,
     )
 }
