@@ -107,9 +107,79 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+#: A checksum is a fold over the bytes, each followed by eight steps (-1); a proof is a fold over the
+#: levels, each with what stands to the left and to the right of the node.
+MERKLE = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, source, text,
+           concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+                  coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                  coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+           replace(text, chr(10), '') AS joined,
+           xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(
+               [[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+                FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+               lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+                            ELSE c >> 1 END)) AS crc
+    FROM documents
+), leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           CASE WHEN crc % 2 = 0 THEN sha256(head || coalesce(strlen(joined) || ':' || joined, '-')) END AS tampered
+    FROM fields
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           count(*) OVER (PARTITION BY source) AS n
+    FROM leaves
+), nodes AS (
+    SELECT 0 AS level, source, pos, n, leaf AS digest FROM placed
+    UNION ALL
+    SELECT level + 1, source, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM nodes WHERE n > 1 GROUP BY level, source, pos // 3, n
+), subroots AS (
+    SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, pos, n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM tops WHERE n > 1 GROUP BY level, pos // 3, n
+), every AS (
+    SELECT level, source, false AS top, pos, digest FROM nodes WHERE n > 1
+    UNION ALL SELECT level, NULL, true, pos, digest FROM tops WHERE n > 1
+), sides AS (
+    SELECT a.level, a.source, a.top, a.pos,
+           coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+           coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+    FROM every a JOIN every b ON a.level = b.level AND a.source IS NOT DISTINCT FROM b.source
+         AND a.top = b.top AND a.pos // 3 = b.pos // 3
+    GROUP BY ALL
+), steps AS (
+    SELECT p.source, p.pos, s.level, s.l, s.r
+    FROM placed p JOIN sides s ON NOT s.top AND p.source IS NOT DISTINCT FROM s.source
+         AND s.pos = p.pos // CAST(pow(3, s.level) AS BIGINT)
+    UNION ALL
+    SELECT p.source, p.pos, 1000 + s.level, s.l, s.r
+    FROM placed p JOIN subroots t ON p.source IS NOT DISTINCT FROM t.source
+         JOIN sides s ON s.top AND s.pos = t.pos // CAST(pow(3, s.level) AS BIGINT)
+), proofs AS (
+    SELECT source, pos, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256,
+           list({'l': l, 'r': r} ORDER BY level) AS sides
+    FROM steps GROUP BY source, pos
+), roots AS (
+    SELECT digest AS root FROM tops WHERE n = 1
+)
+SELECT doc_id, leaf, t.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       list_reduce(list_prepend({'l': coalesce(tampered, leaf), 'r': ''}, coalesce(sides, [])),
+                   lambda x, e: {'l': sha256(e.l || x.l || e.r), 'r': ''}).l AS folded_root,
+       folded_root = root AS verified
+FROM placed p JOIN subroots t ON p.source IS NOT DISTINCT FROM t.source
+     LEFT JOIN proofs f ON p.source IS NOT DISTINCT FROM f.source AND p.pos = f.pos, roots
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
     "op4_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
     "op11_fill_in_middle": INFILL,
+    "op13_merkle_manifest": MERKLE,
 }

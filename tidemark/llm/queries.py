@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, infill, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
+from tidemark.llm import bpe, chat, infill, merkle, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
 #: The vocabulary file that the token queries use.
@@ -111,6 +111,25 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, doc_id, text = documents(spark, sf_dir), F.col("doc_id"), F.col("text")
+    head = [doc_id, F.col("source"), F.col("lang"), F.col("n_chars")]
+    leaf = merkle.digest_of(*head, text)
+    touched = (F.crc32(doc_id.cast("string")) % 2 == 0) & F.contains(text, F.lit("\n"))
+    changed = merkle.digest_of(*head, F.replace(text, F.lit("\n"), F.lit("")))
+    rows = only(docs, doc_id="doc_id", source="source", leaf=leaf, tampered=F.when(touched, changed))
+    found = merkle.manifest(rows)
+    again = found.withColumn("given", F.coalesce("row.tampered", "row.leaf"))
+    return again.select(
+        "row.doc_id",
+        "row.leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest().alias("proof_sha256"),
+        merkle.folded(spark, "given").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -125,5 +144,6 @@ QUERIES: dict[str, Query] = {
         op9_bpe,
         op10_simhash_near_dedup,
         op11_fill_in_middle,
+        op13_merkle_manifest,
     )
 }
