@@ -107,6 +107,35 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+#: All pairs of sets that share a shingle, and components by walking the links.
+MINHASH = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct([w[i:i + 3] FOR i IN range(1, greatest(1, len(w) - 3) + 1)]) AS s
+    FROM split WHERE len(w) > 0
+), groups AS (
+    SELECT list_sort(s) AS s, min(doc_id) AS node, len(any_value(s)) AS n FROM sets GROUP BY ALL
+), items AS (
+    SELECT node, n, unnest(s) AS g FROM groups
+), links AS (
+    SELECT a.node AS a, b.node AS b FROM items a JOIN items b USING (g)
+    WHERE a.node <> b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.node, b.node HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+    SELECT node, node AS other FROM groups
+    UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a
+), components AS (
+    SELECT node, min(other) AS component_id FROM reached GROUP BY node
+)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN groups g ON list_sort(s.s) = g.s
+     LEFT JOIN components c ON g.node = c.node
+"""
+
 #: A checksum is a fold over the bytes, each followed by eight steps (-1); a proof is a fold over the
 #: levels, each with what stands to the left and to the right of the node.
 MERKLE = r"""
@@ -181,5 +210,6 @@ ORACLES: dict[str, str] = {
     "op4_substring_dedup": SUBSTRINGS,
     "op8_chat_formatting": CHAT,
     "op11_fill_in_middle": INFILL,
+    "op12_minhash_near_dedup": MINHASH,
     "op13_merkle_manifest": MERKLE,
 }

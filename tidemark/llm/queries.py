@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, infill, merkle, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
+from tidemark.llm import bpe, chat, infill, merkle, minhash, mixing, pitman_yor, quality, sharding, simhash, substrings, suffixes, winnowing
 from tidemark.llm.common import documents, hex60, only, stored
 
 #: The vocabulary file that the token queries use.
@@ -111,6 +111,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), banding=minhash.Banding(size=4))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, doc_id, text = documents(spark, sf_dir), F.col("doc_id"), F.col("text")
     head = [doc_id, F.col("source"), F.col("lang"), F.col("n_chars")]
@@ -144,6 +148,7 @@ QUERIES: dict[str, Query] = {
         op9_bpe,
         op10_simhash_near_dedup,
         op11_fill_in_middle,
+        op12_minhash_near_dedup,
         op13_merkle_manifest,
     )
 }
