@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.entities import ADDRESS_DIM_COLUMNS, ENTITIES
+from tidemark.operators.as_of import as_of
 from tidemark.operators.joins import rows_with, splittable_join
 from tidemark.operators.upsert import merge
+from tidemark.sources.shared import scratch, written
 
+# Fixed by what the fact is to be: names, order and types.
 FACT_SCHEMA = T.StructType(
     [
         T.StructField("order_item_fact_sk", T.LongType()),
@@ -90,24 +93,8 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
     restaurants = current("restaurant_dim", "restaurant_id", "restaurant_dim_sk", "location_id").join(
         current("location_dim", "location_id", "location_dim_sk"), "location_id"
     )
-    latest = "row_number() OVER (PARTITION BY order_id ORDER BY _age DESC) AS _rank"
-    deliveries = (
-        clean["delivery"]
-        .selectExpr(
-            "order_id",
-            "delivery_agent_id",
-            "delivery_status",
-            "estimated_time",
-            "struct(_copy_ts, _stg_load_ts, _stg_file_name, delivery_id) AS _age",
-        )
-        .join(
-            current("delivery_agent_dim", "delivery_agent_id", "delivery_agent_dim_sk"),
-            "delivery_agent_id",
-        )
-        .selectExpr("*", latest)
-        .filter("_rank = 1")
-        .drop("_age", "_rank")
-    )
+    agents = current("delivery_agent_dim", "delivery_agent_id", "delivery_agent_dim_sk")
+    deliveries = _latest_deliveries(clean["delivery"].join(agents, "delivery_agent_id"), "delivery_agent_dim_sk")
     headers = (
         clean["orders"]
         .selectExpr(
@@ -123,7 +110,32 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
         .join(restaurants, "restaurant_id")
         .join(current("customer_dim", "customer_id", "customer_dim_sk"), "customer_id")
     )
-    items = clean["order_item"].selectExpr(
+    return (
+        splittable_join(_items(clean["order_item"]), headers, "order_id")
+        .join(current("menu_dim", "menu_id", "menu_dim_sk"), "menu_id")
+        .select(*FACT_SCHEMA.fieldNames())
+    )
+
+
+def _latest_deliveries(deliveries: DataFrame, *columns: str) -> DataFrame:
+    """Of each order the delivery that was copied last, with the agent's ``columns``."""
+    age = "struct(_copy_ts, _stg_load_ts, _stg_file_name, delivery_id)"
+    return (
+        deliveries.selectExpr(
+            "order_id",
+            "delivery_agent_id",
+            "delivery_status",
+            "estimated_time",
+            *columns,
+            f"row_number() OVER (PARTITION BY order_id ORDER BY {age} DESC) AS _rank",
+        )
+        .filter("_rank = 1")
+        .drop("_rank")
+    )
+
+
+def _items(items: DataFrame) -> DataFrame:
+    return items.selectExpr(
         "order_item_sk AS order_item_fact_sk",
         "order_item_id",
         "order_id",
@@ -132,11 +144,45 @@ def build_fact(clean: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataF
         "price",
         "subtotal",
     )
-    return (
-        splittable_join(items, headers, "order_id")
-        .join(current("menu_dim", "menu_id", "menu_dim_sk"), "menu_id")
-        .select(*FACT_SCHEMA.fieldNames())
+
+
+def build_fact_as_of(clean: dict[str, DataFrame], dims: dict[str, DataFrame], early: bool = True) -> DataFrame:
+    """Order items with the dimension versions that were valid when their order was placed.
+
+    Same rows and columns as ``build_fact`` otherwise. A restaurant's place is that of the version the order
+    points to. ``early``: an order from before a key's first version points to that first one (a dimension
+    row that came late); else its items drop out. The order-level versions are looked up once per order.
+    """
+    orders = clean["orders"].selectExpr(
+        "order_id",
+        "customer_id",
+        "restaurant_id",
+        "order_date",
+        "to_date(order_date) AS calendar_date",
+        "status AS order_status",
+        "payment_method",
+    )
+    agents = dims["delivery_agent_dim"].select("delivery_agent_id").distinct()
+    deliveries = _latest_deliveries(splittable_join(clean["delivery"], agents, "delivery_agent_id", "left_semi"))
+    headers = orders.join(deliveries, "order_id").join(
+        dims["date_dim"].select("calendar_date", "date_dim_sk"), "calendar_date"
     )
+    # Every look-up asks for the keys and times of the headers, which are therefore made once.
+    headers = written(headers, scratch(headers.sparkSession, "headers"))
+
+    def looked_up(rows: DataFrame, dim: str, columns: list[str], points: DataFrame) -> DataFrame:
+        key = f"{dim.removesuffix('_dim')}_id"
+        return as_of(rows, dims[dim], key, "order_date", columns, early=early, points=points)
+
+    places = looked_up(headers.select("restaurant_id", "order_date").distinct(), "restaurant_dim", ["location_id"], headers)
+    found = looked_up(headers, "customer_dim", ["customer_dim_sk"], headers)
+    found = looked_up(found, "restaurant_dim", ["restaurant_dim_sk", "location_id"], headers)
+    found = looked_up(found, "location_dim", ["location_dim_sk"], places)
+    found = looked_up(found, "delivery_agent_dim", ["delivery_agent_dim_sk"], headers)
+    times = headers.select("order_id", "order_date")
+    dishes = splittable_join(clean["order_item"].select("order_id", "menu_id"), times, "order_id")
+    items = splittable_join(_items(clean["order_item"]), found, "order_id")
+    return looked_up(items, "menu_dim", ["menu_dim_sk"], dishes).select(*FACT_SCHEMA.fieldNames())
 
 
 def orders_to_refresh(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,15 +11,16 @@ from pyspark.sql import functions as F
 LISTED = 10_000
 
 
-def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Equi-join by ``key`` where the left side may hold a key very many times.
+def splittable_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join by ``key`` (one column or several) where the left side may hold a key very many times.
 
     Adaptive execution splits a hot key only if both inputs are shuffled for this very join, and not
     if one of them happens to be partitioned by the key already. The lane, which follows from the key
     and so changes nothing in the result, makes the join ask for a partitioning no input has.
     """
-    lane = f"pmod(xxhash64({key}), 1024L) AS _lane"
-    joined = left.selectExpr("*", lane).join(right.selectExpr("*", lane), [key, "_lane"], how)
+    keys = [key] if isinstance(key, str) else list(key)
+    lane = f"pmod(xxhash64({', '.join(keys)}), 1024L) AS _lane"
+    joined = left.selectExpr("*", lane).join(right.selectExpr("*", lane), [*keys, "_lane"], how)
     return joined.drop("_lane")
 
 

@@ -121,6 +121,12 @@ class LayeredJob:
     def fact(self) -> DataFrame:
         return self._fact().drop(MONTH)
 
+    def fact_as_of(self) -> DataFrame:
+        """The fact against the dimension versions that were valid when each order was placed."""
+        clean = {n: self.clean(n) for n in ("orders", "delivery", "order_item")}
+        dims = {n: self.dimension(n) for n in DIMENSIONS} | {"date_dim": self.date_dim()}
+        return consumption.build_fact_as_of(clean, dims)
+
     def log(self) -> DataFrame:
         return read_table(self.spark, f"{self.root}/common/dq_log", quality.LOG_SCHEMA)
 

@@ -345,6 +345,45 @@ def _refresh_twice_oracle() -> str:
     )
 
 
+HISTORY = ("1990-01-01 00:00:00", "1997-07-01 00:00:00", "1999-03-01 12:30:00")
+
+
+def _history(entity: str) -> str:
+    """Versions after three loads: what the second load changed, the third takes back."""
+    key, test = KEY[entity], f"coalesce({SCD2[entity][1]}, FALSE)"
+
+    def row(of: str, number: int) -> str:
+        place = f", {of}.location_id" if entity == "restaurant" else ""
+        return f"SELECT {of}.{key} AS {key}, {of}.{key} * 4 + {number} AS {entity}_dim_sk, TIMESTAMP '{HISTORY[number]}' AS since{place}"
+
+    old, new, same = f"{entity}_c o", f"{entity}_n n", f"o.{key} = n.{key}"
+    return (
+        f"{row('o', 0)} FROM {old} UNION ALL {row('n', 1)} FROM {new} LEFT JOIN {old} ON {same} WHERE o.{key} IS NULL OR {test}"
+        f" UNION ALL {row('o', 2)} FROM {old} JOIN {new} ON {same} WHERE {test}"
+    )
+
+
+def _fact_as_of_oracle() -> str:
+    dims = ("location", "customer", "restaurant", "menu", "delivery_agent")
+    ctes = [f"{e}_n AS ({upserted(e)})" for e in dims] + [f"{e}_h AS ({_history(e)})" for e in dims]
+    joins = " ".join(
+        f"ASOF JOIN {e}_h ON {of}.{KEY[e]} = {e}_h.{KEY[e]} AND order_date >= {e}_h.since"
+        for e, of in (("customer", "o"), ("restaurant", "o"), ("location", "restaurant_h"), ("delivery_agent", "d"))
+    )
+    ctes.append(
+        "placed AS (SELECT o.order_id, order_date, o.status AS order_status, payment_method, delivery_status, estimated_time,"
+        " customer_dim_sk, restaurant_dim_sk, location_dim_sk, delivery_agent_dim_sk"
+        f" FROM orders_c o JOIN delivery_c d ON o.order_id = d.order_id {joins})"
+    )
+    shown = [c for c in _FACT_COLUMNS if c != "date_dim_sk"]
+    return (
+        f"{_with_roles(*ctes)} SELECT order_item_id, order_id, {', '.join(shown)},"
+        f" {_FACT_COLUMNS['date_dim_sk']} AS date_dim_sk, {_portable(_FACT_PLAIN)}"
+        " FROM order_item i JOIN placed USING (order_id)"
+        " ASOF JOIN menu_h m ON i.menu_id = m.menu_id AND order_date >= m.since"
+    )
+
+
 # Halves round up on exact integers: (2 * part + whole) // (2 * whole).
 _CENTS = "CAST(sum(subtotal) * 100 AS HUGEINT)"
 
@@ -626,6 +665,7 @@ SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_dim_sk, CAST(day AS VARC
        CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
        CAST(extract('day' FROM day) AS INTEGER) AS day, strftime(day, '%a') AS day_name FROM d""",
         "order_item_fact": _order_item_fact_oracle(),
+        "order_item_fact_as_of": _fact_as_of_oracle(),
         "dq_checks": _checks_sql(False, FIRST),
         "dq_checks_dirty": _checks_sql(True, FIRST),
         "dq_gate": _gate_oracle(),
