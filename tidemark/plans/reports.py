@@ -6,12 +6,14 @@ spread by order, so one month, cuisine or agent that holds most of the rows does
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.grouping import Sets, grouping_levels
+
 MONEY = "decimal(38,2)"
 
 
@@ -54,6 +56,29 @@ def revenue_by_cuisine(fact: DataFrame, restaurant_dim: DataFrame) -> DataFrame:
     )
 
 
+def revenue_levels(fact: DataFrame, dims: Mapping[str, DataFrame], columns: Sequence[str], sets: Sets) -> DataFrame:
+    """Revenue and distinct orders of each group of each set of ``columns``, with ``grouping_id``.
+
+    ``columns`` may be of the calendar (``year``, ``month``), of the dish (``category``), of the restaurant
+    (``cuisine_type``) and of the fact itself.
+    """
+    for dim, key, names in (
+        ("date_dim", "date_dim_sk", ("year", "month")),
+        ("menu_dim", "menu_dim_sk", ("category",)),
+        ("restaurant_dim", "restaurant_dim_sk", ("cuisine_type",)),
+    ):
+        wanted = [n for n in names if n in columns]
+        if wanted:
+            fact = fact.join(dims[dim].select(key, *wanted), key)
+    found = grouping_levels(fact, sets, "order_id", "subtotal", columns)
+    return found.select(
+        *columns,
+        "grouping_id",
+        F.col("total").cast(MONEY).alias("total_revenue"),
+        F.col("distinct_count").alias("total_orders"),
+    )
+
+
 def delivery_performance(fact: DataFrame, agent_dim: DataFrame) -> DataFrame:
     """Orders per agent name, vehicle and rating; agents alike in all three are one line."""
     group = ("name", "vehicle_type", "rating")

@@ -402,6 +402,40 @@ SELECT cuisine_type, CAST(sum(subtotal) AS DOUBLE) AS total_revenue, count(DISTI
 FROM fact GROUP BY 1"""
 
 
+def _levels_oracle(columns: str, groups: str) -> str:
+    placed = (
+        "placed AS (SELECT order_id, subtotal, CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,"
+        " category, cuisine_type, order_status, payment_method FROM order_item JOIN headers USING (order_id)"
+        " JOIN (SELECT menu_id, category FROM menu_c) m USING (menu_id))"
+    )
+    return (
+        f"{_with_roles(f'headers AS ({_headers()})', placed)} SELECT {columns}, CAST(GROUPING_ID({columns}) AS BIGINT) AS grouping_id,"
+        f" CAST(sum(subtotal) AS DOUBLE) AS total_revenue, count(DISTINCT order_id) AS total_orders FROM placed GROUP BY {groups}"
+    )
+
+
+def _difference_oracle(sources: dict[str, str], kept: dict[str, str]) -> str:
+    """Rows counted on both sides by all their columns, then by key."""
+    parts = []
+    for entity, key in KEY.items():
+        columns = ", ".join(columns_of(entity))
+        rows = (
+            f"SELECT {columns}, 1 AS l, 0 AS r FROM ({typed(entity, sources[entity])}) s"
+            f" UNION ALL SELECT {columns}, 0, 1 FROM ({kept[entity]}) c"
+        )
+        parts.append(
+            f"SELECT '{entity}' AS table_name, {key} AS key, sum(l)::BIGINT AS stage_rows, sum(r)::BIGINT AS clean_rows,"
+            " sum(least(l, r))::BIGINT AS equal_rows, sum(greatest(l - r, 0))::BIGINT AS only_in_stage,"
+            " sum(greatest(r - l, 0))::BIGINT AS only_in_clean"
+            f" FROM (SELECT {columns}, sum(l) AS l, sum(r) AS r FROM ({rows}) u GROUP BY ALL) g GROUP BY ALL"
+        )
+    return (
+        "SELECT *, CASE WHEN key IS NULL THEN 'without a key' WHEN clean_rows = 0 THEN 'missing' WHEN stage_rows = 0 THEN 'not staged'"
+        " WHEN only_in_clean = 0 THEN 'repeated' WHEN only_in_stage > 0 THEN 'changed' ELSE 'surplus' END AS kind"
+        f" FROM ({' UNION ALL '.join(parts)}) d WHERE only_in_stage > 0 OR only_in_clean > 0"
+    )
+
+
 def _performance_sql() -> str:
     delivered = "count(DISTINCT CASE WHEN delivery_status = 'Delivered' THEN order_id END)"
     cancelled = "count(DISTINCT CASE WHEN delivery_status = 'Cancelled' THEN order_id END)"
@@ -674,6 +708,19 @@ SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_dim_sk, CAST(day AS VARC
         "monthly_revenue": _monthly_revenue_oracle(),
         "layer_refresh": _monthly_revenue_oracle(),
         "revenue_by_cuisine": _cuisine_oracle(),
+        "revenue_rollup": _levels_oracle("year, month, category", "ROLLUP (year, month, category)"),
+        "revenue_cube": _levels_oracle("cuisine_type, category, order_status", "CUBE (cuisine_type, category, order_status)"),
+        "revenue_grouping_sets": _levels_oracle(
+            "year, cuisine_type, payment_method",
+            "GROUPING SETS ((year, cuisine_type), (payment_method), (cuisine_type, payment_method))",
+        ),
+        "layer_difference": _difference_oracle(
+            {e: first_sql(e, True) for e in KEY}, {e: clean(e, first_sql(e, True)) for e in KEY}
+        ),
+        "layer_difference_resent": _difference_oracle(
+            {e: f"SELECT * FROM ({first_sql(e)}) a UNION ALL SELECT * FROM ({second_sql(e)}) b" for e in KEY},
+            {e: upserted(e) for e in KEY},
+        ),
         "delivery_performance": performance,
         "top_agents": f"SELECT * FROM ({performance}) p ORDER BY delivered_rate_pct DESC, total_deliveries DESC,"
         " agent_name, vehicle_type, rating LIMIT 5",

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tidemark.entities import AUDIT_SCHEMA, DIMENSIONS, ENTITIES, dimension_schema
 from tidemark.operators import consumption, governance, quality
 from tidemark.operators.clean import clean_rows, type_rows
+from tidemark.operators.difference import layer_difference
+from tidemark.operators.grouping import cube_sets, rollup_sets
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.scd2 import scd2
 from tidemark.operators.upsert import backfill_dates, merge, upsert
@@ -305,6 +307,29 @@ def dq_gate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, asked)
 
 
+def _differences(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    found = [layer_difference(*pair, ENTITIES[n]).select(F.lit(n).alias("table_name"), "*") for n, pair in pairs.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def layer_difference_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows behind the failed counts of ``dq_checks_dirty``, by key."""
+    configure(spark)
+    stage, clean = stored_layers(spark, sf_dir, dirty=True)
+    return _differences({n: (stage[n], clean[n]) for n in ENTITIES})
+
+
+def layer_difference_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches in the stage tables, of which the second re-sends keys: unchanged, changed, and in part."""
+    configure(spark)
+
+    def pair(name: str) -> tuple[DataFrame, DataFrame]:
+        stage = first_stage(spark, sf_dir, name).unionByName(second_stage(spark, sf_dir, name))
+        return stage, written(loaded_twice(spark, sf_dir, name), scratch(spark, name))
+
+    return _differences(dict(zip(ENTITIES, side_by_side(spark, [partial(pair, n) for n in ENTITIES]))))
+
+
 def _two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "log")
     for dirty, ts, last in ((True, FIRST_TS, 0), (False, SECOND_TS, len(ENTITIES))):
@@ -336,6 +361,26 @@ def revenue_by_cuisine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(reports.revenue_by_cuisine(fact, dims["restaurant_dim"]))
 
 
+def revenue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year, month and dish category, rolled up; an order has dishes of several categories."""
+    configure(spark)
+    dims, columns = first_dims(spark, sf_dir), ("year", "month", "category")
+    return portable(reports.revenue_levels(first_fact(spark, sf_dir, dims), dims, columns, rollup_sets(columns)))
+
+
+def revenue_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    dims, columns = first_dims(spark, sf_dir), ("cuisine_type", "category", "order_status")
+    return portable(reports.revenue_levels(first_fact(spark, sf_dir, dims), dims, columns, cube_sets(columns)))
+
+
+def revenue_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    dims, columns = first_dims(spark, sf_dir), ("year", "cuisine_type", "payment_method")
+    sets = [("year", "cuisine_type"), ("payment_method",), ("cuisine_type", "payment_method")]
+    return portable(reports.revenue_levels(first_fact(spark, sf_dir, dims), dims, columns, sets))
+
+
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = first_dims(spark, sf_dir)
     fact = first_fact(spark, sf_dir, dims)
@@ -598,6 +643,11 @@ def all_queries() -> dict[str, Query]:
         "latest_dq_status": latest_dq_status,
         "newest_dq_row": newest_dq_row,
         "revenue_by_cuisine": revenue_by_cuisine,
+        "revenue_rollup": revenue_rollup,
+        "revenue_cube": revenue_cube,
+        "revenue_grouping_sets": revenue_grouping_sets,
+        "layer_difference": layer_difference_dirty,
+        "layer_difference_resent": layer_difference_resent,
         "delivery_performance": delivery_performance,
         "top_agents": top_agents,
         "daily_usage": daily_usage,
