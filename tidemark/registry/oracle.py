@@ -677,6 +677,44 @@ def _gate_batch_oracle() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _usage_stream_oracle() -> str:
+    """What comes late: its day ended two days or more before the last time of the deliveries before its own."""
+    return """
+WITH e AS (
+  SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS amount, least(2, (day(ts) - 1) // 10) AS own FROM events
+), d AS (
+  SELECT *, least(2, own + CASE WHEN event_id % 20 = 7 THEN 1 ELSE 0 END) AS delivery FROM e
+), marks AS (
+  SELECT n.delivery, max(d.ts) - INTERVAL 2 DAY AS mark FROM (SELECT DISTINCT delivery FROM d) n JOIN d ON d.delivery < n.delivery GROUP BY 1
+), told AS (
+  SELECT d.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= mark, FALSE) AS late FROM d LEFT JOIN marks USING (delivery)
+)
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS usage_date, event_type AS resource,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) FILTER (NOT late) AS DOUBLE) AS amount, count(*) FILTER (NOT late) AS events,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) FILTER (late) AS DOUBLE) AS late_amount, count(*) FILTER (late) AS late_events
+FROM told GROUP BY 1, 2"""
+
+
+SESSIONS = """
+WITH paused AS (
+  SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 6 HOUR, TRUE) AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), numbered AS (
+  SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS number FROM paused
+)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_end,
+       count(*) AS events, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS amount
+FROM numbered GROUP BY user_id, number"""
+
+
+def _delivered_oracle() -> str:
+    return (
+        f"{_with_roles()}, d AS (SELECT order_id, created_dt + to_hours(order_id % 7) AS delivered_at FROM delivery_c)"
+        " SELECT o.order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS ordered_at, strftime(delivered_at, '%Y-%m-%d %H:%M:%S') AS delivered_at"
+        " FROM orders_c o LEFT JOIN d ON o.order_id = d.order_id"
+        " AND delivered_at BETWEEN order_date - INTERVAL 1 HOUR AND order_date + INTERVAL 3 HOUR"
+    )
+
+
 def all_oracles() -> dict[str, str]:
     sql = {f"clean_{e}": _clean_oracle(e) for e in KEY}
     sql |= {f"upsert_{e}": _upsert_oracle(e) for e in KEY}
@@ -728,6 +766,10 @@ SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_dim_sk, CAST(day AS VARC
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS usage_date, event_type AS resource,
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS amount
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""",
+        "daily_usage_stream": _usage_stream_oracle(),
+        "user_sessions": SESSIONS,
+        "user_sessions_stream": SESSIONS,
+        "orders_delivered_stream": _delivered_oracle(),
         "clean_row_counts": _clean_counts_oracle(),
         "consumption_row_counts": _consumption_counts_oracle(),
         "backfill_dates": _backfill_oracle(),

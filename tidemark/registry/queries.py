@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.entities import AUDIT_SCHEMA, DIMENSIONS, ENTITIES, dimension_schema
-from tidemark.operators import consumption, governance, quality
+from tidemark.operators import consumption, governance, quality, sessions
 from tidemark.operators.clean import clean_rows, type_rows
 from tidemark.operators.difference import layer_difference
 from tidemark.operators.grouping import cube_sets, rollup_sets
@@ -25,7 +25,7 @@ from tidemark.session import configure
 from tidemark.sources.shared import scratch, side_by_side, written
 from tidemark.sources.tables import bucket_of, empty, parts_of, read_table, replace_parts
 from tidemark.sources.text_csv import read_extract
-from tidemark.streaming import feed
+from tidemark.streaming import event_time, feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -407,6 +407,95 @@ def daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(reports.daily_usage(usage, "purchase"))
 
 
+def _usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = roles.base_table(spark, sf_dir, "events")
+    return events.withColumn("amount", F.col("value").cast("decimal(12,2)")).withColumnRenamed("event_type", "resource")
+
+
+USAGE_WINDOW, USAGE_DELAY, SESSION_GAP = timedelta(days=1), timedelta(days=2), timedelta(hours=6)
+#: Beyond all times of the given tables: lets a watermark pass everything that came before.
+AFTER_ALL = "timestamp '2100-01-01 00:00:00'"
+
+
+def daily_usage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of ten days each; every twentieth event comes one delivery too late.
+
+    Some of those are still within the delay. After each delivery the streams start again from their checkpoints.
+    """
+    configure(spark)
+    root, usage = scratch(spark, "usage"), _usage(spark, sf_dir)
+    usage = usage.select("event_id", "ts", "resource", "amount")
+    ten = "least(2, (dayofmonth(ts) - 1) DIV 10)"
+    usage = usage.withColumn("delivery", F.expr(f"least(2, {ten} + CASE WHEN event_id % 20 = 7 THEN 1 ELSE 0 END)"))
+    schema = usage.drop("delivery").schema
+    for number in range(3):
+        part = usage.filter(F.col("delivery") == number).drop("delivery")
+        part.write.mode("append").parquet(f"{root}/landed")
+        arrived = feed.changes(spark, schema, f"{root}/landed")
+        event_time.triage(arrived, root, "ts", USAGE_WINDOW, USAGE_DELAY)
+        event_time.window_totals(spark, root, schema, "ts", "resource", "amount", USAGE_WINDOW, USAGE_DELAY)
+    sums = T.StructType.fromDDL("window_start timestamp, resource string, amount decimal(22,2), events long")
+    in_time = event_time.totals(spark, root, sums).drop(event_time.MONTH)
+    late = event_time.late_rows(spark, root, schema)
+    late = late.groupBy(F.date_trunc("day", "ts").alias("window_start"), "resource").agg(
+        F.sum("amount").alias("late_amount"), F.count("*").alias("late_events")
+    )
+    both = in_time.join(late, ["window_start", "resource"], "full_outer").withColumnRenamed("window_start", "usage_date")
+    return portable(both.fillna(0, ["events", "late_events"]))
+
+
+def _sessions_shown(sessions: DataFrame) -> DataFrame:
+    micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    times = {c: F.date_format(c, micros) for c in ("session_start", "session_end")}
+    return portable(sessions.withColumns(times))
+
+
+def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return _sessions_shown(sessions.user_sessions(_usage(spark, sf_dir), "user_id", "ts", "amount", SESSION_GAP))
+
+
+def user_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions from a stream that gets the events day by day, in three deliveries."""
+    configure(spark)
+    root = scratch(spark, "sessions")
+    usage = _usage(spark, sf_dir).select("user_id", "ts", "amount").withColumn("ts", F.col("ts").cast("timestamp"))
+    last = spark.sql(f"SELECT CAST(NULL AS long) AS user_id, {AFTER_ALL} AS ts, CAST(NULL AS decimal(12,2)) AS amount")
+    deliveries = [usage.filter(f"least(2, (dayofmonth(ts) - 1) DIV 10) = {n}") for n in range(3)]
+    for part in (*deliveries, last):
+        part.write.mode("append").parquet(f"{root}/landed")
+        arrived = feed.changes(spark, usage.schema, f"{root}/landed")
+        found = event_time.sessions(arrived, "user_id", "ts", "amount", SESSION_GAP, USAGE_DELAY)
+        event_time.collect(found, f"{root}/sessions", f"{root}/checkpoint")
+    return _sessions_shown(spark.read.schema(found.schema).parquet(f"{root}/sessions").filter("user_id IS NOT NULL"))
+
+
+def orders_delivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders joined to what was delivered from one hour before to three hours after; others come out alone.
+
+    Both tables arrive in three parts by year, as streams that start again with each.
+    """
+    configure(spark)
+    root = scratch(spark, "delivered")
+    ids = {"orders": ("order_id", "order_date AS ordered_at"), "delivery": ("order_id", "created_dt + make_dt_interval(0, order_id % 7) AS delivered_at")}
+    tables = {n: typed_role(spark, sf_dir, n).selectExpr(*c) for n, c in ids.items()}
+    tables = {n: t.withColumn(t.columns[1], F.col(t.columns[1]).cast("timestamp")) for n, t in tables.items()}
+    for years in ("< 1997", "IN (1997, 1998)", "> 1998", None):
+        streams = []
+        for name, table in tables.items():
+            at = table.columns[1]
+            # Not NULL: a join reads no rows without a key, and so would not see their time.
+            last = spark.sql(f"SELECT -1L AS order_id, {AFTER_ALL} AS {at}")
+            part = table.filter(f"year({at}) {years}") if years else last
+            part.write.mode("append").parquet(f"{root}/{name}")
+            streams.append(feed.changes(spark, table.schema, f"{root}/{name}"))
+        joined = event_time.within(
+            *streams, "order_id", "ordered_at", "delivered_at", timedelta(hours=1), timedelta(hours=3), timedelta(days=1)
+        )
+        event_time.collect(joined, f"{root}/joined", f"{root}/checkpoint")
+    return portable(spark.read.schema(joined.schema).parquet(f"{root}/joined").filter("order_id >= 0"))
+
+
 def clean_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return reports.clean_row_counts({n: loaded(spark, sf_dir, n, dirty=True) for n in ENTITIES})
@@ -651,6 +740,10 @@ def all_queries() -> dict[str, Query]:
         "delivery_performance": delivery_performance,
         "top_agents": top_agents,
         "daily_usage": daily_usage,
+        "daily_usage_stream": daily_usage_stream,
+        "user_sessions": user_sessions,
+        "user_sessions_stream": user_sessions_stream,
+        "orders_delivered_stream": orders_delivered_stream,
         "clean_row_counts": clean_row_counts,
         "consumption_row_counts": consumption_row_counts,
         "backfill_dates": backfill,
