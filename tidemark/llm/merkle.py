@@ -1,7 +1,7 @@
 """A Merkle manifest of a dataset: leaf digests, subroots per tree, one root, and a proof for every row.
 
 Rows are put in order by sampled range splitters and numbered by prefix sums over (range, tree). The
-nodes above them are hashed in aligned cells of some thousand places, several levels at a time, so no
+nodes above them are hashed in aligned cells of some hundred places, several levels at a time, so no
 group grows with the input. Proofs come from pointer jumping: each node starts with the digests of its
 siblings and a pointer to its parent; joining the nodes with themselves doubles the distance of every
 pointer and appends the segment of the node pointed to, until all pointers have reached the root.
@@ -22,7 +22,7 @@ from tidemark.llm.common import bounded_batches, stored
 #: Rows that one task puts in order.
 RANGE_ROWS = 500_000
 #: A cell has a power of the fan of places, so many at most.
-CELL_PLACES = 20_000
+CELL_PLACES = 1_000
 #: Ancestors of one level are broadcast if there are so many at most: their segments are below 10 MB then.
 FEW_NODES = 5_000
 
