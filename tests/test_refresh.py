@@ -11,6 +11,7 @@ from tidemark.operators import consumption, joins
 from tidemark.operators.upsert import RequiredValueMissing
 from tidemark.plans import refresh, reports
 from tidemark.plans.refresh import LayeredJob
+from tidemark.sources import tables
 from tidemark.sources.tables import read_table, replace_parts
 from tidemark.streaming import feed
 
@@ -54,6 +55,68 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+@pytest.mark.parametrize("moves", range(7))
+def test_a_writer_killed_between_renames_loses_nothing(spark, tmp_path, monkeypatch, moves):
+    path, schema = str(tmp_path / "t"), "id long, v string"
+    frame = spark.range(30).selectExpr("id", "'old' AS v", "CAST(id DIV 10 AS int) AS part")
+    replace_parts(frame, path, "part")
+    made, real = [], tables._move
+
+    def killed(*args):
+        if len(made) == moves:
+            raise KeyboardInterrupt("killed")
+        made.append(real(*args))
+
+    monkeypatch.setattr(tables, "_move", killed)
+    stored = read_table(spark, path, T.StructType().add("id", "long").add("v", "string"), "part")
+    changed = stored.selectExpr("id", "'new' AS v", "part")
+    if moves < 6:
+        with pytest.raises(KeyboardInterrupt):
+            replace_parts(changed, path, "part")
+    else:
+        replace_parts(changed, path, "part")
+    monkeypatch.undo()
+    tables.settle(spark, path)
+    found = read_table(spark, path, T.StructType().add("id", "long").add("v", "string"), "part")
+    assert sorted((r.id, r.v) for r in found.collect()) == [(i, "new") for i in range(30)]
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name in ("_staged", "_replaced")]
+
+
+def test_rows_that_were_not_all_written_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_parts(spark.range(3).selectExpr("id", "0 AS part"), path, "part")
+    spark.range(9).selectExpr("id", "0 AS part").write.partitionBy("part").parquet(f"{path}/_staged")
+    (tmp_path / "t" / "_staged" / "_SUCCESS").unlink()
+    tables.settle(spark, path)
+    assert read_table(spark, path, T.StructType().add("id", "long"), "part").count() == 3
+
+
+def test_a_job_killed_in_a_commit_goes_on(spark, tmp_path, monkeypatch):
+    """The clean table of the customers and then the customer dimension are cut off between two renames."""
+    job, landing = start(spark, tmp_path, distinct_key=True)
+    job.run(T1)
+    more = [f"{i},D{i},,d{i}@x,Other,1980-01-01,2024-01-01 08:00:00,2024-01-02 08:00:00" for i in range(1, 40)]
+    deliver(landing, "customer", more, "two.csv")
+    real = tables._move
+    for table in ("clean/customer", "consumption/customer_dim"):
+        def killed(files, old, new, table=table):
+            # between taking a partition away and putting the new one there
+            if table in new.toString() and "_replaced" not in new.toString():
+                raise OSError("killed")
+            real(files, old, new)
+
+        monkeypatch.setattr(tables, "_move", killed)
+        with pytest.raises(Exception, match="killed"):
+            job.run(T2)
+        monkeypatch.setattr(tables, "_move", real)
+    job = LayeredJob(spark, str(tmp_path / "tables"), str(landing), distinct_key=True)
+    assert job.run(T3).status == "OK"
+    assert sorted(r.name for r in job.clean("customer").collect()) == sorted(f"D{i}" for i in range(1, 40))
+    versions = job.dimension("customer_dim").collect()
+    assert sorted(v.name for v in versions if v.is_current) == sorted(f"D{i}" for i in range(1, 40))
+    assert sorted(v.name for v in versions if not v.is_current) == ["C1", "C2"]
+
+
 def test_only_touched_partitions_are_replaced(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "id long, v string"
     frame = spark.range(30).selectExpr("id", "'old' AS v", "CAST(id DIV 10 AS int) AS part")

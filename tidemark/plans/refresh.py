@@ -1,7 +1,8 @@
 """The layered job: land, clean, check, and, if the checks allow it, refresh the consumption layer.
 
-All state is in tables below one root folder. Every step can be run again after a failure: how far a
-step has come is noted only after its table is written, and applying a batch twice changes nothing.
+All state is in tables below one root folder. Every step can be run again after a failure: it first puts in
+place what a killed writer left beside its table, how far it has come is noted only after its table is written,
+and applying a batch twice changes nothing.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tidemark.operators.scd2 import scd2_step
 from tidemark.operators.upsert import apply_rows, backfill_dates, prepare_batch, require_none
 from tidemark.plans import reports
 from tidemark.sources.shared import scratch, side_by_side, written
-from tidemark.sources.tables import BUCKETS, bucket_of, parts_of, read_table, replace_parts
+from tidemark.sources.tables import BUCKETS, bucket_of, parts_of, read_table, replace_parts, settle
 from tidemark.streaming import feed
 
 BUCKET, MONTH = "_bucket", "_month"
@@ -198,6 +199,7 @@ class LayeredJob:
 
         Applied again, say after a failure half-way, it finds its own rows and leaves the same table.
         """
+        settle(self.spark, f"{self.root}/clean/{entity.name}")
         rows, rejects = prepare_batch(stage, entity, batch_ts)
         if self.strict:
             require_none(rejects, entity)
@@ -268,6 +270,8 @@ class LayeredJob:
         verdict = self.gate(batch_id, batch_ts)
         if verdict.status != "OK" and not release:
             return verdict
+        for name in (*DIMENSIONS, "customer_address_dim", "date_dim", "order_item_fact"):
+            settle(self.spark, f"{self.root}/consumption/{name}")
         dimensions = [partial(self._refresh_dimension, d, batch_ts) for d in DIMENSIONS.values()]
         side_by_side(
             self.spark, [*dimensions, self._refresh_address_dim, self._refresh_calendar]

@@ -1,21 +1,26 @@
 """Keyed tables on plain Parquet, in a bounded number of partitions that are replaced one by one.
 
 A table has one partition column: a hash bucket of its key, or the month of a fact row. A batch reads
-the partitions that it touches and writes them back with Spark's dynamic partition overwrite, which
-leaves the others alone. A partition changes at once, a table partition by partition. A run that
-failed half-way is repeated: applying a batch again changes nothing, whichever partitions it had
-reached. One writer per table is assumed; where the catalog's tables support MERGE, use that instead.
+the partitions that it touches and writes them anew beside the table; then each is renamed into the place
+of the old one. A partition changes at once, a table partition by partition. A writer that is killed
+leaves, at any moment, each partition either in its place or complete beside it: ``settle`` puts it there, or
+drops what was not written to the end. A run that failed half-way is then repeated: applying a batch again
+changes nothing, whichever partitions it had reached. One writer per table is assumed, and a file system that
+renames a folder at once; where the catalog's tables support MERGE, use that instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folders below a table that its readers do not see: new partitions, and those they take the place of.
+_STAGED, _REPLACED = "_staged", "_replaced"
 #: Folders of a table whose rows are dealt out by a hash of their key.
 BUCKETS = 64
 
@@ -45,13 +50,30 @@ def read_table(
 
 def replace_parts(rows: DataFrame, path: str, part: str) -> None:
     """Write the partitions that ``rows`` fall in, in place of what they held."""
-    (
-        rows.hint("rebalance", part)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
+    settle(rows.sparkSession, path)
+    rows.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{path}/{_STAGED}")
+    settle(rows.sparkSession, path)
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that was cut off, or drop it if its rows were not all written."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    table, staged, replaced = of(path), of(path, _STAGED), of(path, _REPLACED)
+    files = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(of(staged, "_SUCCESS")):
+        for name in [f.getPath().getName() for f in files.listStatus(staged) if f.isDirectory()]:
+            if files.exists(of(table, name)):
+                files.mkdirs(replaced)
+                _move(files, of(table, name), of(replaced, name))
+            _move(files, of(staged, name), of(table, name))
+    for done in (staged, replaced):
+        if files.exists(done):
+            files.delete(done, True)
+
+
+def _move(files: JavaObject, old: JavaObject, new: JavaObject) -> None:
+    if not files.rename(old, new):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
 def parts_of(rows: DataFrame, part: str) -> list[int]:
