@@ -60,9 +60,10 @@ def near_copies(seed, count, length, edits):
     return out
 
 
-@pytest.mark.parametrize("block", [2, 256])
+@pytest.mark.parametrize("block", [150, 65_536])
 def test_equals_brute_force(docs_of, mixed_texts, monkeypatch, block):
     monkeypatch.setattr(minhash, "_BLOCK", block)
+    monkeypatch.setattr(minhash, "_LOT", 4 * block)
     texts = mixed_texts + near_copies(1, 40, 120, 6) + near_copies(2, 20, 40, 2) + [t.upper() for t in mixed_texts[3:6]]
     # Texts that share half of a passage with many others share bands, and are no links.
     rng = random.Random(5)

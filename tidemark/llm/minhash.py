@@ -2,17 +2,16 @@
 
 Two permutations make all coordinates of a signature: the first puts a shingle on a circle of 2**32
 places, the second orders the circle, turned by one place per coordinate. Equal sets are one node from
-the start. Nodes that share a band are candidates, in three steps that each leave out what the steps
-before have joined: a node with one hub of its bands, with the other hubs, and what is left of a band in
-blocks. So a group of near copies costs about one comparison per node, and yet no candidate between
-different components goes unseen. Candidates whose signatures agree too little to be links are dropped;
-all others are compared shingle by shingle.
+the start. Nodes that share a band are candidates, in three steps that each leave out what the steps before
+have joined: a node with one hub of its bands, with the other hubs (if their signatures agree often enough
+to be a link), and what is left of a band in blocks. So a group of near copies costs about one comparison
+per node, and yet no candidate between different components goes unseen. All are compared shingle by shingle.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +26,10 @@ from tidemark.llm.components import smallest_reachable
 
 #: Shingles whose coordinates are made at a time, so that they stay in a core's cache.
 _CHUNK = 32_768
-#: Nodes of a block of one band.
-_BLOCK = 256
+#: Shingles of a block, and of all blocks that a task gets at a time, on average.
+_BLOCK, _LOT = 65_536, 1_048_576
+#: Shingles that are laid out side by side.
+_COLUMNS = 4_096
 
 
 @dataclass(frozen=True)
@@ -192,45 +193,105 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _left_over(members: DataFrame, labels: DataFrame, marks: DataFrame, banding: Banding) -> DataFrame:
-    """Pairs of one band and different components, but for those with the band's hub, which were tried.
+def _left_over(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among nodes of one band, but for those with its hub, which were tried.
 
-    A band is cut into blocks, and blocks meet blocks, so that no task holds a band.
+    Nodes of one hub are dealt into blocks of bounded weight. Blocks that share a band meet once, with those of
+    their nodes that share one, and are compared as a whole: so what moves is blocks, never pairs of nodes.
     """
-    rest = members.filter("node <> hub").join(labels, "node").select("key", "node", "n", "label")
-    split = rest.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")
+    homes = members.groupBy("node").agg(F.min("hub").alias("home"), F.first("n").alias("n"))
+    weights = homes.groupBy("home").agg(F.ceil(F.sum("n") / _BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    homes = homes.join(weights, "home").select("node", "n", F.xxhash64("home", part).alias("block"))
+    rest = members.filter("node <> hub").select("key", "node").join(labels, "node")
+    split = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rest = rest.join(split.filter("low <> high").select("key"), "key").join(homes, "node")
+    held = rest.groupBy("key", "block").agg(
+        F.collect_list("node").alias("nodes"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    split = split.filter("low <> high").withColumn("parts", F.ceil(F.col("many") / _BLOCK)).select("key", "parts")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    blocks = rest.join(split, "key").join(marks, "node").withColumn("part", part)
-    blocks = blocks.groupBy("key", "part").agg(F.collect_list(F.struct("node", "n", "label", "marks")).alias("held"))
-    blocks = stored(blocks, "minhash-blocks")
-    met = blocks.select("key", "part", F.col("held").alias("one")).join(
-        blocks.select("key", F.col("part").alias("other_part"), F.col("held").alias("other")), "key"
-    )
-    least, percent = banding.least_agreement, banding.percent
+    held = stored(held, "minhash-blocks")
+    one, other = (held.select("key", *[F.col(c).alias(f"{side}_{c}") for c in held.columns[1:]]) for side in "ab")
+    # Blocks of one and the same component have nothing to add.
+    apart = "NOT (a_low = a_high AND b_low = b_high AND a_low = b_low)"
+    met = one.join(other, "key").filter("a_block <= b_block").filter(apart)
+    sides = [
+        met.select("a_block", "b_block", F.lit(i).alias("side"), F.explode(f"{s}_nodes").alias("node"))
+        for i, s in enumerate("ab")
+    ]
+    asked = sides[0].unionByName(sides[1].filter("a_block <> b_block")).distinct()
+    asked = stored(asked, "minhash-meetings")
+    shown = asked.join(labels, "node").join(sets, "node")
+    weight = asked.join(homes.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0
+    lots = weight // _LOT + 1
+    lot = F.pmod(F.xxhash64("a_block", "b_block"), F.lit(lots)).alias("lot")
+    columns = [lot, "a_block", "b_block", "side", "node", "label", "items"]
+    return shown.select(*columns).groupBy("lot").applyInArrow(_compare(percent), "a long, b long")
+
+
+def _compare(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """The links between components that the meetings of a lot find, as many as they join at most."""
+
+    def run(table: pa.Table) -> pa.Table:
+        order = [(c, "ascending") for c in ("a_block", "b_block", "side", "node")]
+        table = table.combine_chunks().sort_by(order).combine_chunks()
+        blocks = [table[c].to_numpy() for c in ("a_block", "b_block")]
+        sides, nodes, labels = (table[c].to_numpy() for c in ("side", "node", "label"))
+        new = np.ones(len(nodes), bool)
+        new[1:] = (np.diff(blocks[0]) != 0) | (np.diff(blocks[1]) != 0)
+        stops = [*np.flatnonzero(new).tolist(), len(nodes)]
+        found: list[tuple[int, int]] = []
+        for start, stop in zip(stops, stops[1:]):
+            lists = pa.concat_arrays(table["items"].slice(start, stop - start).chunks)
+            counts = np.diff(lists.offsets.to_numpy())
+            many = int((sides[start:stop] == 0).sum())
+            across = many < stop - start
+            both = _overlaps(lists.flatten().to_numpy(), counts, many if across else None)
+            left, right = (counts[:many], counts[many:]) if across else (counts, counts)
+            sizes = left[:, None] + right[None, :]
+            x, y = np.nonzero(100 * both >= percent * (sizes - both))
+            found += _joining(nodes, labels, start + x, start + y + (many if across else 0))
+        give_back()
+        return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
+
+    return run
+
+
+def _overlaps(flat: np.ndarray, counts: np.ndarray, many: int | None) -> np.ndarray:
+    """How many items each of the first ``many`` sets shares with each of the others (None: all with all)."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    _, item, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times[item] > 1
+    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[item[shared]]
+    rows = (len(counts), len(counts)) if many is None else (many, len(counts) - many)
+    out = np.zeros(rows, np.int64)
+    wide = int(column.max()) + 1 if len(column) else 0
+    for start in range(0, wide, _COLUMNS):
+        here = (column >= start) & (column < start + _COLUMNS)
+        # Sums of ones below 2 ** 24 are exact.
+        held = np.zeros((len(counts), min(_COLUMNS, wide - start)), np.float32)
+        held[owner[here], column[here] - start] = 1
+        out += (held @ held.T if many is None else held[:many] @ held[many:].T).astype(np.int64)
+    return out
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends: tuple[list[np.ndarray], list[np.ndarray]] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
-            for one, other in zip(batch.column(0), batch.column(1), strict=True):
-                x, y = (_columns(v.values) for v in (one, other))
-                for node, n, label, marks_of in zip(*x, strict=True):
-                    fits = (y[2] != label) & (np.minimum(y[1], n) * 100 >= np.maximum(y[1], n) * percent)
-                    near = np.flatnonzero(fits)
-                    near = near[(y[3][near] == marks_of).sum(axis=1) >= least]
-                    ends[0].append(np.minimum(y[0][near], node))
-                    ends[1].append(np.maximum(y[0][near], node))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(e)) for e in ends], ["a", "b"])
 
-    pairs = met.filter("part <= other_part").select("one", "other").mapInArrow(compare, "a long, b long")
-    return pairs.distinct()
+def _joining(nodes: np.ndarray, labels: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links between places those that join components."""
+    apart = labels[first] != labels[second]
+    parent: dict[int, int] = {}
 
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = parent[x]
+        return x
 
-def _columns(held: pa.StructArray) -> tuple[np.ndarray, ...]:
-    node, n, label, marks = (held.field(i) for i in range(4))
-    return node.to_numpy(), n.to_numpy(), label.to_numpy(), _matrix(marks)
+    out = []
+    for i, j in zip(first[apart].tolist(), second[apart].tolist()):
+        one, other = root(int(labels[i])), root(int(labels[j]))
+        if one != other:
+            parent[other] = one
+            out.append((int(nodes[i]), int(nodes[j])))
+    return out
 
 
 def near_duplicates(
@@ -279,13 +340,13 @@ def near_duplicates(
         return stored(now.select(F.col("f").alias("node"), F.col("least").alias("label")), "minhash-labels")
 
     now = labels()
-    apart = fits.join(now, "node").join(now.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
-    others = apart.filter("label <> hub_label").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    others = fits.select("node", "hub").distinct().join(now, "node")
+    others = others.join(now.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
+    others = others.filter("label <> hub_label").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     more = _confirmed(_agreeing(others, marks, banding.least_agreement), sets, banding.percent)
     links = stored(links.unionByName(more), "minhash-links")
     now = labels()
-    more = _confirmed(_left_over(members, now, marks, banding), sets, banding.percent)
-    links = stored(links.unionByName(more), "minhash-links")
+    links = stored(links.unionByName(_left_over(members, now, sets, banding.percent)), "minhash-links")
     release(spark)
 
     settled = smallest_reachable(spark, nodes.select(F.col("node").alias("f"), "least"), links)
