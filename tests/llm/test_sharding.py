@@ -20,11 +20,10 @@ WITH sized AS (
     SELECT *, sum(size) OVER ()::BIGINT AS total,
            (sum(size) OVER o)::BIGINT - size AS start,
            row_number() OVER o - 1 AS number,
-           sum(size) OVER (PARTITION BY k)::BIGINT AS group_size,
-           count(*) OVER (PARTITION BY k) AS group_rows
+           sum(size) OVER (PARTITION BY k)::BIGINT AS group_size
     FROM sized WINDOW o AS (ORDER BY k, k2, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING)
 ), dealt AS (
-    SELECT *, least(39, floor((CASE WHEN group_rows <= 20000 AND group_size * 40 <= 0.05 * total
+    SELECT *, least(39, floor((CASE WHEN group_size * 40 <= 0.05 * total
             THEN 2 * min(start) OVER (PARTITION BY k) + group_size ELSE 2 * start + size END) * 40
             / (2 * total)))::INTEGER AS shard
     FROM placed
@@ -41,10 +40,11 @@ def law(docs):
     return {r[0]: r[1:] for r in con.execute(SHARDING).fetchall()}
 
 
-def dealt(docs, shards=40):
+def dealt(docs, shards=40, *more):
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id",
+        *more,
         (F.octet_length(text) + 16).cast("long").alias("size"),
         hex60(text).alias("key"),
         hex60(F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("key2"),
@@ -86,10 +86,46 @@ def test_splitters_weigh_by_size(spark):
     assert len(cuts) <= sharding.RANGES + 1
 
 
-def test_nulls_repeated_rows_extra_columns_and_empty(docs_of):
+def test_nulls_repeated_rows_and_empty(docs_of):
     docs = docs_of([None, "", "a", "a", "a"], [None, 1, 2, 2, None])
     rows = dealt(docs).collect()
     assert sorted(r.size for r in rows) == [16, 16, 17, 17, 17]
-    clash = docs.selectExpr("doc_id", "1 AS range", "2 AS part", "3 AS shard")
-    assert "shard" in clash.columns  # callers select the four columns they shard by
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert dealt(docs_of([])).count() == 0
+
+
+def test_columns_of_any_name_are_carried(docs_of, mixed_texts):
+    names = ("row", "first", "low", "high", "parts", "part", "range", "number", "start", "cut", "own", "index", "copies", "order")
+    docs = docs_of([t for t in mixed_texts if t is not None]).select(
+        "*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names], F.lit(-1).alias("shard"), F.lit("x").alias("Slot")
+    )
+    found = dealt(docs, 40, *names, "shard", "Slot")
+    assert found.columns == ["doc_id", *names, "size", "key", "key2", "shard", "slot"]
+    want = law(docs.select("doc_id", "text"))
+    for r in found.collect():
+        assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names]
+        assert (r.size, "bytes", r.shard, r.slot, None) == want[r.doc_id]
+
+
+@pytest.mark.parametrize("cell_rows", [7, 20_000])
+def test_a_large_group_of_short_copies_stays_whole(docs_of, monkeypatch, cell_rows):
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell_rows)
+    # More rows than a cell has, and a twentieth of a shard at most.
+    texts = [""] * 400 + [f"text number {i} " * 100 for i in range(400)]
+    docs = docs_of(texts)
+    got = {r.doc_id: (r.size, "bytes", r.shard, r.slot, None) for r in dealt(docs, 2).collect()}
+    assert len({got[i][2] for i in range(400)}) == 1
+    assert sorted(got[i][3] for i in range(800) if got[i][2] == 0) == list(range(sum(g[2] == 0 for g in got.values())))
+
+
+def test_repeated_rows_are_counted_in_parts(docs_of, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_ROWS", 10)
+    docs = docs_of(["same"] * 300 + [f"other {i}" for i in range(300)], [None] * 300 + list(range(300)))
+    rows = dealt(docs, 5).collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(rows) == 600 and all(sorted(s) == list(range(len(s))) for s in slots.values())
