@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.grouping import Sets, grouping_levels
@@ -79,6 +79,32 @@ def revenue_levels(fact: DataFrame, dims: Mapping[str, DataFrame], columns: Sequ
     )
 
 
+def revenue_moving(fact: DataFrame, calendar: DataFrame, restaurant_dim: DataFrame) -> DataFrame:
+    """Revenue per cuisine and day, the day before's, the sum of seven days and the sum so far.
+
+    The windows see one row per cuisine and day, whatever the fact holds; days without revenue are no rows, and
+    the seven days are those of the calendar.
+    """
+    cuisines = restaurant_dim.select("restaurant_dim_sk", "cuisine_type")
+    days = calendar.select("date_dim_sk", "calendar_date")
+    daily = (
+        fact.join(cuisines, "restaurant_dim_sk")
+        .join(days, "date_dim_sk")
+        .groupBy("cuisine_type", "calendar_date")
+        .agg(F.sum("subtotal").cast(MONEY).alias("revenue"))
+        .withColumn("_day", F.unix_date("calendar_date"))
+    )
+    ordered = Window.partitionBy("cuisine_type").orderBy("_day")
+    return daily.select(
+        "cuisine_type",
+        "calendar_date",
+        "revenue",
+        F.lag("revenue").over(ordered).alias("previous"),
+        F.sum("revenue").over(ordered.rangeBetween(-6, 0)).cast(MONEY).alias("seven_days"),
+        F.sum("revenue").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("so_far"),
+    )
+
+
 def delivery_performance(fact: DataFrame, agent_dim: DataFrame) -> DataFrame:
     """Orders per agent name, vehicle and rating; agents alike in all three are one line."""
     group = ("name", "vehicle_type", "rating")

@@ -662,8 +662,60 @@ def _stage_extracts_oracle() -> str:
 
 def _malformed_oracle() -> str:
     return (
-        "SELECT location_id, city, CASE WHEN location_id % 5 IN (1, 2) THEN 'malformed line' ELSE 'loaded' END AS outcome"
-        f" FROM ({typed('location', first_sql('location'))}) t"
+        "SELECT order_id, customer_id, CASE WHEN order_id % 5 IN (1, 2) THEN 'malformed line' ELSE 'loaded' END AS outcome"
+        f" FROM ({typed('orders', first_sql('orders'))}) t"
+    )
+
+
+NESTED = """
+WITH d AS (
+  SELECT *, CASE WHEN event_id % 11 = 3 THEN 'no JSON object' WHEN event_id % 19 = 7 THEN 'wrong type: attributes'
+                 WHEN event_id % 17 = 5 THEN 'missing: event_id' ELSE 'loaded' END AS outcome FROM events
+)
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen, user_id, 's' || (user_id % 3) AS segment, 'd' || day(ts) AS last_tag,
+       CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
+       CASE WHEN event_id % 7 = 0 THEN '{"v":"' || event_type || '"}' END AS rescued, outcome, CAST(1 AS BIGINT) AS documents
+FROM d WHERE outcome = 'loaded'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, outcome, count(*) FROM d WHERE outcome <> 'loaded' GROUP BY outcome"""
+
+
+def _moving_oracle() -> str:
+    return f"""{_with_roles(_fact_cte())}, daily AS (
+  SELECT cuisine_type, day, sum(subtotal) AS revenue FROM fact GROUP BY 1, 2
+)
+SELECT cuisine_type, CAST(day AS VARCHAR) AS calendar_date, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(lag(revenue) OVER w AS DOUBLE) AS previous,
+       CAST(sum(revenue) OVER (PARTITION BY cuisine_type ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS seven_days,
+       CAST(sum(revenue) OVER (PARTITION BY cuisine_type ORDER BY day ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS so_far
+FROM daily WINDOW w AS (PARTITION BY cuisine_type ORDER BY day)"""
+
+
+def _ranks_oracle() -> str:
+    return f"""{_with_roles()}, placed AS (
+  SELECT order_id, cuisine_type, CAST(floor(total_amount / 1000) AS BIGINT) AS amount
+  FROM orders_c JOIN (SELECT restaurant_id, cuisine_type FROM restaurant_c) r USING (restaurant_id)
+)
+SELECT *, row_number() OVER o AS row_number, rank() OVER v AS rank, dense_rank() OVER v AS dense_rank,
+       percent_rank() OVER v AS percent_rank, ntile(4) OVER o AS tile
+FROM placed WINDOW o AS (PARTITION BY cuisine_type ORDER BY amount DESC NULLS LAST, order_id),
+                   v AS (PARTITION BY cuisine_type ORDER BY amount DESC NULLS LAST)"""
+
+
+def _bands_oracle() -> str:
+    return f"""{_with_roles()}, bands AS (
+  SELECT item_type AS band, min(price) AS low,
+         CAST(min(price) + 7 * CAST(regexp_replace(item_type, '[^0-9]', '', 'g') AS INTEGER) - 3 AS DECIMAL(12,2)) AS high
+  FROM menu_c GROUP BY item_type
+)
+SELECT band, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, count(*) AS dishes, CAST(sum(price) AS DOUBLE) AS prices
+FROM bands JOIN menu_c ON price BETWEEN low AND high GROUP BY 1, 2, 3"""
+
+
+def _sketches_oracle() -> str:
+    return (
+        f"{_with_roles()} SELECT CAST(year(order_date) AS INTEGER) AS year, count(*) AS orders, count(DISTINCT customer_id) AS customers,"
+        " TRUE AS customers_within, TRUE AS merged_near_direct, TRUE AS median_within FROM orders_c GROUP BY 1"
     )
 
 
@@ -766,6 +818,11 @@ SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_dim_sk, CAST(day AS VARC
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS usage_date, event_type AS resource,
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS amount
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""",
+        "revenue_moving": _moving_oracle(),
+        "restaurant_ranks": _ranks_oracle(),
+        "menu_price_band": _bands_oracle(),
+        "order_sketches": _sketches_oracle(),
+        "stage_nested": NESTED,
         "daily_usage_stream": _usage_stream_oracle(),
         "user_sessions": SESSIONS,
         "user_sessions_stream": SESSIONS,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.entities import AUDIT_SCHEMA, DIMENSIONS, ENTITIES, dimension_schema
-from tidemark.operators import consumption, governance, quality, sessions
+from tidemark.operators import consumption, governance, quality, ranges, ranking, sessions, sketches
 from tidemark.operators.clean import clean_rows, type_rows
 from tidemark.operators.difference import layer_difference
 from tidemark.operators.grouping import cube_sets, rollup_sets
@@ -22,6 +22,7 @@ from tidemark.plans import reports
 from tidemark.plans.refresh import LayeredJob
 from tidemark.registry import roles
 from tidemark.session import configure
+from tidemark.sources import nested
 from tidemark.sources.shared import scratch, side_by_side, written
 from tidemark.sources.tables import bucket_of, empty, parts_of, read_table, replace_parts
 from tidemark.sources.text_csv import read_extract
@@ -381,6 +382,64 @@ def revenue_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(reports.revenue_levels(first_fact(spark, sf_dir, dims), dims, columns, sets))
 
 
+def revenue_moving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    dims = first_dims(spark, sf_dir)
+    fact = first_fact(spark, sf_dir, dims)
+    return portable(reports.revenue_moving(fact, dims["date_dim"], dims["restaurant_dim"]))
+
+
+def restaurant_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders ranked by amount within their restaurant's cuisine, of which there are few and large ones."""
+    configure(spark)
+    restaurants = typed_role(spark, sf_dir, "restaurant").select("restaurant_id", "cuisine_type")
+    orders = typed_role(spark, sf_dir, "orders").selectExpr("order_id", "restaurant_id", "floor(total_amount / 1000) AS amount")
+    placed = orders.join(restaurants, "restaurant_id").select("order_id", "cuisine_type", F.col("amount").cast("long").alias("amount"))
+    return portable(ranking.ranked(placed, "cuisine_type", "amount", "order_id", 4))
+
+
+def menu_price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dishes in the price band of each brand; bands differ in width and overlap."""
+    configure(spark)
+    menu = typed_role(spark, sf_dir, "menu").select("menu_id", "price", "item_type")
+    low, number = F.min("price").alias("low"), F.regexp_replace("item_type", "[^0-9]", "").cast("int")
+    bands = menu.groupBy(F.col("item_type").alias("band")).agg(low, F.max(number).alias("_number"))
+    bands = bands.select("band", "low", (F.col("low") + F.col("_number") * 7 - 3).cast("decimal(12,2)").alias("high"))
+    met = ranges.band_join(menu, bands, "price", "low", "high")
+    found = met.groupBy("band", "low", "high").agg(F.count("*").alias("dishes"), F.sum("price").alias("prices"))
+    return portable(found)
+
+
+def order_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per year from stored monthly sketches, which came in two loads: how far they are from the exact values."""
+    configure(spark)
+    path = scratch(spark, "sketches")
+    orders = typed_role(spark, sf_dir, "orders").select("customer_id", "total_amount", "order_date")
+    for load in ("< 2000", ">= 2000"):
+        sketches.refresh_months(orders.filter(f"year(order_date) {load}"), path)
+    year = F.expr(f"{sketches.MONTH} DIV 100").cast("int").alias("year")
+    found = sketches.merged(sketches.stored_months(spark, path), year)
+    direct = sketches.sketched(orders, F.year("order_date").alias("year"))
+    direct = direct.select("year", sketches.customers_of().alias("_direct"))
+    exact = orders.groupBy(F.year("order_date").alias("year")).agg(F.count_distinct("customer_id").alias("customers"))
+    median = found.select("year", sketches.amount_at(0.5).alias("_median"))
+    ranked = orders.withColumn("year", F.year("order_date")).join(median, "year").groupBy("year")
+    below = ranked.agg(F.avg((F.col("total_amount") <= F.col("_median")).cast("int")).alias("_rank"))
+    off = F.abs(sketches.customers_of("shown.customers") - F.col("exact.customers"))
+    shown = found.alias("shown").join(direct, "year").join(exact.alias("exact"), "year").join(below, "year")
+    return shown.select(
+        "year",
+        "orders",
+        F.col("exact.customers").alias("customers"),
+        (off <= 4 * sketches.COUNT_ERROR * F.col("exact.customers") + 1).alias("customers_within"),
+        # A merged sketch has the registers of one filled at once, and estimates by another formula.
+        (F.abs(sketches.customers_of("shown.customers") - F.col("_direct")) <= 2 * sketches.COUNT_ERROR * F.col("_direct")).alias(
+            "merged_near_direct"
+        ),
+        (F.abs(F.col("_rank") - 0.5) <= 2 * sketches.RANK_ERROR).alias("median_within"),
+    )
+
+
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = first_dims(spark, sf_dir)
     fact = first_fact(spark, sf_dir, dims)
@@ -644,16 +703,58 @@ def write_lines(lines: DataFrame, header: str, path: str) -> None:
 def stage_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a field too many or too few: landed as malformed, rejected with that reason."""
     configure(spark)
-    spec, path = ENTITIES["location"], f"{scratch(spark, 'extract')}/location"
-    rows = first_stage(spark, sf_dir, "location").select(*spec.stage_schema().fieldNames())
+    spec, path = ENTITIES["orders"], f"{scratch(spark, 'extract')}/orders"
+    rows = first_stage(spark, sf_dir, "orders").select(*spec.stage_schema().fieldNames())
     line = F.concat_ws(",", *[F.coalesce(c, F.lit("NULL")) for c in rows.columns])
-    key = F.col("location_id").cast("long")
-    line = F.when(key % 5 == 1, F.concat(line, F.lit(",surplus"))).when(key % 5 == 2, F.concat_ws(",", "location_id", "city")).otherwise(line)
+    key = F.col("order_id").cast("long")
+    few = F.concat_ws(",", "order_id", "customer_id")
+    line = F.when(key % 5 == 1, F.concat(line, F.lit(",surplus"))).when(key % 5 == 2, few).otherwise(line)
     write_lines(rows.select(line), ",".join(rows.columns), path)
     accepted, rejected = clean_rows(read_extract(spark, path, spec), spec)
-    return accepted.select("location_id", "city", F.lit("loaded").alias("outcome")).unionByName(
-        rejected.select("location_id", "city", F.col("reject_reason").alias("outcome"))
+    return accepted.select("order_id", "customer_id", F.lit("loaded").alias("outcome")).unionByName(
+        rejected.select("order_id", "customer_id", F.col("reject_reason").alias("outcome"))
+    )
+
+
+#: Events as documents with nested parts. ``seen`` is text that must be a time.
+EVENT_DOCUMENT = """event_id long, seen timestamp, user struct<id: long, segment: string>, tags array<string>,
+    attributes map<string, int>"""
+
+
+def stage_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON documents, some with more fields, wrong types, missing keys or cut short."""
+    configure(spark)
+    path = f"{scratch(spark, 'documents')}/events"
+    user = "named_struct('id', user_id, 'segment', concat('s', user_id % 3)) AS user"
+    # Only some documents have the last fields; to_json leaves out what is NULL.
+    parts = [
+        "CASE WHEN event_id % 17 <> 5 THEN event_id END AS event_id",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS seen",
+        user,
+        "array(event_type, concat('d', dayofmonth(ts))) AS tags",
+        "map('k', CASE WHEN event_id % 19 = 7 THEN 'many' ELSE CAST(CAST(get_json_object(props, '$.k') AS int) AS string) END) AS attributes",
+        "CASE WHEN event_id % 7 = 0 THEN named_struct('v', event_type) END AS extra",
+    ]
+    events = roles.base_table(spark, sf_dir, "events").selectExpr("*", f"to_json(struct({', '.join(parts)})) AS _line")
+    unquoted = F.regexp_replace("_line", '"k":"([0-9]+)"', '"k":$1')
+    cut = F.when(F.col("event_id") % 11 == 3, F.expr("left(_line, length(_line) - 9)")).otherwise(unquoted)
+    events.select(cut).write.text(path)
+    schema = T.StructType.fromDDL(EVENT_DOCUMENT)
+    accepted, rejected = nested.read_documents(spark, path, schema, required=("event_id",))
+    counts = rejected.groupBy(nested.REASON).agg(F.count("*").alias("documents"))
+    loaded = accepted.select(
+        "event_id",
+        F.date_format("seen", "yyyy-MM-dd HH:mm:ss").alias("seen"),
+        F.col("user.id").alias("user_id"),
+        F.col("user.segment").alias("segment"),
+        F.element_at("tags", -1).alias("last_tag"),
+        F.col("attributes")["k"].alias("k"),
+        F.col(nested.RESCUED)["extra"].alias("rescued"),
+        F.lit("loaded").alias("outcome"),
+        F.lit(1).cast("long").alias("documents"),
     )
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in loaded.schema.fields[:7]]
+    return loaded.unionByName(counts.select(*nothing, F.col(nested.REASON).alias("outcome"), "documents"))
 
 
 def _export(spark: SparkSession, folder: str, stages: dict[str, DataFrame]) -> None:
@@ -733,6 +834,11 @@ def all_queries() -> dict[str, Query]:
         "newest_dq_row": newest_dq_row,
         "revenue_by_cuisine": revenue_by_cuisine,
         "revenue_rollup": revenue_rollup,
+        "revenue_moving": revenue_moving,
+        "restaurant_ranks": restaurant_ranks,
+        "menu_price_band": menu_price_band,
+        "order_sketches": order_sketches,
+        "stage_nested": stage_nested,
         "revenue_cube": revenue_cube,
         "revenue_grouping_sets": revenue_grouping_sets,
         "layer_difference": layer_difference_dirty,
