@@ -71,3 +71,23 @@ def test_repeated_rows_ties_extra_columns_and_empty(spark):
     back = chat.read_back(chat.rendered(chat.folded(chat.events_of(frame)))).collect()
     assert [[tuple(t) for t in r.turns] for r in back] == [[("assistant", ""), ("user", "a"), ("user", "a")]]
     assert chat.read_back(chat.rendered(chat.folded(chat.events_of(frame.limit(0))))).count() == 0
+
+
+def test_a_log_of_streamed_edited_and_regenerated_turns_folds_into_the_turns(spark):
+    rng = random.Random(8)
+    rows = [
+        (conv, turn, rng.choice(["user", "assistant", None]), rng.choice([None, "", "x", "🙂é", "".join(rng.choices(TRICKY, k=5)), "word " * 50]))
+        for conv in range(40)
+        for turn in range(5)
+    ]
+    rows += [(50, None, "user", "no turn"), (None, 3, "user", "no conversation"), (51, 7, "user", "twice"), (51, 7, "user", "twice"), (52, -3, "a", "b")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("message", F.lit(1))
+    log = chat.event_log(frame)
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and kinds["delta"] > len(rows)
+    # in any order
+    back = chat.folded(log.orderBy(F.xxhash64("seq", "text")).repartition(3)).collect()
+    key = lambda r: tuple(map(str, r))
+    got = sorted(((r.conv_id, None if r.seq is None else r.seq // 16, r.role, r.text) for r in back), key=key)
+    assert got == sorted(((c, t, r, x or "") for c, t, r, x in rows), key=key)
+    assert chat.folded(chat.event_log(frame.limit(0))).count() == 0

@@ -129,3 +129,55 @@ def events_of(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "t
         role=role,
         text=text,
     )
+
+
+#: Pieces in which a text is streamed, and places between two turns for the events of one.
+_PIECES, _STEPS = 4, 16
+
+
+def event_log(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """A table of finished turns as the event log that a chat service would have written for them.
+
+    By a hash of its conversation and turn, a turn was streamed (a start and deltas), edited (a draft, then the
+    text), regenerated (a draft streamed, thrown away, and the text streamed) or sent as it is; a turn
+    without a number was sent. So the text stands nowhere as a whole, but for what was edited or sent, and
+    ``folded`` has to work it out. Deltas are cut by code points. A null text is an empty one. Turns lie within
+    2 ** 58 of zero. Rows that are repeated are messages of their own.
+    """
+    rows = only(
+        conversations,
+        conv_id=conv_id,
+        message=F.monotonically_increasing_id(),
+        place=F.col(f"`{turn}`").cast("long") * _STEPS,
+        role=role,
+        text=F.coalesce(F.col(f"`{text}`"), F.lit("")),
+        way=F.when(F.col(f"`{turn}`").isNull(), 3).otherwise(F.pmod(F.xxhash64(f"`{conv_id}`", f"`{turn}`"), F.lit(4))),
+    )
+    draft = F.concat(F.lit("draft of: "), F.reverse("text"))
+
+    def event(step: int, kind: str, said: Column, by: Column = F.lit(None)) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), said.alias("said"), by.cast("string").alias("by"))
+
+    def streamed(said: Column, first: int) -> list[Column]:
+        size = F.greatest(F.lit(1), F.ceil(F.length(said) / _PIECES)).cast("int")
+        return [event(first + i, "delta", F.substring(said, size * i + 1, size)) for i in range(_PIECES)]
+
+    speaker, empty = F.col("role"), F.lit("")
+    ways = [
+        [event(0, "message", empty, speaker), *streamed(F.col("text"), 1)],
+        [event(0, "message", draft, speaker), event(1, "edit", F.col("text"))],
+        [event(0, "message", empty, speaker), *streamed(draft, 1), event(5, "regenerate", empty), *streamed(F.col("text"), 6)],
+        [event(0, "message", F.col("text"), speaker)],
+    ]
+    events = F.when(F.col("way") == 0, F.array(*ways[0]))
+    for number, way in enumerate(ways[1:], start=1):
+        events = events.when(F.col("way") == number, F.array(*way))
+    spread = rows.select("conv_id", "message", "place", F.explode(events).alias("e"))
+    return spread.select(
+        "conv_id",
+        "message",
+        (F.col("place") + F.col("e.step")).alias("seq"),
+        F.col("e.kind").alias("kind"),
+        F.col("e.by").alias("role"),
+        F.col("e.said").alias("text"),
+    )

@@ -76,7 +76,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql(
         f"SELECT -1L AS conv_id, t AS turn, r AS role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)"
     )
-    formatted = chat.rendered(chat.folded(chat.events_of(given.unionByName(probe))))
+    formatted = chat.rendered(chat.folded(chat.event_log(given.unionByName(probe))))
     back = chat.read_back(formatted)
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
