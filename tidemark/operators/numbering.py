@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 
 
 #: Numbers of lanes handed out to hashed keys. Fixed, so that no setting of a session changes a number;
-#: many, so that each is a short sort and any number of tasks can share them.
-LANES = 4096
+#: many, so that each is a short sort and any number of tasks can share them. A load of more than LANE_ROWS rows a
+#: lane takes more of them.
+LANES, LANE_ROWS = 4096, 250_000
+
+
+def lanes_for(rows: int) -> int:
+    """Lanes for a load of so many rows: numbers depend on how many rows there are, not on the cluster."""
+    lanes = LANES
+    while lanes * LANE_ROWS < rows:
+        lanes *= 2
+    return lanes
 
 
 def number_rows(
@@ -18,8 +27,8 @@ def number_rows(
 
     Keys are hashed into lanes, rows are counted inside their lane in key order, and lane ``i`` of
     ``n`` hands out ``i+1, i+1+n, i+1+2n, ...`` above the base. The numbers depend on the keys only,
-    so a task that is run again hands out the same ones, and no lane needs another lane's size. A
-    table of more than some million rows per lane deserves more lanes.
+    so a task that is run again hands out the same ones, and no lane needs another lane's size. Loads
+    may differ in their lanes, as each begins above all numbers handed out before (``lanes_for``).
     """
     lane = f"pmod(xxhash64('lane', {key}), {lanes}L)"
     number = (

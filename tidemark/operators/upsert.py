@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.entities import Entity
 from tidemark.functions.typing_rules import moment
 from tidemark.operators.clean import clean_rows
-from tidemark.operators.numbering import highest, number_rows
+from tidemark.operators.numbering import LANES, highest, number_rows
 
 
 class RequiredValueMissing(ValueError):
@@ -46,13 +46,15 @@ def optional(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
-def numbered_new(rows: DataFrame, target: DataFrame, key: str, name: str, base: Column | int) -> DataFrame:
+def numbered_new(
+    rows: DataFrame, target: DataFrame, key: str, name: str, base: Column | int, lanes: int = LANES
+) -> DataFrame:
     """``rows`` with a number above ``base`` for each key that the target lacks; NULL for the others.
 
     Only new keys are numbered, and as a narrow frame: a batch of updates moves none of its rows for it.
     """
     new = rows.select(key).join(target.select(key), key, "left_anti")
-    return rows.join(number_rows(new, key, name, base), key, "left")
+    return rows.join(number_rows(new, key, name, base, lanes), key, "left")
 
 
 def prepare_batch(stage: DataFrame, entity: Entity, batch_ts: datetime) -> tuple[DataFrame, DataFrame]:
@@ -63,10 +65,15 @@ def prepare_batch(stage: DataFrame, entity: Entity, batch_ts: datetime) -> tuple
 
 
 def apply_rows(
-    target: DataFrame, rows: DataFrame, entity: Entity, base: Column | int, extra: Sequence[str] = ()
+    target: DataFrame,
+    rows: DataFrame,
+    entity: Entity,
+    base: Column | int,
+    extra: Sequence[str] = (),
+    lanes: int = LANES,
 ) -> DataFrame:
     """The target after a prepared batch; ``extra`` columns, if any, are overwritten as well."""
-    rows = numbered_new(rows, target, entity.key, entity.surrogate, base)
+    rows = numbered_new(rows, target, entity.key, entity.surrogate, base, lanes)
     return merge(target, rows, entity.key, (*entity.overwritten, *extra))
 
 

@@ -22,6 +22,7 @@ from tidemark.entities import DIMENSIONS, ENTITIES, Dimension, Entity, dimension
 from tidemark.operators import consumption, governance, quality
 from tidemark.operators.clean import reject_schema
 from tidemark.operators.joins import rows_with
+from tidemark.operators.numbering import lanes_for
 from tidemark.operators.scd2 import scd2_step
 from tidemark.operators.upsert import apply_rows, backfill_dates, prepare_batch, require_none
 from tidemark.plans import reports
@@ -34,6 +35,15 @@ BUCKET, MONTH = "_bucket", "_month"
 BATCH = T.StructField("_batch", T.LongType())
 _MARK = T.StructType([T.StructField("seq", T.LongType()), T.StructField("note", T.StringType())])
 
+_RELEASE = T.StructType(
+    [
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("released_ts", T.TimestampNTZType()),
+        T.StructField("fail_count", T.LongType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -131,6 +141,10 @@ class LayeredJob:
     def log(self) -> DataFrame:
         return read_table(self.spark, f"{self.root}/common/dq_log", quality.LOG_SCHEMA)
 
+    def releases(self) -> DataFrame:
+        """The refreshes that were let pass although the gate held them back, and with how many failed checks."""
+        return read_table(self.spark, f"{self.root}/common/releases", _RELEASE)
+
     def view(self, name: str, role: str) -> DataFrame:
         """A clean table, its rejects (``<entity>_rejects``) or a dimension, as ``role`` may see it."""
         if name in DIMENSIONS:
@@ -139,8 +153,9 @@ class LayeredJob:
         rows = self.clean(entity) if entity == name else self.rejects(entity)
         return governance.masked(rows, role, ENTITIES[entity])
 
-    def create_views(self) -> None:
-        """The reports as named views of this session, for SQL."""
+    def create_views(self, role: str | None = None) -> None:
+        """The reports as named views of this session, for SQL; with a ``role`` also the clean tables and the
+        dimensions, as that role may see them (``clean_<entity>``, ``<entity>_dim``)."""
         agents, restaurants = (self.dimension(f"{n}_dim") for n in ("delivery_agent", "restaurant"))
         fact = self.fact()
         views = {
@@ -149,6 +164,9 @@ class LayeredJob:
             "delivery_performance": reports.delivery_performance(fact, agents),
             "latest_dq_status": quality.latest_status(self.log()),
         }
+        if role is not None:
+            views |= {f"clean_{name}": self.view(name, role) for name in ENTITIES}
+            views |= {name: self.view(name, role) for name in DIMENSIONS}
         for name, frame in views.items():
             frame.createOrReplaceTempView(name)
 
@@ -167,8 +185,30 @@ class LayeredJob:
         row = self.spark.createDataFrame([(seq, json.dumps(seen, sort_keys=True))], _MARK)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/common/marks/{name}")
 
-    def _last_batch(self, entity: str) -> int:
-        return self._clean(entity).agg(F.coalesce(F.max("_batch"), F.lit(0))).first()[0]
+    def _clean_state(self, name: str) -> tuple[int, int]:
+        """The last batch of a clean table and its highest number.
+
+        They are in its mark, unless a batch was cut off after it had begun: only then the table is read.
+        """
+        mark = self._mark(f"clean_{name}")
+        if mark and not mark["open"]:
+            return mark["batch"], mark["top"]
+        zero = F.lit(0).cast("long")
+        number = ENTITIES[name].surrogate
+        return tuple(self._clean(name).agg(F.coalesce(F.max("_batch"), zero), F.coalesce(F.max(number), zero)).first())
+
+    def _last_batch(self, name: str) -> int:
+        return self._clean_state(name)[0]
+
+    def _write_clean(self, entity: Entity, rows: DataFrame, batch: int, top: int, touched: list[int]) -> None:
+        """Store the touched buckets of a clean table as they are after a batch, between two marks."""
+        mark = {"batch": batch, "top": top, "touched": touched}
+        self._set_mark(f"clean_{entity.name}", mark | {"open": 1})
+        rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
+        replace_parts(rows, f"{self.root}/clean/{entity.name}", BUCKET)
+        stored = self._clean(entity.name, touched).filter(F.col("_batch") == batch)
+        highest = stored.agg(F.coalesce(F.max(entity.surrogate), F.lit(0).cast("long"))).first()[0]
+        self._set_mark(f"clean_{entity.name}", mark | {"top": max(top, highest), "open": 0})
 
     # Stage to clean
 
@@ -209,18 +249,12 @@ class LayeredJob:
         touched = parts_of(rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets)), BUCKET)
         if not touched:
             return
-        zero = F.lit(0).cast("long")
-        batch, top = self._clean(entity.name).agg(
-            F.coalesce(F.max("_batch"), zero), F.coalesce(F.max(entity.surrogate), zero)
-        ).first()
+        batch, top = self._clean_state(entity.name)
         target = self._clean(entity.name, touched).drop(BUCKET)
-        rows = rows.withColumn("_batch", F.lit(batch + 1))
-        merged = apply_rows(target, rows, entity, top, extra=("_batch",))
-        self._store_clean(entity, merged)
-
-    def _store_clean(self, entity: Entity, rows: DataFrame) -> None:
-        rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
-        replace_parts(rows, f"{self.root}/clean/{entity.name}", BUCKET)
+        lanes = lanes_for(rows.count())
+        rows = rows.withColumn("_batch", F.lit(batch + 1).cast("long"))
+        merged = apply_rows(target, rows, entity, top, extra=("_batch",), lanes=lanes)
+        self._write_clean(entity, merged, batch + 1, top, touched)
 
     def repair_dates(self, name: str, pattern: str | None) -> None:
         """Re-derive a clean table's audit dates from all its stage rows, read with ``pattern``.
@@ -229,8 +263,11 @@ class LayeredJob:
         rows count as written anew.
         """
         entity = ENTITIES[name]
-        table = self._clean(name).drop(BUCKET).withColumn("_batch", F.lit(self._last_batch(name) + 1))
-        self._store_clean(entity, backfill_dates(table, self.stage(name), entity, pattern))
+        settle(self.spark, f"{self.root}/clean/{name}")
+        batch, top = self._clean_state(name)
+        table = self._clean(name).drop(BUCKET).withColumn("_batch", F.lit(batch + 1).cast("long"))
+        repaired = backfill_dates(table, self.stage(name), entity, pattern)
+        self._write_clean(entity, repaired, batch + 1, top, list(range(self.buckets)))
 
     # Checks
 
@@ -264,12 +301,15 @@ class LayeredJob:
     ) -> RefreshResult:
         """Dimensions, calendar and fact, unless the gate says no: then nothing is touched.
 
-        ``release`` lets a held-back refresh pass, by someone's decision.
+        ``release`` lets a held-back refresh pass, by someone's decision; ``releases`` then has a row of it.
         """
         batch_ts = batch_ts or utc_now()
         verdict = self.gate(batch_id, batch_ts)
         if verdict.status != "OK" and not release:
             return verdict
+        if verdict.status != "OK":
+            row = self.spark.createDataFrame([(batch_id, batch_ts, verdict.fail_count, verdict.message)], _RELEASE)
+            row.coalesce(1).write.mode("append").parquet(f"{self.root}/common/releases")
         for name in (*DIMENSIONS, "customer_address_dim", "date_dim", "order_item_fact"):
             settle(self.spark, f"{self.root}/consumption/{name}")
         dimensions = [partial(self._refresh_dimension, d, batch_ts) for d in DIMENSIONS.values()]
@@ -281,24 +321,28 @@ class LayeredJob:
         return RefreshResult("OK", verdict.fail_count, message, batch_id)
 
     def _changed(self, entity: str, since: int) -> DataFrame:
-        """The clean rows written since a batch."""
-        return self._clean(entity).filter(F.col("_batch") > since)
+        """The clean rows written since a batch, from the buckets that the batches since then have touched."""
+        notes = [json.loads(r.note) for r in self._marks(f"clean_{entity}").collect()]
+        touched = {b for note in notes if note["batch"] > since for b in note["touched"]}
+        return self._clean(entity, sorted(touched) if notes else None).filter(F.col("_batch") > since)
 
     def _refresh_dimension(self, dim: Dimension, batch_ts: datetime) -> None:
         entity = ENTITIES[dim.entity]
-        since, now = self._mark(dim.name).get("batch", 0), self._last_batch(entity.name)
+        seen = self._mark(dim.name)
+        since, top = seen.get("batch", 0), seen.get("top", 0)
+        now, numbers = self._clean_state(entity.name)
         if now <= since:
             return
         changed = self._changed(entity.name, since)
         touched = parts_of(changed, BUCKET)
-        top = self._dimension(dim.name).agg(F.coalesce(F.max(dim.surrogate), F.lit(0).cast("long"))).first()[0]
         versions = self._dimension(dim.name, touched).drop(BUCKET)
         step = scd2_step(versions.filter("is_current"), changed, dim, batch_ts, top)
         # A bucket holds the open and the closed versions of its keys, so both change together.
         rows = versions.filter("NOT is_current").unionByName(step)
         rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
         replace_parts(rows, f"{self.root}/consumption/{dim.name}", BUCKET)
-        self._set_mark(dim.name, {"batch": now})
+        # A version's number is its clean row's above ``top``, so none is beyond this.
+        self._set_mark(dim.name, {"batch": now, "top": top + numbers})
 
     def _refresh_address_dim(self) -> None:
         name, entity = "customer_address_dim", ENTITIES["customer_address"]
@@ -319,15 +363,12 @@ class LayeredJob:
             replace_parts(days.coalesce(1), f"{self.root}/consumption/{name}", BUCKET)
             self._set_mark(name, {"batch": now})
 
-    def _top(self, dim: Dimension) -> int:
-        return self._dimension(dim.name).agg(F.coalesce(F.max(dim.surrogate), F.lit(0).cast("long"))).first()[0]
-
     def _refresh_fact(self) -> None:
         """Re-join the items that anything relevant happened to since the last refresh."""
         name = "order_item_fact"
         since = self._mark(name)
         now = {n: self._last_batch(n) for n in ("orders", "delivery", "order_item")}
-        now |= {d.name: self._top(d) for d in DIMENSIONS.values()}
+        now |= {n: self._mark(n).get("top", 0) for n in DIMENSIONS}
         if since == now:
             return
         clean = {n: self.clean(n) for n in ("orders", "delivery", "order_item")}
