@@ -205,9 +205,106 @@ FROM placed p JOIN subroots t ON p.source IS NOT DISTINCT FROM t.source
      LEFT JOIN proofs f ON p.source IS NOT DISTINCT FROM f.source AND p.pos = f.pos, roots
 """
 
+_GRAMS = (2, 3, 4, 6, 8, 10)
+
+
+def _quality() -> str:
+    """Per n-gram length the words inside n-grams that their text has twice; lines by their first place."""
+    ctes, joins, shares = [], [], []
+    for n in _GRAMS:
+        ctes.append(f"""
+at{n} AS (SELECT doc_id, i, w[i:i + {n - 1}] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM split)),
+in{n} AS (SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS i FROM at{n} SEMI JOIN
+    (SELECT doc_id, g FROM at{n} GROUP BY doc_id, g HAVING count(*) > 1) USING (doc_id, g)),
+sum{n} AS (SELECT doc_id, count(*) AS words{n}, sum(length(word)) AS chars{n} FROM in{n} JOIN words USING (doc_id, i) GROUP BY doc_id)""")
+        joins.append(f"LEFT JOIN sum{n} USING (doc_id)")
+        if n != 3:
+            shares.append(f"coalesce(chars{n}, 0)::DOUBLE / greatest(1, word_chars) AS share_{n}")
+    return rf"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split
+), lines AS (
+    SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM split
+), dups AS (
+    SELECT doc_id, sum(n - 1)::BIGINT AS n_dup_lines, sum((n - 1) * length(line))::BIGINT AS dup_chars
+    FROM (SELECT doc_id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line)
+    GROUP BY doc_id
+), chars AS (
+    SELECT doc_id, sum(length(word))::BIGINT AS word_chars FROM words GROUP BY doc_id
+), {",".join(ctes)}, measured AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(word_chars, 0) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(words3, 0)::BIGINT AS n_repeat_words, coalesce(dup_chars, 0)::DOUBLE / greatest(1, length(t)) AS line_share,
+           {", ".join(shares)}
+    FROM split LEFT JOIN dups USING (doc_id) LEFT JOIN chars USING (doc_id) {" ".join(joins)}
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT base_failed AND line_share <= 0.3 AND share_2 <= 0.8 AND share_4 <= 0.5 AND share_6 <= 0.4 AND share_8 <= 0.35
+       AND share_10 <= 0.3 AS kept
+FROM measured
+"""
+
+
+#: The law by exact sums, without samples, ranges or cells; the checksum as a fold over the bytes, each followed
+#: by eight steps (-1).
+SHARDING = r"""
+WITH sized AS (
+    SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size,
+           ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS k,
+           ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15))::BIGINT AS k2, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), placed AS (
+    SELECT *, sum(size) OVER ()::BIGINT AS total, (sum(size) OVER o)::BIGINT - size AS start,
+           row_number() OVER o - 1 AS number, sum(size) OVER (PARTITION BY k)::BIGINT AS group_size
+    FROM sized WINDOW o AS (ORDER BY k, k2, size, doc_id NULLS LAST ROWS UNBOUNDED PRECEDING)
+), dealt AS (
+    SELECT *, least(39, floor((CASE WHEN group_size * 40 <= 0.05 * total
+            THEN 2 * min(start) OVER (PARTITION BY k) + group_size ELSE 2 * start + size END) * 40 / (2 * total)))::INTEGER AS shard
+    FROM placed
+)
+SELECT doc_id, size::BIGINT AS size,
+       xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(
+           [[('0x' || substr(h, 2 * i + 1, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(size - 16)])),
+           lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS text_crc32,
+       'bytes' AS law, shard, number - min(number) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt
+"""
+
+#: Every 100-byte string by a sum of its hex digits, the first place of each, and runs of removed bytes.
+SUFFIXES = r"""
+WITH raw AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), strings AS (
+    SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS g FROM (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM raw)
+), repeated AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS place FROM strings
+        SEMI JOIN (SELECT g FROM strings GROUP BY g HAVING count(*) > 1) USING (g)) WHERE place > 1
+), runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+        SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+            SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM repeated))
+    GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM runs
+), cut AS (
+    SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept, max(b) AS last,
+           sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans
+    FROM gaps JOIN raw USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM raw LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": MIXING,
     "op4_substring_dedup": SUBSTRINGS,
+    "op5_suffix_array_dedup": SUFFIXES,
+    "op6_quality_rules": _quality(),
+    "op7_sharding": SHARDING,
     "op8_chat_formatting": CHAT,
     "op11_fill_in_middle": INFILL,
     "op12_minhash_near_dedup": MINHASH,
