@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.entities import DIMENSIONS, ENTITIES, dimension_schema
 from tidemark.operators import consumption, quality
 from tidemark.operators.clean import clean_rows
+from tidemark.operators.difference import layer_difference
+from tidemark.operators.grouping import rollup_sets
+from tidemark.operators.ranking import ranked
 from tidemark.operators.scd2 import scd2
+from tidemark.operators.sessions import user_sessions
 from tidemark.operators.upsert import upsert
 from tidemark.plans import reports
 from tidemark.registry import queries, roles
@@ -58,6 +62,10 @@ def operations(spark: SparkSession, sf_dir: str) -> Timed:
         F.col("value").cast("decimal(12,2)").alias("amount"),
     )
 
+    events = roles.base_table(spark, sf_dir, "events").withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    amounts = clean["orders"].select("order_id", "restaurant_id", "total_amount")
+    levels = ("year", "month", "category")
+
     timed: Timed = {
         "monthly_revenue": lambda: reports.monthly_revenue(fact, dims["date_dim"]),
         "revenue_by_cuisine": lambda: reports.revenue_by_cuisine(fact, dims["restaurant_dim"]),
@@ -69,6 +77,11 @@ def operations(spark: SparkSession, sf_dir: str) -> Timed:
         "dq_checks": lambda: quality.run_checks(stage, clean, "bench", queries.FIRST_TS),
         "clean_row_counts": lambda: reports.clean_row_counts(clean),
         "daily_usage": lambda: reports.daily_usage(usage, "purchase"),
+        "order_item_fact_as_of": lambda: consumption.build_fact_as_of(clean, dims),
+        "revenue_rollup": lambda: reports.revenue_levels(fact, dims, levels, rollup_sets(levels)),
+        "user_sessions": lambda: user_sessions(events, "user_id", "ts", "amount", queries.SESSION_GAP),
+        "restaurant_ranks": lambda: ranked(amounts, "restaurant_id", "total_amount", "order_id", 4),
+        "layer_difference_orders": lambda: layer_difference(stage["orders"], clean["orders"], ENTITIES["orders"]),
     }
     for name in ("orders", "order_item"):
         timed[f"clean_{name}"] = lambda name=name: clean_rows(stage[name], ENTITIES[name])[0]
