@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_words import words
 
 from tidemark.llm import pitman_yor
@@ -198,3 +199,52 @@ def test_by_default_every_training_word_has_a_restaurant_and_helps(docs_of, chai
     own, flat = (sum(getattr(r, c) for r in rows if r.held_out) for c in ("score", "base_score"))
     n = sum(r.n_tokens for r in rows if r.held_out)
     assert 10 ** (-own / n) < 0.4 * 10 ** (-flat / n)
+
+
+def test_scores_equal_those_of_a_plain_model_with_the_same_tables(docs_of, chained, small):
+    """Every token by itself: its pair and its context looked up in dictionaries, word numbers by their rule."""
+    texts = [*chained, "words nobody trained on", "", chained[0] + " unheard"]
+    model = pitman_yor.trained(docs_of(texts))
+    samples, buckets = pitman_yor.ROUNDS - pitman_yor.BURN_IN, model.sizes.words
+    counts = Counter()
+    for i, text in enumerate(texts):
+        for w in tokens(text):
+            counts[w] += not held_out(i)
+    digest = {w: 1 if w is None else xxhash.xxh64_intdigest(w.encode()) for w in counts}
+    number = {}
+    for b in range(buckets):
+        mine = sorted((w for w in counts if digest[w] % buckets == b), key=lambda w: (-counts[w], digest[w]))
+        number |= {w: place * buckets + b for place, w in enumerate(mine) if counts[w]}
+    pair, context = {}, {}
+    last = f"contexts-{pitman_yor.ROUNDS}"
+    once = {r.key: r.block for r in model.tables.read("contexts-0", "once").collect()}
+    for row in model.tables.read(last, "state").collect():
+        state = Contexts.of(row.block)
+        for i, u in enumerate(state.u.tolist()):
+            context[u] = (int(state.customers[i]), [float(x[i]) for x in state.weights])
+        for owner, w, n, tables in zip(state.owner, state.w, state.n, state.table_sum):
+            pair[int(state.u[owner]), int(w)] = (int(n), int(tables) / samples)
+        for owner, w in zip(*map(numbers, unpack(once[row.key], None, None))):
+            pair[int(state.u[owner]), int(w)] = (1, 1.0)
+    backed = []
+    for turn, level in model.levels.items():
+        own = {}
+        for row in model.tables.read(f"parent-{turn}", "own").collect():
+            for place, (n, tables) in enumerate(zip(*map(numbers, unpack(row.block, None, None)))):
+                own[place * buckets + row.key] = int(n) - pitman_yor.PARENT_DISCOUNT * int(tables)
+        tables, customers = model.tables.sums(f"parent-{turn}")
+        base = (1 + pitman_yor.PARENT_DISCOUNT * tables) / (len(number) + 1)
+        backed.append(lambda w, own=own, base=base, customers=customers: (own.get(w, 0.0) + base) / (1 + customers))
+    want = {}
+    for i, text in enumerate(texts):
+        total, u = 0.0, -2
+        for w in [number.get(x) for x in tokens(text)]:
+            customers, weights = context.get(u, (0, [1.0] * samples))
+            n, tables = pair.get((u, w), (0, 0.0))
+            share = (n - model.discount * tables) / (1 + customers)
+            total += math.log10(share + sum(x * p(w) for x, p in zip(weights, backed)) / samples)
+            u = w
+        want[i] = total
+    got = {r.doc_id: r.score for r in pitman_yor.scores(model).collect()}
+    assert got == pytest.approx(want, rel=1e-5)
+    assert len(pair) > 500 and any(n > 1 for n, _ in pair.values())

@@ -59,6 +59,8 @@ _GROUP_BYTES, _WORD_BYTES, _CONTEXT_BYTES = 4 * 2**20, 16 * 2**20, 10 * 2**20
 #: Customers from which a context is split, and roughly of one part.
 _PART = 1_000_000
 _END, _START = 1, -2
+#: How hard blocks of many small numbers are packed: what is shuffled and stored is mostly these.
+_LEVEL = 6
 _MESSAGE = "kind string, key long, src long, block binary, x double, y double"
 Rows = list[tuple[str, int, int, bytes | None, float, float]]
 
@@ -252,7 +254,7 @@ def _count_words(bucket: int, found: dict[str, list[tuple]]) -> Rows:
     for g, h, _ in asks:
         mine = which[start : start + len(h)]
         start += len(h)
-        rows.append(("word", g, bucket, pack(planes(place[mine]), planes(total[mine])), 0.0, 0.0))
+        rows.append(("word", g, bucket, pack(planes(place[mine]), planes(total[mine]), level=_LEVEL), 0.0, 0.0))
     return rows
 
 
@@ -323,7 +325,7 @@ def _asks_pairs(documents: int, sizes: Sizes) -> Callable[[int, dict[str, list[t
         rows: Rows = []
         for b in np.flatnonzero(np.diff(pairs.bounds)).tolist():
             part = slice(pairs.bounds[b], pairs.bounds[b + 1])
-            block = pack(*[planes(x[part]) for x in (pairs.u, pairs.w, pairs.n, pairs.customers)], level=3)
+            block = pack(*[planes(x[part]) for x in (pairs.u, pairs.w, pairs.n, pairs.customers)], level=_LEVEL)
             rows.append(("pairs", b, g, block, 0.0, 0.0))
         some = np.flatnonzero(pairs.direct)
         spot = number[some]
@@ -369,7 +371,7 @@ class Contexts:
     def block(self) -> bytes:
         shown = (self.u, self.customers, self.singles, self.shared, self.owner, self.w, self.n)
         shown += (self.table_sum, self.tables)
-        return pack(*map(planes, shown), np.concatenate([np.zeros(0), *self.weights]))
+        return pack(*map(planes, shown), np.concatenate([np.zeros(0), *self.weights]), level=_LEVEL)
 
     @classmethod
     def of(cls, block: bytes) -> Contexts:
@@ -399,7 +401,7 @@ def _open(bucket: int, found: dict[str, list[tuple]], sizes: Sizes) -> Rows:
     )
     state.table_sum, state.tables = np.zeros(len(several), np.int64), np.ones(len(several), np.int64)
     rows: Rows = [("state", bucket, 0, state.block(), 0.0, 0.0)]
-    rows.append(("once", bucket, 0, pack(planes(owner[n == 1]), planes(w[n == 1])), 0.0, 0.0))
+    rows.append(("once", bucket, 0, pack(planes(owner[n == 1]), planes(w[n == 1]), level=_LEVEL), 0.0, 0.0))
     rows.append(("sum", 0, 0, None, float(len(once)), float((n == 2).sum())))
     tables = singles + np.bincount(state.owner, minlength=len(contexts))
     for i in np.flatnonzero(state.shared).tolist():
@@ -409,7 +411,7 @@ def _open(bucket: int, found: dict[str, list[tuple]], sizes: Sizes) -> Rows:
     for b in range(sizes.words):
         mine = [(x[at] // sizes.words, many[at]) for x, many in counted for at in [x % sizes.words == b]]
         if len(mine[0][0]) or len(mine[1][0]):
-            rows.append(("tables", b, bucket, pack(*[planes(x) for pair in mine for x in pair]), 0.0, 0.0))
+            rows.append(("tables", b, bucket, pack(*[planes(x) for pair in mine for x in pair], level=_LEVEL), 0.0, 0.0))
     return rows
 
 
@@ -497,7 +499,7 @@ def _answer_pairs(bucket: int, found: dict[str, list[tuple]]) -> Rows:
         else:
             moving = n[:0]
         weights = [x[owner[alone]].astype(np.float32) for x in state.weights]
-        rows.append(("pair", g, bucket, pack(planes(n), planes(moving), *weights), 0.0, 0.0))
+        rows.append(("pair", g, bucket, pack(planes(n), planes(moving), *weights, level=_LEVEL), 0.0, 0.0))
     return rows
 
 
@@ -645,6 +647,8 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         tables.write(f"parent-{turn}", _step(_union(*fixed, *moved), _parent_at(level, turn)))
         seated, customers = tables.sums(f"parent-{turn}")
         level = Level(seated, customers, level.base, level.parent_discount, discount)
+        if turn:
+            tables.drop(f"contexts-{turn}", "moved")
         if turn > BURN_IN:
             levels[turn] = level
         if turn < ROUNDS:
@@ -654,7 +658,10 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
                 _elsewhere(tables.read(f"contexts-{turn}", "split")),
             )
             tables.write(f"contexts-{turn + 1}", _step(rows, _seat_at(level, turn + 1, sizes)))
-            tables.drop(f"contexts-{turn}", "state")
+            tables.drop(f"contexts-{turn}", "state", "split")
+        tables.drop(f"parent-{turn}", "parent")
+    tables.drop("pairs", "direct")
+    tables.drop("contexts-0", "tables")
     return Model(tables, sizes, documents, train_tokens, train_words, levels)
 
 
@@ -679,8 +686,11 @@ def _elsewhere(split: DataFrame) -> DataFrame:
     )
 
 
-def scores(model: Model) -> DataFrame:
-    """The documents that the model was given, each with its log10 probability."""
+def scores(model: Model, last: bool = False) -> DataFrame:
+    """The documents that the model was given, each with its log10 probability.
+
+    ``last``: the model is not asked again, so what only its answers are made of is removed once they are written.
+    """
     tables = model.tables
     release(tables.spark)
     words = tables.read("counts", "word")
@@ -690,10 +700,16 @@ def scores(model: Model) -> DataFrame:
     asked = _union(
         tables.read("pairs", "pairs"), tables.read("contexts-0", "once"), tables.read(f"contexts-{ROUNDS}", "state")
     )
-    shares = _step(asked, _answer_pairs)
+    # Written, so that the pairs are no longer in any shuffle when the groups are.
+    tables.write("shares", _step(asked, _answer_pairs))
+    if last:
+        tables.drop("pairs", "pairs")
+        tables.drop("contexts-0", "once")
+        tables.drop(f"contexts-{ROUNDS}", "state")
+    release(tables.spark)
     groups = tables.read("groups", "group")
     run = _score(model)
-    answers = _union(words, parents, shares)
+    answers = _union(words, parents, tables.read("shares", "pair"))
     return groups.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(run, _SCHEMA)
 
 
@@ -706,4 +722,4 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: i
     base's share, like any one word of ``V + 1``. Rows that share a doc_id are documents of their
     own. Words are told apart by 64 bits of a hash. Without rows there are none.
     """
-    return scores(trained(docs, doc_id, text, least))
+    return scores(trained(docs, doc_id, text, least), last=True)
