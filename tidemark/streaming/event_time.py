@@ -11,6 +11,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.operators.upsert import optional
 from tidemark.sources.tables import parts_of, read_table, replace_parts
@@ -97,14 +98,8 @@ def window_totals(
         finally:
             changed.unpersist()
 
-    (
-        sums.writeStream.outputMode("update")
-        .foreachBatch(lambda rows, number: apply(rows, str(number)))
-        .option("checkpointLocation", f"{root}/_checkpoints/totals")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    writer = sums.writeStream.outputMode("update").foreachBatch(lambda rows, number: apply(rows, str(number)))
+    _finish(spark, writer.option("checkpointLocation", f"{root}/_checkpoints/totals"))
 
 
 def totals(spark: SparkSession, root: str, schema: T.StructType, months: list[int] | None = None) -> DataFrame:
@@ -155,12 +150,21 @@ def within(
 
 def collect(rows: DataFrame, path: str, checkpoint: str) -> None:
     """Append what a stream has finished to the table ``path``, each row once, and stop."""
-    (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    _finish(rows.sparkSession, writer.option("checkpointLocation", checkpoint))
+
+
+def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
+    """Run a stateful query over what is there.
+
+    State is in as many parts as the cluster has cores when the query first starts: each part is a store of its
+    own, with files for every batch, and adaptive execution cannot merge them.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, spark.sparkContext.defaultParallelism)
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(name, before)
+    query.awaitTermination()
