@@ -660,8 +660,6 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
             tables.write(f"contexts-{turn + 1}", _step(rows, _seat_at(level, turn + 1, sizes)))
             tables.drop(f"contexts-{turn}", "state", "split")
         tables.drop(f"parent-{turn}", "parent")
-    tables.drop("pairs", "direct")
-    tables.drop("contexts-0", "tables")
     return Model(tables, sizes, documents, train_tokens, train_words, levels)
 
 
@@ -692,7 +690,9 @@ def scores(model: Model, last: bool = False) -> DataFrame:
     ``last``: the model is not asked again, so what only its answers are made of is removed once they are written.
     """
     tables = model.tables
-    release(tables.spark)
+    if last:
+        tables.drop("pairs", "direct")
+        tables.drop("contexts-0", "tables")
     words = tables.read("counts", "word")
     by_bucket = words.select("kind", F.col("src").alias("key"), F.col("key").alias("src"), "block", "x", "y")
     own = [tables.read(f"parent-{turn}", "own") for turn in model.levels]
