@@ -243,6 +243,55 @@ def test_a_month_that_lost_all_its_rows_is_empty(spark, tmp_path):
     assert job.fact().count() == 12
 
 
+def searched_months(monkeypatch):
+    """The months of the fact that a job asks for from now on; None stands for the whole fact."""
+    asked, real = [], LayeredJob._fact
+
+    def noted(self, months=None):
+        asked.append(None if months is None else set(months))
+        return real(self, months)
+
+    monkeypatch.setattr(LayeredJob, "_fact", noted)
+    return asked
+
+
+def test_an_order_that_moves_does_not_make_the_whole_fact_be_read(spark, tmp_path, monkeypatch):
+    job, landing = start(spark, tmp_path, distinct_key=True)
+    job.run(T1)
+    order = EXTRACTS["orders"][0]
+    moved = order.replace("2024-01-11 10:00:00", "2024-02-11 10:00:00")
+    # It moves while its customer is not known, so its items have no new fact row and stay.
+    deliver(landing, "orders", [moved.replace("1,2,1,", "1,9,1,", 1)], "two.csv")
+    before = spark.createDataFrame(job.fact().collect(), job.fact().schema)
+    asked = searched_months(monkeypatch)
+    job.run(T2, "second")
+    job.refresh_consumption("second", T2, release=True)
+    assert asked == [{202401}]
+    assert rows(job.fact()) == rows(before)
+    # The customer comes: the items leave the month that was noted for them then.
+    deliver(landing, "customer", [EXTRACTS["customer"][0].replace("1,C1", "9,C9")], "two.csv")
+    asked.clear()
+    assert job.run(T3, "third").status == "OK"
+    assert asked == [{202401, 202402}]
+    months = sorted((r.order_id, r._month) for r in job._fact().select("order_id", "_month").collect())
+    assert [m for o, m in months if o == 1] == [202402] * 2 and len(months) == 12
+    assert rows(job.fact()) == full_refresh(job, before)
+
+
+def test_an_item_that_changes_its_order_is_looked_for_in_the_fact(spark, tmp_path, monkeypatch):
+    orders = [EXTRACTS["orders"][0].replace("2024-01-11", "2024-02-11"), *EXTRACTS["orders"][1:]]
+    job, landing = start(spark, tmp_path, {"orders": orders}, distinct_key=True)
+    job.run(T1)
+    before = spark.createDataFrame(job.fact().collect(), job.fact().schema)
+    # Item 1 goes from order 2 to order 1.
+    deliver(landing, "order_item", [EXTRACTS["order_item"][0].replace("1,2,2,", "1,1,2,", 1)], "two.csv")
+    asked = searched_months(monkeypatch)
+    assert job.run(T2).status == "OK"
+    assert asked == [None, {202401, 202402}]
+    assert rows(job.fact()) == full_refresh(job, before)
+    assert job.fact().count() == 12
+
+
 def test_a_refresh_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
     job, landing = start(spark, tmp_path, distinct_key=True)
     job.run(T1)

@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,12 +176,12 @@ class LayeredJob:
     def _marks(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.root}/common/marks/{name}", _MARK)
 
-    def _mark(self, name: str) -> dict[str, int]:
+    def _mark(self, name: str) -> dict[str, Any]:
         """What the last finished refresh of a table had seen; empty before the first."""
         last = self._marks(name).orderBy(F.desc("seq")).first()
         return json.loads(last.note) if last else {}
 
-    def _set_mark(self, name: str, seen: dict[str, int]) -> None:
+    def _set_mark(self, name: str, seen: dict[str, Any]) -> None:
         seq = self._marks(name).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
         row = self.spark.createDataFrame([(seq, json.dumps(seen, sort_keys=True))], _MARK)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/common/marks/{name}")
@@ -200,9 +201,14 @@ class LayeredJob:
     def _last_batch(self, name: str) -> int:
         return self._clean_state(name)[0]
 
-    def _write_clean(self, entity: Entity, rows: DataFrame, batch: int, top: int, touched: list[int]) -> None:
-        """Store the touched buckets of a clean table as they are after a batch, between two marks."""
-        mark = {"batch": batch, "top": top, "touched": touched}
+    def _write_clean(
+        self, entity: Entity, rows: DataFrame, batch: int, top: int, touched: list[int], left: Iterable[int] | None = ()
+    ) -> None:
+        """Store the touched buckets of a clean table as they are after a batch, between two marks.
+
+        ``left``: the months that fact rows have to leave for it, None if that is not known.
+        """
+        mark = {"batch": batch, "top": top, "touched": touched, "left": None if left is None else list(left)}
         self._set_mark(f"clean_{entity.name}", mark | {"open": 1})
         rows = rows.withColumn(BUCKET, bucket_of(entity.key, self.buckets))
         replace_parts(rows, f"{self.root}/clean/{entity.name}", BUCKET)
@@ -254,7 +260,24 @@ class LayeredJob:
         lanes = lanes_for(rows.count())
         rows = rows.withColumn("_batch", F.lit(batch + 1).cast("long"))
         merged = apply_rows(target, rows, entity, top, extra=("_batch",), lanes=lanes)
-        self._write_clean(entity, merged, batch + 1, top, touched)
+        self._write_clean(entity, merged, batch + 1, top, touched, self._left(entity, target, rows))
+
+    def _left(self, entity: Entity, stored: DataFrame, rows: DataFrame) -> list[int] | None:
+        """The months in which fact rows are that a batch moves to another one; None if it does not show.
+
+        An order takes its items along from the month of its stored date. An item that changes its order
+        comes from a month that only the fact knows.
+        """
+        column = {"orders": "order_date", "order_item": "order_id"}.get(entity.name)
+        if column is None:
+            return []
+        new = rows.select(entity.key, F.col(column).alias("_new"))
+        pairs = stored.select(entity.key, column).join(new, entity.key)
+        if entity.name == "order_item":
+            return [] if pairs.filter(f"{column} <> _new").isEmpty() else None
+        month = "CAST(date_format({}, 'yyyyMM') AS int)".format
+        moved = pairs.selectExpr(f"{month(column)} AS was", f"{month('_new')} AS will")
+        return parts_of(moved.filter("was IS NOT NULL AND NOT was <=> will"), "was")
 
     def repair_dates(self, name: str, pattern: str | None) -> None:
         """Re-derive a clean table's audit dates from all its stage rows, read with ``pattern``.
@@ -322,9 +345,14 @@ class LayeredJob:
 
     def _changed(self, entity: str, since: int) -> DataFrame:
         """The clean rows written since a batch, from the buckets that the batches since then have touched."""
+        notes = self._notes(entity, since)
+        parts = None if notes is None else sorted({b for note in notes for b in note["touched"]})
+        return self._clean(entity, parts).filter(F.col("_batch") > since)
+
+    def _notes(self, entity: str, since: int) -> list[dict[str, Any]] | None:
+        """The marks of the batches since a batch, also of those that were cut off; None for a table without marks."""
         notes = [json.loads(r.note) for r in self._marks(f"clean_{entity}").collect()]
-        touched = {b for note in notes if note["batch"] > since for b in note["touched"]}
-        return self._clean(entity, sorted(touched) if notes else None).filter(F.col("_batch") > since)
+        return [note for note in notes if note["batch"] > since] if notes else None
 
     def _refresh_dimension(self, dim: Dimension, batch_ts: datetime) -> None:
         entity = ENTITIES[dim.entity]
@@ -367,6 +395,7 @@ class LayeredJob:
         """Re-join the items that anything relevant happened to since the last refresh."""
         name = "order_item_fact"
         since = self._mark(name)
+        waiting = set(since.pop("left", ()))
         now = {n: self._last_batch(n) for n in ("orders", "delivery", "order_item")}
         now |= {n: self._mark(n).get("top", 0) for n in DIMENSIONS}
         if since == now:
@@ -381,10 +410,10 @@ class LayeredJob:
             for n in ("orders", "delivery"):
                 wanted = rows_with(clean[n], items, "order_id")
                 clean[n] = clean[n].limit(0) if wanted is None else wanted
-            self._replace_facts(path, items, consumption.build_fact(clean, dims))
+            waiting = self._replace_facts(path, items, consumption.build_fact(clean, dims), since, waiting)
         else:
             replace_parts(with_month(consumption.build_fact(clean, dims)), path, MONTH)
-        self._set_mark(name, now)
+        self._set_mark(name, now | {"left": sorted(waiting)})
 
     def _items_since(
         self, since: dict[str, int], clean: dict[str, DataFrame], dims: dict[str, DataFrame]
@@ -396,16 +425,30 @@ class LayeredJob:
             clean["order_item"], changed["order_item"], orders, renewed["menu_dim"]
         )
 
-    def _replace_facts(self, path: str, items: DataFrame, rows: DataFrame) -> None:
+    def _replace_facts(
+        self, path: str, items: DataFrame, rows: DataFrame, since: dict[str, int], waiting: set[int]
+    ) -> set[int]:
         """Merge new fact rows into the months they fall in and the months they were in.
 
-        A refresh that failed half-way can have left an item in both; it is reduced to one row first.
+        The latter are in the marks of the clean tables; only for items that changed their order the fact is
+        searched. An item without a fact row at present stays where it was, so the months left this time are
+        returned as ``waiting``, and count again when it has one. A refresh that failed half-way can have left
+        an item in both months; it is reduced to one row first.
         """
         rows = written(with_month(rows), scratch(self.spark, "changed-facts"))
-        stored = rows_with(self._fact(), items, "order_item_id")
-        months = set(parts_of(rows, MONTH)) | (set(parts_of(stored, MONTH)) if stored is not None else set())
+        noted = []
+        for name in ("orders", "order_item"):
+            notes = self._notes(name, since[name])
+            noted += [None] if notes is None else [note.get("left") for note in notes]
+        left = {month for months in noted if months for month in months}
+        if None in noted:
+            stored = rows_with(self._fact(), items, "order_item_id")
+            left |= set(parts_of(stored, MONTH)) if stored is not None else set()
+        months = set(parts_of(rows, MONTH)) | left | waiting
+        if left and not items.join(rows, "order_item_id", "left_anti").isEmpty():
+            waiting = waiting | left
         if not months:
-            return
+            return waiting
         target = self._fact(months).drop(MONTH).dropDuplicates(["order_item_id"])
         merged = with_month(consumption.upsert_fact(target, rows.drop(MONTH)))
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in consumption.FACT_SCHEMA)
@@ -413,6 +456,7 @@ class LayeredJob:
             f"SELECT {nothing}, m AS {MONTH} FROM (SELECT explode(array({', '.join(map(str, sorted(months)))})) AS m)"
         )
         replace_parts(merged.unionByName(kept), path, MONTH)
+        return waiting
 
     # The chain
 
