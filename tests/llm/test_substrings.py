@@ -65,7 +65,7 @@ def test_hot_minimisers_go_window_by_window(docs_of, monkeypatch):
     texts = [" ".join(rng.choices("abcdefgh", k=9)) + " " + passage + " " + " ".join(rng.choices("xyz", k=9)) for _ in range(150)]
     docs = docs_of(texts)
     total = blocks.text_bytes(docs, "text")
-    assert len(substrings._hot(docs, total, total * 3 // 2000, "doc_id", "text"))
+    assert len(substrings._hot(docs, total, total * 3 // 2000, "text"))
     assert found(docs) == expected(list(enumerate(texts)))
 
 
@@ -96,3 +96,26 @@ def test_nulls_repeated_rows_and_extra_columns(docs_of, mixed_texts):
 
 def test_empty_table(docs_of):
     assert found(docs_of([])) == []
+
+
+def test_groups_are_even_where_a_third_of_the_rows_are_equal(docs_of, monkeypatch):
+    monkeypatch.setattr(blocks, "GROUP_BYTES", 20_000)
+    rng = random.Random(5)
+    same = " ".join(rng.choices("abcdefgh", k=300))
+    texts = [" ".join(rng.choices("abcdefgh", k=300)) for _ in range(2000)] + [same] * 1000
+    docs = docs_of(texts, [*range(2000), *[None] * 1000], parts=8)
+    total = blocks.text_bytes(docs, "text")
+    sizes = [r["count"] for r in blocks.grouped(docs, total).groupBy("g").count().collect()]
+    # On average 33 rows each.
+    assert sum(sizes) == 3000 and len(sizes) > 60 and max(sizes) < 150
+
+
+def test_equal_rows_in_many_groups(docs_of, monkeypatch):
+    monkeypatch.setattr(blocks, "GROUP_BYTES", 400)
+    rng = random.Random(6)
+    same = " ".join(rng.choices(["aa", "bb", "cc"], k=40))
+    texts = [same] * 60 + [f"x {same} y"] * 3 + ["", None, "one"]
+    ids = [7] * 30 + [None] * 30 + [3, 8, None, 1, None, None]
+    docs = docs_of(texts, ids, parts=6)
+    assert blocks.grouped(docs, blocks.text_bytes(docs, "text")).select("g").distinct().count() > 4
+    assert found(docs) == expected(list(zip(ids, texts)))

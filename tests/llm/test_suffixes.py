@@ -67,7 +67,7 @@ def test_hot_leads_go_string_by_string(docs_of, monkeypatch):
     passage = "a passage that many documents share, with a common line in it, over and over, said " * 2
     texts = ["".join(rng.choices("abcdefgh ", k=90)) + passage + "".join(rng.choices("xyz ", k=90)) for _ in range(120)]
     docs = docs_of(texts)
-    plan = suffixes.planned(docs, blocks.text_bytes(docs, "text"), "doc_id", "text")
+    plan = suffixes.planned(docs, blocks.text_bytes(docs, "text"), "text")
     assert len(plan.hot) and len(plan.splitters)
     assert found(docs) == expected(list(enumerate(texts)))
 

@@ -9,11 +9,14 @@ rows hold reaches a bucket once per group, not once per row.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,18 +38,52 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 def grouped(docs: DataFrame, total: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(g, id, text, row): documents dealt into groups by a hash; ``row`` holds their other columns.
 
-    A null id becomes the last one, a null text an empty one. The hash covers the text as well, so
-    documents without an id do not meet in one group.
+    A null id becomes the last one, a null text an empty one. The hash covers all columns but maps, so
+    neither documents without an id nor copies under one id meet in one group. Rows that are equal in
+    all columns and together larger than a group are dealt out by their partition and by how many of
+    them it has had so far; as they are equal, it does not matter in which order a task reads them.
     """
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")]
     groups = max(1, -(-total // GROUP_BYTES))
-    key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
-    return docs.select(
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    key = F.xxhash64(*hashed)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")]
+    columns = [
         F.pmod(key, F.lit(groups)).cast("int").alias("g"),
         F.coalesce(F.col(f"`{doc_id}`"), F.lit(LAST_ID)).alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
         F.struct(*rest).alias("row"),
-    )
+    ]
+    often = _repeated(docs, key, text) if groups > 1 else []
+    if not often:
+        return docs.select(*columns)
+    alone = docs.filter(~key.isin(often)).select(*columns)
+    copies = docs.filter(key.isin(often)).select(key.alias("key"), *columns)
+    return alone.unionByName(copies.mapInArrow(_dealt(groups, GROUP_BYTES), alone.schema))
+
+
+def _repeated(docs: DataFrame, key: Column, text: str) -> list[int]:
+    """Hashes of the rows whose copies are larger than a group: fewer than there are groups."""
+    size = F.sum(F.octet_length(F.col(f"`{text}`")))
+    sizes = docs.groupBy(key.alias("key")).agg(size.alias("bytes"), F.count(F.lit(1)).alias("n"))
+    return [r.key for r in sizes.filter((F.col("n") > 1) & (F.col("bytes") > GROUP_BYTES)).select("key").collect()]
+
+
+def _dealt(groups: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gives copies the group of a part: ``most`` bytes of the copies that one partition holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, had = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            sizes = pc.binary_length(batch["text"]).to_pylist()
+            dealt = []
+            for key, size in zip(batch["key"].to_pylist(), sizes, strict=True):
+                part = had[key] // most
+                had[key] += size
+                dealt.append(zlib.crc32(f"{key} {partition} {part}".encode()) % groups)
+            names = batch.schema.names[2:]
+            yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), *batch.columns[2:]], ["g", *names])
+
+    return run
 
 
 def in_order(group: pa.Table) -> pa.Table:
@@ -113,7 +150,6 @@ def applied(
     return groups.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(run, schema)
 
 
-def sampled(total: int, most: int, doc_id: str) -> Column:
-    """A filter that keeps about ``most`` bytes of documents, chosen by their ids; all of a small table."""
-    share = min(1.0, most / max(1, total))
-    return F.pmod(F.xxhash64(F.lit("sample"), F.col(f"`{doc_id}`")), F.lit(1_000_000)) < int(share * 1_000_000)
+def sampled(total: int, most: int) -> Column:
+    """A filter that keeps about ``most`` bytes of documents, drawn row by row; all of a small table."""
+    return F.lit(True) if total <= most else F.rand(17) < most / total

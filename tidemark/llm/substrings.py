@@ -254,12 +254,12 @@ def _kept(table: pa.Table, answers: dict[int, bytes], buckets: int, hot: np.ndar
     return pa.Table.from_arrays(columns, ["row", "text", "n_words", "n_removed", "kept", "kept_sha256"])
 
 
-def _hot(docs: DataFrame, total: int, buckets: int, doc_id: str, text: str) -> np.ndarray:
+def _hot(docs: DataFrame, total: int, buckets: int, text: str) -> np.ndarray:
     """Minimisers that alone would have more than a quarter of a bucket, as far as a bounded sample shows.
 
     At most four times as many as there are buckets. They decide how windows travel, not what is found.
     """
-    sample = docs.filter(blocks.sampled(total, _SAMPLE_BYTES, doc_id)).select(F.col(f"`{text}`").alias("text"))
+    sample = docs.filter(blocks.sampled(total, _SAMPLE_BYTES)).select(F.col(f"`{text}`").alias("text"))
 
     def minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,7 +291,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bounded_batches(docs.sparkSession)
     total = blocks.text_bytes(docs, text)
     buckets = max(1, -(-total * _GROWTH // _BUCKET_BYTES))
-    hot = _hot(docs, total, buckets, doc_id, text)
+    hot = _hot(docs, total, buckets, text)
     groups = blocks.grouped(docs, total, doc_id, text)
     requests = blocks.asked(groups, lambda t: Asked(*blocks.columns_of(t), buckets, hot, keep=False).blocks())
     answers = blocks.answered(requests, _answer)

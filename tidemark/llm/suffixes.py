@@ -295,11 +295,11 @@ def _kept(table: pa.Table, answers: dict[int, bytes], plan: Plan) -> pa.Table:
     return pa.Table.from_arrays(columns, names)
 
 
-def planned(docs: DataFrame, total: int, doc_id: str, text: str) -> Plan:
+def planned(docs: DataFrame, total: int, text: str) -> Plan:
     """Splitters and hot leads from a bounded sample of documents. They do not change what is found."""
     buckets = max(1, -(-int(total * _GROWTH) // _BUCKET_BYTES))
     ranges = min(_RANGES, buckets)
-    sample = docs.filter(blocks.sampled(total, _SAMPLE_BYTES, doc_id)).select(F.col(f"`{text}`").alias("text"))
+    sample = docs.filter(blocks.sampled(total, _SAMPLE_BYTES)).select(F.col(f"`{text}`").alias("text"))
     every = max(1, int(min(total, _SAMPLE_BYTES)) // (43 * _DRAWN * ranges))
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     bounded_batches(docs.sparkSession)
     total = blocks.text_bytes(docs, text)
-    plan = planned(docs, total, doc_id, text)
+    plan = planned(docs, total, text)
     groups = blocks.grouped(docs, total, doc_id, text)
     requests = blocks.asked(groups, lambda t: Asked(*blocks.columns_of(t), plan).blocks())
     answers = blocks.answered(requests, _answer)
