@@ -44,11 +44,19 @@ def faults(stage: DataFrame, entity: Entity) -> str:
     return reason
 
 
+def loadable(stage: DataFrame, entity: Entity) -> str:
+    """SQL for whether a stage row has no faults, without the work of naming them; never NULL."""
+    tests = [f"({typed(c)}) IS NOT NULL" for c in entity.columns if c.required]
+    if MALFORMED in stage.columns:
+        tests.insert(0, f"{MALFORMED} IS NULL")
+    return f"({' AND '.join(tests)})"
+
+
 def split_required(stage: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
     """Typed rows that can be loaded, and the others with the reason."""
     reason = faults(stage, entity)
-    accepted = type_rows(stage.filter(f"({reason}) IS NULL"), entity)
-    marked = stage.withColumn("_reason", F.expr(reason)).filter("_reason IS NOT NULL")
+    accepted = type_rows(stage.filter(loadable(stage, entity)), entity)
+    marked = stage.filter(f"NOT {loadable(stage, entity)}").withColumn("_reason", F.expr(reason))
     values = [f"{typed(c)} AS {c.name}" for c in entity.columns]
     rejected = marked.selectExpr(*values, *AUDIT_SCHEMA.fieldNames(), "_reason AS reject_reason")
     return accepted, rejected.to(reject_schema(entity))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.entities import ENTITIES, Entity
 from tidemark.functions.typing_rules import as_key
-from tidemark.operators.clean import faults
+from tidemark.operators.clean import loadable
 
 TRANSITION = "stage_to_clean"
 
@@ -38,9 +38,9 @@ def _marks(checks: list[str]) -> str:
     return f"filter(array({', '.join(checks)}), m -> m.check IS NOT NULL)"
 
 
-def _mark(check: str, ref: str, slot: int, when: str = "true") -> str:
+def _mark(check: int, ref: str, slot: int, when: str = "true") -> str:
     return (
-        f"struct(CASE WHEN {when} THEN '{check}' END AS check, CAST({ref} AS bigint) AS ref,"
+        f"struct(CASE WHEN {when} THEN {check} END AS check, CAST({ref} AS bigint) AS ref,"
         f" {slot} AS slot, 1L AS n)"
     )
 
@@ -61,16 +61,27 @@ def _references(entities: Sequence[Entity]) -> dict[tuple[str, str], int]:
     return slots
 
 
-def _stage_marks(stage: DataFrame, clean: DataFrame, entity: Entity, distinct_key: bool) -> DataFrame:
+class _Codes(dict):
+    """The number of each check by its name: marks of a fixed width are counted in place and cross the shuffle shorter."""
+
+    def __missing__(self, check: str) -> int:
+        self[check] = len(self)
+        return self[check]
+
+
+def _stage_marks(stage: DataFrame, clean: DataFrame, entity: Entity, distinct_key: bool, codes: _Codes) -> DataFrame:
     """What a stage table adds: its rows, or its keys and faulty rows, and the texts of suspect keys."""
     key = as_key(entity.column(entity.key).stage)
     name = entity.name
     if distinct_key:
-        bad = f"({faults(stage, entity)}) IS NOT NULL"
-        marks = [_mark(f"in {name}", "NULL", 0, bad), _mark(f"key {name}", key, 0, f"NOT ({bad})")]
+        marks = [
+            _mark(codes[f"in {name}"], "NULL", 0, "NOT _loadable"),
+            _mark(codes[f"key {name}"], key, 0, "_loadable"),
+        ]
+        rows = stage.withColumn("_loadable", F.expr(loadable(stage, entity)))
     else:
-        marks = [_mark(f"in {name}", "NULL", 0)]
-    rows = stage
+        marks = [_mark(codes[f"in {name}"], "NULL", 0)]
+        rows = stage
     for column in entity.lost_value_columns:
         # Only keys between those of clean rows without the value can have lost one.
         bounds = clean.filter(f"{column} IS NULL").selectExpr(
@@ -79,18 +90,18 @@ def _stage_marks(stage: DataFrame, clean: DataFrame, entity: Entity, distinct_ke
         rows = rows.withColumn(f"_near_{column}", bounds.scalar())
         near = f"{key} BETWEEN _near_{column}.low AND _near_{column}.high"
         full = f"{entity.column(column).stage} IS NOT NULL"
-        marks.append(_mark(f"lost {name} {column}", key, 0, f"{full} AND {near}"))
+        marks.append(_mark(codes[f"lost {name} {column}"], key, 0, f"{full} AND {near}"))
     return rows.selectExpr(f"inline({_marks(marks)})")
 
 
-def _clean_marks(clean: DataFrame, entity: Entity, slots: dict[tuple[str, str], int]) -> DataFrame:
+def _clean_marks(clean: DataFrame, entity: Entity, slots: dict[tuple[str, str], int], codes: _Codes) -> DataFrame:
     """What a clean table adds: its rows, its keys, its references, and the keys that miss a value."""
-    marks = [_mark(f"out {entity.name}", "NULL", 0), _mark(f"ref {entity.name}", entity.key, _PARENT)]
+    marks = [_mark(codes[f"out {entity.name}"], "NULL", 0), _mark(codes[f"ref {entity.name}"], entity.key, _PARENT)]
     for fk in entity.foreign_keys:
         counts = "true" if fk.null_is_orphan else f"{fk.column} IS NOT NULL"
-        marks.append(_mark(f"ref {fk.parent}", fk.column, slots[entity.name, fk.column], counts))
+        marks.append(_mark(codes[f"ref {fk.parent}"], fk.column, slots[entity.name, fk.column], counts))
     for column in entity.lost_value_columns:
-        marks.append(_mark(f"lost {entity.name} {column}", entity.key, _PARENT, f"{column} IS NULL"))
+        marks.append(_mark(codes[f"lost {entity.name} {column}"], entity.key, _PARENT, f"{column} IS NULL"))
     return clean.selectExpr(f"inline({_marks(marks)})")
 
 
@@ -113,11 +124,11 @@ def run_checks(
     ``distinct_key``: rows in are the different keys that can be loaded, so a re-sent key counts once,
     plus every row that cannot be loaded.
     """
-    slots = _references(entities)
+    slots, codes = _references(entities), _Codes()
     frames = []
     for entity in entities:
-        frames.append(_stage_marks(stage[entity.name], clean[entity.name], entity, distinct_key))
-        frames.append(_clean_marks(clean[entity.name], entity, slots))
+        frames.append(_stage_marks(stage[entity.name], clean[entity.name], entity, distinct_key, codes))
+        frames.append(_clean_marks(clean[entity.name], entity, slots, codes))
     by_ref = reduce(DataFrame.unionAll, frames).groupBy("check", "ref").agg(
         *[F.sum(F.when(F.col("slot") == i, F.col("n"))).alias(f"n{i}") for i in range(_PARENT + 1)]
     )
@@ -131,7 +142,7 @@ def run_checks(
 
     def label(entity: Entity, kind: str, column: str, check: str, value: str) -> None:
         position = entities.index(entity) + 1
-        labels.append(f"({len(labels)}, '{entity.name}', {position}, '{kind}', '{column}', '{check}', '{value}')")
+        labels.append(f"({len(labels)}, '{entity.name}', {position}, '{kind}', '{column}', {codes[check]}, '{value}')")
 
     for entity in entities:
         label(entity, "in", "", f"in {entity.name}", "rows")
