@@ -19,16 +19,19 @@ def row_difference(left: DataFrame, right: DataFrame, key: str, columns: Sequenc
 
     Both sides are reduced to counts per (key, digest) in the tasks that read them, so a row sent a million
     times crosses the shuffle once per task, and a key with very many different rows is spread by digest. Equal means
-    equal with NULL equal to NULL; digests have 128 bits.
+    equal with NULL equal to NULL; digests have 128 bits, as two numbers, which are half as long as hex digits
+    and keep the counted rows at a fixed width.
     """
-    digest = F.md5(F.to_json(F.struct(*[F.col(c) for c in columns])))
+    digest = F.md5(F.to_json(F.struct(*[c for c in columns if c != key] or [key])))
 
     def counted(rows: DataFrame, left_count: int) -> DataFrame:
         sides = (F.lit(left_count).cast("long").alias("_l"), F.lit(1 - left_count).cast("long").alias("_r"))
-        return rows.select(F.col(key), digest.alias("_digest"), *sides)
+        half = [F.conv(F.substring("_digest", at, 16), 16, -10).cast("long") for at in (1, 17)]
+        rows = rows.select(F.col(key), digest.alias("_digest"))
+        return rows.select(key, half[0].alias("_high"), half[1].alias("_low"), *sides)
 
     both = counted(left, 1).unionByName(counted(right, 0))
-    rows = both.groupBy(key, "_digest").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    rows = both.groupBy(key, "_high", "_low").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     zero = F.lit(0).cast("long")
     return (
         rows.groupBy(key)
