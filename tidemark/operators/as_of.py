@@ -51,6 +51,8 @@ def as_of(
     asked = source.selectExpr(f"{key} AS _key", f"CAST({at} AS timestamp) AS _at").distinct()
     asked = asked.filter("_key IS NOT NULL AND _at IS NOT NULL").withColumn("_version", F.lit(None))
     marks = begun.unionByName(asked).withColumn("_slice", F.expr(f"floor(unix_seconds(_at) / {width})"))
+    # Slices are looked at twice, as wholes and inside: both read one shuffle.
+    marks = marks.repartition("_key", "_slice")
     mark = F.when(F.col("_version").isNotNull(), F.struct("_at", "_version"))
     slices = marks.groupBy("_key", "_slice").agg(F.max(mark).alias("_last"), F.min(mark).alias("_first"))
     by_slice = Window.partitionBy("_key").orderBy("_slice")
