@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.tables import read_table, replace_parts
+from tidemark.sources.tables import gathered, read_table, replace_parts
 
 MONTH = "_month"
 #: Distinct counts are kept in 2 ** 12 registers: standard error 1.04 / 64. Quantile sketches of 400 items: ranks
@@ -35,7 +35,7 @@ def refresh_months(orders: DataFrame, path: str) -> None:
     """Make the sketches of the months that ``orders`` hold whole, in place of those months' old ones."""
     month = F.expr("year(order_date) * 100 + month(order_date)").cast("int")
     rows = sketched(orders.withColumn(MONTH, month), MONTH)
-    replace_parts(rows.select(*SCHEMA.fieldNames(), MONTH), path, MONTH)
+    replace_parts(gathered(rows.select(*SCHEMA.fieldNames(), MONTH), MONTH), path, MONTH)
 
 
 def stored_months(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.operators.upsert import optional
-from tidemark.sources.tables import parts_of, read_table, replace_parts
+from tidemark.sources.tables import gathered, parts_of, read_table, replace_parts
 from tidemark.streaming import feed
 
 MONTH = "_month"
@@ -94,7 +94,8 @@ def window_totals(
             if months:
                 kept = totals(spark, root, sums.schema, months)
                 same = (kept["window_start"] == changed["window_start"]) & kept[key].eqNullSafe(changed[key])
-                replace_parts(kept.join(changed, same, "left_anti").unionByName(changed), f"{root}/totals", MONTH)
+                merged = kept.join(changed, same, "left_anti").unionByName(changed)
+                replace_parts(gathered(merged, MONTH), f"{root}/totals", MONTH)
         finally:
             changed.unpersist()
 
