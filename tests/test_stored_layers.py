@@ -1,14 +1,17 @@
 """What the layered job and the queries over it leave on disk and move: each row few times, nothing longer than it is read."""
 
 import glob
+import re
 import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.entities import ENTITIES
 from tidemark.operators import consumption
+from tidemark.operators.as_of import as_of
 from tidemark.operators.joins import marked
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.quality import _Codes, _clean_marks, _references
@@ -128,3 +131,45 @@ def test_marks_are_made_by_compiled_code(spark):
     clean = spark.createDataFrame([], ENTITIES["orders"].clean_schema())
     marks = _clean_marks(clean, ENTITIES["orders"], _references(list(ENTITIES.values())), _Codes())
     assert "lambda" not in marks._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def base(spark, tmp_path_factory):
+    """Small given tables."""
+    path, day = tmp_path_factory.mktemp("base"), "timestamp '1995-01-01 00:00:00' + make_dt_interval(CAST(id AS int))"
+    tables = {
+        "region": (2, "CAST(id AS int) AS r_regionkey, concat('R', id) AS r_name"),
+        "nation": (4, "CAST(id AS int) AS n_nationkey, concat('N', id) AS n_name, CAST(id % 2 AS int) AS n_regionkey"),
+        "customer": (30, "id AS c_custkey, concat('C', id) AS c_name, CAST(id % 4 AS int) AS c_nationkey, 1.5D AS c_acctbal, 'M' AS c_mktsegment"),
+        "supplier": (10, "id AS s_suppkey, concat('S', id) AS s_name, CAST(id % 4 AS int) AS s_nationkey, 2.5D AS s_acctbal"),
+        "part": (20, "id AS p_partkey, concat('P', id) AS p_name, 'Brand#11' AS p_brand, 'T' AS p_type, 1 AS p_size, 2.5D AS p_retailprice"),
+        "orders": (60, f"id AS o_orderkey, id % 30 AS o_custkey, 'F' AS o_orderstatus, 9.5D AS o_totalprice, {day} AS o_orderdate, '1-URGENT' AS o_orderpriority"),
+        "lineitem": (200, f"id % 60 AS l_orderkey, id % 20 AS l_partkey, id % 10 AS l_suppkey, CAST(id DIV 60 AS int) AS l_linenumber, 1D AS l_quantity, 3D AS l_extendedprice, {day} AS l_shipdate"),
+    }
+    for name, (rows, columns) in tables.items():
+        spark.range(rows).createOrReplaceTempView("ids")
+        spark.sql(f"SELECT {columns} FROM ids").write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def scans(df):
+    """The stored tables that a frame reads, without the unique end of their names."""
+    return sorted({re.sub(r"-[0-9a-f]{32}$", "", path.split("/")[-2]) for path in df.inputFiles()})
+
+
+def test_steps_of_an_as_of_fact_are_stored(spark, base):
+    found = queries.order_item_fact_as_of(spark, base)
+    assert scans(found) == ["found", "menu_dim", "timed-items"]
+    assert found.select("order_item_id").distinct().count() == found.count() > 100
+
+
+def test_both_passes_over_slices_read_one_shuffle(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(50).selectExpr("id", "id % 5 AS k", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(CAST(id AS int)) AS at")
+        versions = "k AS key, at AS eff_start_date, CAST(NULL AS timestamp_ntz) AS eff_end_date, id AS v"
+        found = as_of(rows, rows.selectExpr("k", *versions.split(", ")[1:]).filter("v % 3 = 0"), "k", "at", ["v"], early=True)
+        assert "ReusedExchange" in plan_of(found) and found.count() == 50
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

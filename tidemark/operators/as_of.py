@@ -50,8 +50,10 @@ def as_of(
     source = rows if points is None else points
     asked = source.selectExpr(f"{key} AS _key", f"CAST({at} AS timestamp) AS _at").distinct()
     asked = asked.filter("_key IS NOT NULL AND _at IS NOT NULL").withColumn("_version", F.lit(None))
-    marks = begun.unionByName(asked).withColumn("_slice", F.expr(f"floor(unix_seconds(_at) / {width})"))
-    # Slices are looked at twice, as wholes and inside: both read one shuffle.
+    # Slices are looked at twice, as wholes and inside. Both read one shuffle, as long as nothing is asked of one only:
+    # hence a slice that cannot be NULL (times are not), for which a join has no test to add.
+    slice_of = F.coalesce(F.expr(f"floor(unix_seconds(_at) / {width})"), F.lit(0).cast("long"))
+    marks = begun.unionByName(asked).withColumn("_slice", slice_of)
     marks = marks.repartition("_key", "_slice")
     mark = F.when(F.col("_version").isNotNull(), F.struct("_at", "_version"))
     slices = marks.groupBy("_key", "_slice").agg(F.max(mark).alias("_last"), F.min(mark).alias("_first"))

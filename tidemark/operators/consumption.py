@@ -159,7 +159,8 @@ def build_fact_as_of(clean: dict[str, DataFrame], dims: dict[str, DataFrame], ea
 
     Same rows and columns as ``build_fact`` otherwise. A restaurant's place is that of the version the order
     points to. ``early``: an order from before a key's first version points to that first one (a dimension
-    row that came late); else its items drop out. The order-level versions are looked up once per order.
+    row that came late); else its items drop out. The order-level versions are looked up once per order. Items find
+    their dish while they are narrow; each step is written, so that no shuffle outlives it.
     """
     orders = clean["orders"].selectExpr(
         "order_id",
@@ -176,7 +177,8 @@ def build_fact_as_of(clean: dict[str, DataFrame], dims: dict[str, DataFrame], ea
         dims["date_dim"].select("calendar_date", "date_dim_sk"), "calendar_date"
     )
     # Every look-up asks for the keys and times of the headers, which are therefore made once.
-    headers = written(headers, scratch(headers.sparkSession, "headers"))
+    spark = headers.sparkSession
+    headers = written(headers, scratch(spark, "headers"))
 
     def looked_up(rows: DataFrame, dim: str, columns: list[str], points: DataFrame) -> DataFrame:
         key = f"{dim.removesuffix('_dim')}_id"
@@ -187,10 +189,12 @@ def build_fact_as_of(clean: dict[str, DataFrame], dims: dict[str, DataFrame], ea
     found = looked_up(found, "restaurant_dim", ["restaurant_dim_sk", "location_id"], headers)
     found = looked_up(found, "location_dim", ["location_dim_sk"], places)
     found = looked_up(found, "delivery_agent_dim", ["delivery_agent_dim_sk"], headers)
-    times = headers.select("order_id", "order_date")
-    dishes = splittable_join(clean["order_item"].select("order_id", "menu_id"), times, "order_id")
-    items = splittable_join(_items(clean["order_item"]), found, "order_id")
-    return _fact_rows(looked_up(items, "menu_dim", ["menu_dim_sk"], dishes))
+    found = written(found.drop("calendar_date", "customer_id", "restaurant_id", "location_id", "delivery_agent_id"), scratch(spark, "found"))
+    # Where an order is there twice, each of its items meets both, as it would if it met them at once.
+    times = found.select("order_id", "order_date").distinct()
+    items = written(splittable_join(_items(clean["order_item"]), times, "order_id"), scratch(spark, "timed-items"))
+    items = looked_up(items, "menu_dim", ["menu_dim_sk"], items).drop("menu_id")
+    return _fact_rows(splittable_join(items, found, ["order_id", "order_date"]))
 
 
 def orders_to_refresh(
