@@ -179,3 +179,21 @@ def test_both_passes_over_slices_read_one_shuffle(spark):
         assert "ReusedExchange" in plan_of(found) and found.count() == 50
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_keys_that_nothing_refers_to_leave_no_mark(spark):
+    spec, codes = ENTITIES["order_item"], _Codes()
+    clean = spark.createDataFrame([tuple([1] * 4 + [None] * 8)], spec.clean_schema())
+    marks = _clean_marks(clean, spec, _references(list(ENTITIES.values())), codes)
+    # That it is there, its order, its dish, and that it has no date.
+    assert "ref order_item" not in codes and marks.count() == 4
+    orders = _clean_marks(spark.createDataFrame([], ENTITIES["orders"].clean_schema()), ENTITIES["orders"], _references(list(ENTITIES.values())), codes)
+    assert "ref orders" in codes and orders.count() == 0
+
+
+def test_the_largest_table_is_loaded_by_itself(spark, base, monkeypatch):
+    together, real = [], queries.side_by_side
+    monkeypatch.setattr(queries, "side_by_side", lambda spark, tasks: together.append(len(tasks)) or real(spark, tasks))
+    found = {r.table_name: (r.rows_in, r.rows_out) for r in queries.dq_checks_resent(spark, base).collect()}
+    assert together == [len(ENTITIES) - 1] and len(found) == len(ENTITIES)
+    assert found["order_item"] == (200, 200) and found["orders"] == (60, 60)

@@ -96,8 +96,11 @@ def _stage_marks(stage: DataFrame, clean: DataFrame, entity: Entity, distinct_ke
 
 
 def _clean_marks(clean: DataFrame, entity: Entity, slots: dict[tuple[str, str], int], codes: _Codes) -> DataFrame:
-    """What a clean table adds: its rows, its keys, its references, and the keys that miss a value."""
-    marks = [_mark(codes[f"out {entity.name}"], "NULL", 0), _mark(codes[f"ref {entity.name}"], entity.key, _PARENT)]
+    """What a clean table adds: its rows, its keys if others refer to them, its references, and the keys that miss a value."""
+    parents = {fk.parent for name, column in slots for fk in ENTITIES[name].foreign_keys if fk.column == column}
+    marks = [_mark(codes[f"out {entity.name}"], "NULL", 0)]
+    if entity.name in parents:
+        marks.append(_mark(codes[f"ref {entity.name}"], entity.key, _PARENT))
     for fk in entity.foreign_keys:
         counts = "true" if fk.null_is_orphan else f"{fk.column} IS NOT NULL"
         marks.append(_mark(codes[f"ref {fk.parent}"], fk.column, slots[entity.name, fk.column], counts))
