@@ -15,7 +15,7 @@ from tidemark.operators.as_of import as_of
 from tidemark.operators.joins import marked
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.quality import _Codes, _clean_marks, _references
-from tidemark.operators.upsert import apply_dealt, apply_rows, merge, merge_stored
+from tidemark.operators.upsert import apply_dealt, apply_rows, merge, merge_stored, numbered_new
 from tidemark.plans.refresh import BUCKET, LayeredJob
 from tidemark.registry import queries
 from tidemark.sources.tables import bucket_of
@@ -133,6 +133,16 @@ def test_marks_are_made_by_compiled_code(spark):
     assert "lambda" not in marks._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_keys_of_a_stored_table_do_not_go_to_the_driver(spark, tmp_path):
+    customers(spark, range(40), "old", "id + 1").write.parquet(f"{tmp_path}/old")
+    customers(spark, range(30, 60), "newer").write.parquet(f"{tmp_path}/new")
+    target, rows = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("old", "new"))
+    numbered = numbered_new(rows, target, "customer_id", "customer_sk", 40)
+    assert numbered.filter("customer_sk IS NOT NULL").count() == 20
+    # Files of some kilobytes, far below what Spark broadcasts.
+    assert "BroadcastHashJoin" not in plan_of(numbered) and plan_of(numbered).count("SortMergeJoin") == 2
+
+
 @pytest.fixture(scope="module")
 def base(spark, tmp_path_factory):
     """Small given tables."""
@@ -197,3 +207,10 @@ def test_the_largest_table_is_loaded_by_itself(spark, base, monkeypatch):
     found = {r.table_name: (r.rows_in, r.rows_out) for r in queries.dq_checks_resent(spark, base).collect()}
     assert together == [len(ENTITIES) - 1] and len(found) == len(ENTITIES)
     assert found["order_item"] == (200, 200) and found["orders"] == (60, 60)
+
+
+def test_numbers_are_counted_by_a_query_per_table(spark, base):
+    found = queries.surrogates_stable(spark, base)
+    assert "Join" not in plan_of(found) and "Exchange" not in plan_of(found)
+    counts = {r.table_name: (r.row_count, r.numbers, r.kept) for r in found.collect()}
+    assert len(counts) == len(ENTITIES) and all(rows == numbers >= kept for rows, numbers, kept in counts.values())

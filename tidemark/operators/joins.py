@@ -24,6 +24,15 @@ def splittable_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
     return joined.drop("_lane")
 
 
+def not_broadcast(rows: DataFrame) -> DataFrame:
+    """Rows for one side of a join that may be many, though their files are small.
+
+    Spark takes a few columns of a stored table for that share of its compressed files, which is far less than the
+    rows take in memory; millions of keys would so be gathered by the driver.
+    """
+    return rows.hint("merge")
+
+
 def rows_with(left: DataFrame, keys: DataFrame, key: str, listed: int = LISTED) -> DataFrame | None:
     """The rows of ``left`` whose ``key`` is in ``keys``; None if there is no key at all.
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.entities import Entity
 from tidemark.functions.typing_rules import moment
 from tidemark.operators.clean import clean_rows
+from tidemark.operators.joins import not_broadcast
 from tidemark.operators.numbering import LANES, highest, lane_of, number_rows
 
 
@@ -52,10 +53,11 @@ def numbered_new(
 ) -> DataFrame:
     """``rows`` with a number above ``base`` for each key that the target lacks; NULL for the others.
 
-    Only new keys are numbered, and as a narrow frame: a batch of updates moves none of its rows for it.
+    Only new keys are numbered, and as a narrow frame: a batch of updates moves none of its rows for it. Neither they
+    nor the target's keys are broadcast.
     """
-    new = rows.select(key).join(target.select(key), key, "left_anti")
-    return rows.join(number_rows(new, key, name, base, lanes), key, "left")
+    new = rows.select(key).join(not_broadcast(target.select(key)), key, "left_anti")
+    return rows.join(not_broadcast(number_rows(new, key, name, base, lanes)), key, "left")
 
 
 def prepare_batch(stage: DataFrame, entity: Entity, batch_ts: datetime) -> tuple[DataFrame, DataFrame]:
