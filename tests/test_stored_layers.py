@@ -194,10 +194,11 @@ def test_both_passes_over_slices_read_one_shuffle(spark):
 def test_keys_that_nothing_refers_to_leave_no_mark(spark):
     spec, codes = ENTITIES["order_item"], _Codes()
     clean = spark.createDataFrame([tuple([1] * 4 + [None] * 8)], spec.clean_schema())
-    marks = _clean_marks(clean, spec, _references(list(ENTITIES.values())), codes)
+    parents = {fk.parent for e in ENTITIES.values() for fk in e.foreign_keys}
+    marks = _clean_marks(clean, spec, _references(list(ENTITIES.values())), codes, parents)
     # That it is there, its order, its dish, and that it has no date.
     assert "ref order_item" not in codes and marks.count() == 4
-    orders = _clean_marks(spark.createDataFrame([], ENTITIES["orders"].clean_schema()), ENTITIES["orders"], _references(list(ENTITIES.values())), codes)
+    orders = _clean_marks(spark.createDataFrame([], ENTITIES["orders"].clean_schema()), ENTITIES["orders"], _references(list(ENTITIES.values())), codes, parents)
     assert "ref orders" in codes and orders.count() == 0
 
 
